@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridflux.llm import packing, token_store
+from gridflux.llm import bpe, fingerprint, packing, quality_rules, token_store
 from gridflux.llm.common import table
 
 
+def op2_pair_index_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_digests(table(spark, sf_dir, "documents"))
+
+
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_edited(table(spark, sf_dir, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -19,5 +27,11 @@ def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_checksums(spark, store)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op5_best_fit_packing, op6_token_store)}
-ORACLE_SQL: dict[str, str] = {}
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge_documents(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f for f in (op2_pair_index_bpe, op4_fingerprints, op5_best_fit_packing, op6_token_store, op8_quality_rules)
+}
+ORACLE_SQL: dict[str, str] = {"op8_quality_rules": quality_rules.JUDGE_SQL}
