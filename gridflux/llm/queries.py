@@ -6,14 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridflux.llm import bpe, fingerprint, packing, quality_rules, token_store
+from gridflux.llm import bpe, fingerprint, packing, quality_classifier, quality_rules, token_store, toxicity, url_rules
 from gridflux.llm.common import table
 
 
+def op1_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_pair_index_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"))
 
 
+def op3_association_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge_pages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_edited(table(spark, sf_dir, "documents"))
 
@@ -27,11 +35,25 @@ def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_checksums(spark, store)
 
 
+def op7_factorization_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_documents(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_pair_index_bpe, op4_fingerprints, op5_best_fit_packing, op6_token_store, op8_quality_rules)
+    f.__name__: f
+    for f in (
+        op1_compression_classifier,
+        op2_pair_index_bpe,
+        op3_association_url_rules,
+        op4_fingerprints,
+        op5_best_fit_packing,
+        op6_token_store,
+        op7_factorization_machine,
+        op8_quality_rules,
+    )
 }
 ORACLE_SQL: dict[str, str] = {"op8_quality_rules": quality_rules.JUDGE_SQL}
