@@ -4,15 +4,35 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridflux.llm import packing
+from gridflux.llm import line_dedup, minhash, packing, quality_rules, toxicity
 from gridflux.llm.common import stage, table
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the factorization machine doesn't reject; it learns from the labelled rows of
+    the whole table, not of the stage's input."""
+    labels = table(spark, sf_dir, "labels")
+    return toxicity.keep_clean(docs, toxicity.fit(table(spark, sf_dir, "documents"), labels))
+
+
+def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality_rules.filter_documents(docs)
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return line_dedup.remove_repeats(docs)
+
+
+def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return minhash.keep_first(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs)
 
 
-STAGES = [("pack", pack)]
+STAGES = [("toxicity", drop_toxic), ("quality rules", apply_rules), ("line dedup", dedup_lines), ("near-dedup", dedup_near), ("packing", pack)]
+#: No SQL expresses the learnt stage and the packing; tests hold the stages against brute force.
 ORACLE_SQL: str | None = None
 
 
@@ -22,5 +42,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (name, step) in enumerate(STAGES):
         docs = step(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
-            docs = stage(docs, name)
+            docs = stage(docs, name.replace(" ", "_"))
     return docs

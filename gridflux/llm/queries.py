@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridflux.llm import bpe, fingerprint, minhash, packing, quality_classifier, quality_rules, token_store, toxicity, url_rules
+from gridflux.llm import bpe, fingerprint, line_dedup, minhash, packing, quality_classifier, quality_rules, token_store, toxicity, url_rules
 from gridflux.llm.common import table
 
 
@@ -43,6 +43,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_documents(table(spark, sf_dir, "documents"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.removed_lines(table(spark, sf_dir, "documents"))
+
+
 def op10_bagminhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.classes(table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_token_store,
         op7_factorization_machine,
         op8_quality_rules,
+        op9_line_dedup,
         op10_bagminhash_classes,
     )
 }
