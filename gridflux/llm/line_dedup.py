@@ -39,9 +39,9 @@ def least_overlap(total: int | np.ndarray) -> int | np.ndarray:
 def word_counts(texts: DataFrame) -> np.ndarray:
     """Occurrences of words by hash, over all texts; ``COUNTERS`` numbers whatever the input's size."""
     words = texts.select(F.explode(F.split("text", r"\s+")).alias("w")).where("w <> ''")
-    found = words.groupBy(F.pmod(F.xxhash64("w"), F.lit(COUNTERS)).cast("int").alias("at")).count().toPandas()
+    found = words.groupBy(F.pmod(F.xxhash64("w"), F.lit(COUNTERS)).cast("int").alias("at")).count().toArrow()
     counts = np.zeros(COUNTERS, np.uint32)
-    counts[found["at"].to_numpy()] = np.minimum(found["count"].to_numpy(), 2**32 - 1)
+    counts[np.asarray(found["at"])] = np.minimum(np.asarray(found["count"]), 2**32 - 1)
     return counts
 
 
