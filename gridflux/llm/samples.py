@@ -20,7 +20,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows_per_cla
     chosen = [known.where(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows_per_class) for k in (0, 1)]
     ids = chosen[0].unionByName(chosen[1]).dropDuplicates(["doc_id"])
     texts = docs.select("doc_id", "text").where((F.length("text") > 0) & (F.length("text") <= max_chars))
-    found = texts.join(F.broadcast(ids), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(4 * rows_per_class).select("text", "label").toPandas()
+    found = texts.join(F.broadcast(ids), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(4 * rows_per_class).select("text", "label").toArrow().to_pandas()
     found = found.groupby("text", sort=True)["label"].mean().round().astype(int).reset_index()
     found = found.sample(frac=1.0, random_state=7)
     return found["text"].tolist(), found["label"].to_numpy(), share
