@@ -165,11 +165,9 @@ def _without(text: str, removed: str) -> Column:
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """The documents without the lines that repeat an earlier one, with the columns they came with;
     n_chars, where there is one, is the new text's."""
-    kept = _marked(docs).select("row.*", _without("text", "removed").alias("_kept_text")) if "_kept_text" not in docs.columns else None
-    if kept is None:
-        raise ValueError("the input must not have a column _kept_text")
-    new = {"text": F.col("_kept_text"), "n_chars": F.length("_kept_text").cast("long")}
-    return kept.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])
+    kept = _marked(docs).select("row", _without("text", "removed").alias("kept"))
+    new = {"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
+    return kept.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
