@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridflux import functions as fn
+from gridflux import streaming
 from gridflux.operators import checks, compare, filters, grid, masks, regrid, rescale, roads, runlog, spatial, speciation, stats, temporal, units, vertical
 from gridflux.operators.points import stack_flux
 from gridflux.plans import jobs
 from gridflux.plans.views import COARSE, FINE, cells, field, flux, load, points, with_views
-from gridflux.sources import readers
+from gridflux.sources import readers, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -832,3 +832,42 @@ def job_16_interpolated_at_stations(spark, d):
     f = flux(spark, d).groupBy("pollutant", "fid").agg(F.sum("flux").alias("value"))
     s = points(spark, d).where("abs(lat) < 60").select(F.col("point_id").alias("station"), "lon", "lat")
     return jobs.interpolate(f, cells(spark), None, s, "pollutant").withColumn("value", r("value", 4))
+
+
+# Streaming: each reads the events file as a stream and returns what the finished stream has written ----
+
+
+def event_stream(spark: SparkSession, d: str) -> DataFrame:
+    schema = load(spark, d, "events").schema
+    e = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    return e.select(F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("variable"), (F.col("user_id") % 20).alias("fid"), "value", "user_id", "event_id")
+
+
+def finished(spark: SparkSession, stream: DataFrame) -> DataFrame:
+    """Rows that an append stream has written once all that is there is read."""
+    to = sinks.scratch(spark, "stream")
+    run = stream.writeStream.format("parquet").option("path", f"{to}/out").option("checkpointLocation", f"{to}/state").outputMode("append").trigger(availableNow=True).start()
+    run.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{to}/out")
+
+
+@query("SELECT CAST(epoch(date_trunc('hour', ts)) // 3600 AS BIGINT) AS hour_no, event_type AS variable, round(sum(value), 4) AS total FROM events GROUP BY 1, 2 HAVING date_trunc('hour', any_value(ts)) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR")
+def st_02_hourly_totals(spark, d):
+    out = finished(spark, streaming.hourly_totals(event_stream(spark, d), "2 hours"))
+    return out.select(hour_no("hour").alias("hour_no"), "variable", r("total", 4).alias("total"))
+
+
+@query("SELECT CAST(epoch(date_trunc('day', ts)) // 3600 AS BIGINT) AS hour_no, event_type AS variable, CAST(user_id % 20 AS BIGINT) AS fid, round(avg(value), 6) AS mean_value, round(max(value), 6) AS max_value, round(min(value), 6) AS min_value FROM events GROUP BY 1, 2, 3 HAVING count(*) > 1 AND date_trunc('day', any_value(ts)) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY")
+def st_03_daily_statistics(spark, d):
+    out = finished(spark, streaming.daily_statistics(event_stream(spark, d), "1 day"))
+    return out.select(hour_no("day").alias("hour_no"), "variable", "fid", *[r(c).alias(c) for c in ("mean_value", "max_value", "min_value")])
+
+
+@query(with_views("SELECT CAST(epoch(ts) // 3600 AS BIGINT) AS hour_no, dst_fid AS fid, pollutant || s.x AS species, round(sum(flux * s.fr), 5) AS value FROM (SELECT date_trunc('hour', ts) AS ts, (user_id * 131) % 2592 AS src_fid, event_type AS pollutant, value AS flux FROM events) JOIN w USING (src_fid), (VALUES ('_a', 0.25), ('_b', 0.5)) s(x, fr) GROUP BY 1, 2, 3", "cells", "w"))
+def st_01_fire_hours(spark, d):
+    fires_in = event_stream(spark, d).select("ts", (F.col("user_id") * 131 % 2592).alias("src_fid"), F.col("variable").alias("pollutant"), F.col("value").alias("flux"))
+    split = F.array(F.struct(F.lit("_a").alias("x"), F.lit(0.25).alias("fr")), F.struct(F.lit("_b").alias("x"), F.lit(0.5).alias("fr")))
+    species = load(spark, d, "events").select(F.col("event_type").alias("pollutant")).distinct().withColumn("s", F.explode(split)).select("pollutant", F.concat("pollutant", "s.x").alias("species"), "s.fr")
+    to = sinks.scratch(spark, "fires")
+    streaming.write_hours(fires_in, regrid.conservative_weights(cells(spark), COARSE), species, f"{to}/out", f"{to}/state").awaitTermination()
+    return spark.read.schema("fid long, species string, value double, ts timestamp").parquet(f"{to}/out").select(hour_no().alias("hour_no"), "fid", "species", r("value", 5).alias("value"))

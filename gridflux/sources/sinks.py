@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,3 +68,13 @@ def cell_polygons(field: DataFrame, cells: DataFrame, variables: list[str]) -> D
 def write_debug(table: DataFrame, path: str, *order: str) -> None:
     """SNK-13, SRT-02. Small debug table as one ordered CSV."""
     table.orderBy(*order).coalesce(1).write.mode("overwrite").csv(path, header=True)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder in the one that the cluster names in spark.checkpoint.dir; a temporary one where
+    it names none."""
+    at = spark.conf.get("spark.checkpoint.dir", None)
+    if not at:
+        at = f"file://{tempfile.mkdtemp(prefix='gridflux-')}"
+        spark.conf.set("spark.checkpoint.dir", at)
+    return f"{at.rstrip('/')}/gridflux/{uuid.uuid4().hex}/{name}"
