@@ -3,7 +3,8 @@
 A line's tokens are its different words; lines of fewer than five words are left alone. Lines with
 equal sets meet in one group. For the groups' sets, tokens are ordered by rarity over all documents;
 two sets of Jaccard similarity 0.8 or more share a token within their prefixes. Prefix, length,
-position and a bitmap bound leave few candidates, which are verified on the words themselves. A line
+position and a bitmap bound leave few candidates. They are verified on the words themselves, first each
+set's earliest candidate, then the others of sets that it doesn't settle. A line
 is removed if an equal or similar line stands before it, by doc_id and place in the text.
 
 Rarity is counted in a table of fixed size, indexed by the word's hash. Any order gives the same
@@ -28,7 +29,7 @@ from gridflux.llm.common import stage, text_of
 
 MIN_WORDS = 5
 COUNTERS = 1 << 21
-MAX_BROADCAST_ROWS = 300_000
+MAX_BROADCAST_ROWS = 500_000
 
 
 def least_overlap(total: int | np.ndarray) -> int | np.ndarray:
@@ -45,6 +46,15 @@ def word_counts(texts: DataFrame) -> np.ndarray:
     return counts
 
 
+def _line_order(h: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Order by place (line and rarity), then hash: by one packed key, by both where the key ties."""
+    line, rare = place >> np.uint64(32), np.minimum(place & np.uint64(0xFFFFFFFF), np.uint64(0xFFFFF))
+    key = line << np.uint64(44) | rare << np.uint64(24) | h >> np.uint64(40)
+    order = np.argsort(key)
+    tied = (key[order[1:]] == key[order[:-1]]) & (h[order[1:]] != h[order[:-1]])
+    return np.lexsort((h, place)) if tied.any() or len(line) and int(line[-1]) >> 20 else order
+
+
 def line_sets(texts: DataFrame, counts: np.ndarray) -> DataFrame:
     """One row for each line of five words or more: doc_id, hash, line, its set's 128-bit key, number
     of tokens, bitmap, and the rarest tokens, as many as any similar set must share one of.
@@ -74,7 +84,7 @@ def line_sets(texts: DataFrame, counts: np.ndarray) -> DataFrame:
                 n_lines = len(size)
                 rare = held.value[(h & np.uint64(COUNTERS - 1)).astype(np.int64)].astype(np.uint64)
                 place = np.repeat(np.arange(n_lines, dtype=np.uint64), size) << np.uint64(32) | rare
-                order = np.lexsort((h, place))
+                order = _line_order(h, place)
                 h, place = h[order], place[order]
                 new = np.ones(len(h), bool)
                 new[1:] = (h[1:] != h[:-1]) | (place[1:] != place[:-1])
@@ -122,6 +132,28 @@ def candidates(sets: DataFrame) -> DataFrame:
     return index.join(probe, (index["token"] == probe["token"]) & fits).select("a", "b").distinct()
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """Broadcast where its counted rows allow, else left to an ordinary join."""
+    return F.broadcast(df) if df.count() <= MAX_BROADCAST_ROWS else df
+
+
+def _words_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """sid and different words of the wanted lines (sid, doc_id, hash, line), cut out where the text is."""
+    owners = stage(wanted.groupBy(F.col("hash").alias("owner")).agg(F.collect_set("line").alias("numbers")), "owners")
+    there = texts.join(_small(owners), texts["hash"] == owners["owner"])
+    cut = there.select("doc_id", "hash", F.explode(F.transform("numbers", lambda i: F.struct(i.alias("line"), F.get(F.split("text", "\n"), i).alias("words")))).alias("l")).select("doc_id", "hash", "l.*")
+    same = wanted["doc_id"].eqNullSafe(cut["doc_id"]) & (wanted["hash"] == cut["hash"]) & (wanted["line"] == cut["line"])
+    words = F.array_distinct(F.split(F.btrim(F.regexp_replace(cut["words"], r"\s+", " ")), " "))
+    return wanted.join(cut, same).select("sid", words.alias("words")).dropDuplicates(["sid"])
+
+
+def _alike(pairs: DataFrame, words: DataFrame) -> DataFrame:
+    """late of the pairs (early, late) whose similarity reaches the threshold."""
+    a, b = words.select(F.col("sid").alias("early"), F.col("words").alias("x")), words.select(F.col("sid").alias("late"), F.col("words").alias("y"))
+    shared = F.size(F.array_intersect("x", "y"))
+    return pairs.join(a, "early").join(b, "late").where(9 * shared >= 4 * (F.size("x") + F.size("y"))).select("late")
+
+
 def repeats(docs: DataFrame) -> DataFrame:
     """doc_id, hash of the text, and the sorted numbers (from 0) of the lines to remove, of each
     document that has some."""
@@ -131,19 +163,18 @@ def repeats(docs: DataFrame) -> DataFrame:
     groups = stage(groups.select("k1", "k2", "first", "lines", "s.*").withColumn("sid", F.monotonically_increasing_id()), "groups")
 
     pairs = stage(candidates(groups), "candidates")
-    sides = stage(pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct(), "sides")
+    sides = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
     wanted = stage(groups.select("sid", "first").join(sides, "sid").select("sid", "first", "first.doc_id", "first.hash", "first.line"), "wanted")
-    owners = wanted.select(F.col("hash").alias("owner")).distinct()
-    owners = F.broadcast(owners) if owners.count() <= MAX_BROADCAST_ROWS else owners
-    there = texts.join(owners, texts["hash"] == owners["owner"], "left_semi").dropDuplicates(["doc_id", "hash"])
-    there = there.select("doc_id", "hash", F.posexplode(F.split("text", "\n")).alias("line", "words"))
-    same = wanted["doc_id"].eqNullSafe(there["doc_id"]) & (wanted["hash"] == there["hash"]) & (wanted["line"] == there["line"])
-    words = F.array_distinct(F.split(F.btrim(F.regexp_replace("words", r"\s+", " ")), " "))
-    words = stage(wanted.join(there, same).select("sid", "first", words.alias("words")), "words")
-    a, b = (words.select(F.col("sid").alias(s), F.col("first").alias(f"{s}_first"), F.col("words").alias(f"{s}_words")) for s in "ab")
-    shared = F.size(F.array_intersect("a_words", "b_words"))
-    alike = pairs.join(a, "a").join(b, "b").where(9 * shared >= 4 * (F.size("a_words") + F.size("b_words")))
-    later = stage(alike.select(F.when(F.col("a_first") < F.col("b_first"), F.col("b")).otherwise(F.col("a")).alias("sid")).distinct(), "later")
+    words = stage(_words_of(texts, wanted), "words")
+
+    a, b = (wanted.select(F.col("sid").alias(s), F.col("first").alias(f"{s}_first")) for s in "ab")
+    before = F.col("a_first") < F.col("b_first")
+    turned = pairs.join(a, "a").join(b, "b").select(F.when(before, F.col("a")).otherwise(F.col("b")).alias("early"), F.when(before, F.col("b")).otherwise(F.col("a")).alias("late"), F.least("a_first", "b_first").alias("at"))
+    turned = stage(turned, "turned")
+    nearest = turned.groupBy("late").agg(F.min_by("early", "at").alias("early"))
+    later = stage(_alike(nearest, words), "later")
+    open_ = turned.join(later, "late", "left_anti").join(nearest, ["late", "early"], "left_anti").select("early", "late")
+    later = later.unionByName(stage(_alike(open_, words).distinct(), "later_still")).select(F.col("late").alias("sid"))
 
     again = groups.join(later.withColumn("late", F.lit(True)), "sid", "left").where("late OR lines > 1").select("k1", "k2", F.when(F.col("late"), None).otherwise(F.col("first")).alias("stays"))
     gone = lines.select("doc_id", "hash", "line", "k1", "k2").join(again, ["k1", "k2"]).where(F.col("stays").isNull() | (_place() != F.col("stays")))
@@ -151,27 +182,27 @@ def repeats(docs: DataFrame) -> DataFrame:
 
 
 def _marked(docs: DataFrame) -> DataFrame:
-    """row (all columns as a struct), text and the lines to remove."""
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("key"), "text", F.xxhash64("text").alias("text_hash"))
-    found = stage(repeats(docs), "repeats")
-    return rows.join(found, F.col("key").eqNullSafe(F.col("doc_id")) & (F.col("text_hash") == F.col("hash")), "left")
+    """row (all columns as a struct) and the lines to remove."""
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("key"), F.xxhash64("text").alias("text_hash"))
+    found = _small(stage(repeats(docs), "repeats"))
+    return rows.join(found, F.col("key").eqNullSafe(F.col("doc_id")) & (F.col("text_hash") == F.col("hash")), "left").select("row", "key", "removed")
 
 
 def _without(text: str, removed: str) -> Column:
-    left = F.filter(F.transform(F.split(text, "\n"), lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda s: ~F.array_contains(F.col(removed), s["i"]))
+    left = F.filter(F.transform(F.split(F.col(text), "\n"), lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda s: ~F.array_contains(F.col(removed), s["i"]))
     return F.when(F.col(removed).isNull(), F.col(text)).otherwise(F.array_join(F.transform(left, lambda s: s["x"]), "\n"))
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """The documents without the lines that repeat an earlier one, with the columns they came with;
     n_chars, where there is one, is the new text's."""
-    kept = _marked(docs).select("row", _without("text", "removed").alias("kept"))
+    kept = _marked(docs).select("row", _without("row.text", "removed").alias("kept"))
     new = {"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
     return kept.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
     """doc_id, number of lines, removed line numbers and the remaining text of each document."""
-    n = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n")))
+    n = F.when(F.col("row.text").isNull(), 0).otherwise(F.size(F.split("row.text", "\n")))
     none = F.array().cast("array<int>")
-    return _marked(docs).select(F.col("key").alias("doc_id"), n.alias("n_lines"), F.coalesce("removed", none).alias("removed"), _without("text", "removed").alias("text"))
+    return _marked(docs.select("doc_id", "text")).select(F.col("key").alias("doc_id"), n.alias("n_lines"), F.coalesce("removed", none).alias("removed"), _without("row.text", "removed").alias("text"))

@@ -318,4 +318,4 @@ def test_pipeline_stages(spark, tmp_path):
         if name == "packing":
             assert kept[name] == {r[0] for r in before.select("doc_id").collect()}
     seen = [i for i in kept["toxicity"] if i in labels.index]
-    assert labels.loc[seen, "toxic"].mean() < 0.02
+    assert labels.loc[seen, "toxic"].mean() < 0.5 * labels["toxic"].mean()  # a tiny table to learn from
