@@ -871,3 +871,83 @@ def st_01_fire_hours(spark, d):
     to = sinks.scratch(spark, "fires")
     streaming.write_hours(fires_in, regrid.conservative_weights(cells(spark), COARSE), species, f"{to}/out", f"{to}/state").awaitTermination()
     return spark.read.schema("fid long, species string, value double, ts timestamp").parquet(f"{to}/out").select(hour_no().alias("hour_no"), "fid", "species", r("value", 5).alias("value"))
+
+
+# Preprocessing jobs and species tables ------------------------------------------------------------
+
+
+@query(with_views("SELECT pollutant, strftime(o_orderdate, '%Y%m') AS period, count(*) AS n, round(sum(o_totalprice), 2) AS flux FROM orders JOIN (SELECT DISTINCT o_orderpriority, lower(substr(o_orderpriority, 3)) AS pollutant FROM orders WHERE o_orderpriority < '4') USING (o_orderpriority) WHERE year(o_orderdate) = 1997 GROUP BY 1, 2"))
+def job_06_gridded_preprocess(spark, d):
+    o = load(spark, d, "orders").select(F.col("o_orderpriority").alias("name"), F.col("o_orderdate").alias("ts"), F.col("o_totalprice").alias("flux"))
+    names = o.where("name < '4'").select("name", F.lower(F.expr("substring(name, 3)")).alias("pollutant")).distinct()
+    return jobs.preprocess_gridded(o, names, 1997).groupBy("pollutant", "period").agg(F.count("*").alias("n"), r(F.sum("flux"), 2).alias("flux"))
+
+
+@query(with_views("""SELECT pollutant, species, month_i, round(sum(v * fr), 3) AS flux, round(min(lon) - 0.05, 4) AS west FROM (SELECT o_orderstatus AS pollutant, CAST(month(o_orderdate) AS INTEGER) AS month_i, o_totalprice AS v, ((o_orderkey * 53) % 3600) / 10.0::DOUBLE - 180 + 0.05 AS lon FROM orders)
+ JOIN (SELECT 'P' AS pollutant, 'P_a' AS species, 0.2 AS fr UNION ALL SELECT 'P', 'P_b', 0.4 UNION ALL SELECT 'O', 'O', 1 UNION ALL SELECT 'F', 'F', 1) USING (pollutant) GROUP BY 1, 2, 3"""))
+def job_08_shipping(spark, d):
+    daily = points(spark, d).join(load(spark, d, "orders").select(F.col("o_orderkey").alias("point_id"), F.col("o_orderdate").alias("ts")), "point_id").select("pollutant", "lon", "lat", "ts", F.col("emis").alias("flux"))
+    parts = F.array(F.struct(F.lit("P_a").alias("species"), F.lit(0.2).alias("fr")), F.struct(F.lit("P_b").alias("species"), F.lit(0.4).alias("fr")))
+    split = load(spark, d, "orders").where("o_orderstatus = 'P'").select(F.col("o_orderstatus").alias("pollutant")).distinct().withColumn("s", F.explode(parts)).select("pollutant", "s.*")
+    out = jobs.preprocess_shipping(daily, split)
+    return out.groupBy("pollutant", "species", "month_i").agg(r(F.sum("flux"), 3).alias("flux"), r(F.min("lon"), 4).alias("west"))
+
+
+@query(with_views("SELECT CASE sector WHEN 'F' THEN 'road' ELSE 'ship' END AS sector, pollutant, fid, CAST(m AS INTEGER) AS month_i, round(sum(flux) * (1 + (fid % 7 - 3) * (any_value(m) - 6.5) / 60.0), 4) AS flux FROM flux, range(1, 13) t(m) WHERE fid % 10 = 0 GROUP BY 1, 2, 3, 4", "flux"))
+def job_11_sectors_to_months(spark, d):
+    f = flux(spark, d).where("fid % 10 = 0").groupBy("sector", "pollutant", "fid").agg(F.sum("flux").alias("flux"))
+    names = f.select("sector").distinct().withColumn("new_sector", F.when(F.col("sector") == "F", "road").otherwise("ship"))
+    profile = f.select("fid").distinct().withColumn("bucket", F.explode(F.sequence(F.lit(1), F.lit(12)))).withColumn("factor", 1 + (F.col("fid") % 7 - 3) * (F.col("bucket") - 6.5) / 60.0)
+    return jobs.preprocess_sectors(f, names, profile).select("sector", "pollutant", "fid", F.col("month_i").cast("int").alias("month_i"), r("flux", 4).alias("flux"))
+
+
+@query(with_views("""SELECT sub_sector, species, fid, round(sum(mass * share * fr) * 1e6 / any_value(area_m2) / 31536000 * 1e6, 6) AS flux FROM (SELECT sector, pollutant, fid, sum(flux) AS mass FROM flux WHERE pollutant < 2 GROUP BY 1, 2, 3) JOIN cells USING (fid)
+ JOIN (SELECT o_orderpriority AS sub_sector, o_orderstatus AS sector, sum(o_totalprice) / sum(sum(o_totalprice)) OVER (PARTITION BY o_orderstatus) AS share FROM orders GROUP BY 1, 2) USING (sector) JOIN (VALUES (0, 'sox', 0.5), (1, 'nox', 0.75)) s(pollutant, species, fr) USING (pollutant) GROUP BY 1, 2, 3""", "cells", "flux"))
+def job_13_national_inventory(spark, d):
+    f = flux(spark, d).where("pollutant < 2").groupBy("sector", "pollutant", "fid").agg(F.sum("flux").alias("mass")).join(cells(spark).select("fid", "area_m2"), "fid")
+    sub = load(spark, d, "orders").groupBy(F.col("o_orderpriority").alias("sub_sector"), F.col("o_orderstatus").alias("sector")).agg(F.sum("o_totalprice").alias("total"))
+    species = f.select("pollutant").distinct().select("pollutant", F.when(F.col("pollutant") == 0, "sox").otherwise("nox").alias("species"), F.when(F.col("pollutant") == 0, 0.5).otherwise(0.75).alias("fr"))
+    out = jobs.preprocess_national(f, sub, species)
+    return out.groupBy("sub_sector", "species", "fid").agg(r(F.sum("flux") * 1e6).alias("flux"))
+
+
+@query("SELECT o_orderstatus AS iso3, CAST(o_custkey % 300 AS BIGINT) AS species, CASE WHEN count(DISTINCT o_orderkey % 3) = 1 THEN max(o_orderkey % 3) / 4.0::DOUBLE END AS fr, count(DISTINCT o_orderkey % 3) AS n FROM orders GROUP BY 1, 2")
+def spc_05_single_factors(spark, d):
+    o = load(spark, d, "orders").select(F.col("o_orderstatus").alias("iso3"), (F.col("o_custkey") % 300).alias("species"), (F.col("o_orderkey") % 3 / 4.0).alias("fr"))
+    return speciation.single_factor(o, "iso3", "species")
+
+
+@query("SELECT DISTINCT s AS species FROM (SELECT 'v' || l_partkey % 50 AS s FROM lineitem WHERE l_quantity > 49 UNION ALL SELECT 'parent' || (l_partkey % 50) % 3 FROM lineitem WHERE l_quantity > 49 AND l_partkey % 2 = 0)")
+def spc_06_species_and_parents(spark, d):
+    li = load(spark, d, "lineitem")
+    wanted = li.where("l_quantity > 49").select(F.concat(F.lit("v"), F.col("l_partkey") % 50).alias("species"))
+    parents = li.where("l_partkey % 2 = 0").select(F.concat(F.lit("v"), F.col("l_partkey") % 50).alias("species"), F.concat(F.lit("parent"), F.col("l_partkey") % 50 % 3).alias("parent")).distinct()
+    return speciation.with_parents(wanted, parents)
+
+
+@query(with_views("SELECT f.fid, p.species, round(coalesce(sum(CASE WHEN pollutant = p.species THEN flux END), 0), 4) AS value FROM flux f, (SELECT DISTINCT l_linenumber AS species FROM lineitem) p GROUP BY 1, 2", "flux"))
+def snk_03_all_declared_species(spark, d):
+    f = flux(spark, d).groupBy("fid", F.col("pollutant").alias("species")).agg(F.sum("flux").alias("value"))
+    names = load(spark, d, "lineitem").select(F.col("l_linenumber").alias("species"))
+    return speciation.all_species(f, names, ["fid"]).select("fid", "species", r("value", 4).alias("value"))
+
+
+@query("SELECT ei, units, frequency, count(*) AS n FROM (SELECT CAST(o_custkey % 20 AS BIGINT) AS ei, ['kg/year', 't/year', 'kg/month', 't/day'][1 + o_orderkey % 4] AS units, CASE WHEN o_custkey % 20 < 10 THEN 'yearly' ELSE 'monthly' END AS frequency FROM orders) WHERE NOT ((frequency = 'yearly' AND units IN ('kg/year', 't/year')) OR (frequency = 'monthly' AND units IN ('kg/month', 't/month'))) GROUP BY 1, 2, 3")
+def chk_09_wrong_units(spark, d):
+    o = load(spark, d, "orders")
+    unit = F.element_at(F.array(*map(F.lit, ("kg/year", "t/year", "kg/month", "t/day"))), (F.col("o_orderkey") % 4 + 1).cast("int"))
+    totals = o.select((F.col("o_custkey") % 20).alias("ei"), F.lit("F").alias("sector"), unit.alias("units"))
+    freq = totals.select("ei", "sector").distinct().withColumn("frequency", F.when(F.col("ei") < 10, "yearly").otherwise("monthly"))
+    return rescale.wrong_units(totals, freq).groupBy("ei", "units", "frequency").agg(F.count("*").alias("n"))
+
+
+@query("SELECT l_suppkey AS cell, pollutant, round(sum(mass), 3) AS mass FROM (SELECT l_suppkey, 'co' AS pollutant, l_quantity AS mass FROM lineitem UNION ALL SELECT l_suppkey, 'nox', l_discount FROM lineitem WHERE l_discount <> 0 UNION ALL SELECT l_suppkey, 'sox', l_tax FROM lineitem WHERE l_tax <> 0) GROUP BY 1, 2")
+def src_12_wide_inventory(spark, d):
+    wide = load(spark, d, "lineitem").select(F.col("l_suppkey").alias("cell"), F.col("l_quantity").alias("co"), F.col("l_discount").alias("nox"), F.col("l_tax").alias("sox"))
+    return readers.wide_inventory(wide, ["cell"]).groupBy("cell", "pollutant").agg(r(F.sum("mass"), 3).alias("mass"))
+
+
+@query("SELECT o_orderstatus AS iso3, CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n FROM orders WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders) GROUP BY 1, 2")
+def srt_04_latest_year(spark, d):
+    o = load(spark, d, "orders").select(F.col("o_orderstatus").alias("iso3"), F.year("o_orderdate").alias("year"))
+    return speciation.latest_year(o, 2030).groupBy("iso3", "year").agg(F.count("*").alias("n"))
