@@ -29,6 +29,7 @@ from gridflux.llm.common import stage, text_of
 
 MIN_WORDS = 5
 COUNTERS = 1 << 21
+WIDE = ("w0", "w1", "w2", "w3")  # a bitmap of 256 bits
 MAX_BROADCAST_ROWS = 500_000
 
 
@@ -96,6 +97,9 @@ def line_sets(texts: DataFrame, counts: np.ndarray) -> DataFrame:
                 m2 = (h ^ (h >> np.uint64(29))) * np.uint64(0xC2B2AE3D27D4EB4F)
                 k1, k2 = np.add.reduceat(m1 ^ (m1 >> np.uint64(32)), start), np.add.reduceat(m2 ^ (m2 >> np.uint64(28)), start)
                 bits = np.bitwise_or.reduceat(np.uint64(1) << (h >> np.uint64(58)), start)
+                at = (h >> np.uint64(32)) & np.uint64(255)
+                one = np.uint64(1) << (at & np.uint64(63))
+                wide = [np.bitwise_or.reduceat(np.where(at >> np.uint64(6) == np.uint64(k), one, np.uint64(0)), start) for k in range(4)]
                 prefix = n - -(-4 * n // 5) + 1
                 within = np.arange(len(h)) - start[line] < prefix[line]
                 once = (place[within] & np.uint64(0xFFFFFFFF)) <= 1
@@ -103,11 +107,11 @@ def line_sets(texts: DataFrame, counts: np.ndarray) -> DataFrame:
                 offsets = np.concatenate([[0], np.cumsum(prefix)]).astype(np.int32)
                 of = pa.array(doc, pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [batch["doc_id"].take(of), batch["hash"].take(of), pa.array(number, pa.int32()), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), pa.array(n.astype(np.int32)), pa.array(bits.view(np.int64)), pa.ListArray.from_arrays(offsets, tokens)],
-                    ["doc_id", "hash", "line", "k1", "k2", "n", "bits", "prefix"],
+                    [batch["doc_id"].take(of), batch["hash"].take(of), pa.array(number, pa.int32()), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), pa.array(n.astype(np.int32)), pa.array(bits.view(np.int64)), *[pa.array(w.view(np.int64)) for w in wide], pa.ListArray.from_arrays(offsets, tokens)],
+                    ["doc_id", "hash", "line", "k1", "k2", "n", "bits", *WIDE, "prefix"],
                 )
 
-    return texts.select("doc_id", "hash", "text").mapInArrow(sets, "doc_id long, hash long, line int, k1 long, k2 long, n int, bits long, prefix array<int>")
+    return texts.select("doc_id", "hash", "text").mapInArrow(sets, "doc_id long, hash long, line int, k1 long, k2 long, n int, bits long, w0 long, w1 long, w2 long, w3 long, prefix array<int>")
 
 
 def _place() -> Column:
@@ -118,7 +122,9 @@ def _place() -> Column:
 def candidates(sets: DataFrame) -> DataFrame:
     """Pairs of sets (a, b) that pass all filters; a has at most as many tokens as b.
 
-    A shorter set needs only the shorter prefix that an equal length asks for.
+    A shorter set needs only the shorter prefix that an equal length asks for. Bits in which two
+    bitmaps differ stand for tokens that only one set has; a small bitmap goes with the postings, a
+    wider one sifts the pairs.
     """
     posts = sets.where("n >= 4").select("sid", "n", "bits", F.posexplode("prefix").alias("at", "token")).where("token IS NOT NULL")
     index = posts.where("at < n - ceil(8 * n / 9) + 1").select("token", F.col("sid").alias("a"), F.col("n").alias("an"), F.col("at").alias("aa"), F.col("bits").alias("ab"))
@@ -129,7 +135,11 @@ def candidates(sets: DataFrame) -> DataFrame:
     fits &= 5 * F.col("an") >= 4 * F.col("bn")
     fits &= F.least(F.col("an") - F.col("aa"), F.col("bn") - F.col("ba")) >= need
     fits &= F.bit_count(F.col("ab").bitwiseXOR(F.col("bb"))) <= total - 2 * need
-    return index.join(probe, (index["token"] == probe["token"]) & fits).select("a", "b").distinct()
+    pairs = index.join(probe, (index["token"] == probe["token"]) & fits).select("a", "b").distinct()
+    a, b = (sets.select(F.col("sid").alias(s), F.col("n").alias(f"{s}_n"), *[F.col(w).alias(f"{s}_{w}") for w in WIDE]) for s in "ab")
+    total = F.col("a_n") + F.col("b_n")
+    apart = sum((F.bit_count(F.col(f"a_{w}").bitwiseXOR(F.col(f"b_{w}"))) for w in WIDE), F.lit(0))
+    return pairs.join(a, "a").join(b, "b").where(apart <= total - 2 * F.ceil(4 * total / 9)).select("a", "b")
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -159,7 +169,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     document that has some."""
     texts = docs.where("text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), "text")
     lines = stage(line_sets(texts, word_counts(texts)), "lines")
-    groups = lines.groupBy("k1", "k2").agg(F.min(_place()).alias("first"), F.first(F.struct("n", "bits", "prefix")).alias("s"), F.count("*").alias("lines"))
+    groups = lines.groupBy("k1", "k2").agg(F.min(_place()).alias("first"), F.first(F.struct("n", "bits", *WIDE, "prefix")).alias("s"), F.count("*").alias("lines"))
     groups = stage(groups.select("k1", "k2", "first", "lines", "s.*").withColumn("sid", F.monotonically_increasing_id()), "groups")
 
     pairs = stage(candidates(groups), "candidates")
