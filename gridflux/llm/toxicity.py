@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,6 +38,11 @@ def terms_of(piece: str) -> set[int]:
     return found
 
 
+def _term_array(text: str) -> np.ndarray:
+    found = set().union(*map(terms_of, set(text.split())))
+    return np.fromiter(found, np.int64, len(found))
+
+
 @dataclass
 class FactorizationMachine:
     terms: dict[int, int]  # hashed term to its place
@@ -106,24 +110,21 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = 4000, max_char
     empty = FactorizationMachine({}, base, np.empty(0), np.empty((0, 1)))
     if len(set(y.tolist())) < 2:
         return empty
-    sets = [set().union(*map(terms_of, set(t.split()))) if t else set() for t in texts]
-    seen = [Counter(), Counter()]
-    for s, k in zip(sets, y, strict=True):
-        seen[k].update(s)
-    n = [int((y == 0).sum()), int((y == 1).sum())]
-    strength = {}
-    for t in seen[0].keys() | seen[1].keys():
-        a, b = seen[1][t], seen[0][t]
-        if a + b >= min_texts:
-            odds = np.log((a + 0.5) / (n[1] - a + 0.5)) - np.log((b + 0.5) / (n[0] - b + 0.5))
-            error = np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
-            if odds > 3 * error:
-                strength[t] = odds / error
-    kept = sorted(strength, key=lambda t: (-strength[t], t))[:max_terms]
+    sets = [_term_array(t) for t in texts]  # eight bytes a term
+    n = [int((y == k).sum()) for k in (0, 1)]
+    found = [np.unique(np.concatenate([s for s, c in zip(sets, y, strict=True) if c == k]), return_counts=True) for k in (0, 1)]
+    terms, a = found[1]
+    at = np.minimum(np.searchsorted(found[0][0], terms), max(0, len(found[0][0]) - 1))
+    b = np.where(found[0][0][at] == terms, found[0][1][at], 0) if len(found[0][0]) else np.zeros(len(terms))
+    odds = np.log((a + 0.5) / (n[1] - a + 0.5)) - np.log((b + 0.5) / (n[0] - b + 0.5))
+    strength = odds / np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
+    good = np.flatnonzero((a + b >= min_texts) & (strength > 3))
+    kept = terms[good[np.lexsort((terms[good], -strength[good]))]][:max_terms].tolist()
     if not kept:
         return empty
     place = {t: k for k, t in enumerate(kept)}
-    rows = [np.array(sorted(place[t] for t in s if t in place), np.int64) for s in sets]
+    known = np.sort(np.array(kept, np.int64))
+    rows = [np.array(sorted(place[t] for t in np.intersect1d(s, known, assume_unique=True).tolist()), np.int64) for s in sets]
     bias, w, v = train_machine(rows, y.astype(float), len(kept))
     return FactorizationMachine(place, bias, w, v)
 
