@@ -1,9 +1,11 @@
 """Toxicity by a factorization machine over hashed terms.
 
 Terms of a text are its lower-case words and their first four, five and six letters, hashed by
-CRC-32. Terms that are more frequent in toxic texts of the learning sample get a place in the model; a text
-is the set of its known terms. The machine adds a weight for each term and, by factors, one for each pair of
-terms that meet in a text, so what is toxic only together counts only together.
+CRC-32. Every term of at least three texts of the learning sample gets a place in the model, whichever
+class it leans to or none; a text is the set of its known terms. The machine adds a weight for each term and,
+by factors, one for each pair of terms that meet in a text, so what is toxic only together counts only together.
+A term's value is one plus the standard errors of its log odds, and a text's values have length one: what
+tells little alone stays small in a long text, but nothing is left out.
 
 Defined results. Null or empty text has no terms and gets the machine's base score. No labels of one
 class: the share of label 1 for all. Equal texts get equal scores. Columns other than id and text are
@@ -26,7 +28,7 @@ from gridflux.llm.common import crc_fold, text_of
 from gridflux.llm.samples import labelled_sample
 
 _WORD = re.compile(r"[^\W\d_]+")
-MAX_PIECES = 500_000
+MAX_PIECES = 200_000
 
 
 def terms_of(piece: str) -> set[int]:
@@ -49,61 +51,72 @@ class FactorizationMachine:
     bias: float
     weights: np.ndarray  # a weight for each place
     factors: np.ndarray  # a row of factors for each place
+    values: np.ndarray | None = None  # a value for each place, or one for all
 
-    def places(self, blank: set[str], text: str) -> np.ndarray:
-        """Places of the text's known terms. ``blank`` keeps pieces that are known to have none."""
+    def places(self, seen: dict[str, tuple[int, ...]], text: str) -> np.ndarray:
+        """Places of the text's known terms. ``seen`` keeps those of pieces met before."""
         found: set[int] = set()
-        if len(blank) > MAX_PIECES:
-            blank.clear()
-        for piece in set(text.split()) - blank:
-            known = [self.terms[t] for t in terms_of(piece) if t in self.terms]
+        if len(seen) > MAX_PIECES:
+            seen.clear()
+        for piece in set(text.split()):
+            known = seen.get(piece)
+            if known is None:
+                known = seen[piece] = tuple(self.terms[t] for t in terms_of(piece) if t in self.terms)
             found.update(known)
-            if not known:
-                blank.add(piece)
         return np.array(sorted(found), np.int64)
 
     def score(self, rows: list[np.ndarray]) -> np.ndarray:
         out = np.empty(len(rows))
         for k, at in enumerate(rows):
-            v = self.factors[at]
-            out[k] = self.bias + self.weights[at].sum() + 0.5 * (np.square(v.sum(0)) - np.square(v).sum(0)).sum()
+            x = np.ones(len(at)) if self.values is None else self.values[at] / max(np.linalg.norm(self.values[at]), 1.0)
+            v = self.factors[at] * x[:, None]
+            out[k] = self.bias + self.weights[at] @ x + 0.5 * (np.square(v.sum(0)) - np.square(v).sum(0)).sum()
         return 1 / (1 + np.exp(-np.clip(out, -50, 50)))
 
 
-def train_machine(rows: list[np.ndarray], y: np.ndarray, n_terms: int, n_factors: int = 8, steps: int = 20, batch: int = 128, rate: float = 0.2, ridge: float = 1e-4, seed: int = 3) -> tuple[float, np.ndarray, np.ndarray]:
-    """Bias, weights and factors by AdaGrad on the logistic loss; both classes weigh the same."""
+def train_machine(rows: list[np.ndarray], y: np.ndarray, n_terms: int, n_factors: int = 8, steps: int = 20, batch: int = 128, rate: float = 0.2, ridge: float = 1e-4, seed: int = 3, values: np.ndarray | None = None) -> tuple[float, np.ndarray, np.ndarray]:
+    """Bias, weights and factors by AdaGrad on the logistic loss; both classes weigh the same.
+
+    With ``values`` of the terms, those of each text are scaled to length one; a batch changes its own terms only.
+    """
     rng = np.random.default_rng(seed)
     bias, w, v = 0.0, np.zeros(n_terms), rng.normal(0, 0.02, (n_terms, n_factors))
     gb, gw, gv = 1e-3, np.full(n_terms, 1e-3), np.full((n_terms, n_factors), 1e-3)
     weigh = np.where(y == 1, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9))
+    long = np.ones(len(rows)) if values is None else np.array([max(np.linalg.norm(values[r]), 1.0) for r in rows])
     for _ in range(steps):
         for part in np.array_split(rng.permutation(len(rows)), max(1, len(rows) // batch)):
-            at = np.concatenate([rows[i] for i in part]).astype(np.int64)
-            of = np.repeat(np.arange(len(part)), [len(rows[i]) for i in part])
-            vs = v[at]
-            total = np.zeros((len(part), n_factors))
-            np.add.at(total, of, vs)
-            square = np.zeros(len(part))
-            np.add.at(square, of, np.square(vs).sum(1))
-            linear = np.bincount(of, weights=w[at], minlength=len(part))
+            count = np.array([len(rows[i]) for i in part])
+            at, back = np.unique(np.concatenate([rows[i] for i in part]).astype(np.int64), return_inverse=True)
+            of = np.repeat(np.arange(len(part)), count)
+            x = (np.ones(len(at)) if values is None else values[at])[back] / long[part][of]
+            vs = v[at][back] * x[:, None]
+            ends = np.cumsum(count)
+            sums = np.concatenate([np.zeros((1, n_factors)), np.cumsum(vs, 0)])
+            total = sums[ends] - sums[ends - count]
+            square = np.bincount(of, weights=np.square(vs).sum(1), minlength=len(part))
+            linear = np.bincount(of, weights=w[at][back] * x, minlength=len(part))
             p = 1 / (1 + np.exp(-np.clip(bias + linear + 0.5 * (np.square(total).sum(1) - square), -50, 50)))
             g = weigh[part] * (p - y[part]) / len(part)
-            db, dw, dv = g.sum(), np.zeros(n_terms), np.zeros_like(v)
-            np.add.at(dw, at, g[of])
-            np.add.at(dv, at, g[of, None] * (total[of] - vs))
-            dw += ridge * w / len(part)
-            dv += ridge * v / len(part)
-            gb, gw, gv = gb + db * db, gw + dw * dw, gv + dv * dv
-            bias, w, v = bias - rate * db / np.sqrt(gb), w - rate * dw / np.sqrt(gw), v - rate * dv / np.sqrt(gv)
+            gx = g[of] * x
+            pull = gx[:, None] * (total[of] - vs)
+            db, dw = g.sum(), np.bincount(back, weights=gx, minlength=len(at))
+            dv = np.stack([np.bincount(back, weights=pull[:, k], minlength=len(at)) for k in range(n_factors)], 1)
+            dw += ridge * w[at] / len(part)
+            dv += ridge * v[at] / len(part)
+            gb += db * db
+            gw[at] += dw * dw
+            gv[at] += dv * dv
+            bias -= rate * db / np.sqrt(gb)
+            w[at] -= rate * dw / np.sqrt(gw[at])
+            v[at] -= rate * dv / np.sqrt(gv[at])
     return bias, w, v
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = 4000, max_chars: int = 20_000, max_terms: int = 2_000, min_texts: int = 3) -> FactorizationMachine:
-    """Learn from at most ``rows_per_class`` labelled texts of each class.
+def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = 4000, max_chars: int = 20_000, min_texts: int = 3) -> FactorizationMachine:
+    """Learn from at most ``rows_per_class`` labelled texts of each class; they bound the number of terms.
 
-    A term gets a place if it stands in ``min_texts`` texts or more and its log odds in toxic texts
-    are three standard errors higher than in others; at most the ``max_terms`` strongest do. So
-    what is common in clean texts can't outweigh a toxic term, however long the text.
+    A term gets a place if it stands in ``min_texts`` texts or more.
     """
     texts, y, share = labelled_sample(docs, labels, "toxic", rows_per_class, max_chars)
     base = float(np.log((share + 1e-6) / (1 - share + 1e-6)))
@@ -111,31 +124,31 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = 4000, max_char
     if len(set(y.tolist())) < 2:
         return empty
     sets = [_term_array(t) for t in texts]  # eight bytes a term
-    n = [int((y == k).sum()) for k in (0, 1)]
-    found = [np.unique(np.concatenate([s for s, c in zip(sets, y, strict=True) if c == k]), return_counts=True) for k in (0, 1)]
-    terms, a = found[1]
-    at = np.minimum(np.searchsorted(found[0][0], terms), max(0, len(found[0][0]) - 1))
-    b = np.where(found[0][0][at] == terms, found[0][1][at], 0) if len(found[0][0]) else np.zeros(len(terms))
-    odds = np.log((a + 0.5) / (n[1] - a + 0.5)) - np.log((b + 0.5) / (n[0] - b + 0.5))
-    strength = odds / np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
-    good = np.flatnonzero((a + b >= min_texts) & (strength > 3))
-    kept = terms[good[np.lexsort((terms[good], -strength[good]))]][:max_terms].tolist()
-    if not kept:
+    del texts
+    terms, count = np.unique(np.concatenate(sets), return_counts=True)
+    terms = terms[count >= min_texts]
+    if not len(terms):
         return empty
-    place = {t: k for k, t in enumerate(kept)}
-    known = np.sort(np.array(kept, np.int64))
-    rows = [np.array(sorted(place[t] for t in np.intersect1d(s, known, assume_unique=True).tolist()), np.int64) for s in sets]
-    bias, w, v = train_machine(rows, y.astype(float), len(kept))
-    return FactorizationMachine(place, bias, w, v)
+    rows = []
+    for k, found in enumerate(sets):
+        at = np.minimum(np.searchsorted(terms, found), len(terms) - 1)
+        rows.append(np.sort(at[terms[at] == found]).astype(np.int32))
+        sets[k] = None
+    a, b = (np.bincount(np.concatenate([r for r, c in zip(rows, y, strict=True) if c == k]), minlength=len(terms)) for k in (1, 0))
+    n1, n0 = int((y == 1).sum()), int((y == 0).sum())
+    odds = np.log((a + 0.5) / (n1 - a + 0.5)) - np.log((b + 0.5) / (n0 - b + 0.5))
+    values = 1 + np.abs(odds) / np.sqrt(1 / (a + 0.5) + 1 / (n1 - a + 0.5) + 1 / (b + 0.5) + 1 / (n0 - b + 0.5))
+    bias, w, v = train_machine(rows, y.astype(float), len(terms), values=values)
+    return FactorizationMachine({t: k for k, t in enumerate(terms.tolist())}, bias, w, v, values)
 
 
 def _scored(texts: DataFrame, machine: FactorizationMachine, key: str) -> DataFrame:
-    held = texts.sparkSession.sparkContext.broadcast(machine)  # bounded by max_terms
+    held = texts.sparkSession.sparkContext.broadcast(machine)  # bounded by the learning sample
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blank: set[str] = set()
+        seen: dict[str, tuple[int, ...]] = {}
         for batch in batches:
-            p = held.value.score([held.value.places(blank, t.as_py()) for t in batch["text"]])
+            p = held.value.score([held.value.places(seen, t.as_py()) for t in batch["text"]])
             yield pa.RecordBatch.from_arrays([batch[key], pa.array(p, pa.float64())], [key, "score"])
 
     return texts.mapInArrow(score, f"{key} long, score double")
@@ -153,10 +166,10 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.5)
 def keep_clean(docs: DataFrame, machine: FactorizationMachine, threshold: float = 0.5) -> DataFrame:
     """The documents whose score stays under the threshold, with the columns they came with."""
     held = docs.sparkSession.sparkContext.broadcast(machine)
-    blank: set[str] = set()
+    seen: dict[str, tuple[int, ...]] = {}
 
     @F.arrow_udf("double")
     def score(text: pa.Array) -> pa.Array:
-        return pa.array(held.value.score([held.value.places(blank, t.as_py()) for t in text]), pa.float64())
+        return pa.array(held.value.score([held.value.places(seen, t.as_py()) for t in text]), pa.float64())
 
     return docs.where(score(text_of("text")) < threshold)

@@ -64,6 +64,17 @@ def test_machine_learns_a_pair_that_no_single_term_shows():
     assert ((m.score(rows) >= 0.5) == (y == 1)).mean() > 0.97
 
 
+def test_terms_that_are_toxic_only_together(spark):
+    rng, rows = np.random.default_rng(5), []
+    for i in range(1600):
+        a, b = i % 2 == 1, i // 2 % 2 == 1  # each stands as often in both classes
+        words = [f"word{int(k)}" for k in rng.integers(0, 300, 25)] + ["alpha"] * a + ["bravo"] * b
+        rows.append((i, " ".join(words), 1, int(a == b)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, quality int, toxic int")
+    got = toxicity.score_documents(frame.select("doc_id", "text"), frame.select("doc_id", "quality", "toxic")).where("held_out").toPandas()
+    assert np.mean([rows[i][3] == p for i, p in zip(got["doc_id"], got["predicted"])]) > 0.95
+
+
 def test_pair_index_bpe(spark, docs):
     tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     got = run(spark, "op2_pair_index_bpe").set_index("doc_id")
