@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from gridflux.llm.common import stage, text_of
 
 MIN_WORDS = 5
+#: White space as Python's str.split() takes it, for the SQL side.
+SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
 COUNTERS = 1 << 21
 WIDE = ("w0", "w1", "w2", "w3")  # a bitmap of 256 bits
 MAX_BROADCAST_ROWS = 500_000
@@ -40,7 +42,7 @@ def least_overlap(total: int | np.ndarray) -> int | np.ndarray:
 
 def word_counts(texts: DataFrame) -> np.ndarray:
     """Occurrences of words by hash, over all texts; ``COUNTERS`` numbers whatever the input's size."""
-    words = texts.select(F.explode(F.split("text", r"\s+")).alias("w")).where("w <> ''")
+    words = texts.select(F.explode(F.split("text", SPACE)).alias("w")).where("w <> ''")
     found = words.groupBy(F.pmod(F.xxhash64("w"), F.lit(COUNTERS)).cast("int").alias("at")).count().toArrow()
     counts = np.zeros(COUNTERS, np.uint32)
     counts[np.asarray(found["at"])] = np.minimum(np.asarray(found["count"]), 2**32 - 1)
@@ -48,12 +50,13 @@ def word_counts(texts: DataFrame) -> np.ndarray:
 
 
 def _line_order(h: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """Order by place (line and rarity), then hash: by one packed key, by both where the key ties."""
+    """Order by line, rarity up to 2^20 - 1, then hash, in every slice: by one packed key, by all three
+    where the key ties."""
     line, rare = place >> np.uint64(32), np.minimum(place & np.uint64(0xFFFFFFFF), np.uint64(0xFFFFF))
     key = line << np.uint64(44) | rare << np.uint64(24) | h >> np.uint64(40)
     order = np.argsort(key)
     tied = (key[order[1:]] == key[order[:-1]]) & (h[order[1:]] != h[order[:-1]])
-    return np.lexsort((h, place)) if tied.any() or len(line) and int(line[-1]) >> 20 else order
+    return np.lexsort((h, rare, line)) if tied.any() or len(line) and int(line[-1]) >> 20 else order
 
 
 def line_sets(texts: DataFrame, counts: np.ndarray) -> DataFrame:
@@ -153,7 +156,7 @@ def _words_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     there = texts.join(_small(owners), texts["hash"] == owners["owner"])
     cut = there.select("doc_id", "hash", F.explode(F.transform("numbers", lambda i: F.struct(i.alias("line"), F.get(F.split("text", "\n"), i).alias("words")))).alias("l")).select("doc_id", "hash", "l.*")
     same = wanted["doc_id"].eqNullSafe(cut["doc_id"]) & (wanted["hash"] == cut["hash"]) & (wanted["line"] == cut["line"])
-    words = F.array_distinct(F.split(F.btrim(F.regexp_replace(cut["words"], r"\s+", " ")), " "))
+    words = F.array_distinct(F.split(F.btrim(F.regexp_replace(cut["words"], SPACE, " ")), " "))
     return wanted.join(cut, same).select("sid", words.alias("words")).dropDuplicates(["sid"])
 
 

@@ -249,6 +249,22 @@ def test_line_dedup_on_many_near_lines(spark):
     assert {(r.doc_id, k) for r in got for k in r.removed} == removed(rows)
 
 
+def test_line_order_is_the_same_in_every_slice():
+    h = np.array([5 << 40, 7 << 40, 9 << 40], np.uint64)
+    counts = np.array([3 << 20, 2 << 20, 7], np.uint64)
+    alone = line_dedup._line_order(h, counts)
+    tie = np.array([1 << 50, (1 << 50) + 1], np.uint64)  # ties in the packed key
+    both = line_dedup._line_order(np.append(h, tie), np.append(counts, np.uint64(1 << 32) | np.array([4, 4], np.uint64)))
+    assert alone.tolist() == [2, 0, 1] and both.tolist() == [2, 0, 1, 3, 4]
+
+
+@pytest.mark.parametrize("space", ["\u00a0", "\u3000", "\u2009", "\x85", "\x1c"])
+def test_line_dedup_has_one_white_space(spark, space):
+    rows = [(1, space.join("one two three four five six seven eight nine".split())), (2, " ".join("one two three four five six seven eight ten".split())), (3, "one two three four" + space + "other words of their own")]
+    got = line_dedup.removed_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, k) for r in got for k in r.removed} == removed(rows) == {(2, 0)}
+
+
 def shingles(text):
     w = text.split()
     return Counter(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else Counter()
