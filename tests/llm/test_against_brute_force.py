@@ -310,6 +310,16 @@ def test_near_duplicates_around_a_hub(spark, monkeypatch):
     assert got == components(rows)
 
 
+def test_near_duplicates_with_null_and_repeated_ids(spark):
+    base = [f"w{k}" for k in range(100)]
+    near = [" ".join(base[:-1] + [x]) for x in ("x", "y", "z")]
+    rows = [(5, near[0]), (7, near[1]), (None, near[2]), (3, "one of a kind"), (7, "another of a kind"), (3, "one of a kind")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert Counter(tuple(r) for r in minhash.classes(frame).collect()) == Counter([(5, 5), (7, 5), (None, 5), (3, 3), (7, 7), (3, 3)])
+    want = [(5, near[0]), (None, near[2]), (3, "one of a kind"), (7, "another of a kind")]
+    assert Counter(tuple(r) for r in minhash.keep_first(frame).collect()) == Counter(want)
+
+
 def test_signatures_are_unbiased():
     rng = np.random.default_rng(0)
     weights = [rng.integers(0, 6, 300) for _ in range(4)] + [rng.integers(0, 2, 300) * rng.integers(1, 40, 300)]
