@@ -22,6 +22,7 @@ from gridflux.llm.common import stage
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BAD = "label:bad"
+MAX_BROADCAST_ROWS = 500_000
 
 
 @dataclass(frozen=True)
@@ -74,13 +75,12 @@ def url_tokens(url: Column, host: Column, path: Column) -> Column:
     return F.array_distinct(F.concat(scheme, some(F.split(host, r"\."), "host:"), some(steps, "path:"), some(names, "query:")))
 
 
-def mine_rules(labelled: DataFrame, min_support: float = 0.005, min_rows: int = 20, min_confidence: float = 0.7, max_rules: int = 10_000) -> DataFrame:
+def mine_rules(labelled: DataFrame, min_support: float = 0.005, min_rows: int = 20, min_confidence: float = 0.7) -> DataFrame:
     """Token combinations that lead to a bad label: antecedent, confidence, support.
 
     ``labelled``: tokens array<string>, bad boolean. A combination needs ``min_support`` of the rows and
-    ``min_rows`` of them. Of a rule and a longer one that contains it with
-    no more confidence only the shorter is needed, but both may stay; the ``max_rules`` most
-    confident rules do, which bounds the index.
+    ``min_rows`` of them. A rule goes if it has at most the confidence of one that lacks one of its
+    tokens: what it matches that one matches too, or a shorter one that made that go. All others stay.
     """
     spark = labelled.sparkSession
     if labelled.where("bad").isEmpty():
@@ -89,14 +89,20 @@ def mine_rules(labelled: DataFrame, min_support: float = 0.005, min_rows: int =
     support = min(1.0, max(min_support, min_rows / labelled.count()))
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(baskets)
     rules = model.associationRules.where(F.col("consequent") == F.array(F.lit(BAD)))
-    return rules.select("antecedent", "confidence", "support").orderBy(F.desc("confidence"), F.desc("support"), "antecedent").limit(max_rules)
+    rules = stage(rules.select(F.array_sort("antecedent").alias("antecedent"), "confidence", "support"), "all_rules")
+    shorter = rules.where(F.size("antecedent") > 1).select("antecedent", "confidence", F.explode(F.transform("antecedent", lambda t: F.array_remove("antecedent", t))).alias("part"))
+    parts = rules.select(F.col("antecedent").alias("part"), F.col("confidence").alias("known"))
+    needless = shorter.join(parts, "part").where("known >= confidence").select("antecedent").distinct()
+    return rules.join(needless, "antecedent", "left_anti").select("antecedent", "confidence", "support")
 
 
 def match_rules(rows: DataFrame, rules: DataFrame) -> DataFrame:
     """Rows (row, tokens) all of whose rule's tokens they hold: row, confidence of the best rule."""
     index = stage(rules.withColumn("rule", F.monotonically_increasing_id()), "rules")
     postings = index.select("rule", "confidence", F.size("antecedent").alias("needs"), F.explode("antecedent").alias("token"))
-    hits = rows.select("row", F.explode("tokens").alias("token")).join(F.broadcast(postings), "token")  # at most max_rules rules
+    if postings.count() <= MAX_BROADCAST_ROWS:
+        postings = F.broadcast(postings)
+    hits = rows.select("row", F.explode("tokens").alias("token")).join(postings, "token")
     return hits.groupBy("row", "rule").agg(F.count("*").alias("n"), F.first("needs").alias("needs"), F.first("confidence").alias("confidence")).where("n = needs").groupBy("row").agg(F.max("confidence").alias("confidence"))
 
 

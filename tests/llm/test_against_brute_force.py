@@ -130,6 +130,13 @@ def canonical(text):
     return re.sub(r"[\s\x85]+", " ", nfkc(nfkc(text).casefold())).strip(" ")
 
 
+def test_no_mined_rule_is_lost_to_redundant_ones(spark):
+    long = [f"t{k}" for k in range(14)]  # 2^14 - 1 combinations of confidence 1
+    rows = [(long, True)] * 30 + [(["weak"], True)] * 30 + [(["weak"], False)] * 10 + [(["fine"], False)] * 30
+    found = url_rules.mine_rules(spark.createDataFrame(rows, "tokens array<string>, bad boolean")).collect()
+    assert {(*r.antecedent, r.confidence) for r in found} == {("weak", 0.75)} | {(t, 1.0) for t in long}
+
+
 def test_fingerprints(spark, docs):
     got = run(spark, "op4_fingerprints").set_index("doc_id")
     down = docs[::-1]
