@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+MAX_BROADCAST_BYTES = 16 << 20
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -16,10 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """Folder that the driver and all executors see, named by the cluster in spark.checkpoint.dir.
 
-    Where the cluster names none (a single machine, tests), a temporary folder is set.
+    On a single machine (tests) a temporary folder is set where there is none; a cluster must name one.
     """
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         at = f"file://{tempfile.mkdtemp(prefix='gridflux-')}"
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
@@ -36,6 +40,23 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bytes_of(df: DataFrame) -> int:
+    """Bytes that the rows hold, by the lengths of their arrays and strings."""
+    sizes = []
+    for field in df.schema.fields:
+        kind = field.dataType.simpleString()
+        if kind.startswith("array"):
+            sizes.append(16 * F.size(F.coalesce(field.name, F.array())))
+        else:
+            sizes.append(F.coalesce(F.octet_length(field.name), F.lit(0)) if kind in ("string", "binary") else F.lit(8))
+    return df.agg(F.sum(sum(sizes, F.lit(16)).cast("long"))).first()[0] or 0
+
+
+def small(df: DataFrame, most: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast where its counted bytes allow, else left to an ordinary join; ``df`` should be cheap to read."""
+    return F.broadcast(df) if bytes_of(df) <= most else df
+
+
 def text_of(column: str | Column) -> Column:
     """The whole text; null counts as empty."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))

@@ -1,19 +1,21 @@
 """Line deduplication by an exact set-similarity join.
 
-A line's tokens are its different words; lines of fewer than five words are left alone. Lines with
-equal sets meet in one group. For the groups' sets, tokens are ordered by rarity over all documents;
-two sets of Jaccard similarity 0.8 or more share a token within their prefixes. Prefix, length,
-position and a bitmap bound leave few candidates. They are verified on the words themselves, first each
-set's earliest candidate, then the others of sets that it doesn't settle. A line
-is removed if an equal or similar line stands before it, by doc_id and place in the text.
+A line's tokens are its different words; every line with a word takes part. Lines with equal sets meet
+in one group. For the groups' sets, tokens are ordered by rarity over all documents; two sets of Jaccard
+similarity 0.8 or more share a token within their prefixes. The sets that share one are scanned in blocks,
+by length, position and a parity sketch of 64 bits, which can only be too lenient. A line needs a single
+earlier match to go, so a block sends on each set's likeliest earlier candidate alone; only sets that it
+doesn't settle get all their others. Candidates are verified on the lines' words, beside each other.
+A line is removed if an equal or similar line stands before it, kept or not.
 
 Rarity is counted in a table of fixed size, indexed by the word's hash. Any order gives the same
-result; a table too small for the vocabulary costs time only.
+result; a table too small for the vocabulary costs time only. Words are compared by 64-bit hashes, and
+sets are equal if a 128-bit sum of their words' hashes is.
 
-Defined results. Null text: no lines, it stays null. Empty lines and short lines stay. Rows with
-equal id and text count as one document; with equal ids only, they're ordered by a hash of the text;
-null ids come last. An empty table gives an empty result. ``remove_repeats`` keeps the input's
-columns, whatever their names.
+Defined results. Lines stand in the order of doc_id (null ids last), then place in the text, then a hash
+of the text, for different texts under one id. Null text: no lines, it stays null. Lines without a word
+stay. Rows with equal id and text count as one document. An empty table gives an empty result.
+``remove_repeats`` keeps the input's columns, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,146 +27,269 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridflux.llm.common import stage, text_of
+from gridflux.llm.common import small, stage, text_of
+from gridflux.llm.words import mix, slices, split_words
 
-MIN_WORDS = 5
-#: White space as Python's str.split() takes it, for the SQL side.
-SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
-COUNTERS = 1 << 21
-WIDE = ("w0", "w1", "w2", "w3")  # a bitmap of 256 bits
-MAX_BROADCAST_ROWS = 500_000
-
-
-def least_overlap(total: int | np.ndarray) -> int | np.ndarray:
-    """Tokens that two sets of ``total`` tokens together must share for a similarity of 4/5."""
-    return -(-4 * total // 9)
+COUNTERS, PART = 1 << 21, 1 << 13
+BLOCK = 2048  # sets of one block; a token's sets beyond meet block by block
+SCAN_ROWS = 200_000
 
 
 def word_counts(texts: DataFrame) -> np.ndarray:
     """Occurrences of words by hash, over all texts; ``COUNTERS`` numbers whatever the input's size."""
-    words = texts.select(F.explode(F.split("text", SPACE)).alias("w")).where("w <> ''")
-    found = words.groupBy(F.pmod(F.xxhash64("w"), F.lit(COUNTERS)).cast("int").alias("at")).count().toArrow()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros(COUNTERS, np.int64)
+        for batch in slices(batches, most=1 << 20):
+            found += np.bincount((split_words(batch["text"]).hash & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
+        yield from _parts(found)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, data in zip(batch["part"].to_pylist(), batch["counts"].to_pylist(), strict=True):
+                counts = np.frombuffer(pa.decompress(data, 8 * PART, "zstd"), np.int64)
+                found[part] = found[part] + counts if part in found else counts
+        for part, counts in found.items():
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([_packed(counts)], pa.binary())], ["part", "counts"])
+
+    schema = "part int, counts binary"
+    parts = texts.select("text").mapInArrow(count, schema).repartition("part").mapInArrow(add, schema).toArrow()
     counts = np.zeros(COUNTERS, np.uint32)
-    counts[np.asarray(found["at"])] = np.minimum(np.asarray(found["count"]), 2**32 - 1)
+    for part, data in zip(parts["part"].to_pylist(), parts["counts"].to_pylist(), strict=True):
+        counts[part * PART : (part + 1) * PART] = np.minimum(np.frombuffer(pa.decompress(data, 8 * PART, "zstd"), np.int64), 2**32 - 1)
     return counts
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    return pa.compress(counts.tobytes(), "zstd", asbytes=True)
+
+
+def _parts(counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The table in compressed parts, those with a number in them."""
+    for part, numbers in enumerate(counts.reshape(-1, PART)):
+        if numbers.any():
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([_packed(numbers)], pa.binary())], ["part", "counts"])
+
+
 def _line_order(h: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """Order by line, rarity up to 2^20 - 1, then hash, in every slice: by one packed key, by all three
-    where the key ties."""
+    """Order by line, rarity up to 2^20 - 1, then hash, in every slice: by one packed key, and by all
+    three in lines where the key ties. ``place``: line and rarity, 32 bits each."""
     line, rare = place >> np.uint64(32), np.minimum(place & np.uint64(0xFFFFFFFF), np.uint64(0xFFFFF))
+    if len(line) and int(line.max()) >> 20:
+        return np.lexsort((h, rare, line))
     key = line << np.uint64(44) | rare << np.uint64(24) | h >> np.uint64(40)
     order = np.argsort(key)
     tied = (key[order[1:]] == key[order[:-1]]) & (h[order[1:]] != h[order[:-1]])
-    return np.lexsort((h, rare, line)) if tied.any() or len(line) and int(line[-1]) >> 20 else order
+    again = np.flatnonzero(np.isin(line[order], line[order[1:][tied]])) if tied.any() else np.empty(0, np.int64)
+    there = order[again]
+    order[again] = there[np.lexsort((h[there], rare[there], line[there]))]
+    return order
 
 
 def line_sets(texts: DataFrame, counts: np.ndarray) -> DataFrame:
-    """One row for each line of five words or more: doc_id, hash, line, its set's 128-bit key, number
-    of tokens, bitmap, and the rarest tokens, as many as any similar set must share one of.
+    """One row for each line with a word: doc_id, hash, line, its set's 128-bit key, number of tokens,
+    parity sketch, and the rarest tokens, as many as any similar set must share one of.
 
     A token that occurs once in all documents can't be shared; its place in the prefix is null.
     """
     held = texts.sparkSession.sparkContext.broadcast(counts)  # a table of fixed size
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh64_intdigest
-
-        for whole in batches:
-            for begin in range(0, whole.num_rows, 500):
-                batch = whole.slice(begin, 500)
-                words, size, doc, number = [], [], [], []
-                for k, text in enumerate(batch["text"].to_pylist()):
-                    for i, line in enumerate(text.split("\n")):
-                        w = line.split()
-                        if len(w) >= MIN_WORDS:
-                            words += w
-                            size.append(len(w))
-                            doc.append(k)
-                            number.append(i)
-                if not size:
-                    continue
-                h = np.fromiter((xxh64_intdigest(w, 42) for w in words), np.uint64, len(words))
-                n_lines = len(size)
-                rare = held.value[(h & np.uint64(COUNTERS - 1)).astype(np.int64)].astype(np.uint64)
-                place = np.repeat(np.arange(n_lines, dtype=np.uint64), size) << np.uint64(32) | rare
-                order = _line_order(h, place)
-                h, place = h[order], place[order]
-                new = np.ones(len(h), bool)
-                new[1:] = (h[1:] != h[:-1]) | (place[1:] != place[:-1])
-                h, place = h[new], place[new]
-                line = (place >> np.uint64(32)).astype(np.int64)
-                n = np.bincount(line, minlength=n_lines)
-                start = np.concatenate([[0], np.cumsum(n)[:-1]])
-                m1 = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-                m2 = (h ^ (h >> np.uint64(29))) * np.uint64(0xC2B2AE3D27D4EB4F)
-                k1, k2 = np.add.reduceat(m1 ^ (m1 >> np.uint64(32)), start), np.add.reduceat(m2 ^ (m2 >> np.uint64(28)), start)
-                bits = np.bitwise_or.reduceat(np.uint64(1) << (h >> np.uint64(58)), start)
-                at = (h >> np.uint64(32)) & np.uint64(255)
-                one = np.uint64(1) << (at & np.uint64(63))
-                wide = [np.bitwise_or.reduceat(np.where(at >> np.uint64(6) == np.uint64(k), one, np.uint64(0)), start) for k in range(4)]
-                prefix = n - -(-4 * n // 5) + 1
-                within = np.arange(len(h)) - start[line] < prefix[line]
-                once = (place[within] & np.uint64(0xFFFFFFFF)) <= 1
-                tokens = pa.array(h[within].astype(np.uint32).view(np.int32), mask=once)
-                offsets = np.concatenate([[0], np.cumsum(prefix)]).astype(np.int32)
-                of = pa.array(doc, pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [batch["doc_id"].take(of), batch["hash"].take(of), pa.array(number, pa.int32()), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), pa.array(n.astype(np.int32)), pa.array(bits.view(np.int64)), *[pa.array(w.view(np.int64)) for w in wide], pa.ListArray.from_arrays(offsets, tokens)],
-                    ["doc_id", "hash", "line", "k1", "k2", "n", "bits", *WIDE, "prefix"],
-                )
-
-    return texts.select("doc_id", "hash", "text").mapInArrow(sets, "doc_id long, hash long, line int, k1 long, k2 long, n int, bits long, w0 long, w1 long, w2 long, w3 long, prefix array<int>")
+        for batch in slices(batches):
+            words = split_words(batch["text"])
+            h = words.hash
+            if not h.size:
+                continue
+            new = np.ones(len(h), bool)
+            new[1:] = (words.text[1:] != words.text[:-1]) | (words.line[1:] != words.line[:-1])
+            doc, number = words.text[new], words.line[new]
+            rare = held.value[(h & np.uint64(COUNTERS - 1)).astype(np.int64)].astype(np.uint64)
+            place = (np.cumsum(new) - 1).astype(np.uint64) << np.uint64(32) | rare
+            order = _line_order(h, place)
+            h, place = h[order], place[order]
+            new[1:] = (h[1:] != h[:-1]) | (place[1:] != place[:-1])
+            h, place = h[new], place[new]
+            line = (place >> np.uint64(32)).astype(np.int64)
+            n = np.bincount(line, minlength=len(doc))
+            start = np.cumsum(n) - n
+            k1, k2 = (np.add.reduceat(mix(h ^ np.uint64(c)), start) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F))
+            bits = np.bitwise_xor.reduceat(np.uint64(1) << (h >> np.uint64(58)), start)
+            prefix = np.where(n < 4, 0, n - -(-4 * n // 5) + 1)  # fewer than four have equal sets alone
+            within = np.arange(len(h)) - start[line] < prefix[line]
+            once = (place[within] & np.uint64(0xFFFFFFFF)) <= 1
+            tokens = pa.array(h[within].astype(np.uint32).view(np.int32), mask=once)
+            offsets = np.concatenate([[0], np.cumsum(prefix)]).astype(np.int32)
+            of = pa.array(doc, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc_id"].take(of), batch["hash"].take(of), pa.array(number, pa.int32()), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), pa.array(n.astype(np.int32)), pa.array(bits.view(np.int64)), pa.ListArray.from_arrays(offsets, tokens)],
+                ["doc_id", "hash", "line", "k1", "k2", "n", "bits", "prefix"],
+            )
+
+    return texts.select("doc_id", "hash", "text").mapInArrow(sets, "doc_id long, hash long, line int, k1 long, k2 long, n int, bits long, prefix array<int>")
 
 
 def _place() -> Column:
     """Order of lines: null ids last."""
-    return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash", "line")
-
-
-def candidates(sets: DataFrame) -> DataFrame:
-    """Pairs of sets (a, b) that pass all filters; a has at most as many tokens as b.
-
-    A shorter set needs only the shorter prefix that an equal length asks for. Bits in which two
-    bitmaps differ stand for tokens that only one set has; a small bitmap goes with the postings, a
-    wider one sifts the pairs.
+    return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "line", "hash")
+
+
+def _posts(groups: DataFrame) -> DataFrame:
+    """A row for each token in a set's prefix, in blocks: of a token in more than ``BLOCK`` prefixes,
+    any two blocks meet once."""
+    of = groups.where("n >= 4").select("sid", "open", "n", "bits", F.col("first.none").cast("int").alias("none"), "first.doc_id", "first.line", F.posexplode("prefix").alias("at", "token")).where("token IS NOT NULL")
+    hot = of.groupBy("token").count().where(F.col("count") > BLOCK).select("token", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
+    of = of.join(small(stage(hot, "hot_tokens")), "token", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    of = of.withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
+    sides = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("block", o).alias("low"), F.greatest("block", o).alias("high")))
+    return of.withColumn("side", F.explode(sides)).select("token", "side.low", "side.high", "block", "sid", "open", "n", "at", "bits", "none", "doc_id", "line")
+
+
+def scan(rows: dict[str, np.ndarray], every: bool) -> tuple[np.ndarray, ...]:
+    """Candidates among rows in the order of block and n: places of late and early, bits that differ,
+    and whether the late one has others. Each late set's likeliest, or with ``every`` all of open sets."""
+    n, at, bits, block, sid = (rows[c] for c in ("n", "at", "bits", "block", "sid"))
+    size = len(n)
+    new = np.ones(size, bool)
+    for c in ("token", "low", "high"):
+        new[1:] &= rows[c][1:] == rows[c][:-1]
+    new[1:] = ~new[1:]
+    first = np.flatnonzero(new)
+    last = np.repeat(np.append(first[1:], size), np.diff(np.append(first, size)))
+    mixed = rows["low"] != rows["high"]
+    order = np.lexsort((rows["line"], rows["doc_id"], rows["none"]))
+    rank = np.zeros(size, np.int64)
+    step = np.zeros(size, bool)
+    for c in ("none", "doc_id", "line"):
+        step[1:] |= rows[c][order][1:] != rows[c][order][:-1]
+    rank[order] = np.cumsum(step)
+    best, likeliest, more, found = np.full(size, 999), np.full(size, -1), np.zeros(size, bool), []
+    i, k = np.arange(size), 0
+    while i.size:
+        k += 1
+        i = i[i + k < last[i]]
+        j = i + k
+        near = 4 * n[j] <= 5 * n[i]
+        i, j = i[near], j[near]
+        total = n[i] + n[j]
+        need = -(-4 * total // 9)
+        apart = np.bitwise_count(bits[i] ^ bits[j]).astype(np.int64)
+        ok = (np.minimum(n[i] - at[i], n[j] - at[j]) >= need) & (apart <= total - 2 * need)
+        ok &= ~mixed[i] | (block[i] != block[j])
+        a, b, d = i[ok], j[ok], apart[ok]
+        for late, early in ((a, b), (b, a)):  # both ways where only the hash of the text decides
+            after = rank[late] >= rank[early]
+            x, y, z = late[after], early[after], d[after]
+            if every:
+                wanted = rows["open"][x]
+                found.append((x[wanted], y[wanted], z[wanted]))
+            else:
+                more[x] |= likeliest[x] >= 0
+                better = z < best[x]
+                best[x[better]], likeliest[x[better]] = z[better], y[better]
+    if every:
+        x, y, z = (np.concatenate(c) for c in zip(*found)) if found else (np.empty(0, np.int64),) * 3
+        return x, y, z, np.zeros(len(x), bool)
+    x = np.flatnonzero(likeliest >= 0)
+    return x, likeliest[x], best[x], more[x]
+
+
+def candidates(groups: DataFrame, every: bool = False, only: DataFrame | None = None) -> DataFrame:
+    """late, early, apart and more of sets that share a token in their prefixes and pass all filters."""
+    posts = _posts(groups)
+    if only is not None:
+        posts = posts.join(only, "token", "left_semi")
+    posts = posts.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high", "n", "sid")
+    names = posts.columns
+
+    def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def of(parts: list[dict[str, np.ndarray]], whole: bool) -> tuple[pa.RecordBatch | None, list[dict[str, np.ndarray]]]:
+            rows = {c: np.concatenate([p[c] for p in parts]) for c in names}
+            same = np.ones(len(rows["n"]), bool)
+            for c in ("token", "low", "high"):
+                same &= rows[c] == rows[c][-1]
+            cut = len(same) if whole else int(np.argmax(same))  # the last block may go on
+            done, rest = ({c: v[s] for c, v in rows.items()} for s in (slice(0, cut), slice(cut, None)))
+            late, early, apart, more = scan(done, every) if cut else (np.empty(0, np.int64),) * 4
+            out = pa.RecordBatch.from_arrays([pa.array(done["sid"][late]), pa.array(done["sid"][early]), pa.array(apart.astype(np.int32)), pa.array(more.astype(bool))], ["late", "early", "apart", "more"])
+            return out, [rest] if cut < len(same) else []
+
+        parts, held = [], 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            read = {c: (batch[c].fill_null(0) if c == "doc_id" else batch[c]).to_numpy(zero_copy_only=False) for c in names}
+            parts.append(read | {c: read[c].astype(np.int64) for c in ("n", "at", "low", "high", "block")} | {"bits": read["bits"].view(np.uint64)})
+            held += batch.num_rows
+            if held >= SCAN_ROWS:
+                out, parts = of(parts, False)
+                held = sum(len(p["n"]) for p in parts)
+                yield out
+        if parts:
+            yield of(parts, True)[0]
+
+    return posts.mapInArrow(scanned, "late long, early long, apart int, more boolean")
+
+
+def _verified(pairs: DataFrame, groups: DataFrame, texts: DataFrame, most: int = 5000) -> DataFrame:
+    """late of the pairs (late, early) that are similar and in this order.
+
+    A set early in many pairs is a family's head. Its words and the others' are cut out where the text
+    is and meet in the family's task; a family of more than ``most`` is split and its head repeated.
     """
-    posts = sets.where("n >= 4").select("sid", "n", "bits", F.posexplode("prefix").alias("at", "token")).where("token IS NOT NULL")
-    index = posts.where("at < n - ceil(8 * n / 9) + 1").select("token", F.col("sid").alias("a"), F.col("n").alias("an"), F.col("at").alias("aa"), F.col("bits").alias("ab"))
-    probe = posts.select("token", F.col("sid").alias("b"), F.col("n").alias("bn"), F.col("at").alias("ba"), F.col("bits").alias("bb"))
-    total = F.col("an") + F.col("bn")
-    need = F.ceil(4 * total / 9)
-    fits = (F.col("an") < F.col("bn")) | ((F.col("an") == F.col("bn")) & (F.col("a") < F.col("b")))
-    fits &= 5 * F.col("an") >= 4 * F.col("bn")
-    fits &= F.least(F.col("an") - F.col("aa"), F.col("bn") - F.col("ba")) >= need
-    fits &= F.bit_count(F.col("ab").bitwiseXOR(F.col("bb"))) <= total - 2 * need
-    pairs = index.join(probe, (index["token"] == probe["token"]) & fits).select("a", "b").distinct()
-    a, b = (sets.select(F.col("sid").alias(s), F.col("n").alias(f"{s}_n"), *[F.col(w).alias(f"{s}_{w}") for w in WIDE]) for s in "ab")
-    total = F.col("a_n") + F.col("b_n")
-    apart = sum((F.bit_count(F.col(f"a_{w}").bitwiseXOR(F.col(f"b_{w}"))) for w in WIDE), F.lit(0))
-    return pairs.join(a, "a").join(b, "b").where(apart <= total - 2 * F.ceil(4 * total / 9)).select("a", "b")
-
-
-def _small(df: DataFrame) -> DataFrame:
-    """Broadcast where its counted rows allow, else left to an ordinary join."""
-    return F.broadcast(df) if df.count() <= MAX_BROADCAST_ROWS else df
-
-
-def _words_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """sid and different words of the wanted lines (sid, doc_id, hash, line), cut out where the text is."""
-    owners = stage(wanted.groupBy(F.col("hash").alias("owner")).agg(F.collect_set("line").alias("numbers")), "owners")
-    there = texts.join(_small(owners), texts["hash"] == owners["owner"])
-    cut = there.select("doc_id", "hash", F.explode(F.transform("numbers", lambda i: F.struct(i.alias("line"), F.get(F.split("text", "\n"), i).alias("words")))).alias("l")).select("doc_id", "hash", "l.*")
-    same = wanted["doc_id"].eqNullSafe(cut["doc_id"]) & (wanted["hash"] == cut["hash"]) & (wanted["line"] == cut["line"])
-    words = F.array_distinct(F.split(F.btrim(F.regexp_replace(cut["words"], SPACE, " ")), " "))
-    return wanted.join(cut, same).select("sid", words.alias("words")).dropDuplicates(["sid"])
-
-
-def _alike(pairs: DataFrame, words: DataFrame) -> DataFrame:
-    """late of the pairs (early, late) whose similarity reaches the threshold."""
-    a, b = words.select(F.col("sid").alias("early"), F.col("words").alias("x")), words.select(F.col("sid").alias("late"), F.col("words").alias("y"))
-    shared = F.size(F.array_intersect("x", "y"))
-    return pairs.join(a, "early").join(b, "late").where(9 * shared >= 4 * (F.size("x") + F.size("y"))).select("late")
+    heads = pairs.groupBy("early").agg(F.ceil(F.count("*") / most).cast("int").alias("blocks"))
+    lates = pairs.join(heads, "early").select(F.col("early").alias("family"), F.pmod(F.xxhash64("late"), F.col("blocks")).cast("int").alias("block"), F.lit(1).alias("member"), F.col("late").alias("sid"))
+    heads = heads.select(F.col("early").alias("family"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(0).alias("member"), F.col("early").alias("sid"))
+    members = heads.unionByName(lates).join(groups.select("sid", "first"), "sid")
+    owners = members.groupBy(F.col("first.hash").alias("owner")).agg(F.collect_list(F.struct("first.doc_id", "first.line", "family", "block", "member", "sid")).alias("wanted"))
+    there = texts.join(small(stage(owners, "owners")), texts["hash"] == F.col("owner")).select("doc_id", "hash", "text", "wanted")
+    schema = "family long, block int, member int, sid long, none boolean, doc_id long, line int, hash long, tokens binary"
+    names = [f.split()[0] for f in schema.split(", ")]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            words, out = split_words(batch["text"]), []
+            edges = np.searchsorted(words.text, np.arange(batch.num_rows + 1))
+            for k, (doc_id, text_hash, wanted) in enumerate(zip(*(batch[c].to_pylist() for c in ("doc_id", "hash", "wanted")), strict=True)):
+                lines, h = words.line[edges[k] : edges[k + 1]], words.hash[edges[k] : edges[k + 1]]
+                for w in wanted:
+                    if w["doc_id"] == doc_id:
+                        a, b = np.searchsorted(lines, [w["line"], w["line"] + 1])
+                        out.append((w["family"], w["block"], w["member"], w["sid"], doc_id is None, doc_id, w["line"], text_hash, np.unique(h[a:b]).tobytes()))
+            if out:
+                kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head, x, at = None, np.empty(0, np.uint64), None
+        for batch in batches:
+            late = []
+            for r in batch.to_pylist():
+                y, place = np.frombuffer(r["tokens"], np.uint64), (r["none"], r["doc_id"] or 0, r["line"], r["hash"])
+                if not r["member"]:
+                    head, x, at = (r["family"], r["block"]), y, place
+                elif head != (r["family"], r["block"]):
+                    raise RuntimeError("a set's text has changed while it was compared")
+                elif at < place and 9 * np.intersect1d(x, y, assume_unique=True).size >= 4 * (x.size + y.size):
+                    late.append(r["sid"])
+            yield pa.RecordBatch.from_arrays([pa.array(late, pa.int64())], ["late"])
+
+    cuts = there.mapInArrow(cut, schema).repartition("family", "block").sortWithinPartitions("family", "block", "member")
+    return cuts.mapInArrow(compare, "late long")
+
+
+def _later(groups: DataFrame, texts: DataFrame) -> DataFrame:
+    """sid of the sets that have a similar one before them."""
+    best = candidates(groups).groupBy("late").agg(F.min_by("early", F.struct("apart", "early")).alias("early"), (F.max("more") | (F.min("early") < F.max("early"))).alias("more"))
+    best = stage(best, "likeliest")
+    later = stage(_verified(best, groups, texts).distinct(), "later")
+    open_ = stage(best.where("more").join(later, "late", "left_anti").select(F.col("late").alias("sid"), F.lit(True).alias("open")), "open")
+    if not open_.isEmpty():
+        marked = stage(groups.drop("open").join(small(open_), "sid", "left").withColumn("open", F.coalesce("open", F.lit(False))), "marked")
+        tokens = stage(marked.where("open").select(F.explode("prefix").alias("token")).where("token IS NOT NULL").distinct(), "open_tokens")
+        rest = candidates(marked, True, small(tokens)).select("late", "early").distinct().join(best, ["late", "early"], "left_anti")
+        later = later.unionByName(stage(_verified(stage(rest, "others"), groups, texts).distinct(), "later_still"))
+    return later.select(F.col("late").alias("sid"))
 
 
 def repeats(docs: DataFrame) -> DataFrame:
@@ -172,24 +297,10 @@ def repeats(docs: DataFrame) -> DataFrame:
     document that has some."""
     texts = docs.where("text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), "text")
     lines = stage(line_sets(texts, word_counts(texts)), "lines")
-    groups = lines.groupBy("k1", "k2").agg(F.min(_place()).alias("first"), F.first(F.struct("n", "bits", *WIDE, "prefix")).alias("s"), F.count("*").alias("lines"))
-    groups = stage(groups.select("k1", "k2", "first", "lines", "s.*").withColumn("sid", F.monotonically_increasing_id()), "groups")
-
-    pairs = stage(candidates(groups), "candidates")
-    sides = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
-    wanted = stage(groups.select("sid", "first").join(sides, "sid").select("sid", "first", "first.doc_id", "first.hash", "first.line"), "wanted")
-    words = stage(_words_of(texts, wanted), "words")
-
-    a, b = (wanted.select(F.col("sid").alias(s), F.col("first").alias(f"{s}_first")) for s in "ab")
-    before = F.col("a_first") < F.col("b_first")
-    turned = pairs.join(a, "a").join(b, "b").select(F.when(before, F.col("a")).otherwise(F.col("b")).alias("early"), F.when(before, F.col("b")).otherwise(F.col("a")).alias("late"), F.least("a_first", "b_first").alias("at"))
-    turned = stage(turned, "turned")
-    nearest = turned.groupBy("late").agg(F.min_by("early", "at").alias("early"))
-    later = stage(_alike(nearest, words), "later")
-    open_ = turned.join(later, "late", "left_anti").join(nearest, ["late", "early"], "left_anti").select("early", "late")
-    later = later.unionByName(stage(_alike(open_, words).distinct(), "later_still")).select(F.col("late").alias("sid"))
-
-    again = groups.join(later.withColumn("late", F.lit(True)), "sid", "left").where("late OR lines > 1").select("k1", "k2", F.when(F.col("late"), None).otherwise(F.col("first")).alias("stays"))
+    groups = lines.groupBy("k1", "k2").agg(F.min(_place()).alias("first"), F.first(F.struct("n", "bits", "prefix")).alias("s"), F.count("*").alias("lines"))
+    groups = stage(groups.select("k1", "k2", "first", "lines", "s.*").withColumn("sid", F.monotonically_increasing_id()).withColumn("open", F.lit(False)), "groups")
+    later = _later(groups, texts)
+    again = groups.select("sid", "k1", "k2", "first", "lines").join(later.withColumn("late", F.lit(True)), "sid", "left").where("late OR lines > 1").select("k1", "k2", F.when(F.col("late"), None).otherwise(F.col("first")).alias("stays"))
     gone = lines.select("doc_id", "hash", "line", "k1", "k2").join(again, ["k1", "k2"]).where(F.col("stays").isNull() | (_place() != F.col("stays")))
     return gone.groupBy("doc_id", "hash").agg(F.sort_array(F.collect_set("line")).alias("removed"))
 
@@ -197,7 +308,7 @@ def repeats(docs: DataFrame) -> DataFrame:
 def _marked(docs: DataFrame) -> DataFrame:
     """row (all columns as a struct) and the lines to remove."""
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("key"), F.xxhash64("text").alias("text_hash"))
-    found = _small(stage(repeats(docs), "repeats"))
+    found = small(stage(repeats(docs), "repeats"))
     return rows.join(found, F.col("key").eqNullSafe(F.col("doc_id")) & (F.col("text_hash") == F.col("hash")), "left").select("row", "key", "removed")
 
 

@@ -219,7 +219,7 @@ def test_rule_order_never_changes_the_verdict(spark):
 
 
 def removed(docs):
-    lines = [(i, k, frozenset(x.split())) for i, t in docs if t is not None for k, x in enumerate(t.split("\n")) if len(x.split()) >= 5]
+    lines = [(i, k, frozenset(x.split())) for i, t in docs if t is not None for k, x in enumerate(t.split("\n")) if x.split()]
     first, gone = {}, set()
     for i, k, s in lines:
         if s in first:
@@ -265,6 +265,25 @@ def test_line_order_is_the_same_in_every_slice():
     assert alone.tolist() == [2, 0, 1] and both.tolist() == [2, 0, 1, 3, 4]
 
 
+def test_line_dedup_of_short_lines(spark):
+    rows = [(1, "Read more\n\n\na b c d"), (2, "more Read\nRead less\n \na b c d e"), (3, "a b c\nRead more\nb a d c")]
+    got = line_dedup.removed_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, k) for r in got for k in r.removed} == removed(rows) == {(2, 0), (2, 3), (3, 1), (3, 2)}
+
+
+def test_line_dedup_in_a_large_group_of_near_lines(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "BLOCK", 300)
+    rng = np.random.default_rng(6)
+    base, rows = [f"b{k}" for k in range(24)], []
+    for i in range(2000):  # near the group's first line, near another one alone, or just beyond
+        words = list(base)
+        for k in rng.permutation(24)[: rng.integers(0, 6)]:
+            words[k] = f"v{int(rng.integers(0, 40))}"
+        rows.append((int(i * 7919 % 2003), " ".join(words)))
+    got = line_dedup.removed_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, k) for r in got for k in r.removed} == removed(sorted(rows))
+
+
 @pytest.mark.parametrize("space", ["\u00a0", "\u3000", "\u2009", "\x85", "\x1c"])
 def test_line_dedup_has_one_white_space(spark, space):
     rows = [(1, space.join("one two three four five six seven eight nine".split())), (2, " ".join("one two three four five six seven eight ten".split())), (3, "one two three four" + space + "other words of their own")]
