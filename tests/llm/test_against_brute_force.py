@@ -18,7 +18,7 @@ from conftest import SF
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from gridflux.llm import bpe, line_dedup, minhash, packing, queries, quality_rules, token_store, tokens, toxicity, url_rules
+from gridflux.llm import bpe, line_dedup, minhash, packing, queries, quality_rules, token_store, tokens, toxicity, url_rules, words
 
 
 @pytest.fixture(scope="module")
@@ -272,14 +272,14 @@ def test_line_dedup_of_short_lines(spark):
 
 
 def test_line_dedup_in_a_large_group_of_near_lines(spark, monkeypatch):
-    monkeypatch.setattr(line_dedup, "BLOCK", 300)
+    monkeypatch.setattr(line_dedup, "BLOCK", 100)
     rng = np.random.default_rng(6)
     base, rows = [f"b{k}" for k in range(24)], []
-    for i in range(2000):  # near the group's first line, near another one alone, or just beyond
+    for i in range(700):  # near the group's first line, near another one alone, or just beyond
         words = list(base)
         for k in rng.permutation(24)[: rng.integers(0, 6)]:
             words[k] = f"v{int(rng.integers(0, 40))}"
-        rows.append((int(i * 7919 % 2003), " ".join(words)))
+        rows.append((int(i * 7919 % 701), " ".join(words)))
     got = line_dedup.removed_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {(r.doc_id, k) for r in got for k in r.removed} == removed(sorted(rows))
 
@@ -346,10 +346,17 @@ def test_near_duplicates_with_null_and_repeated_ids(spark):
     assert Counter(tuple(r) for r in minhash.keep_first(frame).collect()) == Counter(want)
 
 
+def test_every_class_keeps_a_row_whatever_its_id(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    rows = [(1, a, "p"), (7, a, "q"), (7, b, "r"), (7, b, "s"), (9, b + " more", "t"), (7, c, "u"), (2, "", "v"), (2, None, "w")]
+    got = minhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert sorted(r.source for r in got) in (["p", "r", "u", "v"], ["p", "r", "u", "w"])
+
+
 def test_signatures_are_unbiased():
     rng = np.random.default_rng(0)
     weights = [rng.integers(0, 6, 300) for _ in range(4)] + [rng.integers(0, 2, 300) * rng.integers(1, 40, 300)]
-    h = np.concatenate([np.repeat(minhash._mix(np.arange(300, dtype=np.uint64)), w) for w in weights])
+    h = np.concatenate([np.repeat(words.mix(np.arange(300, dtype=np.uint64)), w) for w in weights])
     sig = minhash.signatures(h, np.repeat(np.arange(5), [w.sum() for w in weights]), 5, 2048)
     for i, j in itertools.combinations(range(5), 2):
         exact = np.minimum(weights[i], weights[j]).sum() / np.maximum(weights[i], weights[j]).sum()
