@@ -89,7 +89,8 @@ def _line_order(h: np.ndarray, place: np.ndarray) -> np.ndarray:
 
 def line_sets(texts: DataFrame, counts: np.ndarray) -> DataFrame:
     """One row for each line with a word: doc_id, hash, line, its set's 128-bit key, number of tokens,
-    parity sketch, and the rarest tokens, as many as any similar set must share one of.
+    parity sketch, the rarest tokens, as many as any similar set must share one of, and those of them
+    that may stand in more than ``BLOCK`` prefixes.
 
     A token that occurs once in all documents can't be shared; its place in the prefix is null.
     """
@@ -117,16 +118,18 @@ def line_sets(texts: DataFrame, counts: np.ndarray) -> DataFrame:
             bits = np.bitwise_xor.reduceat(np.uint64(1) << (h >> np.uint64(58)), start)
             prefix = np.where(n < 4, 0, n - -(-4 * n // 5) + 1)  # fewer than four have equal sets alone
             within = np.arange(len(h)) - start[line] < prefix[line]
-            once = (place[within] & np.uint64(0xFFFFFFFF)) <= 1
-            tokens = pa.array(h[within].astype(np.uint32).view(np.int32), mask=once)
+            seen = place[within] & np.uint64(0xFFFFFFFF)
+            token = h[within].astype(np.uint32).view(np.int32)
             offsets = np.concatenate([[0], np.cumsum(prefix)]).astype(np.int32)
+            often = seen > BLOCK
+            some = np.concatenate([[0], np.cumsum(np.bincount(line[within][often], minlength=len(doc)))]).astype(np.int32)
             of = pa.array(doc, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"].take(of), batch["hash"].take(of), pa.array(number, pa.int32()), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), pa.array(n.astype(np.int32)), pa.array(bits.view(np.int64)), pa.ListArray.from_arrays(offsets, tokens)],
-                ["doc_id", "hash", "line", "k1", "k2", "n", "bits", "prefix"],
+                [batch["doc_id"].take(of), batch["hash"].take(of), pa.array(number, pa.int32()), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), pa.array(n.astype(np.int32)), pa.array(bits.view(np.int64)), pa.ListArray.from_arrays(offsets, pa.array(token, mask=seen <= 1)), pa.ListArray.from_arrays(some, pa.array(token[often]))],
+                ["doc_id", "hash", "line", "k1", "k2", "n", "bits", "prefix", "often"],
             )
 
-    return texts.select("doc_id", "hash", "text").mapInArrow(sets, "doc_id long, hash long, line int, k1 long, k2 long, n int, bits long, prefix array<int>")
+    return texts.select("doc_id", "hash", "text").mapInArrow(sets, "doc_id long, hash long, line int, k1 long, k2 long, n int, bits long, prefix array<int>, often array<int>")
 
 
 def _place() -> Column:
@@ -135,98 +138,101 @@ def _place() -> Column:
 
 
 def _posts(groups: DataFrame) -> DataFrame:
-    """A row for each token in a set's prefix, in blocks: of a token in more than ``BLOCK`` prefixes,
-    any two blocks meet once."""
-    of = groups.where("n >= 4").select("sid", "open", "n", "bits", F.col("first.none").cast("int").alias("none"), "first.doc_id", "first.line", F.posexplode("prefix").alias("at", "token")).where("token IS NOT NULL")
-    hot = of.groupBy("token").count().where(F.col("count") > BLOCK).select("token", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
-    of = of.join(small(stage(hot, "hot_tokens")), "token", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    of = of.withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
-    sides = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("block", o).alias("low"), F.greatest("block", o).alias("high")))
-    return of.withColumn("side", F.explode(sides)).select("token", "side.low", "side.high", "block", "sid", "open", "n", "at", "bits", "none", "doc_id", "line")
+    """A row for each token in a set's prefix: where it meets others, and what the scan asks for.
+
+    Blocks of a token in more than ``BLOCK`` prefixes meet two by two; ``flags`` has 1 or 2 in the lower
+    or higher of two blocks, 4 without an id and 8 for an open set.
+    """
+    sets = groups.where("n >= 4")
+    hot = sets.select(F.explode("often").alias("token")).groupBy("token").count().where(F.col("count") > BLOCK)
+    hot = small(stage(hot.select("token", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")), "hot_tokens"))
+    flags = 4 * F.col("first.none").cast("int") + 8 * F.col("open").cast("int")
+    of = sets.select("sid", "n", "bits", "first.doc_id", "first.line", flags.alias("flags"), F.posexplode("prefix").alias("at", "token"))
+    of = of.where("token IS NOT NULL").join(hot, "token", "left")
+    block = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
+    sides = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.hash("token", F.least(block, o), F.greatest(block, o)).alias("meet"), F.when(block < o, 1).when(block > o, 2).otherwise(0).alias("side")))
+    own = F.array(F.struct(F.col("token").alias("meet"), F.lit(0).alias("side")))
+    of = of.withColumn("s", F.explode(F.when(F.col("blocks").isNull(), own).otherwise(sides)))
+    size = F.shiftleft(F.col("n").cast("long"), 32) + F.col("at")
+    return of.select("s.meet", (F.col("flags") + F.col("s.side")).alias("flags"), "sid", size.alias("size"), "bits", "doc_id", "line")
+
+
+def _before(rows: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether y stands before x, or under the same id in a line of the same number."""
+    none, doc, line = rows["flags"] & 4, rows["doc_id"], rows["line"]
+    same = (none[x] == none[y]) & (doc[x] == doc[y])
+    return (none[y] < none[x]) | (none[x] == none[y]) & (doc[y] < doc[x]) | same & (line[y] <= line[x])
 
 
 def scan(rows: dict[str, np.ndarray], every: bool) -> tuple[np.ndarray, ...]:
-    """Candidates among rows in the order of block and n: places of late and early, bits that differ,
-    and whether the late one has others. Each late set's likeliest, or with ``every`` all of open sets."""
-    n, at, bits, block, sid = (rows[c] for c in ("n", "at", "bits", "block", "sid"))
+    """Candidates among rows in the order of ``meet``. With ``every`` all pairs (late, early) whose late
+    set is open; else each set that is in a pair, its likeliest earlier one (or -1), in how many bits they
+    differ, and whether it has more."""
+    order = np.lexsort((rows["size"], rows["meet"]))
+    rows = {c: v[order] for c, v in rows.items()}
+    n, at, bits, flags = rows["size"] >> 32, rows["size"] & 0xFFFFFFFF, rows["bits"].view(np.uint64), rows["flags"]
     size = len(n)
-    new = np.ones(size, bool)
-    for c in ("token", "low", "high"):
-        new[1:] &= rows[c][1:] == rows[c][:-1]
-    new[1:] = ~new[1:]
-    first = np.flatnonzero(new)
+    first = np.flatnonzero(np.concatenate([[True], rows["meet"][1:] != rows["meet"][:-1]]))
     last = np.repeat(np.append(first[1:], size), np.diff(np.append(first, size)))
-    mixed = rows["low"] != rows["high"]
-    order = np.lexsort((rows["line"], rows["doc_id"], rows["none"]))
-    rank = np.zeros(size, np.int64)
-    step = np.zeros(size, bool)
-    for c in ("none", "doc_id", "line"):
-        step[1:] |= rows[c][order][1:] != rows[c][order][:-1]
-    rank[order] = np.cumsum(step)
-    best, likeliest, more, found = np.full(size, 999), np.full(size, -1), np.zeros(size, bool), []
+    least, likeliest, more, paired, found = np.full(size, 999), np.full(size, -1), np.zeros(size, bool), np.zeros(size, bool), []
     i, k = np.arange(size), 0
     while i.size:
         k += 1
         i = i[i + k < last[i]]
+        i = i[4 * n[i + k] <= 5 * n[i]]
         j = i + k
-        near = 4 * n[j] <= 5 * n[i]
-        i, j = i[near], j[near]
         total = n[i] + n[j]
         need = -(-4 * total // 9)
         apart = np.bitwise_count(bits[i] ^ bits[j]).astype(np.int64)
         ok = (np.minimum(n[i] - at[i], n[j] - at[j]) >= need) & (apart <= total - 2 * need)
-        ok &= ~mixed[i] | (block[i] != block[j])
         a, b, d = i[ok], j[ok], apart[ok]
+        sides = flags[a] & 3, flags[b] & 3
+        other = (sides[0] != sides[1]) | (sides[0] == 0) & (rows["sid"][a] != rows["sid"][b])
+        a, b, d = a[other], b[other], d[other]
+        paired[a] = paired[b] = True
         for late, early in ((a, b), (b, a)):  # both ways where only the hash of the text decides
-            after = rank[late] >= rank[early]
+            after = _before(rows, late, early)
             x, y, z = late[after], early[after], d[after]
             if every:
-                wanted = rows["open"][x]
+                wanted = flags[x] & 8 > 0
                 found.append((x[wanted], y[wanted], z[wanted]))
             else:
                 more[x] |= likeliest[x] >= 0
-                better = z < best[x]
-                best[x[better]], likeliest[x[better]] = z[better], y[better]
+                better = z < least[x]
+                least[x[better]], likeliest[x[better]] = z[better], y[better]
+    sid = rows["sid"]
     if every:
         x, y, z = (np.concatenate(c) for c in zip(*found)) if found else (np.empty(0, np.int64),) * 3
-        return x, y, z, np.zeros(len(x), bool)
-    x = np.flatnonzero(likeliest >= 0)
-    return x, likeliest[x], best[x], more[x]
+        return sid[x], sid[y], z, np.zeros(len(x), bool)
+    x = np.flatnonzero(paired)
+    return sid[x], np.where(likeliest[x] >= 0, sid[likeliest[x]], -1), least[x], more[x]
 
 
-def candidates(groups: DataFrame, every: bool = False, only: DataFrame | None = None) -> DataFrame:
-    """late, early, apart and more of sets that share a token in their prefixes and pass all filters."""
-    posts = _posts(groups)
-    if only is not None:
-        posts = posts.join(only, "token", "left_semi")
-    posts = posts.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high", "n", "sid")
+def candidates(groups: DataFrame, every: bool = False) -> DataFrame:
+    """late, early, apart and more, as ``scan`` gives them, of sets that share a token in their prefixes
+    and pass all filters; early is -1 for a set that only has later partners."""
+    posts = _posts(groups).repartition("meet").sortWithinPartitions("meet")
     names = posts.columns
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def of(parts: list[dict[str, np.ndarray]], whole: bool) -> tuple[pa.RecordBatch | None, list[dict[str, np.ndarray]]]:
-            rows = {c: np.concatenate([p[c] for p in parts]) for c in names}
-            same = np.ones(len(rows["n"]), bool)
-            for c in ("token", "low", "high"):
-                same &= rows[c] == rows[c][-1]
-            cut = len(same) if whole else int(np.argmax(same))  # the last block may go on
-            done, rest = ({c: v[s] for c, v in rows.items()} for s in (slice(0, cut), slice(cut, None)))
-            late, early, apart, more = scan(done, every) if cut else (np.empty(0, np.int64),) * 4
-            out = pa.RecordBatch.from_arrays([pa.array(done["sid"][late]), pa.array(done["sid"][early]), pa.array(apart.astype(np.int32)), pa.array(more.astype(bool))], ["late", "early", "apart", "more"])
-            return out, [rest] if cut < len(same) else []
+        def of(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
+            late, early, apart, more = scan(rows, every)
+            return pa.RecordBatch.from_arrays([pa.array(late), pa.array(early), pa.array(apart.astype(np.int32)), pa.array(more.astype(bool))], ["late", "early", "apart", "more"])
 
         parts, held = [], 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            read = {c: (batch[c].fill_null(0) if c == "doc_id" else batch[c]).to_numpy(zero_copy_only=False) for c in names}
-            parts.append(read | {c: read[c].astype(np.int64) for c in ("n", "at", "low", "high", "block")} | {"bits": read["bits"].view(np.uint64)})
+            parts.append({c: (batch[c].fill_null(0) if c == "doc_id" else batch[c]).to_numpy(zero_copy_only=False) for c in names})
             held += batch.num_rows
             if held >= SCAN_ROWS:
-                out, parts = of(parts, False)
-                held = sum(len(p["n"]) for p in parts)
-                yield out
-        if parts:
-            yield of(parts, True)[0]
+                rows = {c: np.concatenate([p[c] for p in parts]) for c in names}
+                cut = int(np.searchsorted(rows["meet"], rows["meet"][-1]))  # the last block may go on
+                if cut:
+                    yield of({c: v[:cut] for c, v in rows.items()})
+                parts, held = [{c: v[cut:] for c, v in rows.items()}], held - cut
+        if held:
+            yield of({c: np.concatenate([p[c] for p in parts]) for c in names})
 
     return posts.mapInArrow(scanned, "late long, early long, apart int, more boolean")
 
@@ -280,14 +286,16 @@ def _verified(pairs: DataFrame, groups: DataFrame, texts: DataFrame, most: int =
 
 def _later(groups: DataFrame, texts: DataFrame) -> DataFrame:
     """sid of the sets that have a similar one before them."""
-    best = candidates(groups).groupBy("late").agg(F.min_by("early", F.struct("apart", "early")).alias("early"), (F.max("more") | (F.min("early") < F.max("early"))).alias("more"))
-    best = stage(best, "likeliest")
+    known = F.when(F.col("early") >= 0, F.col("early"))
+    found = candidates(groups).withColumn("early", known).groupBy("late").agg(F.min_by("early", F.when(known.isNotNull(), F.struct("apart", "early"))).alias("early"), (F.max("more") | (F.min("early") < F.max("early"))).alias("more"))
+    found = stage(found, "paired")
+    best = found.where("early IS NOT NULL")
     later = stage(_verified(best, groups, texts).distinct(), "later")
     open_ = stage(best.where("more").join(later, "late", "left_anti").select(F.col("late").alias("sid"), F.lit(True).alias("open")), "open")
     if not open_.isEmpty():
-        marked = stage(groups.drop("open").join(small(open_), "sid", "left").withColumn("open", F.coalesce("open", F.lit(False))), "marked")
-        tokens = stage(marked.where("open").select(F.explode("prefix").alias("token")).where("token IS NOT NULL").distinct(), "open_tokens")
-        rest = candidates(marked, True, small(tokens)).select("late", "early").distinct().join(best, ["late", "early"], "left_anti")
+        met = groups.drop("open").join(small(found.select(F.col("late").alias("sid"))), "sid")
+        met = stage(met.join(small(open_), "sid", "left").withColumn("open", F.coalesce("open", F.lit(False))), "met")
+        rest = candidates(met, True).select("late", "early").distinct().join(best, ["late", "early"], "left_anti")
         later = later.unionByName(stage(_verified(stage(rest, "others"), groups, texts).distinct(), "later_still"))
     return later.select(F.col("late").alias("sid"))
 
@@ -297,7 +305,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     document that has some."""
     texts = docs.where("text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), "text")
     lines = stage(line_sets(texts, word_counts(texts)), "lines")
-    groups = lines.groupBy("k1", "k2").agg(F.min(_place()).alias("first"), F.first(F.struct("n", "bits", "prefix")).alias("s"), F.count("*").alias("lines"))
+    groups = lines.groupBy("k1", "k2").agg(F.min(_place()).alias("first"), F.first(F.struct("n", "bits", "prefix", "often")).alias("s"), F.count("*").alias("lines"))
     groups = stage(groups.select("k1", "k2", "first", "lines", "s.*").withColumn("sid", F.monotonically_increasing_id()).withColumn("open", F.lit(False)), "groups")
     later = _later(groups, texts)
     again = groups.select("sid", "k1", "k2", "first", "lines").join(later.withColumn("late", F.lit(True)), "sid", "left").where("late OR lines > 1").select("k1", "k2", F.when(F.col("late"), None).otherwise(F.col("first")).alias("stays"))
