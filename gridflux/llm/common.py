@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_BYTES = 16 << 20
+MAX_BROADCAST_BYTES = 64 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,8 +45,8 @@ def bytes_of(df: DataFrame) -> int:
     sizes = []
     for field in df.schema.fields:
         kind = field.dataType.simpleString()
-        if kind.startswith("array"):
-            sizes.append(16 * F.size(F.coalesce(field.name, F.array())))
+        if kind.startswith("array"):  # eight bytes a number, in structs for each of their columns
+            sizes.append((16 + 8 * kind.count(":")) * F.coalesce(F.size(field.name), F.lit(0)))
         else:
             sizes.append(F.coalesce(F.octet_length(field.name), F.lit(0)) if kind in ("string", "binary") else F.lit(8))
     return df.agg(F.sum(sum(sizes, F.lit(16)).cast("long"))).first()[0] or 0

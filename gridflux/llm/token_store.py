@@ -1,13 +1,15 @@
 """Content-addressed store of token ids.
 
 Rolling hashes cut each document's ids into chunks. A chunk's address is the SHA-256 of its bytes
-and each different chunk is stored once. A document is a recipe, its list of addresses; a Merkle
-root over them, and one for each run of documents, let a reader verify what it puts together.
+and each different chunk is stored once. A document is a recipe, its list of addresses. Merkle trees
+stand over a document's addresses, over a run's documents (each leaf holds id, start, number of ids and the
+document's root) and over the runs; a reader rebuilds all three and raises at the first difference, so a lost,
+changed, repeated or reordered chunk, document or run can't pass.
 
 Files, all Parquet so that any store Spark reaches can hold them:
 ``chunks`` (address, ids: little-endian unsigned integers of ``width`` bytes),
 ``recipes`` (in ascending doc_id order: doc_id, document, run, start, n_tokens, addresses, root),
-``manifest`` (run, documents, n_tokens, root; and the root of all runs as run -1).
+``manifest`` (run, start, documents, n_tokens, root; and the root of all runs as run -1).
 
 Defined results. Null or empty text: the end id alone. Null ids come first; documents with equal or
 null ids stay separate documents, in a fixed order. An empty table gives empty files. Columns other
@@ -23,8 +25,9 @@ from functools import lru_cache
 from hashlib import sha256
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridflux.llm.common import shared_dir, stage, text_of
@@ -74,6 +77,44 @@ def merkle_root(leaves: list[bytes]) -> bytes:
     return leaves[0] if leaves else sha256(b"").digest()
 
 
+def run_roots(recipes: DataFrame) -> DataFrame:
+    """run, start, documents, n_tokens and root of each run, rebuilt from the recipes; whole: each
+    document begins where the one before it ends. A run's rows are bounded by ``run_documents``."""
+
+    def root(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["start", "document"])
+        start, n = rows["start"].to_numpy(), rows["n_tokens"].to_numpy()
+        ids = rows["doc_id"].astype("Int64")
+        leaves = [sha256(f"{'-' if i is pd.NA else i} {a} {k} ".encode() + r).digest() for i, a, k, r in zip(ids, start.tolist(), n.tolist(), rows["root"], strict=True)]
+        whole = bool((start[1:] == start[:-1] + n[:-1]).all())
+        return pd.DataFrame([(int(rows["run"].iat[0]), int(start[0]), len(rows), int(n.sum()), merkle_root(leaves), whole)], columns=["run", "start", "documents", "n_tokens", "root", "whole"])
+
+    return recipes.select("run", "doc_id", "document", "start", "n_tokens", "root").groupBy("run").applyInPandas(root, "run int, start long, documents long, n_tokens long, root binary, whole boolean")
+
+
+def verify_manifest(spark: SparkSession, store: str) -> None:
+    """Raise where the recipes don't give the manifest: by count, start, ids and root of each run and of
+    the whole. One row for each run comes to the driver."""
+    names = ["run", "start", "documents", "n_tokens", "root"]
+    kept = {r["run"]: r for r in spark.read.parquet(f"{store}/manifest").select(*names).collect()}
+    found = sorted(run_roots(spark.read.parquet(f"{store}/recipes")).collect(), key=lambda r: r["run"])
+    whole = kept.pop(-1, None)
+    if whole is None:
+        raise ValueError("the manifest has no root")
+    for r in found:
+        if not r["whole"] or r["run"] not in kept or any(r[c] != kept[r["run"]][c] for c in names):
+            raise ValueError(f"run {r['run']} isn't the manifest's")
+    if {r["run"] for r in found} != set(kept):
+        raise ValueError("runs are missing")
+    if _whole(found) != tuple(whole[c] for c in names):
+        raise ValueError("the runs don't give the manifest's root")
+
+
+def _whole(runs: list) -> tuple[int, int, int, int, bytes]:
+    """The manifest's last row, from all runs in order."""
+    return -1, 0, sum(r["documents"] for r in runs), sum(r["n_tokens"] for r in runs), merkle_root([bytes(r["root"]) for r in runs])
+
+
 def _encoded(docs: DataFrame, path: str, end_id: int, width: int) -> DataFrame:
     kind = f"<u{width}"
 
@@ -127,14 +168,16 @@ def write_store(docs: DataFrame, to: str | None = None, path: str | None = None,
     names = "doc_id long, n_tokens long, addresses array<binary>, root binary, document long"
     recipes = recipes.mapInArrow(placed, f"{names}, in_run long").withColumn("run", F.spark_partition_id())
     recipes = stage(recipes, "in_order")
-    ordered = F.array_sort(F.collect_list(F.struct("in_run", "root")))
-    manifest = recipes.groupBy("run").agg(F.count("*").alias("documents"), F.sum("n_tokens").alias("n_tokens"), F.unhex(F.sha2(F.array_join(F.transform(ordered, lambda x: F.hex(x["root"])), ""), 256)).alias("root"))
-    manifest = stage(manifest, "runs")  # one row for each run
-    before = F.coalesce(F.sum("n_tokens").over(Window.orderBy("run").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = manifest.select("run", before.alias("before"))
-    recipes.join(starts, "run").withColumn("start", F.col("before") + F.col("in_run")).drop("before", "in_run").repartitionByRange(runs, "start").sortWithinPartitions("start").write.parquet(f"{to}/recipes")
-    whole = manifest.agg(F.lit(-1).alias("run"), F.sum("documents").alias("documents"), F.sum("n_tokens").alias("n_tokens"), F.unhex(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("run", "root"))), lambda x: F.hex(x["root"])), ""), 256)).alias("root"))
-    manifest.unionByName(whole).coalesce(1).write.parquet(f"{to}/manifest")
+    sizes = recipes.groupBy("run").agg(F.sum("n_tokens").alias("n"), F.count("*").alias("documents")).orderBy("run").collect()  # one row for each run
+    before = np.concatenate([[0], np.cumsum([r["n"] for r in sizes])]).tolist()
+    starts = spark.createDataFrame([(r["run"], b) for r, b in zip(sizes, before)], "run int, before long")
+    in_place = recipes.join(F.broadcast(starts), "run").withColumn("start", F.col("before") + F.col("in_run")).drop("before", "in_run")
+    in_place.repartitionByRange(runs, "start").sortWithinPartitions("start").write.parquet(f"{to}/recipes")
+    roots = sorted(run_roots(spark.read.parquet(f"{to}/recipes")).collect(), key=lambda r: r["run"])
+    if [r["documents"] for r in roots] != [r["documents"] for r in sizes] or not all(r["whole"] for r in roots):
+        raise ValueError("the recipes were not written whole")
+    rows = [(r["run"], r["start"], r["documents"], r["n_tokens"], bytes(r["root"])) for r in roots]
+    spark.createDataFrame([*rows, _whole(roots)], "run int, start long, documents long, n_tokens long, root binary").coalesce(1).write.parquet(f"{to}/manifest")
     return to
 
 
@@ -194,9 +237,10 @@ def read_checksums(spark: SparkSession, store: str, width: int = 2) -> DataFrame
     """doc_id, start, n_tokens and ids_crc32 of each document, read from the files and verified.
 
     Each chunk's bytes are checked against its address and each recipe against its root and its
-    number of ids; a document's checksum follows from its chunks' checksums, so chunks need not be
+    number of ids, all recipes against the manifest; a document's checksum follows from its chunks' checksums, so chunks need not be
     sent to every document that holds them.
     """
+    verify_manifest(spark, store)
     recipes = spark.read.parquet(f"{store}/recipes")
     parts = recipes.select("document", F.posexplode("addresses").alias("place", "address")).join(_verified_chunks(spark, store, width), "address")
     parts = parts.groupBy("document").agg(F.array_sort(F.collect_list(F.struct("place", "n", "crc"))).alias("parts"))
@@ -219,9 +263,19 @@ def read_checksums(spark: SparkSession, store: str, width: int = 2) -> DataFrame
 
 
 def restore(spark: SparkSession, store: str) -> DataFrame:
-    """doc_id, start and ids (the stored bytes) of each document."""
+    """doc_id, start and ids (the stored bytes) of each document, verified as ``read_checksums`` does."""
+    verify_manifest(spark, store)
     recipes = spark.read.parquet(f"{store}/recipes")
-    parts = recipes.select("document", F.posexplode("addresses").alias("place", "address")).join(spark.read.parquet(f"{store}/chunks"), "address")
-    whole = parts.groupBy("document").agg(F.array_sort(F.collect_list(F.struct("place", "ids"))).alias("parts"))
-    joined = F.aggregate("parts", F.lit(b""), lambda acc, x: F.concat(acc, x["ids"]))
-    return recipes.join(whole, "document").select("doc_id", "start", joined.alias("ids"))
+    parts = recipes.select("document", F.posexplode("addresses").alias("place", "address")).join(spark.read.parquet(f"{store}/chunks"), "address", "left")
+    whole = parts.groupBy("document").agg(F.array_sort(F.collect_list(F.struct("place", "address", "ids"))).alias("parts"))
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for root, parts in zip(batch["root"].to_pylist(), batch["parts"].to_pylist(), strict=True):
+                if merkle_root([p["address"] for p in parts]) != root or any(p["ids"] is None or sha256(p["ids"]).digest() != p["address"] for p in parts):
+                    raise ValueError("a document's chunks are missing or damaged")
+                out.append(b"".join(p["ids"] for p in parts))
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["start"], pa.array(out, pa.binary())], ["doc_id", "start", "ids"])
+
+    return recipes.join(whole, "document").select("doc_id", "start", "root", "parts").mapInArrow(join, "doc_id long, start long, ids binary")

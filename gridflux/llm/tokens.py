@@ -17,6 +17,9 @@ BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N
 #: The same where no two white-space characters meet; without look-ahead it runs nearly twice as fast.
 SINGLE_SPACE_PATTERN = BYTE_LEVEL_PATTERN.replace(r"|\s+(?!\S)|\s+", r"|\s")
 _MEETING_SPACES = re.compile(r"\s\s")
+#: Runs of the pattern's white space (fixed values) too long for its engine, which runs out of stack.
+LONG_RUN = 4096
+_LONG_SPACES = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG_RUN)
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -45,10 +48,8 @@ class ByteEncoder:
         alphabet = byte_alphabet()
         ranks = {bytes(alphabet[c] for c in t): i for t, i in vocab.items() if t not in self.special}
         self.vocab_size = 1 + max([*ranks.values(), *self.special.values()])
-        self._any, self._single = (
-            tiktoken.Encoding("vocabulary", pat_str=p, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-            for p in (BYTE_LEVEL_PATTERN, SINGLE_SPACE_PATTERN)
-        )
+        whole, single = (tiktoken.Encoding("vocabulary", pat_str=p, mergeable_ranks=ranks, special_tokens={}) for p in (BYTE_LEVEL_PATTERN, SINGLE_SPACE_PATTERN))
+        self._any, self._single, self._piece = whole.encode_ordinary, single.encode_ordinary, whole._encode_single_piece
         self._split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
 
     def encode(self, text: str) -> bytes:
@@ -59,6 +60,17 @@ class ByteEncoder:
         return self._segment(text)
 
     def _segment(self, text: str) -> bytes:
+        """A very long run of white space is merged as the one piece that the pattern makes of it: all of
+        it at the end, all but its last character before other text."""
+        out, at = [], 0
+        if len(text) >= LONG_RUN:
+            for run in _LONG_SPACES.finditer(text):
+                end = run.end() - (run.end() < len(text))
+                out += [self._plain(text[at : run.start()]), array("I", self._piece(text[run.start() : end])).tobytes()]
+                at = end
+        return b"".join([*out, self._plain(text[at:])]) if out else self._plain(text)
+
+    def _plain(self, text: str) -> bytes:
         return array("I", (self._any if _MEETING_SPACES.search(text) else self._single)(text)).tobytes()
 
 

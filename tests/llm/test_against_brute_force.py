@@ -15,6 +15,7 @@ import oracle
 import public_tokenizers
 import pytest
 from conftest import SF
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -201,11 +202,44 @@ def test_token_store(spark, docs):
     broken = spark.read.parquet(f"{store}/chunks").withColumn("ids", F.concat("ids", F.lit(b"\x01\x00")))
     other = f"{store}_broken"
     broken.write.parquet(f"{other}/chunks")
-    spark.read.parquet(f"{store}/recipes").write.parquet(f"{other}/recipes")
+    for part in ("recipes", "manifest"):
+        spark.read.parquet(f"{store}/{part}").write.parquet(f"{other}/{part}")
+    with pytest.raises(Exception, match="damaged"):
+        token_store.restore(spark, other).collect()
     with pytest.raises(Exception, match="damaged"):
         token_store.read_checksums(spark, other).collect()
 
 
+def test_token_store_manifest(spark, tmp_path):
+    table = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    store = token_store.write_store(table, run_documents=20)
+    recipes, manifest = (spark.read.parquet(f"{store}/{p}") for p in ("recipes", "manifest"))
+    token_store.verify_manifest(spark, store)
+    one, two = [r.document for r in recipes.where("run = 1").orderBy("start").limit(2).collect()]
+    starts = F.when(F.col("document") == one, F.lead("start").over(W.orderBy("start"))).when(F.col("document") == two, F.lag("start").over(W.orderBy("start"))).otherwise(F.col("start"))
+    broken = {
+        "a lost recipe": (recipes.where(F.col("document") != one), manifest),
+        "a repeated recipe": (recipes.union(recipes.where(F.col("document") == one)), manifest),
+        "swapped starts": (recipes.withColumn("start", starts), manifest),
+        "another id": (recipes.withColumn("doc_id", F.when(F.col("document") == one, 10**9).otherwise(F.col("doc_id"))), manifest),
+        "a lost run": (recipes.where("run <> 1"), manifest),
+        "a lost run on both sides": (recipes.where("run <> 1"), manifest.where("run <> 1")),
+        "a changed root": (recipes, manifest.withColumn("root", F.when(F.col("run") == 1, F.lit(b"x" * 32)).otherwise(F.col("root")))),
+        "no root": (recipes, manifest.where("run >= 0")),
+    }
+    for k, (r, m) in enumerate(broken.values()):
+        r.write.parquet(f"{tmp_path}/{k}/recipes")
+        m.write.parquet(f"{tmp_path}/{k}/manifest")
+        with pytest.raises(ValueError):
+            token_store.verify_manifest(spark, f"{tmp_path}/{k}")
+
+
+@pytest.mark.parametrize("text", [" " * 2_000_000, "a" + "\n" * 2_000_000 + "b", " \t" * 5000 + "word" + "\u3000" * 9000 + "\x1c" * 9000 + " .", "\n" * 4096 + "x<|endoftext|>" + " " * 4100 + "<|endoftext|>"])
+def test_long_runs_of_white_space(text):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert tokens.byte_encoder(path).encode(text) == u32(Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids)
+
+
 def test_quality_rules(spark):
     con = oracle.connect(SF)
     assert oracle.difference(con, quality_rules.JUDGE_SQL, queries.QUERIES["op8_quality_rules"](spark, SF)) == ""

@@ -23,6 +23,8 @@ ROWS = [
     (7, "another text under the same id with some words", "fr", "b", 9),
     (None, "a text without an id", "en", "a", 3),
     (None, None, "en", "a", None),
+    (8, "x" + " " * 1_100_000 + "\n" * 1_100_000, "en", "a", 2_200_001),
+    (9, "word" * 100_000, "en", "a", 400_000),
 ]
 LABELS = [(1, 1, 0), (5, 0, 1), (6, None, None), (None, 1, 1), (7, 1, 0), (7, 0, 1), (99, 1, 1)]
 
