@@ -11,7 +11,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows_per_cla
     """Different whole texts of each class, their labels, and the share of label 1 among all labels.
 
     At most ``rows_per_class`` ids of each class are taken, in the order of a hash of the id, and of
-    their texts those of at most ``max_chars`` characters: that bounds what the driver gets. Texts
+    their texts those of at most ``max_chars`` characters, two for each id on average at most: that bounds
+    what the driver gets to ``2 * rows_per_class * max_chars`` characters, whatever the input's size. Texts
     that stand under both labels keep the more frequent one.
     """
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", F.col(label).alias("label"))
@@ -20,7 +21,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows_per_cla
     chosen = [known.where(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows_per_class) for k in (0, 1)]
     ids = chosen[0].unionByName(chosen[1]).dropDuplicates(["doc_id"])
     texts = docs.select("doc_id", "text").where((F.length("text") > 0) & (F.length("text") <= max_chars))
-    found = texts.join(F.broadcast(ids), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(4 * rows_per_class).select("text", "label").toArrow().to_pandas()
+    found = texts.join(F.broadcast(ids), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(2 * rows_per_class).select("text", "label").toArrow().to_pandas()
     found = found.groupby("text", sort=True)["label"].mean().round().astype(int).reset_index()
     found = found.sample(frac=1.0, random_state=7)
     return found["text"].tolist(), found["label"].to_numpy(), share

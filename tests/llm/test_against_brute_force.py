@@ -19,7 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from gridflux.llm import bpe, line_dedup, minhash, packing, queries, quality_rules, token_store, tokens, toxicity, url_rules, words
+from gridflux.llm import bpe, line_dedup, minhash, packing, quality_classifier, queries, quality_rules, token_store, tokens, toxicity, url_rules, words
 
 
 @pytest.fixture(scope="module")
@@ -44,6 +44,25 @@ def test_quality_scores_on_held_out_rows(spark):
     assert (held["predicted"] == held["quality"]).mean() > 0.93
 
 
+def test_the_dictionaries_carry_the_quality_score(spark):
+    """Dictionaries of mixed texts, with a calibration of their own, tell far less."""
+    d = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{d}/{t}.parquet").select("doc_id", c) for t, c in (("documents", "text"), ("labels", "quality")))
+    known = docs.join(labels, "doc_id").where("length(text) > 0").toPandas()
+    held = known["doc_id"].map(lambda i: zlib.crc32(str(i).encode()) % 4 == 2).to_numpy()
+    y = known["quality"].to_numpy()[held]
+
+    def area(shuffled):
+        frame = known[~held].copy()
+        if shuffled:
+            frame["quality"] = np.random.default_rng(1).permutation(frame["quality"])
+        model = quality_classifier.fit(docs, spark.createDataFrame(frame[["doc_id", "quality"]]))
+        rank = np.argsort(np.argsort(model.score(known["text"][held].tolist())))
+        return abs((rank[y == 1].sum() - y.sum() * (y.sum() - 1) / 2) / (y.sum() * (len(y) - y.sum())) - 0.5) + 0.5
+
+    assert area(False) > 0.95 > 0.85 > area(True)
+
+
 def test_toxicity_on_held_out_rows(spark):
     got = queries.QUERIES["op7_factorization_machine"](spark, "/root/testdata/sf0.01").toPandas()
     assert all(h == (zlib.crc32(str(i).encode()) % 5 == 0) for i, h in zip(got["doc_id"], got["held_out"]))
@@ -126,6 +145,43 @@ def test_mined_rules_match_by_all_their_tokens(spark):
     assert [r.row for r in url_rules.match_rules(urls, rules).collect()] == [1]
 
 
+def mined(baskets, least_rows, least_confidence):
+    """Rules by trying all token combinations, level by level; without those that a shorter one makes needless."""
+    level, rules = {frozenset([t]) for b, _ in baskets for t in b}, {}
+    while level:
+        often = {}
+        for c in level:
+            bad = [k for b, k in baskets if c <= b]
+            if sum(bad) >= least_rows:
+                often[c] = sum(bad) / len(bad)
+        rules |= {c: p for c, p in often.items() if p >= least_confidence}
+        level = {a | b for a in often for b in often if len(a | b) == len(a) + 1}
+    return {c: p for c, p in rules.items() if not any(rules.get(c - {t}, -1) >= p for t in c)}
+
+
+def test_mined_rules_and_verdicts_on_the_pages(spark):
+    """Labels that depend on the URL: the test tables' own don't."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url")
+    rows = pages.toPandas()
+    bad = rows["url"].str.contains("utm_source") & rows["url"].str.contains("/(?:en|fr)/") | rows["url"].str.contains("//m[.].*[.]com/")
+    bad ^= rows["page_id"] % 17 == 0
+    labels = spark.createDataFrame([(int(i), int(not b), 0) for i, b in zip(rows["page_id"], bad)], "doc_id long, quality int, toxic int")
+    url = F.col("url")
+    tokens_of = pages.select("page_id", url_rules.url_tokens(url, url_rules.host_of(url), url_rules.path_of(url)).alias("t")).toPandas().set_index("page_id")["t"]
+    baskets = [(frozenset(tokens_of[i]), bool(b)) for i, b in zip(rows["page_id"], bad)]
+    want = mined(baskets, 20, 0.7)
+    found = url_rules.mine_rules(spark.createDataFrame([(sorted(t), b) for t, b in baskets], "tokens array<string>, bad boolean")).collect()
+    assert {frozenset(r.antecedent): round(r.confidence, 9) for r in found} == {c: round(p, 9) for c, p in want.items()} and len(want) >= 2
+    got = url_rules.judge_pages(pages, labels).toPandas().set_index("page_id")
+    blocked = 0
+    for i, u in zip(rows["page_id"], rows["url"]):
+        rule = judged(u)[2]
+        verdict = rule.action if rule else "block" if any(c <= set(tokens_of[i]) for c in want) else "allow"
+        blocked += rule is None and verdict == "block"
+        assert got.loc[i, "verdict"] == verdict
+    assert blocked >= 10
+
+
 def canonical(text):
     nfkc = lambda s: unicodedata.normalize("NFKC", s)
     return re.sub(r"[\s\x85]+", " ", nfkc(nfkc(text).casefold())).strip(" ")
