@@ -5,6 +5,9 @@ wins. URLs that none fits are judged by rules that FP-growth mines from labelled
 of URL tokens that lead to a bad label with enough support and confidence. They are matched through
 an inverted index from token to rules.
 
+No table labels URLs; a page takes the label of the document with its id. Where those don't depend on the
+URL, as in the test tables, no combination reaches the confidence, no rule is mined and the list alone decides.
+
 Defined results. Null URL or one without ``://``: host and path empty, no rule. No labels, or no
 rule with enough confidence: such URLs are allowed. Repeated rows are judged each; an empty table
 gives an empty result. Columns other than the id and the URL are not read.
@@ -18,11 +21,10 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridflux.llm.common import stage
+from gridflux.llm.common import small, stage
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BAD = "label:bad"
-MAX_BROADCAST_ROWS = 500_000
 
 
 @dataclass(frozen=True)
@@ -100,9 +102,7 @@ def match_rules(rows: DataFrame, rules: DataFrame) -> DataFrame:
     """Rows (row, tokens) all of whose rule's tokens they hold: row, confidence of the best rule."""
     index = stage(rules.withColumn("rule", F.monotonically_increasing_id()), "rules")
     postings = index.select("rule", "confidence", F.size("antecedent").alias("needs"), F.explode("antecedent").alias("token"))
-    if postings.count() <= MAX_BROADCAST_ROWS:
-        postings = F.broadcast(postings)
-    hits = rows.select("row", F.explode("tokens").alias("token")).join(postings, "token")
+    hits = rows.select("row", F.explode("tokens").alias("token")).join(small(postings), "token")
     return hits.groupBy("row", "rule").agg(F.count("*").alias("n"), F.first("needs").alias("needs"), F.first("confidence").alias("confidence")).where("n = needs").groupBy("row").agg(F.max("confidence").alias("confidence"))
 
 
@@ -114,10 +114,11 @@ def judge_pages(pages: DataFrame, labels: DataFrame, rules: list[Rule] = RULES)
     fit = curated(F.col("host"), F.col("path"), rules)
     rows = stage(rows.select("row", "page_id", "host", "path", fit["pattern"].alias("rule"), fit["action"].alias("action"), url_tokens(url, F.col("host"), F.col("path")).alias("tokens")), "urls")
     known = labels.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("page_id")).agg(F.max((F.coalesce(F.col("quality") == 0, F.lit(False))) | F.coalesce(F.col("toxic") == 1, F.lit(False))).alias("bad"))
-    found = stage(mine_rules(rows.join(known, "page_id").select("tokens", "bad")), "mined")
+    # both sides grow with the input, and the planner takes a staged table's compressed size for its size
+    found = stage(mine_rules(rows.join(known.hint("merge"), "page_id").select("tokens", "bad")), "mined")
     if found.isEmpty():
         verdict = rows.withColumn("verdict", F.coalesce("action", F.lit("allow")))
     else:
         matched = match_rules(rows.where("action IS NULL"), found)
-        verdict = rows.join(matched, "row", "left").withColumn("verdict", F.coalesce("action", F.when(F.col("confidence").isNotNull(), "block").otherwise("allow")))
+        verdict = rows.join(matched.hint("merge"), "row", "left").withColumn("verdict", F.coalesce("action", F.when(F.col("confidence").isNotNull(), "block").otherwise("allow")))
     return verdict.select("page_id", "host", "path", "rule", "verdict")
