@@ -3,7 +3,7 @@
 A line's tokens are its different words; every line with a word takes part. Lines with equal sets meet
 in one group. For the groups' sets, tokens are ordered by rarity over all documents; two sets of Jaccard
 similarity 0.8 or more share a token within their prefixes. The sets that share one are scanned in blocks,
-by length, position and a parity sketch of 64 bits, which can only be too lenient. A line needs a single
+by length, position and a parity sketch of 128 bits, which can only be too lenient. A line needs a single
 earlier match to go, so a block sends on each set's likeliest earlier candidate alone; only sets that it
 doesn't settle get all their others. Candidates are verified on the lines' words, beside each other.
 A line is removed if an equal or similar line stands before it, kept or not.
@@ -115,7 +115,8 @@ def line_sets(texts: DataFrame, counts: np.ndarray) -> DataFrame:
             n = np.bincount(line, minlength=len(doc))
             start = np.cumsum(n) - n
             k1, k2 = (np.add.reduceat(mix(h ^ np.uint64(c)), start) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F))
-            bits = np.bitwise_xor.reduceat(np.uint64(1) << (h >> np.uint64(58)), start)
+            at, half = np.uint64(1) << (h >> np.uint64(58)), h & np.uint64(1)
+            bits, more_bits = (np.bitwise_xor.reduceat(np.where(half == k, at, np.uint64(0)), start).view(np.int64) for k in (0, 1))
             prefix = np.where(n < 4, 0, n - -(-4 * n // 5) + 1)  # fewer than four have equal sets alone
             within = np.arange(len(h)) - start[line] < prefix[line]
             seen = place[within] & np.uint64(0xFFFFFFFF)
@@ -125,11 +126,11 @@ def line_sets(texts: DataFrame, counts: np.ndarray) -> DataFrame:
             some = np.concatenate([[0], np.cumsum(np.bincount(line[within][often], minlength=len(doc)))]).astype(np.int32)
             of = pa.array(doc, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"].take(of), batch["hash"].take(of), pa.array(number, pa.int32()), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), pa.array(n.astype(np.int32)), pa.array(bits.view(np.int64)), pa.ListArray.from_arrays(offsets, pa.array(token, mask=seen <= 1)), pa.ListArray.from_arrays(some, pa.array(token[often]))],
-                ["doc_id", "hash", "line", "k1", "k2", "n", "bits", "prefix", "often"],
+                [batch["doc_id"].take(of), batch["hash"].take(of), pa.array(number, pa.int32()), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), pa.array(n.astype(np.int32)), pa.array(bits), pa.array(more_bits), pa.ListArray.from_arrays(offsets, pa.array(token, mask=seen <= 1)), pa.ListArray.from_arrays(some, pa.array(token[often]))],
+                ["doc_id", "hash", "line", "k1", "k2", "n", "bits", "more_bits", "prefix", "often"],
             )
 
-    return texts.select("doc_id", "hash", "text").mapInArrow(sets, "doc_id long, hash long, line int, k1 long, k2 long, n int, bits long, prefix array<int>, often array<int>")
+    return texts.select("doc_id", "hash", "text").mapInArrow(sets, "doc_id long, hash long, line int, k1 long, k2 long, n int, bits long, more_bits long, prefix array<int>, often array<int>")
 
 
 def _place() -> Column:
@@ -147,14 +148,14 @@ def _posts(groups: DataFrame) -> DataFrame:
     hot = sets.select(F.explode("often").alias("token")).groupBy("token").count().where(F.col("count") > BLOCK)
     hot = small(stage(hot.select("token", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")), "hot_tokens"))
     flags = 4 * F.col("first.none").cast("int") + 8 * F.col("open").cast("int")
-    of = sets.select("sid", "n", "bits", "first.doc_id", "first.line", flags.alias("flags"), F.posexplode("prefix").alias("at", "token"))
+    of = sets.select("sid", "n", "bits", "more_bits", "first.doc_id", "first.line", flags.alias("flags"), F.posexplode("prefix").alias("at", "token"))
     of = of.where("token IS NOT NULL").join(hot, "token", "left")
     block = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
     sides = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.hash("token", F.least(block, o), F.greatest(block, o)).alias("meet"), F.when(block < o, 1).when(block > o, 2).otherwise(0).alias("side")))
     own = F.array(F.struct(F.col("token").alias("meet"), F.lit(0).alias("side")))
     of = of.withColumn("s", F.explode(F.when(F.col("blocks").isNull(), own).otherwise(sides)))
     size = F.shiftleft(F.col("n").cast("long"), 32) + F.col("at")
-    return of.select("s.meet", (F.col("flags") + F.col("s.side")).alias("flags"), "sid", size.alias("size"), "bits", "doc_id", "line")
+    return of.select("s.meet", (F.col("flags") + F.col("s.side")).alias("flags"), "sid", size.alias("size"), "bits", "more_bits", "doc_id", "line")
 
 
 def _before(rows: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -170,7 +171,7 @@ def scan(rows: dict[str, np.ndarray], every: bool) -> tuple[np.ndarray, ...]:
     differ, and whether it has more."""
     order = np.lexsort((rows["size"], rows["meet"]))
     rows = {c: v[order] for c, v in rows.items()}
-    n, at, bits, flags = rows["size"] >> 32, rows["size"] & 0xFFFFFFFF, rows["bits"].view(np.uint64), rows["flags"]
+    n, at, bits, more_bits, flags = rows["size"] >> 32, rows["size"] & 0xFFFFFFFF, rows["bits"].view(np.uint64), rows["more_bits"].view(np.uint64), rows["flags"]
     size = len(n)
     first = np.flatnonzero(np.concatenate([[True], rows["meet"][1:] != rows["meet"][:-1]]))
     last = np.repeat(np.append(first[1:], size), np.diff(np.append(first, size)))
@@ -183,9 +184,11 @@ def scan(rows: dict[str, np.ndarray], every: bool) -> tuple[np.ndarray, ...]:
         j = i + k
         total = n[i] + n[j]
         need = -(-4 * total // 9)
-        apart = np.bitwise_count(bits[i] ^ bits[j]).astype(np.int64)
-        ok = (np.minimum(n[i] - at[i], n[j] - at[j]) >= need) & (apart <= total - 2 * need)
-        a, b, d = i[ok], j[ok], apart[ok]
+        ok = np.minimum(n[i] - at[i], n[j] - at[j]) >= need
+        a, b, most = i[ok], j[ok], (total - 2 * need)[ok]
+        d = np.bitwise_count(bits[a] ^ bits[b]).astype(np.int64) + np.bitwise_count(more_bits[a] ^ more_bits[b])
+        ok = d <= most
+        a, b, d = a[ok], b[ok], d[ok]
         sides = flags[a] & 3, flags[b] & 3
         other = (sides[0] != sides[1]) | (sides[0] == 0) & (rows["sid"][a] != rows["sid"][b])
         a, b, d = a[other], b[other], d[other]
@@ -254,17 +257,19 @@ def _verified(pairs: DataFrame, groups: DataFrame, texts: DataFrame, most: int =
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            words, out = split_words(batch["text"]), []
-            edges = np.searchsorted(words.text, np.arange(batch.num_rows + 1))
-            for k, (doc_id, text_hash, wanted) in enumerate(zip(*(batch[c].to_pylist() for c in ("doc_id", "hash", "wanted")), strict=True)):
-                lines, h = words.line[edges[k] : edges[k + 1]], words.hash[edges[k] : edges[k + 1]]
+            lines, out = [], []
+            for doc_id, text_hash, text, wanted in zip(*(batch[c].to_pylist() for c in ("doc_id", "hash", "text", "wanted")), strict=True):
+                cut_up = text.split("\n")
                 for w in wanted:
                     if w["doc_id"] == doc_id:
-                        a, b = np.searchsorted(lines, [w["line"], w["line"] + 1])
-                        out.append((w["family"], w["block"], w["member"], w["sid"], doc_id is None, doc_id, w["line"], text_hash, np.unique(h[a:b]).tobytes()))
+                        lines.append(cut_up[w["line"]])
+                        out.append((w["family"], w["block"], w["member"], w["sid"], doc_id is None, doc_id, w["line"], text_hash))
             if out:
-                kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
+                words = split_words(pa.array(lines, pa.string()))
+                edges = np.searchsorted(words.text, np.arange(len(lines) + 1)).tolist()
+                tokens = pa.array([np.unique(words.hash[a:b]).tobytes() for a, b in zip(edges, edges[1:])], pa.binary())
+                kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.int64())
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(zip(*out), kinds)), tokens], names)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head, x, at = None, np.empty(0, np.uint64), None
@@ -305,7 +310,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     document that has some."""
     texts = docs.where("text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), "text")
     lines = stage(line_sets(texts, word_counts(texts)), "lines")
-    groups = lines.groupBy("k1", "k2").agg(F.min(_place()).alias("first"), F.first(F.struct("n", "bits", "prefix", "often")).alias("s"), F.count("*").alias("lines"))
+    groups = lines.groupBy("k1", "k2").agg(F.min(_place()).alias("first"), F.first(F.struct("n", "bits", "more_bits", "prefix", "often")).alias("s"), F.count("*").alias("lines"))
     groups = stage(groups.select("k1", "k2", "first", "lines", "s.*").withColumn("sid", F.monotonically_increasing_id()).withColumn("open", F.lit(False)), "groups")
     later = _later(groups, texts)
     again = groups.select("sid", "k1", "k2", "first", "lines").join(later.withColumn("late", F.lit(True)), "sid", "left").where("late OR lines > 1").select("k1", "k2", F.when(F.col("late"), None).otherwise(F.col("first")).alias("stays"))
