@@ -249,7 +249,7 @@ def _verified(pairs: DataFrame, groups: DataFrame, texts: DataFrame, most: int =
     heads = pairs.groupBy("early").agg(F.ceil(F.count("*") / most).cast("int").alias("blocks"))
     lates = pairs.join(heads, "early").select(F.col("early").alias("family"), F.pmod(F.xxhash64("late"), F.col("blocks")).cast("int").alias("block"), F.lit(1).alias("member"), F.col("late").alias("sid"))
     heads = heads.select(F.col("early").alias("family"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(0).alias("member"), F.col("early").alias("sid"))
-    members = heads.unionByName(lates).join(groups.select("sid", "first"), "sid")
+    members = small(stage(heads.unionByName(lates), "members")).join(groups.select("sid", "first"), "sid")
     owners = members.groupBy(F.col("first.hash").alias("owner")).agg(F.collect_list(F.struct("first.doc_id", "first.line", "family", "block", "member", "sid")).alias("wanted"))
     there = texts.join(small(stage(owners, "owners")), texts["hash"] == F.col("owner")).select("doc_id", "hash", "text", "wanted")
     schema = "family long, block int, member int, sid long, none boolean, doc_id long, line int, hash long, tokens binary"
@@ -312,9 +312,9 @@ def repeats(docs: DataFrame) -> DataFrame:
     lines = stage(line_sets(texts, word_counts(texts)), "lines")
     groups = lines.groupBy("k1", "k2").agg(F.min(_place()).alias("first"), F.first(F.struct("n", "bits", "more_bits", "prefix", "often")).alias("s"), F.count("*").alias("lines"))
     groups = stage(groups.select("k1", "k2", "first", "lines", "s.*").withColumn("sid", F.monotonically_increasing_id()).withColumn("open", F.lit(False)), "groups")
-    later = _later(groups, texts)
+    later = small(stage(_later(groups, texts), "all_later"))
     again = groups.select("sid", "k1", "k2", "first", "lines").join(later.withColumn("late", F.lit(True)), "sid", "left").where("late OR lines > 1").select("k1", "k2", F.when(F.col("late"), None).otherwise(F.col("first")).alias("stays"))
-    gone = lines.select("doc_id", "hash", "line", "k1", "k2").join(again, ["k1", "k2"]).where(F.col("stays").isNull() | (_place() != F.col("stays")))
+    gone = lines.select("doc_id", "hash", "line", "k1", "k2").join(small(stage(again, "again")), ["k1", "k2"]).where(F.col("stays").isNull() | (_place() != F.col("stays")))
     return gone.groupBy("doc_id", "hash").agg(F.sort_array(F.collect_set("line")).alias("removed"))
 
 
