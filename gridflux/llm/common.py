@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,3 +67,10 @@ def text_of(column: str | Column) -> Column:
 def crc_fold(column: str, modulus: int) -> Column:
     """crc32 of the id as decimal text, modulo ``modulus``; a null id gives null."""
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(modulus))
+
+
+def release() -> None:
+    """Give memory that a Python worker has freed back to the machine: workers live on from task to task."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)

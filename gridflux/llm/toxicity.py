@@ -24,11 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridflux.llm.common import crc_fold, text_of
+from gridflux.llm.common import crc_fold, release, text_of
 from gridflux.llm.samples import labelled_sample
 
 _WORD = re.compile(r"[^\W\d_]+")
-MAX_PIECES = 200_000
+MAX_PIECES = 50_000
 
 
 def terms_of(piece: str) -> set[int]:
@@ -166,10 +166,13 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.5)
 def keep_clean(docs: DataFrame, machine: FactorizationMachine, threshold: float = 0.5) -> DataFrame:
     """The documents whose score stays under the threshold, with the columns they came with."""
     held = docs.sparkSession.sparkContext.broadcast(machine)
-    seen: dict[str, tuple[int, ...]] = {}
 
     @F.arrow_udf("double")
     def score(text: pa.Array) -> pa.Array:
-        return pa.array(held.value.score([held.value.places(seen, t.as_py()) for t in text]), pa.float64())
+        seen: dict[str, tuple[int, ...]] = {}
+        p = pa.array(held.value.score([held.value.places(seen, t.as_py()) for t in text]), pa.float64())
+        del seen
+        release()
+        return p
 
     return docs.where(score(text_of("text")) < threshold)

@@ -13,6 +13,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from gridflux.llm.common import release
+
 #: White space as str.split() takes it, for the SQL side and as code points (fixed values).
 SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
 SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -105,3 +107,4 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
             to = max(at + 1, int(np.searchsorted(ends, done + most, "right")))
             yield batch.slice(at, to - at)
             at = to
+    release()
