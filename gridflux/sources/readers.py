@@ -62,14 +62,19 @@ def check_gridded_profile(profile: DataFrame, n_cells: int, n_buckets: int) -> D
     return profile.groupBy("id").agg(F.count("*").alias("n"), F.count_distinct("bucket", "fid").alias("different")).where((F.col("n") != n_cells * n_buckets) | (F.col("different") != n_cells * n_buckets))
 
 
+def _by_header(table: DataFrame, schema: str) -> DataFrame:
+    """The schema's columns by the names in the file's header, in whatever order they stand there."""
+    return table.select(*[F.col(name).cast(kind).alias(name) for name, kind in (c.split() for c in schema.split(", "))])
+
+
 def read_molecular_weights(spark: SparkSession, path: str) -> DataFrame:
     """SRC-08. Specie and MW."""
-    return spark.read.schema("Specie STRING, MW DOUBLE").csv(path, header=True, sep=";")
+    return _by_header(spark.read.csv(path, header=True, sep=";"), "Specie STRING, MW DOUBLE")
 
 
 def read_stacks(spark: SparkSession, path: str) -> DataFrame:
     """SRC-09. Stacks of CSV files named after their pollutant."""
-    return spark.read.schema(STACKS).csv(path, header=True).withColumn("pollutant", F.regexp_extract(F.input_file_name(), r"([^/_]+)(?:_[^/]*)?\.csv$", 1))
+    return _by_header(spark.read.csv(path, header=True), STACKS).withColumn("pollutant", F.regexp_extract(F.input_file_name(), r"([^/_]+)(?:_[^/]*)?\.csv$", 1))
 
 
 def read_text_inventory(spark: SparkSession, path: str) -> DataFrame:

@@ -44,8 +44,8 @@ def cache_name(sector: str, proxy: dict) -> str:
 
 def cached(spark: SparkSession, path: str, make) -> DataFrame:
     """SNK-05, SNK-06. A table from its cache; made and stored where there is none."""
-    if not exists(spark, path):
-        make().write.parquet(path)
+    if not exists(spark, f"{path}/_SUCCESS"):  # a write that ended half-way is no cache
+        make().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 

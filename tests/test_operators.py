@@ -425,3 +425,19 @@ def test_checks(spark):
     cells = grid.regular_cells(spark, 0, 0, 1, 1, 2, 2)
     table = cells.select(F.lit("a").alias("variable"), "fid").unionByName(cells.limit(3).select(F.lit("b").alias("variable"), "fid"))
     assert [x[0] for x in checks.grid_differences(table, cells).collect()] == ["b"]
+
+
+def test_stacks_are_read_by_header(spark, tmp_path):
+    from gridflux.sources import readers
+
+    (tmp_path / "nox.csv").write_text("Lon,Lat,Emis,Alt_Injection\n2.0,41.0,5.0,100.0\n")
+    row = readers.read_stacks(spark, f"{tmp_path}/nox.csv").first()
+    assert (row.Lon, row.Lat, row.Emis, row.Alt_Injection, row.pollutant) == (2.0, 41.0, 5.0, 100.0, "nox")
+
+
+def test_a_half_written_cache_is_made_again(spark, tmp_path):
+    from gridflux.sources import sinks
+
+    (tmp_path / "c").mkdir()
+    assert sinks.cached(spark, f"{tmp_path}/c", lambda: spark.range(3)).count() == 3
+    assert sinks.cached(spark, f"{tmp_path}/c", lambda: spark.range(9)).count() == 3
