@@ -66,7 +66,8 @@ def ring_distance(ring: Column, x: Column, y: Column) -> Column:
 
 
 def nearest_join(points: DataFrame, layer: DataFrame, attribute: str, tile: float = 10.0, widest: float = 400.0) -> DataFrame:
-    """JON-01. Attribute of the nearest polygon of each point (fid, lon, lat), the least of equal ones.
+    """JON-01. Attribute of the nearest polygon of each point (fid, lon, lat), the least of equal ones;
+    distances are compared to nine decimals, so summing orders can't tell equal ones apart.
 
     A point looks at the layer within one tile around it; one that finds none nearer than a tile
     goes on with tiles four times as wide, at last ones that span the plane.
@@ -76,7 +77,7 @@ def nearest_join(points: DataFrame, layer: DataFrame, attribute: str, tile: floa
         last = tile >= widest
         tiled = bounded.withColumn("tx", F.explode(_tiles(F.col("xmin") - tile, F.col("xmax") + tile, tile))).withColumn("ty", F.explode(_tiles(F.col("ymin") - tile, F.col("ymax") + tile, tile)))
         p = rest.withColumns({"tx": F.floor(F.col("lon") / tile), "ty": F.floor(F.col("lat") / tile)})
-        found = p.join(tiled.select(F.col(attribute), "ring", "tx", "ty"), ["tx", "ty"]).withColumn("distance", ring_distance(F.col("ring"), F.col("lon"), F.col("lat")))
+        found = p.join(tiled.select(F.col(attribute), "ring", "tx", "ty"), ["tx", "ty"]).withColumn("distance", F.round(ring_distance(F.col("ring"), F.col("lon"), F.col("lat")), 9))
         best = found.groupBy("fid").agg(F.min(F.struct("distance", attribute)).alias("b")).select("fid", "b.*")
         best = best if last else best.where(F.col("distance") <= tile)
         done = best if done is None else done.unionByName(best)
@@ -123,11 +124,12 @@ def largest_overlap(cells: DataFrame, layer: DataFrame, attribute: str, tile: fl
     """JON-03, WIN-05. Attribute with the largest overlap of each cell, the least of equal ones.
 
     A cell's only candidate counts even if it just touches; of several, those that only touch drop out.
+    Overlaps are compared to nine decimals.
     """
     found = overlaps(cells, layer, attribute, tile)
     alone = F.count("*").over(Window.partitionBy("fid")) == 1
     ranked = found.withColumn("alone", alone).where("alone OR overlap > 0")
-    best = ranked.groupBy("fid").agg(F.min(F.struct((-F.col("overlap")).alias("o"), F.col(attribute).alias("a"))).alias("b"))
+    best = ranked.groupBy("fid").agg(F.min(F.struct((-F.round("overlap", 9)).alias("o"), F.col(attribute).alias("a"))).alias("b"))
     return cells.join(best.select("fid", F.col("b.a").alias(attribute)), "fid", "left")
 
 

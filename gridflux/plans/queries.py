@@ -147,12 +147,12 @@ def grd_08_azimuthal_equal_area(spark, d):
     return p.select("point_id", r(x / 1000, 3).alias("x_km"), r(y / 1000, 3).alias("y_km"), r(lon, 4).alias("lon"), r(lat, 4).alias("lat"))
 
 
-@query("""WITH a AS (SELECT DISTINCT l_suppkey % 10 AS k, (l_partkey % 40) * (CASE WHEN l_suppkey % 10 = 3 THEN l_partkey % 40 ELSE 1 END) * 0.5::DOUBLE AS x FROM lineitem WHERE l_partkey % 40 < 8),
+@query("""WITH a AS (SELECT DISTINCT l_suppkey % 10 AS k, (l_partkey % 40) * (CASE WHEN l_suppkey % 10 = 3 THEN l_partkey % 40 ELSE 1 END) * 0.5::DOUBLE AS x FROM lineitem),
  b AS (SELECT *, (max(x) OVER w - min(x) OVER w) / (count(*) OVER w - 1) AS inc, lead(x) OVER (PARTITION BY k ORDER BY x) - x AS gap FROM a WINDOW w AS (PARTITION BY k)),
  c AS (SELECT *, max(abs(gap - inc)) OVER (PARTITION BY k) <= 1e-6 * abs(inc) AS u FROM b)
  SELECT CAST(k AS BIGINT) AS axis, x, CASE WHEN u THEN x - inc / 2 END AS lower, CASE WHEN u THEN x + inc / 2 END AS upper FROM c""")
 def grd_10_axis_bounds(spark, d):
-    li = load(spark, d, "lineitem").where("l_partkey % 40 < 8")
+    li = load(spark, d, "lineitem")
     x = (F.col("l_partkey") % 40) * F.when(F.col("l_suppkey") % 10 == 3, F.col("l_partkey") % 40).otherwise(1) * 0.5
     return grid.axis_bounds(li.select((F.col("l_suppkey") % 10).alias("axis"), x.alias("x")), "axis", "x")
 
@@ -426,35 +426,45 @@ def jon_02_centroid_within(spark, d):
     return spatial.centroid_join(p, regions_layer(spark, d), "name").select(F.col("fid").alias("point_id"), "name")
 
 
-@query(with_views("""SELECT point_id, round(min(CASE WHEN u <= 12.03 THEN 0 WHEN abs(x - y) <= 12.03 THEN (u - 12.03) / sqrt(2) ELSE sqrt(pow(greatest(x, y) - 12.03, 2) + pow(least(x, y), 2)) END), 4) AS distance
- FROM (SELECT point_id, abs(lon - cx) AS x, abs(lat - cy) AS y, abs(lon - cx) + abs(lat - cy) AS u FROM points, layer WHERE abs(lat) < 60) GROUP BY 1""", "points", layer=_LAYER))
+@query(with_views("""SELECT point_id, round(b.d, 4) AS distance, b.name AS name FROM (SELECT point_id, min({'d': round(CASE WHEN u <= 12.03 THEN 0 WHEN abs(x - y) <= 12.03 THEN (u - 12.03) / sqrt(2) ELSE sqrt(pow(greatest(x, y) - 12.03, 2) + pow(least(x, y), 2)) END, 9), 'name': name}) AS b
+ FROM (SELECT point_id, name, abs(lon - cx) AS x, abs(lat - cy) AS y, abs(lon - cx) + abs(lat - cy) AS u FROM points, layer) GROUP BY 1)""", "points", layer=_LAYER))
 def jon_01_nearest_polygon(spark, d):
-    p = points(spark, d).where("abs(lat) < 60").select(F.col("point_id").alias("fid"), "lon", "lat")
+    p = points(spark, d).select(F.col("point_id").alias("fid"), "lon", "lat")
     near = spatial.nearest_join(p, regions_layer(spark, d), "name")
-    return near.select(F.col("fid").alias("point_id"), r("distance", 4).alias("distance"))
+    return near.select(F.col("fid").alias("point_id"), r("distance", 4).alias("distance"), "name")
 
 
-@query()
+#: Area of a diamond within a cell: trapezoids between all places where the height of the cut can bend.
+_OVERLAPS = """SELECT fid, name, list_sum(list_transform(range(1, len(b)), lambda i: (b[i + 1] - b[i]) * (h[i] + h[i + 1]) / 2)) AS overlap
+ FROM (SELECT *, list_transform(b, lambda x: greatest(0, least(y1, 12.03 - abs(x)) - greatest(y0, abs(x) - 12.03))) AS h
+ FROM (SELECT *, list_sort(list_transform([x0, x1, 0, -12.03, 12.03, 12.03 - abs(y0), abs(y0) - 12.03, 12.03 - abs(y1), abs(y1) - 12.03], lambda x: least(greatest(x, x0), x1))) AS b
+ FROM (SELECT fid, name, lon_min - cx AS x0, lon_max - cx AS x1, lat_min - cy AS y0, lat_max - cy AS y1 FROM cells, layer)
+ WHERE x0 <= 12.03 AND x1 >= -12.03 AND y0 <= 12.03 AND y1 >= -12.03))"""
+_MASK = """SELECT fid, b.name AS name FROM cells LEFT JOIN (SELECT fid, min({'o': -round(overlap, 9), 'name': name}) AS b
+ FROM (SELECT *, count(*) OVER (PARTITION BY fid) AS n FROM parts) WHERE n = 1 OR overlap > 0 GROUP BY 1) USING (fid)"""
+
+
+@query(with_views("SELECT name, pollutant, count(*) AS n, round(sum(flux), 4) AS flux FROM flux JOIN mask USING (fid) GROUP BY 1, 2", "cells", "flux", layer=_LAYER, parts=_OVERLAPS, mask=_MASK))
 def jon_03_largest_overlap(spark, d):
     mask = spatial.largest_overlap(cells(spark), regions_layer(spark, d), "name").select("fid", "name")
     return flux(spark, d).join(mask, "fid").groupBy("name", "pollutant").agg(F.count("*").alias("n"), r(F.sum("flux"), 4).alias("flux"))
 
 
-@query()
+@query(with_views("SELECT CASE WHEN name IN ('NATION_1', 'NATION_2', 'NATION_3') THEN name WHEN name IS NOT NULL THEN 'OTHERS' END AS region_id, pollutant, round(sum(flux), 4) AS flux FROM flux JOIN mask USING (fid) GROUP BY 1, 2", "cells", "flux", layer=_LAYER, parts=_OVERLAPS, mask=_MASK))
 def jon_18_region_mask(spark, d):
     wanted = ["NATION_1", "NATION_2", "NATION_3"]
     mask = spatial.region_mask(cells(spark), regions_layer(spark, d), "name", wanted)
     return flux(spark, d).join(mask, "fid").groupBy("region_id", "pollutant").agg(r(F.sum("flux"), 4).alias("flux"))
 
 
-@query()
+@query(with_views("SELECT name, round(sum(overlap), 5) AS area, round(sum(flux * overlap), 5) AS load FROM parts JOIN (SELECT fid, sum(flux) AS flux FROM flux GROUP BY 1) USING (fid) GROUP BY 1", "cells", "flux", layer=_LAYER, parts=_OVERLAPS))
 def jon_12_polygon_overlap_areas(spark, d):
     parts = spatial.overlaps(cells(spark), regions_layer(spark, d), "name")
     f = flux(spark, d).groupBy("fid").agg(F.sum("flux").alias("flux"))
-    return parts.join(f, "fid").groupBy("name").agg(r(F.sum("overlap"), 4).alias("area"), r(F.sum(F.col("flux") * F.col("overlap")), 2).alias("load"))
+    return parts.join(f, "fid").groupBy("name").agg(r(F.sum("overlap"), 5).alias("area"), r(F.sum(F.col("flux") * F.col("overlap")), 5).alias("load"))
 
 
-@query()
+@query(with_views("SELECT name, CAST(pollutant AS VARCHAR) AS variable, round(sum(flux * overlap) / sum(overlap), 6) AS value FROM parts JOIN (SELECT fid, pollutant, sum(flux) AS flux FROM flux GROUP BY 1, 2) USING (fid) WHERE overlap > 0 GROUP BY 1, 2", "cells", "flux", layer=_LAYER, parts=_OVERLAPS))
 def jon_23_field_on_features(spark, d):
     f = flux(spark, d).groupBy("fid", F.col("pollutant").cast("string").alias("variable")).agg(F.sum("flux").alias("value"))
     return spatial.grid_to_features(f, cells(spark), regions_layer(spark, d), "name").withColumn("value", r("value"))
@@ -477,7 +487,15 @@ def jon_26_iso2_of_iso3(spark, d):
 # Nearest neighbours and lines ------------------------------------------------------------------
 
 
-@query()
+def _ecef(table: str, key: str) -> str:
+    return f"SELECT {key}, n * cos(a) * cos(o) AS x, n * cos(a) * sin(o) AS y, n * (1 - e2) * sin(a) AS z FROM (SELECT *, 6378137.0 / sqrt(1 - e2 * pow(sin(a), 2)) AS n FROM (SELECT {key}, radians(lat) AS a, radians(lon) AS o, 2 / 298.257223563 - pow(1 / 298.257223563, 2) AS e2 FROM {table}))"
+
+
+#: The four nearest cells of each point, by brute force.
+_NEAR = """SELECT point_id, min(g, 4) AS g, min_by(fid, g, 4) AS fids FROM (SELECT point_id, fid, greatest(sqrt((s.x - t.x) * (s.x - t.x) + (s.y - t.y) * (s.y - t.y) + (s.z - t.z) * (s.z - t.z)), 1.0) AS g FROM s, t) GROUP BY 1"""
+
+
+@query(with_views("SELECT point_id, round(g[1] / 1000, 3) AS nearest_km, round(list_sum(g) / 1000, 3) AS total_km, 1.0::DOUBLE AS weight FROM near", "cells", "points", s=_ecef("cells", "fid"), t=_ecef("points", "point_id"), near=_NEAR))
 def jon_06_nearest_cells(spark, d):
     p = points(spark, d).select(F.col("point_id").alias("fid"), "lon", "lat")
     w = regrid.nearest_neighbours(cells(spark), p, 4, 8.0)
@@ -806,15 +824,15 @@ def job_09_table_to_flux(spark, d):
     return jobs.preprocess_table(rows, 5.0, "Mg", cells(spark)).withColumn("flux", r(F.col("flux") * 1e9))
 
 
-@query(with_views("""SELECT hour_i, lev, fid, species, round(sum(value), 6) AS value FROM (SELECT h AS hour_i, l.lev, dst AS fid, s.species, flux * t.area_s / t.area_d * CASE s.species WHEN 'NO' THEN 0.9 / 46 ELSE 0.1 / 46 END * (CASE WHEN (h + tz_h + 24) % 24 BETWEEN 7 AND 18 THEN 1.5 ELSE 0.5 END) * l.f AS value
- FROM (SELECT fid, sum(flux * CASE WHEN nationkey % 5 = 0 THEN 0.5 WHEN nationkey % 5 = 1 THEN 0 ELSE 1 END) AS flux FROM flux JOIN cells USING (fid) WHERE pollutant = 1 AND month_i = 7 GROUP BY 1) f
- JOIN (SELECT src_fid, dst_fid AS dst, s.area_m2 AS area_s, c.area_m2 AS area_d, c.tz_h FROM w JOIN cells s ON s.fid = src_fid JOIN coarse c ON c.fid = dst_fid) t ON t.src_fid = f.fid, (VALUES ('NO'), ('NO2')) s(species), (VALUES (0, 0.75), (1, 0.25)) l(lev, f), range(24) r(h)) GROUP BY 1, 2, 3, 4 HAVING sum(value) <> 0""", "cells", "coarse", "flux", "w"))
+@query(with_views("""SELECT hour_i, lev, fid, species, round(sum(value), 4) AS value FROM (SELECT h AS hour_i, l.lev, dst AS fid, s.species, flux * t.area_s / t.area_d * s.fr * (CASE WHEN (h + tz_h + 24) % 24 BETWEEN 7 AND 18 THEN 1.5 ELSE 0.5 END) * l.f AS value
+ FROM (SELECT fid, pollutant, sum(flux * CASE WHEN nationkey % 5 = 0 THEN 0.5 WHEN nationkey % 5 = 1 THEN 0 ELSE 1 END) AS flux FROM flux JOIN cells USING (fid) GROUP BY 1, 2) f
+ JOIN (SELECT src_fid, dst_fid AS dst, s.area_m2 AS area_s, c.area_m2 AS area_d, c.tz_h FROM w JOIN cells s ON s.fid = src_fid JOIN coarse c ON c.fid = dst_fid) t ON t.src_fid = f.fid JOIN (VALUES (0, 'CO', 1 / 28.0::DOUBLE), (1, 'NO', 0.9 / 46.0::DOUBLE), (1, 'NO2', 0.1 / 46.0::DOUBLE), (2, 'SO2', 1 / 64.0::DOUBLE), (3, 'PM', 1.0::DOUBLE)) s(pollutant, species, fr) USING (pollutant), (VALUES (0, 0.75), (1, 0.25)) l(lev, f), range(24) r(h)) GROUP BY 1, 2, 3, 4 HAVING sum(value) <> 0""", "cells", "coarse", "flux", "w"))
 def job_01_hourly_emissions(spark, d):
     """Yearly inventory to hourly model emissions: mask, regrid, speciate, local hours, levels, sum."""
     src, dst = cells(spark), cells(spark, COARSE)
     n = F.col("nationkey") % 5
     mask = src.select("fid", F.when(n == 0, 0.5).when(n == 1, 0.0).otherwise(1.0).alias("factor"))
-    f = flux(spark, d).where("pollutant = 1 AND month_i = 7").withColumn("pollutant", F.lit("nox"))
+    f = flux(spark, d).withColumn("pollutant", F.get(F.array(*map(F.lit, ("co", "nox", "sox", "pm"))), F.col("pollutant")))
     w = regrid.mass_to_flux(regrid.conservative_weights(src, COARSE), src, dst)
     masked = f.join(mask, "fid").withColumn("flux", F.col("flux") * F.col("factor"))
     out = regrid.apply_weights(masked, w, "inventory", "sector", "pollutant", value="flux")
@@ -823,14 +841,14 @@ def job_01_hourly_emissions(spark, d):
     calendar = temporal.with_calendar(temporal.local_calendar(dst.select("fid", zone.alias("tz")), steps), "local_ts")
     by_hour = F.when(F.col("hour_i").between(7, 18), 1.5).otherwise(0.5)
     vfac = f.select("sector").distinct().withColumn("vfac", F.array(F.lit(0.75), F.lit(0.25)))
-    hours = jobs.to_hours(out, calendar, by_hour, vfac, 2, {"nox": 46.0}, {"NO": "0.9*nox", "NO2": "0.1*nox"})
-    return hours.select(F.hour("ts").alias("hour_i"), "lev", "fid", "species", r("value").alias("value"))
+    hours = jobs.to_hours(out, calendar, by_hour, vfac, 2, {"co": 28.0, "nox": 46.0, "sox": 64.0, "pm": 1.0}, {"CO": "co", "NO": "0.9*nox", "NO2": "0.1*nox", "SO2": "sox", "PM": "pm"})
+    return hours.select(F.hour("ts").alias("hour_i"), "lev", "fid", "species", r("value", 4).alias("value"))
 
 
-@query()
+@query(with_views("SELECT pollutant, point_id AS fid, round(sum(flux / g) / any_value(total), 4) AS value FROM (SELECT point_id, unnest(g) AS g, unnest(fids) AS fid, list_sum(list_transform(g, lambda x: 1 / x)) AS total FROM near) JOIN (SELECT pollutant, fid, sum(flux) AS flux FROM flux GROUP BY 1, 2) USING (fid) GROUP BY 1, 2", "cells", "flux", "points", s=_ecef("cells", "fid"), t=_ecef("points", "point_id"), near=_NEAR))
 def job_16_interpolated_at_stations(spark, d):
     f = flux(spark, d).groupBy("pollutant", "fid").agg(F.sum("flux").alias("value"))
-    s = points(spark, d).where("abs(lat) < 60").select(F.col("point_id").alias("station"), "lon", "lat")
+    s = points(spark, d).select(F.col("point_id").alias("station"), "lon", "lat")
     return jobs.interpolate(f, cells(spark), None, s, "pollutant").withColumn("value", r("value", 4))
 
 
@@ -893,20 +911,21 @@ def job_08_shipping(spark, d):
     return out.groupBy("pollutant", "species", "month_i").agg(r(F.sum("flux"), 3).alias("flux"), r(F.min("lon"), 4).alias("west"))
 
 
-@query(with_views("SELECT CASE sector WHEN 'F' THEN 'road' ELSE 'ship' END AS sector, pollutant, fid, CAST(m AS INTEGER) AS month_i, round(sum(flux) * (1 + (fid % 7 - 3) * (any_value(m) - 6.5) / 60.0), 4) AS flux FROM flux, range(1, 13) t(m) WHERE fid % 10 = 0 GROUP BY 1, 2, 3, 4", "flux"))
+@query(with_views("SELECT CASE sector WHEN 'F' THEN 'road' ELSE 'ship' END AS sector, pollutant, fid, CAST(m AS INTEGER) AS month_i, round(sum(flux) * (1 + (fid % 7 - 3) * (any_value(m) - 6.5) / 60.0), 4) AS flux FROM flux, range(1, 13) t(m) GROUP BY 1, 2, 3, 4", "flux"))
 def job_11_sectors_to_months(spark, d):
-    f = flux(spark, d).where("fid % 10 = 0").groupBy("sector", "pollutant", "fid").agg(F.sum("flux").alias("flux"))
+    f = flux(spark, d).groupBy("sector", "pollutant", "fid").agg(F.sum("flux").alias("flux"))
     names = f.select("sector").distinct().withColumn("new_sector", F.when(F.col("sector") == "F", "road").otherwise("ship"))
     profile = f.select("fid").distinct().withColumn("bucket", F.explode(F.sequence(F.lit(1), F.lit(12)))).withColumn("factor", 1 + (F.col("fid") % 7 - 3) * (F.col("bucket") - 6.5) / 60.0)
     return jobs.preprocess_sectors(f, names, profile).select("sector", "pollutant", "fid", F.col("month_i").cast("int").alias("month_i"), r("flux", 4).alias("flux"))
 
 
-@query(with_views("""SELECT sub_sector, species, fid, round(sum(mass * share * fr) * 1e6 / any_value(area_m2) / 31536000 * 1e6, 6) AS flux FROM (SELECT sector, pollutant, fid, sum(flux) AS mass FROM flux WHERE pollutant < 2 GROUP BY 1, 2, 3) JOIN cells USING (fid)
- JOIN (SELECT o_orderpriority AS sub_sector, o_orderstatus AS sector, sum(o_totalprice) / sum(sum(o_totalprice)) OVER (PARTITION BY o_orderstatus) AS share FROM orders GROUP BY 1, 2) USING (sector) JOIN (VALUES (0, 'sox', 0.5), (1, 'nox', 0.75)) s(pollutant, species, fr) USING (pollutant) GROUP BY 1, 2, 3""", "cells", "flux"))
+@query(with_views("""SELECT sub_sector, species, fid, round(sum(mass * share * fr) * 1e6 / any_value(area_m2) / 31536000 * 1e6, 6) AS flux FROM (SELECT sector, pollutant, fid, sum(flux) AS mass FROM flux GROUP BY 1, 2, 3) JOIN cells USING (fid)
+ JOIN (SELECT o_orderpriority AS sub_sector, o_orderstatus AS sector, sum(o_totalprice) / sum(sum(o_totalprice)) OVER (PARTITION BY o_orderstatus) AS share FROM orders GROUP BY 1, 2) USING (sector) JOIN (VALUES (0, 'sox', 0.5), (1, 'nox', 0.75), (2, 'nh3', 1.0), (3, 'co', 0.25)) s(pollutant, species, fr) USING (pollutant) GROUP BY 1, 2, 3""", "cells", "flux"))
 def job_13_national_inventory(spark, d):
-    f = flux(spark, d).where("pollutant < 2").groupBy("sector", "pollutant", "fid").agg(F.sum("flux").alias("mass")).join(cells(spark).select("fid", "area_m2"), "fid")
+    f = flux(spark, d).groupBy("sector", "pollutant", "fid").agg(F.sum("flux").alias("mass")).join(cells(spark).select("fid", "area_m2"), "fid")
     sub = load(spark, d, "orders").groupBy(F.col("o_orderpriority").alias("sub_sector"), F.col("o_orderstatus").alias("sector")).agg(F.sum("o_totalprice").alias("total"))
-    species = f.select("pollutant").distinct().select("pollutant", F.when(F.col("pollutant") == 0, "sox").otherwise("nox").alias("species"), F.when(F.col("pollutant") == 0, 0.5).otherwise(0.75).alias("fr"))
+    at = lambda *v: F.get(F.array(*map(F.lit, v)), F.col("pollutant"))
+    species = f.select("pollutant").distinct().select("pollutant", at("sox", "nox", "nh3", "co").alias("species"), at(0.5, 0.75, 1.0, 0.25).alias("fr"))
     out = jobs.preprocess_national(f, sub, species)
     return out.groupBy("sub_sector", "species", "fid").agg(r(F.sum("flux") * 1e6).alias("flux"))
 
