@@ -29,10 +29,12 @@ def cross_table_errors(cross: DataFrame) -> DataFrame:
 
 
 def grid_differences(table: DataFrame, cells: DataFrame) -> DataFrame:
-    """CHK-10, CHK-14. Variables of a cached table whose cells aren't those of the grid."""
-    grid = cells.agg(F.count("*").alias("g_n"), F.min("fid").alias("g_min"), F.max("fid").alias("g_max"))
-    own = table.groupBy("variable").agg(F.count_distinct("fid").alias("n"), F.min("fid").alias("lo"), F.max("fid").alias("hi"))
-    return own.join(F.broadcast(grid)).where("n <> g_n OR lo <> g_min OR hi <> g_max").select("variable", "n", "g_n")
+    """CHK-10, CHK-14. Variables of a cached table whose cells aren't those of the grid, id by id; a null
+    id is no cell."""
+    grid = cells.agg(F.count_distinct("fid").alias("g_n"))
+    known = cells.select("fid", F.lit(1).alias("known")).distinct()
+    own = table.select("variable", "fid").distinct().join(known, "fid", "left").groupBy("variable").agg(F.count("fid").alias("n"), F.count("known").alias("n_known"), F.count("*").alias("n_all"))
+    return own.join(F.broadcast(grid)).where("n_all <> g_n OR n_known <> g_n").select("variable", "n", "g_n")  # one row
 
 
 def other_geometries(layer: DataFrame, kind: str = "Point") -> DataFrame:

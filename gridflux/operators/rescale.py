@@ -52,7 +52,7 @@ def apply_everywhere(flux: DataFrame, factor: DataFrame, *by: str, value: str =
     """RSC-04. Flux times the factor of the one region there is; more than one is an error."""
     if factor.select("region_id").distinct().limit(2).count() != 1:
         raise ValueError("exactly one region is needed")
-    return flux.join(F.broadcast(factor.select(*by, "factor")), list(by), "left").withColumn(value, F.col(value) * F.coalesce("factor", F.lit(1.0))).select(*flux.columns)
+    return flux.join(factor.select(*by, "factor"), list(by), "left").withColumn(value, F.col(value) * F.coalesce("factor", F.lit(1.0))).select(*flux.columns)
 
 
 def rescaled(cross: DataFrame, totals: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ def local_calendar(cells: DataFrame, steps: DataFrame, aliases: DataFrame | None
     hour and day of year. ``aliases``: names of zones (tz, zone) that the time-zone data lacks."""
     c = cells
     if aliases is not None:
-        c = c.join(F.broadcast(aliases), "tz", "left").withColumn("tz", F.coalesce("zone", "tz")).drop("zone")
+        c = c.join(aliases, "tz", "left").withColumn("tz", F.coalesce("zone", "tz")).drop("zone")
     local = c.crossJoin(F.broadcast(steps)).withColumn("local_ts", F.from_utc_timestamp("ts", F.col("tz")))  # a few output steps
     return with_calendar(local, "local_ts")
 
@@ -54,7 +54,7 @@ def weekday_counts(months: DataFrame, holidays: DataFrame | None = None) -> Data
     days = months.withColumn("date", F.explode(F.sequence(first, F.last_day(first)))).withColumn("weekday_i", F.weekday("date"))
     if holidays is not None:
         h = holidays.select("country", "date").distinct().withColumn("hit", F.lit(True))
-        days = days.join(F.broadcast(h), ["country", "date"], "left").withColumn("weekday_i", F.when(F.col("hit"), 6).otherwise(F.col("weekday_i")))
+        days = days.join(h, ["country", "date"], "left").withColumn("weekday_i", F.when(F.col("hit"), 6).otherwise(F.col("weekday_i")))
     return days.groupBy(*keys, "weekday_i").agg(F.count("*").alias("n_days"))
 
 
@@ -84,7 +84,7 @@ def lookup(df: DataFrame, profile: DataFrame, id_column: str, bucket: Column, na
     Gridded profiles hold the cell as well.
     """
     p = profile.select(F.col("id").alias(id_column), F.col("bucket").alias("_bucket"), *(["fid"] if gridded else []), F.col("factor").alias(name))
-    out = df.withColumn("_bucket", bucket).join(p if gridded else F.broadcast(p), [id_column, "_bucket", *(["fid"] if gridded else [])], "left")
+    out = df.withColumn("_bucket", bucket).join(p, [id_column, "_bucket", *(["fid"] if gridded else [])], "left")
     return out.withColumn(name, F.when(F.col(id_column).isNull(), F.lit(1.0)).otherwise(F.col(name))).drop("_bucket")
 
 

@@ -33,7 +33,7 @@ def to_hours(flux: DataFrame, calendar: DataFrame, factor: Column, vfac: DataFra
     last; ``calendar`` holds a row for each cell and step with what ``factor`` uses."""
     surface = speciation.speciate(flux, molecular, expressions, ["inventory", "sector", "fid"]).where("value <> 0")
     timed = surface.join(calendar.select("fid", "ts", factor.alias("_t")), "fid").withColumn("value", F.col("value") * F.col("_t")).drop("_t")
-    timed = timed.join(F.broadcast(vfac), "sector", "left") if vfac is not None else timed.withColumn("vfac", F.lit(None).cast("array<double>"))  # a profile for each sector
+    timed = timed.join(vfac, "sector", "left") if vfac is not None else timed.withColumn("vfac", F.lit(None).cast("array<double>"))  # a profile for each sector
     return stats.sum_inventories(vertical.to_levels(timed, n_levels).select("ts", "lev", "fid", "species", "value"))
 
 
@@ -58,7 +58,7 @@ def combine(*inventories: DataFrame) -> DataFrame:
 
 def preprocess_gridded(table: DataFrame, renames: DataFrame, year: int) -> DataFrame:
     """JOB-06, JOB-07. Native monthly fields of a year under the engine's names (name, pollutant)."""
-    mine = table.where(F.year("ts") == year).join(F.broadcast(renames), "name").drop("name")  # a name table
+    mine = table.where(F.year("ts") == year).join(renames, "name").drop("name")
     return mine.withColumn("period", F.date_format("ts", "yyyyMM")).drop("ts")
 
 
@@ -83,7 +83,7 @@ def preprocess_table(rows: DataFrame, inc: float, unit: str, area: DataFrame, lo
 
 def preprocess_sectors(flux: DataFrame, renames: DataFrame, profile: DataFrame | None = None) -> DataFrame:
     """JOB-11, TMP-13. Yearly sector fields under the engine's names, to months by a gridded profile."""
-    named = flux.join(F.broadcast(renames), "sector").withColumn("sector", F.col("new_sector")).drop("new_sector")  # a name table
+    named = flux.join(renames, "sector").withColumn("sector", F.col("new_sector")).drop("new_sector")
     return named if profile is None else temporal.yearly_to_monthly(named, profile)
 
 

@@ -16,7 +16,7 @@ def read_inventory(spark: SparkSession, path: str, wanted: DataFrame) -> DataFra
     """SRC-01. Fields of the wanted (inventory, sector, pollutant, period) from Parquet partitioned by
     them; a wanted one without rows is an error."""
     keys = ["inventory", "sector", "pollutant", "period"]
-    found = spark.read.schema(INVENTORY).parquet(path).join(F.broadcast(wanted.select(*keys).distinct()), keys, "left_semi")  # a driver table
+    found = spark.read.schema(INVENTORY).parquet(path).join(wanted.select(*keys).distinct(), keys, "left_semi")
     missing = wanted.select(*keys).join(found.select(*keys).distinct(), keys, "left_anti").collect()
     if missing:
         raise FileNotFoundError(f"no field for {[tuple(m) for m in missing]}")
@@ -88,7 +88,7 @@ def read_text_inventory(spark: SparkSession, path: str) -> DataFrame:
 
 def fix_coordinates(rows: DataFrame, fixes: DataFrame) -> DataFrame:
     """SRC-14. Known wrong coordinates replaced by a table (bad_lon, bad_lat, lon, lat)."""
-    j = rows.join(F.broadcast(fixes), (rows["LONGITUDE"] == fixes["bad_lon"]) & (rows["LATITUDE"] == fixes["bad_lat"]), "left")
+    j = rows.join(fixes, (rows["LONGITUDE"] == fixes["bad_lon"]) & (rows["LATITUDE"] == fixes["bad_lat"]), "left")
     return j.withColumns({"LONGITUDE": F.coalesce("lon", "LONGITUDE"), "LATITUDE": F.coalesce("lat", "LATITUDE")}).select(*rows.columns)
 
 

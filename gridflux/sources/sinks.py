@@ -71,10 +71,12 @@ def write_debug(table: DataFrame, path: str, *order: str) -> None:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder in the one that the cluster names in spark.checkpoint.dir; a temporary one where
-    it names none."""
+    """A new folder in the one that the cluster names in spark.checkpoint.dir; a temporary one on
+    a single machine that names none."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         at = f"file://{tempfile.mkdtemp(prefix='gridflux-')}"
         spark.conf.set("spark.checkpoint.dir", at)
     return f"{at.rstrip('/')}/gridflux/{uuid.uuid4().hex}/{name}"

@@ -425,6 +425,9 @@ def test_checks(spark):
     cells = grid.regular_cells(spark, 0, 0, 1, 1, 2, 2)
     table = cells.select(F.lit("a").alias("variable"), "fid").unionByName(cells.limit(3).select(F.lit("b").alias("variable"), "fid"))
     assert [x[0] for x in checks.grid_differences(table, cells).collect()] == ["b"]
+    moved = cells.select(F.lit("c").alias("variable"), F.when(F.col("fid") == 1, 99).otherwise(F.col("fid")).alias("fid"))
+    inner = cells.where("fid > 0").select(F.lit("d").alias("variable"), "fid")
+    assert sorted(x[0] for x in checks.grid_differences(table.unionByName(moved).unionByName(inner), cells).collect()) == ["b", "c", "d"]
 
 
 def test_stacks_are_read_by_header(spark, tmp_path):
