@@ -78,39 +78,47 @@ def train_machine(rows: list[np.ndarray], y: np.ndarray, n_terms: int, n_factors
     """Bias, weights and factors by AdaGrad on the logistic loss; both classes weigh the same.
 
     With ``values`` of the terms, those of each text are scaled to length one; a batch changes its own terms only.
+    Inside, each factor is a row of its own, and a batch numbers its terms by a table instead of sorting them.
     """
     rng = np.random.default_rng(seed)
-    bias, w, v = 0.0, np.zeros(n_terms), rng.normal(0, 0.02, (n_terms, n_factors))
-    gb, gw, gv = 1e-3, np.full(n_terms, 1e-3), np.full((n_terms, n_factors), 1e-3)
+    bias, w, v = 0.0, np.zeros(n_terms), rng.normal(0, 0.02, (n_terms, n_factors)).T.copy()
+    gb, gw, gv = 1e-3, np.full(n_terms, 1e-3), np.full((n_factors, n_terms), 1e-3)
+    here, number = np.zeros(n_terms, bool), np.zeros(n_terms, np.int64)
     weigh = np.where(y == 1, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9))
     long = np.ones(len(rows)) if values is None else np.array([max(np.linalg.norm(values[r]), 1.0) for r in rows])
     for _ in range(steps):
         for part in np.array_split(rng.permutation(len(rows)), max(1, len(rows) // batch)):
             count = np.array([len(rows[i]) for i in part])
-            at, back = np.unique(np.concatenate([rows[i] for i in part]).astype(np.int64), return_inverse=True)
+            met = np.concatenate([rows[i] for i in part]).astype(np.int64)
+            here[met] = True
+            at = np.flatnonzero(here)
+            here[at], number[at] = False, np.arange(len(at))
+            back = number[met]
             of = np.repeat(np.arange(len(part)), count)
             x = (np.ones(len(at)) if values is None else values[at])[back] / long[part][of]
-            vs = v[at][back] * x[:, None]
+            own = v[:, at]
+            vs = own.take(back, 1) * x
             ends = np.cumsum(count)
-            sums = np.concatenate([np.zeros((1, n_factors)), np.cumsum(vs, 0)])
-            total = sums[ends] - sums[ends - count]
-            square = np.bincount(of, weights=np.square(vs).sum(1), minlength=len(part))
+            sums = np.zeros((n_factors, len(met) + 1))
+            np.cumsum(vs, 1, out=sums[:, 1:])
+            total = sums[:, ends] - sums[:, ends - count]
+            square = np.bincount(of, weights=np.square(vs).sum(0), minlength=len(part))
             linear = np.bincount(of, weights=w[at][back] * x, minlength=len(part))
-            p = 1 / (1 + np.exp(-np.clip(bias + linear + 0.5 * (np.square(total).sum(1) - square), -50, 50)))
+            p = 1 / (1 + np.exp(-np.clip(bias + linear + 0.5 * (np.square(total).sum(0) - square), -50, 50)))
             g = weigh[part] * (p - y[part]) / len(part)
             gx = g[of] * x
-            pull = gx[:, None] * (total[of] - vs)
             db, dw = g.sum(), np.bincount(back, weights=gx, minlength=len(at))
-            dv = np.stack([np.bincount(back, weights=pull[:, k], minlength=len(at)) for k in range(n_factors)], 1)
+            dv = np.stack([np.bincount(back, weights=gx * (total[k][of] - vs[k]), minlength=len(at)) for k in range(n_factors)])
             dw += ridge * w[at] / len(part)
-            dv += ridge * v[at] / len(part)
+            dv += ridge * own / len(part)
             gb += db * db
             gw[at] += dw * dw
-            gv[at] += dv * dv
+            spread = gv[:, at] + dv * dv
+            gv[:, at] = spread
             bias -= rate * db / np.sqrt(gb)
             w[at] -= rate * dw / np.sqrt(gw[at])
-            v[at] -= rate * dv / np.sqrt(gv[at])
-    return bias, w, v
+            v[:, at] = own - rate * dv / np.sqrt(spread)
+    return bias, w, v.T.copy()
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = 4000, max_chars: int = 20_000, min_texts: int = 3) -> FactorizationMachine:
