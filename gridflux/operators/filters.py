@@ -119,9 +119,10 @@ def select_regions(totals: DataFrame, regions: list[str] | None, column: str = "
     return found
 
 
-def positive_sources(df: DataFrame, pollutant: str, key: str = "fid", value: str = "flux") -> DataFrame:
-    """FLT-12. All rows of cells where the first pollutant is positive."""
-    return df.join(df.where((F.col("pollutant") == pollutant) & (F.col(value) > 0)).select(key).distinct(), key, "left_semi")
+def positive_sources(df: DataFrame, pollutant: str, *key: str, value: str = "flux") -> DataFrame:
+    """FLT-12. All rows of cells (or of what else ``key`` names) where the first pollutant is positive."""
+    keys = list(key) or ["fid"]
+    return df.join(df.where((F.col("pollutant") == pollutant) & (F.col(value) > 0)).select(*keys).distinct(), keys, "left_semi")
 
 
 def restamp(df: DataFrame, mapping: DataFrame, column: str = "ts") -> DataFrame:

@@ -16,11 +16,11 @@ def stack_flux(points: DataFrame, grid: RegularGrid, area: DataFrame, tops: list
     return mass.join(area.select("fid", "area_m2"), "fid").select("fid", "lev", "pollutant", (F.col("emis") / F.col("area_m2")).alias("flux"))
 
 
-def fire_flux(fires: DataFrame, src_area: DataFrame, owners: DataFrame, dst_area: DataFrame, tops: list[float], approach: str, height: Column) -> DataFrame:
+def fire_flux(fires: DataFrame, src_area: DataFrame, owners: DataFrame, dst_area: DataFrame, tops: list[float], approach: str, height: Column, *by: str) -> DataFrame:
     """AGG-10, VRT-05, VRT-06. Fire flux (src_fid, pollutant, flux) moved to its destination cell, spread
-    up to its injection height and divided by the destination's area."""
+    up to its injection height and divided by the destination's area, for each of ``by`` (time steps)."""
     mass = fires.join(src_area.select(F.col("fid").alias("src_fid"), "area_m2"), "src_fid").withColumn("mass", F.col("flux") * F.col("area_m2")).drop("area_m2")
     placed = mass.join(owners, "src_fid").where("dst_fid IS NOT NULL").withColumn("w", fire_weights(injection_level(height, tops), tops, approach))
-    spread = placed.select("dst_fid", "pollutant", "mass", F.posexplode("w").alias("lev", "f")).where("f > 0")
-    total = spread.groupBy("dst_fid", "lev", "pollutant").agg(F.sum(F.col("mass") * F.col("f")).alias("mass"))
-    return total.join(dst_area.select(F.col("fid").alias("dst_fid"), F.col("area_m2").alias("dst_area")), "dst_fid").select(F.col("dst_fid").alias("fid"), "lev", "pollutant", (F.col("mass") / F.col("dst_area")).alias("flux"))
+    spread = placed.select(*by, "dst_fid", "pollutant", "mass", F.posexplode("w").alias("lev", "f")).where("f > 0")
+    total = spread.groupBy(*by, "dst_fid", "lev", "pollutant").agg(F.sum(F.col("mass") * F.col("f")).alias("mass"))
+    return total.join(dst_area.select(F.col("fid").alias("dst_fid"), F.col("area_m2").alias("dst_area")), "dst_fid").select(*by, F.col("dst_fid").alias("fid"), "lev", "pollutant", (F.col("mass") / F.col("dst_area")).alias("flux"))

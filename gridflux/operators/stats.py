@@ -90,6 +90,12 @@ def layer_heights(levels: DataFrame, *by: str) -> DataFrame:
     return levels.withColumn("top", F.sum("thickness").over(Window.partitionBy(*by).orderBy("lev")))
 
 
+def top_k(df: DataFrame, k: int, by: list[str], *order: Column) -> DataFrame:
+    """SRT-03. The first k rows of each group, in an order that should leave no ties."""
+    rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+    return df.withColumn("rank", rank).where(F.col("rank") <= k)
+
+
 def number_contributions(weights: DataFrame) -> DataFrame:
     """WIN-04. Number of each contribution to its destination, from 0."""
     return weights.withColumn("number", F.row_number().over(Window.partitionBy("dst_fid").orderBy("src_fid")) - 1)

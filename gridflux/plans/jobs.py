@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridflux.operators import regrid, rescale, speciation, stats, temporal, units, vertical
+from gridflux.operators import regrid, rescale, runlog, speciation, stats, temporal, units, vertical
+from gridflux.operators.filters import positive_sources
 from gridflux.operators.grid import box_area
 from gridflux.operators.points import fire_flux, stack_flux
 from gridflux.operators.regrid import RegularGrid
@@ -13,6 +14,9 @@ from gridflux.operators.roads import road_weights, to_roads
 
 
 def cell_areas(cells: DataFrame) -> DataFrame:
+    """fid and area_m2: the areas that the cells bring along, else those of lat-lon boxes."""
+    if "area_m2" in cells.columns:
+        return cells.select("fid", "area_m2")
     return cells.select("fid", box_area(F.col("lon_min"), F.col("lon_max"), F.col("lat_min"), F.col("lat_max")).alias("area_m2"))
 
 
@@ -37,18 +41,19 @@ def to_hours(flux: DataFrame, calendar: DataFrame, factor: Column, vfac: DataFra
     return stats.sum_inventories(vertical.to_levels(timed, n_levels).select("ts", "lev", "fid", "species", "value"))
 
 
-def stack_inventory(points: DataFrame, grid: RegularGrid, dst: DataFrame, tops: list[float]) -> DataFrame:
-    """JOB-02. Stacks as flux of cells and levels."""
-    return stack_flux(points, grid, cell_areas(dst), tops)
+def stack_inventory(points: DataFrame, grid: RegularGrid, dst: DataFrame, tops: list[float], calendar: DataFrame, factor: Column, molecular: dict[str, float], expressions: dict[str, str]) -> DataFrame:
+    """JOB-02. Stacks as ts, lev, fid, species, value: flux of cells and levels, species, then the steps of
+    ``calendar`` (a row for each cell and step)."""
+    flux = speciation.speciate(stack_flux(points, grid, cell_areas(dst), tops), molecular, expressions, ["fid", "lev"]).where("value <> 0")
+    timed = flux.join(calendar.select("fid", "ts", factor.alias("_t")), "fid")
+    return timed.select("ts", "lev", "fid", "species", (F.col("value") * F.col("_t")).alias("value"))
 
 
 def fire_inventory(fires: DataFrame, src: DataFrame, dst: DataFrame, grid: RegularGrid, tops: list[float], pollutant: str, approach: str = "uniform") -> DataFrame:
     """JOB-03, JOB-04. Fires (ts, src_fid, pollutant, flux, height) of each day or hour as flux of cells and
-    levels: only cells where the first pollutant is positive."""
-    from gridflux.operators.filters import positive_sources
-
-    burning = positive_sources(fires, pollutant, "src_fid")
-    return fire_flux(burning, cell_areas(src), regrid.fire_cells(src, grid), cell_areas(dst), tops, approach, F.col("height"))
+    levels at that step: only cells where the first pollutant is positive then."""
+    burning = positive_sources(fires, pollutant, "ts", "src_fid")
+    return fire_flux(burning, cell_areas(src), regrid.fire_cells(src, grid), cell_areas(dst), tops, approach, F.col("height"), "ts")
 
 
 def combine(*inventories: DataFrame) -> DataFrame:
@@ -107,3 +112,10 @@ def interpolate(field: DataFrame, src: DataFrame, grid: RegularGrid | None = Non
     else:
         w = regrid.conservative_weights(src, grid)
     return regrid.apply_weights(field, w, *by)
+
+
+def analyse_log(log: DataFrame, names: DataFrame, method: str = "iqr") -> DataFrame:
+    """JOB-17. Timers under their present names, outliers left out, and the mean of replications with its
+    speed-up and efficiency for each process count."""
+    kept = runlog.aggregate_replications(runlog.inliers(runlog.map_legacy(log, names), method))
+    return runlog.speedup(kept, *runlog.TIMER)

@@ -43,8 +43,12 @@ def hour_no(ts: str = "ts") -> Column:
 
 @query(with_views("SELECT inventory, sector, pollutant, count(*) AS n, round(sum(flux), 4) AS flux FROM flux WHERE inventory = 'A' AND pollutant IN (1, 2) GROUP BY 1, 2, 3", "flux"))
 def src_01_inventory_by_partition(spark, d):
-    wanted = (F.col("inventory") == "A") & F.col("pollutant").isin(1, 2)
-    return flux(spark, d).where(wanted).groupBy("inventory", "sector", "pollutant").agg(F.count("*").alias("n"), r(F.sum("flux"), 4).alias("flux"))
+    keys, to = ["inventory", "sector", "pollutant", "period"], sinks.scratch(spark, "inventory")
+    f = flux(spark, d).select("inventory", "sector", F.col("pollutant").cast("string").alias("pollutant"), F.format_string("%02d", "month_i").alias("period"), "fid", "flux")
+    f.repartition(*keys).write.partitionBy(*keys).parquet(to)
+    wanted = spark.read.schema(readers.INVENTORY).parquet(to).where("inventory = 'A' AND pollutant IN ('1', '2')").select(*keys).distinct()
+    found = readers.read_inventory(spark, to, wanted).withColumn("pollutant", F.col("pollutant").cast("int"))
+    return found.groupBy("inventory", "sector", "pollutant").agg(F.count("*").alias("n"), r(F.sum("flux"), 4).alias("flux"))
 
 
 @query("""SELECT ei, sector, trim(p) AS pollutant, count(*) AS n FROM (SELECT 'EI' || l_suppkey % 7 AS ei, l_linestatus AS sector,
@@ -526,9 +530,9 @@ def jon_13_mixed_proxy(spark, d):
 
 @query()
 def job_15_grid_to_roads(spark, d):
-    f = flux(spark, d).select(F.col("pollutant"), "month_i", "fid", F.col("flux").alias("value"))
-    w = roads.road_weights(road_lines(spark, d), FINE)
-    return roads.to_roads(f, w, "pollutant", "month_i").withColumn("value", r("value", 4))
+    f = flux(spark, d).select("pollutant", F.make_date(F.lit(2024), "month_i", F.lit(1)).alias("ts"), F.lit(0).alias("lev"), "fid", F.col("flux").alias("value"))
+    out = jobs.grid_to_roads(f, road_lines(spark, d), FINE)
+    return out.select("link", "pollutant", F.month("ts").alias("month_i"), r("value", 4).alias("value"))
 
 
 @query()
@@ -970,3 +974,127 @@ def src_12_wide_inventory(spark, d):
 def srt_04_latest_year(spark, d):
     o = load(spark, d, "orders").select(F.col("o_orderstatus").alias("iso3"), F.year("o_orderdate").alias("year"))
     return speciation.latest_year(o, 2030).groupBy("iso3", "year").agg(F.count("*").alias("n"))
+
+
+# Point and fire jobs, logs and small tables --------------------------------------------------------
+
+_LEV = "CASE WHEN {h} <= 40 THEN 0 WHEN {h} <= 120 THEN 1 WHEN {h} <= 300 THEN 2 WHEN {h} <= 600 THEN 3 ELSE 0 END"
+_STACK_HOURS = f"""SELECT h AS hour_i, lev, fid, s.species, emis / area_m2 * 1e9 * s.fr * (CASE WHEN (h + tz_h + 24) % 24 BETWEEN 7 AND 18 THEN 1.5 ELSE 0.5 END) AS value
+ FROM (SELECT CAST(floor((lat + 90) / 10) * 36 + floor((lon + 180) / 10) AS BIGINT) AS fid, {_LEV.format(h="height_m")} AS lev, pollutant, sum(emis) AS emis FROM points GROUP BY 1, 2, 3) JOIN coarse USING (fid)
+ JOIN (VALUES ('F', 'CO', 1 / 28.0::DOUBLE), ('O', 'NO', 0.9 / 46.0::DOUBLE), ('O', 'NO2', 0.1 / 46.0::DOUBLE), ('P', 'SO2', 1 / 64.0::DOUBLE)) s(pollutant, species, fr) USING (pollutant), range(24) r(h)"""
+_FIRE_STEPS = """SELECT b.{step}, dst_fid AS fid, lev, pollutant, sum(flux * s.area_m2 * ([40, 80, 180, 300])[lev + 1] / ([40.0, 120.0, 300.0, 600.0])[top + 1]) / any_value(t.area_m2) AS flux
+ FROM (SELECT *, %s AS top FROM fire) b SEMI JOIN (SELECT DISTINCT {step}, src_fid FROM fire WHERE pollutant = 'click' AND flux > 0) c ON b.{step} = c.{step} AND b.src_fid = c.src_fid
+ JOIN w ON w.src_fid = b.src_fid JOIN cells s ON s.fid = b.src_fid JOIN coarse t ON t.fid = dst_fid, (VALUES (0), (1), (2), (3)) l(lev) WHERE lev <= top GROUP BY 1, 2, 3, 4""" % _LEV.format(h="height")
+_FIRES = "SELECT (user_id * 131) % 2592 AS src_fid, event_type AS pollutant, value AS flux, CAST(event_id % 650 AS DOUBLE) AS height, CAST(epoch(date_trunc('hour', ts)) / 3600 AS BIGINT) AS hour_no, CAST(epoch(date_trunc('day', ts)) / 3600 AS BIGINT) AS day_no FROM events"
+
+
+def stacks_by_hour(spark: SparkSession, d: str) -> DataFrame:
+    dst = cells(spark, COARSE)
+    steps = temporal.time_steps(spark, "2024-07-01", "hourly", 24)
+    calendar = temporal.with_calendar(temporal.local_calendar(dst.select("fid", F.format_string("GMT%+d", "tz_h").alias("tz")), steps), "local_ts")
+    by_hour = F.when(F.col("hour_i").between(7, 18), 1.5).otherwise(0.5)
+    p = points(spark, d).withColumn("emis", F.col("emis") * 1e9)
+    return jobs.stack_inventory(p, COARSE, dst, TOPS, calendar, by_hour, {"F": 28.0, "O": 46.0, "P": 64.0}, {"CO": "F", "NO": "0.9*O", "NO2": "0.1*O", "SO2": "P"})
+
+
+def fires_by(spark: SparkSession, d: str, step: str) -> DataFrame:
+    f = fires(spark, d).withColumn("ts", F.date_trunc(step, "ts"))
+    return jobs.fire_inventory(f, cells(spark), cells(spark, COARSE), COARSE, TOPS, "click")
+
+
+@query(with_views("SELECT hour_i, lev, fid, species, round(value, 4) AS value FROM hours WHERE value <> 0", "coarse", "points", hours=_STACK_HOURS))
+def job_02_stack_inventory(spark, d):
+    return stacks_by_hour(spark, d).select(F.hour("ts").alias("hour_i"), "lev", "fid", "species", r("value", 4).alias("value"))
+
+
+@query(with_views("SELECT day_no, fid, lev, pollutant, round(flux, 4) AS flux FROM steps", "cells", "coarse", "w", fire=_FIRES, steps=_FIRE_STEPS.format(step="day_no")))
+def job_03_daily_fires(spark, d):
+    return fires_by(spark, d, "day").select(hour_no().alias("day_no"), "fid", "lev", "pollutant", r("flux", 4).alias("flux"))
+
+
+@query(with_views("SELECT hour_no, fid, lev, pollutant, round(flux, 4) AS flux FROM steps", "cells", "coarse", "w", fire=_FIRES, steps=_FIRE_STEPS.format(step="hour_no")))
+def job_04_hourly_fires(spark, d):
+    return fires_by(spark, d, "hour").select(hour_no().alias("hour_no"), "fid", "lev", "pollutant", r("flux", 4).alias("flux"))
+
+
+@query(with_views("SELECT hour_i, lev, fid, species, round(sum(value), 3) AS value FROM (SELECT * FROM hours WHERE value <> 0 UNION ALL SELECT hour_no % 24, lev, fid, 'CO', flux FROM steps WHERE pollutant = 'click') GROUP BY 1, 2, 3, 4", "cells", "coarse", "points", "w", hours=_STACK_HOURS, fire=_FIRES, steps=_FIRE_STEPS.format(step="hour_no")))
+def job_05_all_inventories(spark, d):
+    """Stacks and fires of a cross table as one sum, at the hours of a model day."""
+    burnt = fires_by(spark, d, "hour").where("pollutant = 'click'")
+    day = F.to_timestamp(F.lit("2024-07-01"))
+    burnt = burnt.select(F.timestamp_add("HOUR", F.hour("ts"), day).alias("ts"), "lev", "fid", F.lit("CO").alias("species"), F.col("flux").alias("value"))
+    out = jobs.combine(stacks_by_hour(spark, d), burnt)
+    return out.select(F.hour("ts").alias("hour_i"), "lev", "fid", "species", r("value", 3).alias("value"))
+
+
+def timer_names(log: DataFrame) -> DataFrame:
+    """Old timers under new names: two of them are one timer now."""
+    new = F.when(F.col("subsection") == "R", "mask").otherwise("rescale")
+    return log.select("section", "subsection").distinct().select(F.col("section").alias("old_section"), F.col("subsection").alias("old_subsection"), F.lit("grid").alias("section"), new.alias("subsection"), F.when(F.col("subsection") == "N", -0.25).otherwise(1.0).alias("sign"))
+
+
+_MAPPED = "SELECT replication, processes, 'grid' AS section, CASE subsection WHEN 'R' THEN 'mask' ELSE 'rescale' END AS subsection, greatest(sum(value * CASE subsection WHEN 'N' THEN -0.25 ELSE 1.0 END), 0) AS value FROM log GROUP BY 1, 2, 3, 4"
+
+
+@query(with_views("SELECT replication, processes, section, subsection, round(value, 4) AS value FROM mapped", log=_LOG, mapped=_MAPPED))
+def src_24_legacy_timers(spark, d):
+    log = run_log(spark, d)
+    return runlog.map_legacy(log, timer_names(log)).withColumn("value", r("value", 4))
+
+
+@query(with_views("""SELECT m.section, m.subsection, m.processes, round(m.value, 4) AS value, m.kept, m.removed, round(o.value / m.value, 6) AS speedup, round(o.value / m.value / m.processes, 6) AS efficiency
+ FROM means m LEFT JOIN (SELECT * FROM means WHERE processes = 1) o USING (section, subsection)""", log=_LOG, mapped=_MAPPED, means="""SELECT section, subsection, processes, avg(CASE WHEN ok THEN value END) AS value, CAST(count_if(ok) AS BIGINT) AS kept, CAST(count_if(NOT ok) AS BIGINT) AS removed
+ FROM (SELECT *, n < 4 OR b = a OR value BETWEEN a - 1.5 * (b - a) AND b + 1.5 * (b - a) AS ok FROM (SELECT *, count(*) OVER w AS n, quantile_cont(value, 0.25) OVER w AS a, quantile_cont(value, 0.75) OVER w AS b FROM mapped WINDOW w AS (PARTITION BY section, subsection, processes))) GROUP BY 1, 2, 3"""))
+def job_17_log_analysis(spark, d):
+    log = run_log(spark, d)
+    out = jobs.analyse_log(log, timer_names(log))
+    return out.select("section", "subsection", "processes", r("value", 4).alias("value"), "kept", "removed", r("speedup").alias("speedup"), r("efficiency").alias("efficiency"))
+
+
+@query("""SELECT processes, phase, round(sum(value), 4) AS value FROM (SELECT *, max(CASE WHEN subsection <> 'N' THEN 1 ELSE 0 END) OVER (PARTITION BY processes, section) AS detail FROM (SELECT l_linestatus AS section, l_returnflag AS subsection, CAST(1 + l_suppkey % 3 AS INTEGER) AS processes, CASE l_returnflag WHEN 'R' THEN 'write' ELSE 'compute' END AS phase, sum(l_quantity) AS value FROM lineitem GROUP BY 1, 2, 3, 4)) WHERE subsection <> 'N' OR detail = 0 GROUP BY 1, 2""")
+def agg_19_phases(spark, d):
+    li = load(spark, d, "lineitem")
+    log = li.groupBy(F.col("l_linestatus").alias("section"), F.col("l_returnflag").alias("subsection"), (F.col("l_suppkey") % 3 + 1).cast("int").alias("processes")).agg(F.sum("l_quantity").alias("value"))
+    phases = log.select("section", "subsection").distinct().select("section", "subsection", F.when(F.col("subsection") == "R", "write").otherwise("compute").alias("phase"), (F.col("subsection") == "N").alias("skip_if_detail"))
+    return runlog.summarize(log, phases).withColumn("value", r("value", 4))
+
+
+@query("SELECT id, count(*) AS n, count(*) AS different FROM (SELECT DISTINCT l_partkey % 200 AS id, month(l_shipdate) - 1 AS bucket, l_suppkey % 3 AS fid FROM lineitem) GROUP BY 1 HAVING count(*) <> 36")
+def src_05_incomplete_profiles(spark, d):
+    profile = load(spark, d, "lineitem").select((F.col("l_partkey") % 200).alias("id"), (F.month("l_shipdate") - 1).alias("bucket"), (F.col("l_suppkey") % 3).alias("fid")).distinct()
+    return readers.check_gridded_profile(profile, 3, 12)
+
+
+@query("SELECT row, col, value FROM (SELECT l_partkey % 100 AS row, l_suppkey % 50 AS col, sum(l_quantity) AS value, max(l_linenumber) AS kind FROM lineitem GROUP BY 1, 2) WHERE kind IN (5, 6)")
+def src_20_masked_raster(spark, d):
+    px = load(spark, d, "lineitem").groupBy((F.col("l_partkey") % 100).alias("row"), (F.col("l_suppkey") % 50).alias("col"))
+    return regrid.masked_raster(px.agg(F.sum("l_quantity").alias("value")), px.agg(F.max("l_linenumber").alias("value")), [5, 6])
+
+
+@query("SELECT CAST(year(l_shipdate) AS INTEGER) AS Year, CAST(month(l_shipdate) AS INTEGER) AS Mon, CAST(day(l_shipdate) AS INTEGER) AS Day, CAST(dayofyear(l_shipdate) AS INTEGER) AS JDay, 0 AS Hr, " + ", ".join(f"sum(CASE WHEN l_suppkey % 4 = {k} THEN l_quantity END) AS L_{k:07d}" for k in range(4)) + " FROM lineitem GROUP BY 1, 2, 3, 4")
+def snk_08_wide_links(spark, d):
+    links = load(spark, d, "lineitem").select(F.col("l_shipdate").cast("timestamp").alias("ts"), (F.col("l_suppkey") % 4).alias("link"), F.col("l_quantity").alias("value"))
+    return roads.wide_links(links, [0, 1, 2, 3])
+
+
+@query("SELECT l_partkey AS fid, l_suppkey AS link, count(*) AS count FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
+def snk_10_repeated_keys(spark, d):
+    return roads.repeated_keys(load(spark, d, "lineitem").select(F.col("l_partkey").alias("fid"), F.col("l_suppkey").alias("link")))
+
+
+@query(with_views("SELECT fid, printf('POLYGON ((%.6f %.6f, %.6f %.6f, %.6f %.6f, %.6f %.6f, %.6f %.6f))', lon_min, lat_min, lon_max, lat_min, lon_max, lat_max, lon_min, lat_max, lon_min, lat_min) AS wkt, p0, p1, p2, p3 FROM cells JOIN (SELECT fid, " + ", ".join(f"sum(CASE WHEN pollutant = {k} THEN flux END) AS p{k}" for k in range(4)) + " FROM flux GROUP BY 1) USING (fid)", "cells", "flux"))
+def snk_12_cell_polygons(spark, d):
+    f = flux(spark, d).groupBy("fid", F.concat(F.lit("p"), "pollutant").alias("variable")).agg(F.sum("flux").alias("value"))
+    return sinks.cell_polygons(f, cells(spark), ["p0", "p1", "p2", "p3"])
+
+
+@query("SELECT src_fid, dst_fid, CAST(row_number() OVER (PARTITION BY dst_fid ORDER BY src_fid) - 1 AS INTEGER) AS number FROM (SELECT DISTINCT l_partkey AS src_fid, l_partkey % 97 AS dst_fid FROM lineitem)")
+def win_04_numbered_contributions(spark, d):
+    w = load(spark, d, "lineitem").select(F.col("l_partkey").alias("src_fid"), (F.col("l_partkey") % 97).alias("dst_fid")).distinct()
+    return stats.number_contributions(w)
+
+
+@query("SELECT o_custkey, o_orderkey, o_totalprice, CAST(rank AS INTEGER) AS rank FROM (SELECT o_custkey, o_orderkey, o_totalprice, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rank FROM orders) WHERE rank <= 3")
+def srt_03_top_by_group(spark, d):
+    o = load(spark, d, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
+    return stats.top_k(o, 3, ["o_custkey"], F.desc("o_totalprice"), F.col("o_orderkey"))
