@@ -1036,10 +1036,10 @@ def timer_names(log: DataFrame) -> DataFrame:
 _MAPPED = "SELECT replication, processes, 'grid' AS section, CASE subsection WHEN 'R' THEN 'mask' ELSE 'rescale' END AS subsection, greatest(sum(value * CASE subsection WHEN 'N' THEN -0.25 ELSE 1.0 END), 0) AS value FROM log GROUP BY 1, 2, 3, 4"
 
 
-@query(with_views("SELECT replication, processes, section, subsection, round(value, 4) AS value FROM mapped", log=_LOG, mapped=_MAPPED))
+@query(with_views("SELECT replication, processes, section, subsection, round(value, 8) AS value FROM mapped", log=_LOG, mapped=_MAPPED))
 def src_24_legacy_timers(spark, d):
     log = run_log(spark, d)
-    return runlog.map_legacy(log, timer_names(log)).withColumn("value", r("value", 4))
+    return runlog.map_legacy(log, timer_names(log)).withColumn("value", r("value", 8))
 
 
 @query(with_views("""SELECT m.section, m.subsection, m.processes, round(m.value, 4) AS value, m.kept, m.removed, round(o.value / m.value, 6) AS speedup, round(o.value / m.value / m.processes, 6) AS efficiency
