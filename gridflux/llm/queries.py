@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridflux.llm import bpe, fingerprint, line_dedup, minhash, packing, quality_classifier, quality_rules, token_store, toxicity, url_rules
+from gridflux.llm import bpe, decontaminate, fingerprint, line_dedup, merkle_manifest, minhash, packing, quality_classifier, quality_rules, token_store, toxicity, url_rules, whitening
 from gridflux.llm.common import table
 
 
@@ -51,6 +51,18 @@ def op10_bagminhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.classes(table(spark, sf_dir, "documents"))
 
 
+def op11_jacobi_davidson_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_components(table(spark, sf_dir, "embeddings"))
+
+
+def op12_fm_index_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.verify_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -64,6 +76,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_rules,
         op9_line_dedup,
         op10_bagminhash_classes,
+        op11_jacobi_davidson_whitening,
+        op12_fm_index_decontamination,
+        op13_merkle_manifest,
     )
 }
-ORACLE_SQL: dict[str, str] = {"op8_quality_rules": quality_rules.JUDGE_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op8_quality_rules": quality_rules.JUDGE_SQL,
+    "op12_fm_index_decontamination": decontaminate.CONTAMINATION_SQL,
+    "op13_merkle_manifest": merkle_manifest.VERIFY_SQL,
+}
