@@ -108,9 +108,9 @@ def lcc_to_lonlat(x: Column, y: Column, lat_1: float, lat_2: float, lat_0: float
 
 
 def lonlat_to_lcc(lon: Column, lat: Column, lat_1: float, lat_2: float, lat_0: float, lon_0: float) -> tuple[Column, Column]:
-    """GRD-06, GRD-23. Spherical Lambert conformal conic projection."""
+    """GRD-06, GRD-23. Spherical Lambert conformal conic projection; null at the pole that lies at infinity."""
     n, scale, rho_0 = _lcc(lat_1, lat_2, lat_0)
-    rho = scale / F.pow(F.tan(math.pi / 4 + F.radians(lat) / 2), F.lit(n))
+    rho = F.try_divide(F.lit(scale), F.pow(F.tan(math.pi / 4 + F.radians(lat) / 2), F.lit(n)))
     theta = n * F.radians(wrap_longitude(lon - lon_0))
     return rho * F.sin(theta), rho_0 - rho * F.cos(theta)
 

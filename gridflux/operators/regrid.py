@@ -1,14 +1,22 @@
-"""Regridding: weight tables (src_fid, dst_fid, weight) and their use (JON-04 to JON-16, JON-25)."""
+"""Regridding: weight tables (src_fid, dst_fid, weight) and their use (JON-04 to JON-16, JON-25).
+
+Two kinds of grids: ``RegularGrid`` in longitude and latitude, and ``ProjectedGrid`` in the coordinates of a
+projection. Either finds the cells that a ring's bounds reach by index arithmetic in its own
+coordinates, so no join is needed to find overlapping cells.
+"""
 
 from __future__ import annotations
 
-import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridflux.operators.grid import EARTH_RADIUS_M
+from gridflux.operators import grid as grids
+from gridflux.operators import polygons
+from gridflux.operators.grid import EARTH_RADIUS_M, equal_area_xy, wrap_longitude
+from gridflux.operators.nearest import candidates
 
 
 @dataclass(frozen=True)
@@ -37,6 +45,146 @@ class RegularGrid:
         first, last = F.greatest(F.floor((low - orig) / inc), F.lit(0)), F.least(F.ceil((high - orig) / inc) - 1, F.lit(n - 1))
         return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))
 
+    def windows(self, rows: DataFrame, name: str) -> DataFrame:
+        """Each row with ``ring`` (longitude, latitude) once for every cell that its bounds reach: the cell as
+        ``name`` and its ring as ``window``. Longitudes are not wrapped: what lies beyond the grid has no cell."""
+        b = polygons.with_bounds(rows)
+        b = b.withColumn("_row", F.explode(self.reached(F.col("ymin"), F.col("ymax"), "lat"))).withColumn("_col", F.explode(self.reached(F.col("xmin"), F.col("xmax"), "lon")))
+        x, y = self.lon_orig + F.col("_col") * self.inc_lon, self.lat_orig + F.col("_row") * self.inc_lat
+        cell = {name: (F.col("_row") * self.n_lon + F.col("_col")).cast("long"), "window": polygons.box(x, x + self.inc_lon, y, y + self.inc_lat)}
+        return b.withColumns(cell).drop("_row", "_col", "xmin", "xmax", "ymin", "ymax")
+
+
+@dataclass(frozen=True)
+class ProjectedGrid:
+    """Regular grid in projected coordinates, by its south-west edge, steps and counts. A cell is the
+    quadrilateral between its four corners' longitudes and latitudes."""
+
+    x_orig: float
+    y_orig: float
+    inc_x: float
+    inc_y: float
+    n_x: int
+    n_y: int
+    to_lonlat: Callable[[Column, Column], tuple[Column, Column]]
+    from_lonlat: Callable[[Column, Column], tuple[Column, Column]]
+
+    @staticmethod
+    def rotated(centre_lat: float, centre_lon: float, west: float, south: float, inc_rlat: float, inc_rlon: float) -> ProjectedGrid:
+        """GRD-04. Rotated pole: ``west`` and ``south`` are the first centres, as many cells on both sides of 0."""
+        n_y, n_x = int(abs(south) / inc_rlat * 2 + 1), int(abs(west) / inc_rlon * 2 + 1)
+        there, back = (lambda x, y: grids.rotated_to_lonlat(x, y, centre_lon, centre_lat)), (lambda x, y: grids.lonlat_to_rotated(x, y, centre_lon, centre_lat))
+        return ProjectedGrid(west - inc_rlon / 2, south - inc_rlat / 2, inc_rlon, inc_rlat, n_x, n_y, there, back)
+
+    @staticmethod
+    def lambert(lat_1: float, lat_2: float, lat_0: float, lon_0: float, n_x: int, n_y: int, inc_x: float, inc_y: float, x_0: float, y_0: float) -> ProjectedGrid:
+        """GRD-06. Lambert conformal conic."""
+        there, back = (lambda x, y: grids.lcc_to_lonlat(x, y, lat_1, lat_2, lat_0, lon_0)), (lambda x, y: grids.lonlat_to_lcc(x, y, lat_1, lat_2, lat_0, lon_0))
+        return ProjectedGrid(x_0, y_0, inc_x, inc_y, n_x, n_y, there, back)
+
+    @staticmethod
+    def mercator(lat_ts: float, lon_0: float, n_x: int, n_y: int, inc_x: float, inc_y: float, x_0: float, y_0: float) -> ProjectedGrid:
+        """GRD-07. Mercator."""
+        there, back = (lambda x, y: grids.mercator_to_lonlat(x, y, lat_ts, lon_0)), (lambda x, y: grids.lonlat_to_mercator(x, y, lat_ts, lon_0))
+        return ProjectedGrid(x_0, y_0, inc_x, inc_y, n_x, n_y, there, back)
+
+    @staticmethod
+    def azimuthal(lat_0: float, lon_0: float, n_x: int, n_y: int, inc_x: float, inc_y: float, x_0: float, y_0: float) -> ProjectedGrid:
+        """GRD-08. Lambert azimuthal equal-area."""
+        there, back = (lambda x, y: grids.laea_to_lonlat(x, y, lat_0, lon_0)), (lambda x, y: grids.lonlat_to_laea(x, y, lat_0, lon_0))
+        return ProjectedGrid(x_0, y_0, inc_x, inc_y, n_x, n_y, there, back)
+
+    def cells(self, spark: SparkSession) -> DataFrame:
+        return grids.projected_cells(spark, self.n_x, self.n_y, self.inc_x, self.inc_y, self.x_orig, self.y_orig, self.to_lonlat)
+
+    def owner(self, lon: Column, lat: Column) -> Column:
+        """JON-07. The one cell of a point, half-open in the grid's own coordinates."""
+        x, y = self.from_lonlat(lon, lat)
+        col, row = F.floor((x - self.x_orig) / self.inc_x), F.floor((y - self.y_orig) / self.inc_y)
+        return F.when(row.between(0, self.n_y - 1) & col.between(0, self.n_x - 1), (row * self.n_x + col).cast("long"))
+
+    def windows(self, rows: DataFrame, name: str) -> DataFrame:
+        """As ``RegularGrid.windows``. A ring's edges may bend in the grid's coordinates: bounds are taken over
+        eight points of each edge, and widened by a cell and a sixteenth of their span. A window's
+        longitudes go on from the ring's, so rings and cells meet across the seam. Rings that hold a
+        pole of the projection aren't found there, corners at infinity don't count for the bounds."""
+        n = F.size("ring")
+        along = F.transform(F.sequence(F.lit(0), n * 8 - 1), lambda i: F.struct(_between(i, "x", n).alias("x"), _between(i, "y", n).alias("y")))
+        native = F.transform("_edge", lambda p: F.struct(*(c.alias(a) for a, c in zip("xy", self.from_lonlat(p["x"], p["y"])))))
+        b = rows.withColumn("_edge", along).withColumn("_edge", native)
+        b = b.withColumn("_col", F.explode(_span("x", self.x_orig, self.inc_x, self.n_x))).withColumn("_row", F.explode(_span("y", self.y_orig, self.inc_y, self.n_y)))
+        x, y = self.x_orig + (F.col("_col") + 0.5) * self.inc_x, self.y_orig + (F.col("_row") + 0.5) * self.inc_y
+        ring = grids.corner_ring(x, y, self.inc_x, self.inc_y, self.to_lonlat)
+        near, corner = F.element_at("ring", 1)["x"], F.element_at(ring, 1)["x"]
+        window = F.transform(ring, lambda p: F.struct((near + wrap_longitude(corner - near) + wrap_longitude(p["x"] - corner)).alias("x"), p["y"].alias("y")))
+        return b.withColumns({name: (F.col("_row") * self.n_x + F.col("_col")).cast("long"), "window": window}).drop("_edge", "_row", "_col")
+
+
+def _between(i: Column, axis: str, n: Column) -> Column:
+    """A coordinate of the i-th of eight points on each edge of ``ring``."""
+    a, b = F.get("ring", F.floor(i / 8).cast("int"))[axis], F.get("ring", ((F.floor(i / 8) + 1) % n).cast("int"))[axis]
+    return a + (b - a) * (i % 8) / 8
+
+
+def _span(axis: str, orig: float, inc: float, n: int) -> Column:
+    """Indexes that ``_edge`` reaches along an axis; what can't be projected reaches all."""
+    v = F.transform("_edge", lambda p: F.when(F.isnan(p[axis]), None).otherwise(p[axis]))
+    low, high = (F.array_min(v) - orig) / inc, (F.array_max(v) - orig) / inc
+    wide = 1 + (high - low) / 16
+    clamp = lambda c, other: F.when(c.isNull() | F.isnan(c), F.lit(other)).otherwise(F.least(F.greatest(c, F.lit(-1.0)), F.lit(float(n)))).cast("long")
+    first, last = F.greatest(clamp(F.floor(low - wide), 0), F.lit(0)), F.least(clamp(F.floor(high + wide), n - 1), F.lit(n - 1))
+    return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))
+
+
+def equal_area_ring(ring: str | Column) -> Column:
+    """A ring of longitudes and latitudes in the equal-area plane."""
+    return F.transform(ring, lambda p: F.struct(*(c.alias(a) for a, c in zip("xy", equal_area_xy(p["x"], p["y"])))))
+
+
+def lonlat_ring(ring: str | Column) -> Column:
+    """A ring of the equal-area plane in longitude and latitude."""
+    up = lambda p: F.degrees(F.asin(F.least(F.greatest(p["y"] / EARTH_RADIUS_M, F.lit(-1.0)), F.lit(1.0))))
+    return F.transform(ring, lambda p: F.struct(F.degrees(p["x"] / EARTH_RADIUS_M).alias("x"), up(p).alias("y")))
+
+
+def within_cells(rows: DataFrame, grid: RegularGrid | ProjectedGrid, name: str, area: str, whole: str | None = None) -> DataFrame:
+    """Rows with ``ring`` (longitude, latitude) cut along a grid: a row for each cell with some of its area,
+    which is taken in the equal-area plane; ``ring`` is what lies within the cell."""
+    pairs = grid.windows(rows, name).withColumns({"ring": equal_area_ring("ring"), "window": equal_area_ring("window")})
+    return polygons.clipped(pairs, area=area, whole=whole).where(F.col(area) > 0).withColumn("ring", lonlat_ring("ring"))
+
+
+def overlap_weights(src: DataFrame, grid: RegularGrid | ProjectedGrid) -> DataFrame:
+    """JON-04, for cells or targets of any shape: share of each source cell's area in each destination cell,
+    in the equal-area plane. src: fid and ring, or a lat-lon box."""
+    c = F.col
+    ring = c("ring") if "ring" in src.columns else polygons.box(c("lon_min"), c("lon_max"), c("lat_min"), c("lat_max"))
+    parts = within_cells(src.select(c("fid").alias("src_fid"), ring.alias("ring")), grid, "dst_fid", "area", "whole")
+    return parts.select("src_fid", "dst_fid", (c("area") / c("whole")).alias("weight")).where("weight > 1e-12")
+
+
+def polygons_proxy(layer: DataFrame, src: RegularGrid | ProjectedGrid, dst: RegularGrid | ProjectedGrid, weight: str = "weight") -> DataFrame:
+    """JON-12, WIN-02. Weights from polygons (signed rings with a weight): within a source cell its mass is
+    dealt by weight * equal-area size of the parts there, each part by area among the destination cells it
+    reaches. What lies outside all destination cells is lost, as in the plain regrid."""
+    rows = polygons.signed(layer).select("ring", "sign", F.col(weight).alias("_w")).where((F.col("_w") > 0) & ~F.isnan("_w") & (F.col("_w") != float("inf")))
+    return _dealt(*_polygon_parts(rows, src, dst))
+
+
+def _polygon_parts(rows: DataFrame, src, dst) -> tuple[DataFrame, DataFrame]:
+    """Signed parts of polygons: by source cell, and by source and destination cell."""
+    mine = within_cells(rows, src, "src_fid", "_a")
+    by_src = mine.select("src_fid", (F.col("sign") * F.col("_w") * F.col("_a")).alias("part"))
+    shared = within_cells(mine.drop("_a"), dst, "dst_fid", "_a")
+    return by_src, shared.select("src_fid", "dst_fid", (F.col("sign") * F.col("_w") * F.col("_a")).alias("part"))
+
+
+def _dealt(by_src: DataFrame, shared: DataFrame) -> DataFrame:
+    """Parts of source and destination cells over all parts of the source cell."""
+    total = by_src.groupBy("src_fid").agg(F.sum("part").alias("total")).where("total > 0")
+    pairs = shared.groupBy("src_fid", "dst_fid").agg(F.sum("part").alias("part"))
+    return pairs.join(total, "src_fid").select("src_fid", "dst_fid", (F.col("part") / F.col("total")).alias("weight")).where("weight > 1e-12")
+
 
 def owned_points(points: DataFrame, grid: RegularGrid, name: str = "fid") -> DataFrame:
     """JON-07, JON-08. Points with the cell that owns them; those outside get null."""
@@ -181,15 +329,18 @@ def planar_length(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
     return F.sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1))
 
 
-def mixed_proxy(points: DataFrame, lines: DataFrame, boxes: DataFrame, src: RegularGrid, dst: RegularGrid) -> DataFrame:
-    """JON-13. One pool of points (weight), lines (weight * planar length) and boxes (weight * area)."""
+def mixed_proxy(points: DataFrame, lines: DataFrame, layer: DataFrame, src: RegularGrid, dst: RegularGrid) -> DataFrame:
+    """JON-13. One pool of points (weight), lines (weight * planar length) and polygons (weight * planar area
+    of the signed rings), all in degrees: lines and areas of one plane count against each other."""
     p = points.select(src.owner(F.col("lon"), F.col("lat")).alias("src_fid"), dst.owner(F.col("lon"), F.col("lat")).alias("dst_fid"), F.col("weight").alias("part"))
     pieces = cut_segments(cut_segments(segments(lines), src, "src_fid"), dst, "dst_fid")
     ln = pieces.select("src_fid", "dst_fid", (F.col("weight") * planar_length(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"))).alias("part"))
-    area = (F.col("lon_max") - F.col("lon_min")) * (F.col("lat_max") - F.col("lat_min"))
-    bx = _cut_boxes(_cut_boxes(boxes.withColumn("part", F.col("weight") * area), src, "src_fid", "part"), dst, "dst_fid", "part").select("src_fid", "dst_fid", "part")
-    parts = p.unionByName(ln).unionByName(bx).where("src_fid IS NOT NULL AND dst_fid IS NOT NULL").groupBy("src_fid", "dst_fid").agg(F.sum("part").alias("part"))
-    return normalise_parts(parts).select("src_fid", "dst_fid", "weight")
+    rings = polygons.signed(layer).select("ring", "sign", "weight")
+    mine = polygons.clipped(src.windows(rings, "src_fid"), area="_a").where("_a > 0").drop("_a")
+    both = polygons.clipped(dst.windows(mine, "dst_fid"), area="_a").where("_a > 0")
+    pg = both.select("src_fid", "dst_fid", (F.col("sign") * F.col("weight") * F.col("_a")).alias("part"))
+    parts = p.unionByName(ln).unionByName(pg).where("src_fid IS NOT NULL AND dst_fid IS NOT NULL").groupBy("src_fid", "dst_fid").agg(F.sum("part").alias("part"))
+    return normalise_parts(parts.where("part > 0")).select("src_fid", "dst_fid", "weight")
 
 
 def priority_weights(cells: DataFrame, proxies: list[DataFrame], grid: RegularGrid) -> DataFrame:
@@ -212,45 +363,19 @@ def ecef(lon: Column, lat: Column) -> tuple[Column, Column, Column]:
     return n * F.cos(phi) * F.cos(lam), n * F.cos(phi) * F.sin(lam), n * (1 - e2) * F.sin(phi)
 
 
-def nearest_neighbours(src: DataFrame, dst: DataFrame, k: int = 4, tile_deg: float = 5.0) -> DataFrame:
-    """JON-06, WIN-07. The k nearest source points of each destination by chord distance, weights
-    1 / distance (at least 1 m) normalised to 1; src: fid, lon, lat; dst: fid, lon, lat.
-
-    Sources are looked up in the 3 x 3 x 3 cubes around a destination. One that doesn't find k
-    within a cube's side goes on with cubes twice as wide, until one cube holds the Earth.
-    """
-    side, done, rest = 2 * EARTH_RADIUS_M * math.sin(math.radians(tile_deg) / 2), None, _with_ecef(dst, "dst_fid", "d")
-    src = _with_ecef(src, "src_fid", "s")
-    while True:
-        found = _in_cubes(src, rest, side, k)
-        last = side >= 4 * EARTH_RADIUS_M
-        full = found if last else found.where(F.col("_kth") <= side)
-        done = full.drop("_kth") if done is None else done.unionByName(full.drop("_kth"))
-        if last:
-            break
-        rest = rest.join(full.select("dst_fid").distinct(), "dst_fid", "left_anti")
-        if rest.isEmpty():
-            break
-        side *= 4
-    total = F.sum("inverse").over(Window.partitionBy("dst_fid"))
-    return done.withColumn("weight", F.col("inverse") / total).select("src_fid", "dst_fid", "distance", "weight")
+def nearest_neighbours(src: DataFrame, dst: DataFrame, k: int = 4) -> DataFrame:
+    """JON-06, WIN-07. The k nearest source points of each destination by chord distance, the lower id of
+    equal ones, weights 1 / distance (at least 1 m) normalised to 1; src: fid, lon, lat; dst: fid, lon, lat.
+    Candidates come from ``nearest.candidates`` in geocentric coordinates."""
+    s = _with_ecef(src, "src_fid", "at_").withColumns({f"{e}_{a}": F.col(f"at_{a}") for e in ("lo", "hi") for a in "xyz"})
+    near = candidates(_with_ecef(dst, "dst_fid", ""), s, "xyz", k, ["src_fid", "at_x", "at_y", "at_z"])
+    gap = F.sqrt(sum(((F.col(f"at_{c}") - F.col(c)) * (F.col(f"at_{c}") - F.col(c)) for c in "xyz"), F.lit(0.0)))
+    rank = F.row_number().over(Window.partitionBy("dst_fid").orderBy("distance", "src_fid"))
+    best = near.select("src_fid", "dst_fid", F.greatest(gap, F.lit(1.0)).alias("distance")).withColumn("_rank", rank).where(F.col("_rank") <= k)
+    inverse = 1 / F.col("distance")
+    return best.select("src_fid", "dst_fid", "distance", (inverse / F.sum(inverse).over(Window.partitionBy("dst_fid"))).alias("weight"))
 
 
 def _with_ecef(points: DataFrame, name: str, p: str) -> DataFrame:
     x, y, z = ecef(F.col("lon"), F.col("lat"))
     return points.select(F.col("fid").alias(name), x.alias(f"{p}x"), y.alias(f"{p}y"), z.alias(f"{p}z"))
-
-
-def _in_cubes(src: DataFrame, dst: DataFrame, side: float, k: int) -> DataFrame:
-    cube = lambda c: F.floor(F.col(c) / side)
-    around = lambda c: F.explode(F.sequence(cube(c) - 1, cube(c) + 1))
-    s = src.withColumns({"cx": cube("sx"), "cy": cube("sy"), "cz": cube("sz")})
-    d = dst
-    for c, v in (("cx", "dx"), ("cy", "dy"), ("cz", "dz")):
-        d = d.withColumn(c, around(v))
-    pairs = d.join(s, ["cx", "cy", "cz"])
-    gap = F.sqrt(sum((F.col(f"s{c}") - F.col(f"d{c}")) * (F.col(f"s{c}") - F.col(f"d{c}")) for c in "xyz"))
-    near = Window.partitionBy("dst_fid").orderBy("distance", "src_fid")
-    ranked = pairs.select("src_fid", "dst_fid", F.greatest(gap, F.lit(1.0)).alias("distance")).withColumn("_rank", F.row_number().over(near)).where(F.col("_rank") <= k)
-    kth = F.max(F.when(F.col("_rank") == k, F.col("distance"))).over(Window.partitionBy("dst_fid"))
-    return ranked.withColumn("_kth", kth).select("src_fid", "dst_fid", "distance", (1 / F.col("distance")).alias("inverse"), "_kth")

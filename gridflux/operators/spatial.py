@@ -1,32 +1,23 @@
 """Joins of cells with vector layers (JON-01 to JON-03, JON-18, JON-23, JON-24, JON-26, SET-04, SRC-16).
 
-A layer is a table feature_id, attributes and ring (array of (x, y), convex where areas are cut),
-one row for each part of a feature. Tiles of fixed size turn each spatial join into an equi-join.
+A layer has a row for each ring of its features: attributes, ring (array of (x, y)) and sign (1: shell, -1:
+hole; without it all are shells), as in ``polygons``. Rings may be concave; cells are boxes or convex rings.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def with_bounds(layer: DataFrame) -> DataFrame:
-    """xmin, xmax, ymin and ymax of each ring."""
-    xs, ys = F.transform("ring", lambda p: p["x"]), F.transform("ring", lambda p: p["y"])
-    return layer.withColumns({"xmin": F.array_min(xs), "xmax": F.array_max(xs), "ymin": F.array_min(ys), "ymax": F.array_max(ys)})
+from gridflux.operators import polygons
+from gridflux.operators.nearest import candidates
+from gridflux.operators.polygons import shifted, shoelace, signed, tile_size, with_bounds
 
 
 def prepare_layer(layer: DataFrame, columns: list[str], xmin: float, xmax: float, ymin: float, ymax: float) -> DataFrame:
-    """SRC-16. Layer with the wanted columns and the parts that touch a box."""
-    near = with_bounds(layer).where((F.col("xmax") >= xmin) & (F.col("xmin") <= xmax) & (F.col("ymax") >= ymin) & (F.col("ymin") <= ymax))
-    return near.select(*columns, "ring", "xmin", "xmax", "ymin", "ymax")
-
-
-def _tiles(low: Column, high: Column, size: float) -> Column:
-    return F.sequence(F.floor(low / size), F.floor(high / size))
+    """SRC-16. Layer with the wanted columns and the rings that touch a box."""
+    near = with_bounds(signed(layer)).where((F.col("xmax") >= xmin) & (F.col("xmin") <= xmax) & (F.col("ymax") >= ymin) & (F.col("ymin") <= ymax))
+    return near.select(*columns, "ring", "sign", "xmin", "xmax", "ymin", "ymax")
 
 
 def contains(ring: Column, x: Column, y: Column) -> Column:
@@ -41,18 +32,19 @@ def contains(ring: Column, x: Column, y: Column) -> Column:
     return hits % 2 == 1
 
 
-def centroid_join(points: DataFrame, layer: DataFrame, attribute: str, tile: float = 10.0) -> DataFrame:
-    """JON-02. Attribute of the polygon that holds each point (fid, lon, lat); null outside, the least
-    attribute where several do."""
-    tiled = with_bounds(layer).withColumn("tx", F.explode(_tiles(F.col("xmin"), F.col("xmax"), tile))).withColumn("ty", F.explode(_tiles(F.col("ymin"), F.col("ymax"), tile)))
-    p = points.select("fid", "lon", "lat", F.floor(F.col("lon") / tile).alias("tx"), F.floor(F.col("lat") / tile).alias("ty"))
-    found = p.join(tiled.select(attribute, "ring", "xmin", "xmax", "ymin", "ymax", "tx", "ty"), ["tx", "ty"])
-    found = found.where(F.col("lon").between(F.col("xmin"), F.col("xmax")) & F.col("lat").between(F.col("ymin"), F.col("ymax"))).where(contains(F.col("ring"), F.col("lon"), F.col("lat")))
-    return points.join(found.groupBy("fid").agg(F.min(attribute).alias(attribute)), "fid", "left")
+def centroid_join(points: DataFrame, layer: DataFrame, attribute: str, tile: float | None = None) -> DataFrame:
+    """JON-02. Attribute of the polygon that holds each point (fid, lon, lat); null outside and in holes, the
+    least attribute where several do. Tiles follow from the layer's number and size of rings; a feature
+    holds a point if more of its shells than of its holes do."""
+    bounded = with_bounds(signed(layer))
+    p = points.select("fid", "lon", "lat", *(F.col(c).alias(b) for b, c in (("cxmin", "lon"), ("cxmax", "lon"), ("cymin", "lat"), ("cymax", "lat"))))
+    found = polygons.touching(bounded.select(attribute, "ring", "sign", "xmin", "xmax", "ymin", "ymax"), p, tile or tile_size(bounded, target=16))
+    holds = found.where(contains(F.col("ring"), F.col("lon"), F.col("lat"))).groupBy("fid", attribute).agg(F.sum("sign").alias("n")).where("n > 0")
+    return points.join(holds.groupBy("fid").agg(F.min(attribute).alias(attribute)), "fid", "left")
 
 
 def ring_distance(ring: Column, x: Column, y: Column) -> Column:
-    """Planar distance from a point to a ring, 0 inside."""
+    """Planar distance from a point to a ring's line."""
     n = F.size(ring)
 
     def gap(i: Column) -> Column:
@@ -62,65 +54,47 @@ def ring_distance(ring: Column, x: Column, y: Column) -> Column:
         t = F.least(F.greatest(t, F.lit(0.0)), F.lit(1.0))
         return F.sqrt(F.pow(a["x"] + t * dx - x, F.lit(2)) + F.pow(a["y"] + t * dy - y, F.lit(2)))
 
-    return F.when(contains(ring, x, y), F.lit(0.0)).otherwise(F.array_min(F.transform(F.sequence(F.lit(0), n - 1), gap)))
+    return F.array_min(F.transform(F.sequence(F.lit(0), n - 1), gap))
 
 
-def nearest_join(points: DataFrame, layer: DataFrame, attribute: str, tile: float = 10.0, widest: float = 400.0) -> DataFrame:
-    """JON-01. Attribute of the nearest polygon of each point (fid, lon, lat), the least of equal ones;
+def nearest_join(points: DataFrame, layer: DataFrame, attribute: str, period: float | None = 360.0) -> DataFrame:
+    """JON-01. Attribute of the nearest feature of each point (fid, lon, lat), the least of equal ones;
     distances are compared to nine decimals, so summing orders can't tell equal ones apart.
 
-    A point looks at the layer within one tile around it; one that finds none nearer than a tile
-    goes on with tiles four times as wide, at last ones that span the plane.
+    Distance is planar, 0 within a feature and to the line of a hole within that. Longitudes come round
+    after ``period``: a point looks across the seam too. Candidates come from ``nearest.candidates``.
     """
-    bounded, rest, done = with_bounds(layer), points.select("fid", "lon", "lat"), None
-    while True:
-        last = tile >= widest
-        tiled = bounded.withColumn("tx", F.explode(_tiles(F.col("xmin") - tile, F.col("xmax") + tile, tile))).withColumn("ty", F.explode(_tiles(F.col("ymin") - tile, F.col("ymax") + tile, tile)))
-        p = rest.withColumns({"tx": F.floor(F.col("lon") / tile), "ty": F.floor(F.col("lat") / tile)})
-        found = p.join(tiled.select(F.col(attribute), "ring", "tx", "ty"), ["tx", "ty"]).withColumn("distance", F.round(ring_distance(F.col("ring"), F.col("lon"), F.col("lat")), 9))
-        best = found.groupBy("fid").agg(F.min(F.struct("distance", attribute)).alias("b")).select("fid", "b.*")
-        best = best if last else best.where(F.col("distance") <= tile)
-        done = best if done is None else done.unionByName(best)
-        if last:
-            return points.join(done, "fid", "left")
-        rest, tile = rest.join(best.select("fid"), "fid", "left_anti"), min(tile * 4, widest)
-
-
-def clip_area(ring: list, x0: float, x1: float, y0: float, y1: float) -> float:
-    """Planar area of a convex ring within a rectangle."""
-    points = [(p["x"], p["y"]) for p in ring]
-    for axis, limit, keep_low in ((0, x0, False), (0, x1, True), (1, y0, False), (1, y1, True)):
-        cut = []
-        for a, b in zip(points, points[1:] + points[:1]):
-            in_a, in_b = ((p[axis] <= limit) if keep_low else (p[axis] >= limit) for p in (a, b))
-            if in_a:
-                cut.append(a)
-            if in_a != in_b:
-                t = (limit - a[axis]) / (b[axis] - a[axis])
-                cut.append((a[0] + t * (b[0] - a[0]), a[1] + t * (b[1] - a[1])))
-        points = cut
-    return abs(sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(points, points[1:] + points[:1]))) / 2
-
-
-def overlaps(cells: DataFrame, layer: DataFrame, attribute: str, tile: float = 10.0) -> DataFrame:
-    """JON-12. Planar area of each polygon part within each lat-lon cell: fid, attribute, overlap."""
-    tiled = with_bounds(layer).withColumn("tx", F.explode(_tiles(F.col("xmin"), F.col("xmax"), tile))).withColumn("ty", F.explode(_tiles(F.col("ymin"), F.col("ymax"), tile)))
-    c = cells.select("fid", "lon_min", "lon_max", "lat_min", "lat_max").withColumn("tx", F.explode(_tiles(F.col("lon_min"), F.col("lon_max"), tile))).withColumn("ty", F.explode(_tiles(F.col("lat_min"), F.col("lat_max"), tile)))
-    touch = (F.col("xmax") >= F.col("lon_min")) & (F.col("xmin") <= F.col("lon_max")) & (F.col("ymax") >= F.col("lat_min")) & (F.col("ymin") <= F.col("lat_max"))
-    first = (F.col("tx") == F.floor(F.greatest("xmin", "lon_min") / tile)) & (F.col("ty") == F.floor(F.greatest("ymin", "lat_min") / tile))
-    pairs = c.join(tiled, ["tx", "ty"]).where(touch & first).select("fid", attribute, "ring", "lon_min", "lon_max", "lat_min", "lat_max")
-    kind = dict(layer.dtypes)[attribute]
-
-    def clip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            area = [clip_area(*row) for row in zip(b["ring"], b["lon_min"], b["lon_max"], b["lat_min"], b["lat_max"])]
-            yield pd.DataFrame({"fid": b["fid"], attribute: b[attribute], "overlap": area})
-
-    parts = pairs.mapInPandas(clip, f"fid long, {attribute} {kind}, overlap double")
-    return parts.groupBy("fid", attribute).agg(F.sum("overlap").alias("overlap"))
-
-
-def largest_overlap(cells: DataFrame, layer: DataFrame, attribute: str, tile: float = 10.0) -> DataFrame:
+    rows = signed(layer).select(F.col(attribute).alias("_attribute"), "ring", "sign")
+    rows = with_bounds(rows if period is None else shifted(rows, period))
+    rows = rows.withColumnsRenamed({"xmin": "lo_x", "xmax": "hi_x", "ymin": "lo_y", "ymax": "hi_y"})
+    p = points.select("fid", F.col("lon").alias("x"), F.col("lat").alias("y"))
+    near = candidates(p, rows, "xy", 1, ["_attribute", "ring", "sign"])
+    near = near.withColumns({"line": ring_distance(F.col("ring"), F.col("x"), F.col("y")), "inside": F.when(contains(F.col("ring"), F.col("x"), F.col("y")), F.col("sign")).otherwise(0)})
+    each = near.groupBy("fid", "_attribute").agg(F.when(F.sum("inside") > 0, F.lit(0.0)).otherwise(F.round(F.min("line"), 9)).alias("distance"))
+    best = each.groupBy("fid").agg(F.min(F.struct("distance", "_attribute")).alias("b"))
+    return points.join(best.select("fid", F.col("b.distance").alias("distance"), F.col("b._attribute").alias(attribute)), "fid", "left")
+
+
+def cell_windows(cells: DataFrame) -> DataFrame:
+    """fid, window (the cell's ring, or its box as one) and its bounds."""
+    if "ring" in cells.columns:
+        return with_bounds(cells.select("fid", "ring")).withColumnsRenamed({"ring": "window", "xmin": "cxmin", "xmax": "cxmax", "ymin": "cymin", "ymax": "cymax"})
+    c = F.col
+    window = polygons.box(c("lon_min"), c("lon_max"), c("lat_min"), c("lat_max"))
+    return cells.select("fid", window.alias("window"), *(c(a).alias(b) for a, b in (("lon_min", "cxmin"), ("lon_max", "cxmax"), ("lat_min", "cymin"), ("lat_max", "cymax"))))
+
+
+def overlaps(cells: DataFrame, layer: DataFrame, attribute: str, tile: float | None = None) -> DataFrame:
+    """Planar area of each feature within each cell it touches, 0 where it only does that: fid, attribute, overlap."""
+    windows = cell_windows(cells)
+    size = tile or tile_size(windows, "cxmin", "cxmax", "cymin", "cymax")
+    pairs = polygons.touching(with_bounds(signed(layer).select(attribute, "ring", "sign")), windows, size)
+    parts = polygons.clipped(pairs.select("fid", attribute, "sign", "ring", "window"))
+    parts = parts.where(F.size("ring") > 0)  # bounds may touch where the ring doesn't
+    return parts.groupBy("fid", attribute).agg(F.greatest(F.sum(F.col("sign") * F.col("area")), F.lit(0.0)).alias("overlap"))
+
+
+def largest_overlap(cells: DataFrame, layer: DataFrame, attribute: str, tile: float | None = None) -> DataFrame:
     """JON-03, WIN-05. Attribute with the largest overlap of each cell, the least of equal ones.
 
     A cell's only candidate counts even if it just touches; of several, those that only touch drop out.
@@ -159,10 +133,7 @@ def iso2_of(cells: DataFrame, codes: DataFrame) -> DataFrame:
 
 def covered_share(cells: DataFrame, layer: DataFrame, attribute: str) -> DataFrame:
     """SET-04, CHK-07. Share of each feature's planar area that the cells cover, and whether all of it."""
-    i = F.sequence(F.lit(0), F.size("ring") - 1)
-    at = lambda k: F.get("ring", k % F.size("ring"))
-    shoelace = F.abs(F.aggregate(i, F.lit(0.0), lambda s, k: s + at(k)["x"] * at(k + 1)["y"] - at(k + 1)["x"] * at(k)["y"])) / 2
-    whole = layer.groupBy(attribute).agg(F.sum(shoelace).alias("area"))
+    whole = signed(layer).groupBy(attribute).agg(F.sum(F.col("sign") * shoelace(F.col("ring"))).alias("area"))
     inside = overlaps(cells, layer, attribute).groupBy(attribute).agg(F.sum("overlap").alias("inside"))
     share = F.coalesce("inside", F.lit(0.0)) / F.col("area")
     return whole.join(inside, attribute, "left").select(attribute, share.alias("share"), (share > 1 - 1e-9).alias("covered"))

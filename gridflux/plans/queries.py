@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridflux import streaming
-from gridflux.operators import checks, compare, filters, grid, masks, regrid, rescale, roads, runlog, spatial, speciation, stats, temporal, units, vertical
+from gridflux.operators import checks, compare, filters, grid, masks, polygons, regrid, rescale, roads, runlog, spatial, speciation, stats, temporal, units, vertical
 from gridflux.operators.points import stack_flux
 from gridflux.plans import jobs
 from gridflux.plans.views import COARSE, FINE, cells, field, flux, load, points, with_views
@@ -370,6 +370,70 @@ def jon_05_conservative_any_grid(spark, d):
     return regrid.apply_weights(flux(spark, d), w, "pollutant", value="flux").where("flux > 0.001").select("pollutant", "fid", r("flux", 4).alias("value"))
 
 
+#: A point of the equal-area plane.
+_PLANE = "{{'x': 6371000.0 * radians({x}), 'y': 6371000.0 * sin(radians({y}))}}"
+
+
+def _clipped(pairs: str, corners: int = 4) -> str:
+    """SQL of the ``pairs``, ``ring`` cut by one edge of the counter-clockwise ``win`` after the other; area as ``area``."""
+    steps = [f"p0 AS MATERIALIZED ({pairs})"]
+    new = "{'x': ring[i].x + s[i] / (s[i] - s[i % len(s) + 1]) * (ring[i % len(s) + 1].x - ring[i].x), 'y': ring[i].y + s[i] / (s[i] - s[i % len(s) + 1]) * (ring[i % len(s) + 1].y - ring[i].y)}"
+    cut = f"flatten(list_transform(range(1, len(ring) + 1), lambda i: CASE WHEN s[i] >= 0 AND s[i % len(s) + 1] >= 0 THEN [ring[i]] WHEN s[i] >= 0 THEN [ring[i], {new}] WHEN s[i % len(s) + 1] >= 0 THEN [{new}] ELSE [] END))"
+    for k in range(1, corners + 1):
+        a, b = f"win[{k}]", f"win[{k % corners + 1}]"
+        steps.append(f"s{k} AS MATERIALIZED (SELECT *, list_transform(ring, lambda p: ({b}.x - {a}.x) * (p.y - {a}.y) - ({b}.y - {a}.y) * (p.x - {a}.x)) AS s FROM p{k - 1})")
+        steps.append(f"p{k} AS MATERIALIZED (SELECT * EXCLUDE (s) REPLACE ({cut} AS ring) FROM s{k})")
+    area = "list_sum(list_transform(range(1, len(ring) + 1), lambda i: (ring[i].x - ring[1].x) * (ring[i % len(ring) + 1].y - ring[1].y) - (ring[i % len(ring) + 1].x - ring[1].x) * (ring[i].y - ring[1].y)))"
+    return f"WITH {', '.join(steps)} SELECT *, coalesce({area}, 0) / 2 AS area FROM p{corners}"
+
+
+def _projected(n_x: int, n_y: int, x_0: float, y_0: float, inc_x: float, inc_y: float, lon: str, lat: str) -> str:
+    """SQL of the weights from the fine cells to a projected grid; ``lon`` and ``lat`` of native x and y."""
+    native = [{"x": f"({x_0!r}::DOUBLE + (i + {a}) * {inc_x!r}::DOUBLE)", "y": f"({y_0!r}::DOUBLE + (j + {b}) * {inc_y!r}::DOUBLE)"} for a, b in ((0, 0), (1, 0), (1, 1), (0, 1))]
+    corners = ", ".join(f"{{'lon': {lon.format(**p)}, 'lat': {lat.format(**p)}}}" for p in native)
+    grid = f"SELECT CAST(j * {n_x} + i AS BIGINT) AS dst_fid, [{corners}] AS c FROM range({n_x}) x(i), range({n_y}) y(j)"
+    wrap = "({0} - 360 * floor(({0} + 180) / 360))"
+    near = f"SELECT fid AS src_fid, dst_fid, lon_min, lon_max, lat_min, lat_max, list_transform(c, lambda p: {{'lon': lon_min + {wrap.format('c[1].lon - lon_min')} + {wrap.format('p.lon - c[1].lon')}, 'lat': p.lat}}) AS c FROM cells, ({grid})"
+    box = ", ".join(_PLANE.format(x=x, y=y) for x, y in (("lon_min", "lat_min"), ("lon_max", "lat_min"), ("lon_max", "lat_max"), ("lon_min", "lat_max")))
+    touch = "list_max(list_transform(c, lambda p: p.lon)) > lon_min AND list_min(list_transform(c, lambda p: p.lon)) < lon_max AND list_max(list_transform(c, lambda p: p.lat)) > lat_min AND list_min(list_transform(c, lambda p: p.lat)) < lat_max"
+    pairs = f"SELECT src_fid, dst_fid, 6371000.0 * 6371000.0 * radians(lon_max - lon_min) * (sin(radians(lat_max)) - sin(radians(lat_min))) AS whole, [{box}] AS ring, list_transform(c, lambda p: {_PLANE.format(x='p.lon', y='p.lat')}) AS win FROM ({near}) WHERE {touch}"
+    return f"SELECT src_fid, dst_fid, area / whole AS weight FROM ({_clipped(pairs)}) WHERE area / whole > 1e-12"
+
+
+_REGRIDDED = "SELECT dst_fid AS fid, round(sum(coalesce(flux, 0) * weight), 4) AS value, round(sum(weight), 6) AS weight FROM v LEFT JOIN (SELECT fid AS src_fid, sum(flux) AS flux FROM flux GROUP BY 1) USING (src_fid) GROUP BY 1"
+ROTATED = regrid.ProjectedGrid.rotated(46.0, 12.0, -18.0, -16.0, 3.2, 2.4)  # edges from -19.2 and -17.6
+LAMBERT = regrid.ProjectedGrid.lambert(35.0, 55.0, 45.0, 174.0, 9, 8, 400_000.0, 400_000.0, -1_900_000.0, -1_500_000.0)
+_ROTATED = _projected(
+    ROTATED.n_x, ROTATED.n_y, -19.2, -17.6, 2.4, 3.2,
+    "12.0 + degrees(atan2(cos(radians({y})) * sin(radians({x})), cos(radians(46.0)) * cos(radians({y})) * cos(radians({x})) - sin(radians(46.0)) * sin(radians({y}))))",
+    "degrees(asin(sin(radians(46.0)) * cos(radians({y})) * cos(radians({x})) + cos(radians(46.0)) * sin(radians({y}))))",
+)
+_N = "(ln(cos(radians(35.0)) / cos(radians(55.0))) / ln(tan(pi() / 4 + radians(55.0) / 2) / tan(pi() / 4 + radians(35.0) / 2)))"
+_K = f"(6371000.0 * cos(radians(35.0)) * pow(tan(pi() / 4 + radians(35.0) / 2), {_N}) / {_N})"
+_R0 = f"({_K} / pow(tan(pi() / 4 + radians(45.0) / 2), {_N}))"
+_LAMBERT = _projected(
+    9, 8, -1_900_000.0, -1_500_000.0, 400_000.0, 400_000.0,
+    f"174.0 + degrees(atan2({{x}}, {_R0} - {{y}}) / {_N})",
+    f"degrees(2 * atan(pow({_K} / sqrt({{x}} * {{x}} + ({_R0} - {{y}}) * ({_R0} - {{y}})), 1 / {_N})) - pi() / 2)",
+)
+
+
+def _regridded(spark: SparkSession, d: str, grid: regrid.ProjectedGrid) -> DataFrame:
+    f = flux(spark, d).groupBy(F.col("fid").alias("src_fid")).agg(F.sum("flux").alias("flux"))
+    w = regrid.overlap_weights(cells(spark), grid).join(f, "src_fid", "left")
+    return w.groupBy(F.col("dst_fid").alias("fid")).agg(r(F.sum(F.coalesce("flux", F.lit(0)) * F.col("weight")), 4).alias("value"), r(F.sum("weight")).alias("weight"))
+
+
+@query(with_views(_REGRIDDED, "cells", "flux", v=_ROTATED))
+def jon_04_rotated_target(spark, d):
+    return _regridded(spark, d, ROTATED)
+
+
+@query(with_views(_REGRIDDED, "cells", "flux", v=_LAMBERT))
+def jon_04_lambert_target_across_seam(spark, d):
+    return _regridded(spark, d, LAMBERT)
+
+
 @query(with_views("SELECT pollutant, f.dst_fid AS fid, round(sum(flux * s.area_m2 / t.area_m2), 6) AS flux FROM (SELECT pollutant, fid, sum(flux) AS flux, any_value(dst_fid) AS dst_fid FROM flux JOIN w ON fid = src_fid GROUP BY 1, 2) f JOIN cells s USING (fid) JOIN coarse t ON t.fid = f.dst_fid GROUP BY 1, 2", "cells", "coarse", "flux", "w"))
 def jon_16_flux_weights(spark, d):
     src, dst = cells(spark), cells(spark, COARSE)
@@ -421,7 +485,7 @@ def regions_layer(spark: SparkSession, d: str) -> DataFrame:
     return n.select(F.col("n_name").alias("name"), F.col("n_regionkey").alias("region"), ring.alias("ring"), x.alias("cx"), y.alias("cy"))
 
 
-_LAYER = "SELECT n_name AS name, n_regionkey AS region, (n_nationkey * 61) % 300 - 150.0::DOUBLE AS cx, (n_nationkey * 37) % 130 - 65.0::DOUBLE AS cy FROM nation"
+_LAYER = "SELECT n_name AS name, n_regionkey AS region, (n_nationkey * 61) % 300 - 150.0::DOUBLE AS cx, (n_nationkey * 37) % 130 - 65.0::DOUBLE AS cy, 12.03::DOUBLE AS w, 1 AS sign FROM nation"
 
 
 @query(with_views("SELECT p.point_id, min(l.name) AS name FROM points p LEFT JOIN layer l ON abs(p.lon - l.cx) + abs(p.lat - l.cy) < 12.03 GROUP BY 1", "points", layer=_LAYER))
@@ -431,23 +495,56 @@ def jon_02_centroid_within(spark, d):
 
 
 @query(with_views("""SELECT point_id, round(b.d, 4) AS distance, b.name AS name FROM (SELECT point_id, min({'d': round(CASE WHEN u <= 12.03 THEN 0 WHEN abs(x - y) <= 12.03 THEN (u - 12.03) / sqrt(2) ELSE sqrt(pow(greatest(x, y) - 12.03, 2) + pow(least(x, y), 2)) END, 9), 'name': name}) AS b
- FROM (SELECT point_id, name, abs(lon - cx) AS x, abs(lat - cy) AS y, abs(lon - cx) + abs(lat - cy) AS u FROM points, layer) GROUP BY 1)""", "points", layer=_LAYER))
+ FROM (SELECT point_id, name, abs(lon - cx) AS x, abs(lat - cy) AS y, abs(lon - cx) + abs(lat - cy) AS u FROM points, (SELECT name, cx + unnest([-360, 0, 360]) AS cx, cy FROM layer)) GROUP BY 1)""", "points", layer=_LAYER))
 def jon_01_nearest_polygon(spark, d):
     p = points(spark, d).select(F.col("point_id").alias("fid"), "lon", "lat")
     near = spatial.nearest_join(p, regions_layer(spark, d), "name")
     return near.select(F.col("fid").alias("point_id"), r("distance", 4).alias("distance"), "name")
 
 
-#: Area of a diamond within a cell: trapezoids between all places where the height of the cut can bend.
-_OVERLAPS = """SELECT fid, name, list_sum(list_transform(range(1, len(b)), lambda i: (b[i + 1] - b[i]) * (h[i] + h[i + 1]) / 2)) AS overlap
- FROM (SELECT *, list_transform(b, lambda x: greatest(0, least(y1, 12.03 - abs(x)) - greatest(y0, abs(x) - 12.03))) AS h
- FROM (SELECT *, list_sort(list_transform([x0, x1, 0, -12.03, 12.03, 12.03 - abs(y0), abs(y0) - 12.03, 12.03 - abs(y1), abs(y1) - 12.03], lambda x: least(greatest(x, x0), x1))) AS b
- FROM (SELECT fid, name, lon_min - cx AS x0, lon_max - cx AS x1, lat_min - cy AS y0, lat_max - cy AS y1 FROM cells, layer)
- WHERE x0 <= 12.03 AND x1 >= -12.03 AND y0 <= 12.03 AND y1 >= -12.03))"""
+#: Area of diamonds of half-width w within a cell: trapezoids between all places where the height of the cut can
+#: bend, a feature's holes (sign -1) less its shells.
+_OVERLAPS = """SELECT fid, name, sum(sign * list_sum(list_transform(range(1, len(b)), lambda i: (b[i + 1] - b[i]) * (h[i] + h[i + 1]) / 2))) AS overlap
+ FROM (SELECT *, list_transform(b, lambda x: greatest(0, least(y1, w - abs(x)) - greatest(y0, abs(x) - w))) AS h
+ FROM (SELECT *, list_sort(list_transform([x0, x1, 0, -w, w, w - abs(y0), abs(y0) - w, w - abs(y1), abs(y1) - w], lambda x: least(greatest(x, x0), x1))) AS b
+ FROM (SELECT fid, name, w, sign, lon_min - cx AS x0, lon_max - cx AS x1, lat_min - cy AS y0, lat_max - cy AS y1 FROM cells, layer)
+ WHERE greatest(0, x0, -x1) + greatest(0, y0, -y1) <= w)) GROUP BY 1, 2"""
 _MASK = """SELECT fid, b.name AS name FROM cells LEFT JOIN (SELECT fid, min({'o': -round(overlap, 9), 'name': name}) AS b
  FROM (SELECT *, count(*) OVER (PARTITION BY fid) AS n FROM parts) WHERE n = 1 OR overlap > 0 GROUP BY 1) USING (fid)"""
 
 
+def diamond(x: Column, y: Column, w: float, back: bool = False) -> Column:
+    corners = [(-w, 0.0), (0.0, -w), (w, 0.0), (0.0, w)]
+    return F.array(*[F.struct((x + a).alias("x"), (y + b).alias("y")) for a, b in (corners[::-1] if back else corners)])
+
+
+def holed_layer(spark: SparkSession, d: str) -> DataFrame:
+    """Features of two parts: the nation's diamond with a hole, and a small diamond inside that hole's cell; a
+    ring's direction differs from part to part and some are closed."""
+    n, x, y = regions_layer(spark, d), F.col("cx"), F.col("cy")
+    first = F.array(diamond(x, y, 12.03), F.concat(diamond(x, y, 7.01), F.array(F.struct((x - 7.01).alias("x"), y.alias("y")))))
+    second = F.array(diamond(x + 1.5, y, 2.02, back=True))
+    return polygons.rings(n.select("name", F.explode(F.array(first, second)).alias("rings")))
+
+
+_HOLED = f"""SELECT name, cx, cy, w, sign FROM ({_LAYER}) UNION ALL SELECT name, cx, cy, 7.01, -1 FROM ({_LAYER}) UNION ALL SELECT name, cx + 1.5, cy, 2.02, 1 FROM ({_LAYER})"""
+
+
+@query(with_views("SELECT name, pollutant, count(*) AS n, round(sum(flux), 4) AS flux, (SELECT round(sum(overlap), 5) FROM parts p WHERE p.name = mask.name) AS area FROM flux JOIN mask USING (fid) GROUP BY 1, 2", "cells", "flux", layer=_HOLED, parts=_OVERLAPS, mask=_MASK))
+def jon_03_features_with_holes(spark, d):
+    layer = holed_layer(spark, d)
+    mask = spatial.largest_overlap(cells(spark), layer, "name").select("fid", "name")
+    areas = spatial.overlaps(cells(spark), layer, "name").groupBy("name").agg(r(F.sum("overlap"), 5).alias("area"))
+    out = flux(spark, d).join(mask, "fid").groupBy("name", "pollutant").agg(F.count("*").alias("n"), r(F.sum("flux"), 4).alias("flux"))
+    return out.join(areas, "name", "left")
+
+
+@query(with_views("SELECT point_id, min(name) AS name FROM points LEFT JOIN (SELECT point_id, name FROM points JOIN layer ON abs(lon - cx) + abs(lat - cy) < w GROUP BY 1, 2 HAVING sum(sign) > 0) USING (point_id) GROUP BY 1", "points", layer=_HOLED))
+def jon_02_centroid_with_holes(spark, d):
+    p = points(spark, d).select(F.col("point_id").alias("fid"), "lon", "lat")
+    return spatial.centroid_join(p, holed_layer(spark, d), "name").select(F.col("fid").alias("point_id"), "name")
+
+
 @query(with_views("SELECT name, pollutant, count(*) AS n, round(sum(flux), 4) AS flux FROM flux JOIN mask USING (fid) GROUP BY 1, 2", "cells", "flux", layer=_LAYER, parts=_OVERLAPS, mask=_MASK))
 def jon_03_largest_overlap(spark, d):
     mask = spatial.largest_overlap(cells(spark), regions_layer(spark, d), "name").select("fid", "name")
@@ -474,6 +571,21 @@ def jon_23_field_on_features(spark, d):
     return spatial.grid_to_features(f, cells(spark), regions_layer(spark, d), "name").withColumn("value", r("value"))
 
 
+_BOX = "[" + ", ".join(_PLANE.format(x=x, y=y) for x, y in (("lon_min", "lat_min"), ("lon_max", "lat_min"), ("lon_max", "lat_max"), ("lon_min", "lat_max"))) + "]"
+_DIAMOND = "[" + ", ".join(_PLANE.format(x=x, y=y) for x, y in (("cx - w", "cy"), ("cx", "cy - w"), ("cx + w", "cy"), ("cx", "cy + w"))) + "]"
+_PROXY_PARTS = _clipped(f"SELECT CAST((c.row_i // 2) * 36 + c.col_i // 2 AS BIGINT) AS src_fid, c.fid AS dst_fid, CAST(replace(name, 'NATION_', '') AS INTEGER) % 5 + 1 AS weight, sign, {_DIAMOND} AS ring, {_BOX} AS win FROM cells c, layer WHERE cx - w < lon_max AND cx + w > lon_min AND cy - w < lat_max AND cy + w > lat_min")
+_PROXY = """SELECT src_fid, dst_fid, round(weight, 6) AS weight, coalesce(flux, 0) AS flux FROM (SELECT src_fid, dst_fid, part / sum(part) OVER (PARTITION BY src_fid) AS weight FROM (SELECT src_fid, dst_fid, sum(sign * weight * area) AS part FROM parts WHERE area > 0 GROUP BY 1, 2))
+ LEFT JOIN (SELECT fid AS dst_fid, round(sum(flux), 4) AS flux FROM flux GROUP BY 1) USING (dst_fid) WHERE weight > 1e-9"""
+
+
+@query(with_views(_PROXY, "cells", "flux", layer=_HOLED, parts=_PROXY_PARTS))
+def jon_12_polygons_proxy(spark, d):
+    layer = holed_layer(spark, d).withColumn("weight", F.regexp_extract("name", r"NATION_(\d+)", 1).cast("int") % 5 + 1.0)
+    w = regrid.polygons_proxy(layer, COARSE, FINE).where("weight > 1e-9")
+    f = flux(spark, d).groupBy(F.col("fid").alias("dst_fid")).agg(r(F.sum("flux"), 4).alias("flux"))
+    return w.join(f, "dst_fid", "left").select("src_fid", "dst_fid", r("weight").alias("weight"), F.coalesce("flux", F.lit(0)).alias("flux"))
+
+
 @query(with_views("SELECT name, 1.0::DOUBLE AS share, true AS covered, count(point_id) AS n FROM layer LEFT JOIN points ON abs(lon - cx) + abs(lat - cy) < 12.03 GROUP BY 1", "points", layer=_LAYER))
 def set_04_regions_covered(spark, d):
     share = spatial.covered_share(cells(spark), regions_layer(spark, d), "name")
@@ -502,7 +614,7 @@ _NEAR = """SELECT point_id, min(g, 4) AS g, min_by(fid, g, 4) AS fids FROM (SELE
 @query(with_views("SELECT point_id, round(g[1] / 1000, 3) AS nearest_km, round(list_sum(g) / 1000, 3) AS total_km, 1.0::DOUBLE AS weight FROM near", "cells", "points", s=_ecef("cells", "fid"), t=_ecef("points", "point_id"), near=_NEAR))
 def jon_06_nearest_cells(spark, d):
     p = points(spark, d).select(F.col("point_id").alias("fid"), "lon", "lat")
-    w = regrid.nearest_neighbours(cells(spark), p, 4, 8.0)
+    w = regrid.nearest_neighbours(cells(spark), p, 4)
     return w.groupBy(F.col("dst_fid").alias("point_id")).agg(r(F.min("distance") / 1000, 3).alias("nearest_km"), r(F.sum("distance") / 1000, 3).alias("total_km"), r(F.sum("weight"), 6).alias("weight"))
 
 
@@ -524,8 +636,9 @@ def jon_11_lines_proxy(spark, d):
 @query()
 def jon_13_mixed_proxy(spark, d):
     p = points(spark, d).select("lon", "lat", (F.col("emis") / 1e6).alias("weight"))
-    boxes = load(spark, d, "customer").select((F.col("c_custkey") % 340 - 170.0).alias("lon_min"), (F.col("c_custkey") % 340 - 168.5).alias("lon_max"), (F.col("c_custkey") % 160 - 80.0).alias("lat_min"), (F.col("c_custkey") % 160 - 79.0).alias("lat_max"), F.lit(2.0).alias("weight"))
-    return regrid.mixed_proxy(p, road_lines(spark, d), boxes, COARSE, FINE).withColumn("weight", r("weight"))
+    x, y = F.col("c_custkey") % 340 - 170.0, F.col("c_custkey") % 160 - 80.0
+    layer = load(spark, d, "customer").select(polygons.box(x, x + 1.5, y, y + 1.0).alias("ring"), F.lit(2.0).alias("weight"))
+    return regrid.mixed_proxy(p, road_lines(spark, d), layer, COARSE, FINE).withColumn("weight", r("weight"))
 
 
 @query()

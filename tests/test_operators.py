@@ -168,7 +168,7 @@ def test_nearest_neighbours_against_all_pairs(spark):
 
     gaps = np.linalg.norm(xyz(d)[:, None] - xyz(s)[None], axis=2)
     want = {(j, i) for i in range(40) for j in np.argsort(gaps[i])[:4].tolist()}
-    got = regrid.nearest_neighbours(frame(s), frame(d), 4, 2.0)
+    got = regrid.nearest_neighbours(frame(s), frame(d), 4)
     assert {(a, b) for a, b in rows(got.select("src_fid", "dst_fid"))} == want
     assert all(v == pytest.approx(1) for _, v in rows(got.groupBy("dst_fid").agg(F.sum("weight"))))
 
