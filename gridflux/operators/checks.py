@@ -12,11 +12,11 @@ CROSS_COLUMNS = ("ei", "sector", "ref_year", "active", "factor_mask", "regrid_ma
 
 def bounds_report(field: DataFrame, bounds: DataFrame) -> DataFrame:
     """CHK-02. Extremes of each variable against six bounds: beyond an absolute one an error, outside a
-    range a warning."""
-    r = extremes(field).join(bounds, "variable")
+    range a warning; ``missing`` where the field lacks a bounded variable, ``unbounded`` where the bounds lack one."""
+    r = extremes(field).withColumn("there", F.lit(True)).join(bounds.withColumn("bounded", F.lit(True)), "variable", "full")
     failed = (F.col("min_value") < F.col("min_abs")) | (F.col("max_value") > F.col("max_abs"))
     soft = ~F.col("min_value").between(F.col("min_lower"), F.col("min_upper")) | ~F.col("max_value").between(F.col("max_lower"), F.col("max_upper"))
-    return r.select("variable", "min_value", "max_value", F.when(failed, "error").when(soft, "warning").otherwise("ok").alias("status"))
+    return r.select("variable", "min_value", "max_value", F.when(F.col("there").isNull(), "missing").when(F.col("bounded").isNull(), "unbounded").when(failed, "error").when(soft, "warning").otherwise("ok").alias("status"))
 
 
 def cross_table_errors(cross: DataFrame) -> DataFrame:
@@ -30,11 +30,13 @@ def cross_table_errors(cross: DataFrame) -> DataFrame:
 
 def grid_differences(table: DataFrame, cells: DataFrame) -> DataFrame:
     """CHK-10, CHK-14. Variables of a cached table whose cells aren't those of the grid, id by id; a null
-    id is no cell."""
+    id is no cell. A table without any row differs as the variable null."""
     grid = cells.agg(F.count_distinct("fid").alias("g_n"))
     known = cells.select("fid", F.lit(1).alias("known")).distinct()
     own = table.select("variable", "fid").distinct().join(known, "fid", "left").groupBy("variable").agg(F.count("fid").alias("n"), F.count("known").alias("n_known"), F.count("*").alias("n_all"))
-    return own.join(F.broadcast(grid)).where("n_all <> g_n OR n_known <> g_n").select("variable", "n", "g_n")  # one row
+    whole = table.agg(F.count("*").alias("rows"))
+    none = whole.join(grid).where("rows = 0 AND g_n > 0").select(F.lit(None).cast(dict(table.dtypes)["variable"]).alias("variable"), F.col("rows").alias("n"), "g_n")  # one row each
+    return own.join(F.broadcast(grid)).where("n_all <> g_n OR n_known <> g_n").select("variable", "n", "g_n").unionByName(none)  # one row
 
 
 def other_geometries(layer: DataFrame, kind: str = "Point") -> DataFrame:

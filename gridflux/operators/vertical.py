@@ -100,25 +100,73 @@ def interpolate_linear(columns: DataFrame, heights: list[float], kind: str = "li
     return columns.select(*[c for c in columns.columns if c not in ("z", "v")], F.posexplode(F.transform(new, lambda h: F.struct(h.alias("height"), value(h).alias("value")))).alias("lev", "p")).select("*", "p.*").drop("p")
 
 
-def interpolate_cubic(columns: DataFrame, heights: list[float], keys: list[str]) -> DataFrame:
-    """VRT-08. Natural cubic spline of each column at new heights, the nearest value outside."""
+#: Degree of each spline kind (fixed values).
+DEGREES = {"zero": 0, "slinear": 1, "quadratic": 2, "cubic": 3}
+
+
+def spline_knots(z: np.ndarray, k: int) -> np.ndarray:
+    """Knots of interpolating splines of degree ``k``, a row for each row of sites ``z``: ends repeated, inside
+    the sites themselves without the second and last but one (cubic: not-a-knot), or for the even
+    degree the midpoints without the first and last."""
+    inner = (z[:, 1:] + z[:, :-1])[:, 1:-1] / 2 if k == 2 else z[:, (k + 1) // 2 : z.shape[1] - (k + 1) // 2]
+    return np.concatenate([np.repeat(z[:, :1], k + 1, 1), inner, np.repeat(z[:, -1:], k + 1, 1)], 1)
+
+
+def spline_basis(knots: np.ndarray, x: np.ndarray, k: int) -> np.ndarray:
+    """Values of all B-splines of degree ``k`` at ``x`` (rows, places), by the triangular recursion over each
+    place's own span; beyond the ends the outermost pieces go on."""
+    n = knots.shape[1] - k - 1
+    span = np.clip((knots[:, None, k : n + 1] <= x[:, :, None]).sum(2) - 1 + k, k, n - 1)
+    at = lambda i: np.take_along_axis(knots, i, 1)
+    values = [np.ones_like(x)]
+    for d in range(1, k + 1):
+        up, carried = [], np.zeros_like(x)
+        for j in range(d):
+            right, left = at(span + j + 1), at(span + j + 1 - d)
+            share = values[j] / (right - left)
+            up.append(carried + (right - x) * share)
+            carried = (x - left) * share
+        values = [*up, carried]
+    out = np.zeros((*x.shape, n))
+    for j, v in enumerate(values):
+        np.put_along_axis(out, (span - k + j)[:, :, None], v[:, :, None], 2)
+    return out
+
+
+def spline_values(z: np.ndarray, v: np.ndarray, x: np.ndarray, kind: str) -> np.ndarray:
+    """Interpolating splines of columns with equally many sites, all at once, at ``x``; less sites than the kind
+    needs lower its degree."""
+    k = min(DEGREES[kind], z.shape[1] - 1)
+    if k == 0:
+        return np.take_along_axis(v, np.clip((z[:, None, :] <= x[:, :, None]).sum(2) - 1, 0, None), 1)
+    knots = spline_knots(z, k)
+    weights = np.linalg.solve(spline_basis(knots, z, k), v[:, :, None])
+    return (spline_basis(knots, x, k) @ weights)[:, :, 0]
+
+
+def interpolate_spline(columns: DataFrame, heights: list[float], keys: list[str], kind: str = "cubic", below: str | float | None = None, above: str | float | None = None) -> DataFrame:
+    """VRT-08. Interpolating B-splines (zero, slinear, quadratic, cubic) of columns of arrays ``z`` (ascending) and
+    ``v`` at new heights: lev, value. Outside: None takes the nearest value, a number that number,
+    ``extrapolate`` the outermost piece. Columns of equal length are solved together."""
     kinds = dict(columns.dtypes)
 
-    def spline(z: np.ndarray, v: np.ndarray) -> np.ndarray:
-        if len(z) < 3:
-            return np.interp(heights, z, v)
-        h = np.diff(z)
-        a = np.diag(np.r_[1.0, 2 * (h[:-1] + h[1:]), 1.0])
-        a[np.arange(1, len(z) - 1), np.arange(0, len(z) - 2)], a[np.arange(1, len(z) - 1), np.arange(2, len(z))] = h[:-1], h[1:]
-        m = np.linalg.solve(a, np.r_[0.0, 6 * np.diff(np.diff(v) / h), 0.0])
-        x = np.clip(heights, z[0], z[-1])
-        i = np.clip(np.searchsorted(z, x, "right") - 1, 0, len(h) - 1)
-        p, q = z[i + 1] - x, x - z[i]
-        return (m[i] * p**3 + m[i + 1] * q**3) / (6 * h[i]) + (v[i] / h[i] - m[i] * h[i] / 6) * p + (v[i + 1] / h[i] - m[i + 1] * h[i] / 6) * q
+    def fill(out: np.ndarray, where: np.ndarray, nearest: np.ndarray, how: str | float | None) -> np.ndarray:
+        return out if how == "extrapolate" else np.where(where, nearest[:, None] if how is None else float(how), out)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield b[keys].assign(values=[spline(np.asarray(z), np.asarray(v)).tolist() for z, v in zip(b["z"], b["v"])])
+            values, size = np.empty(len(b), object), b["z"].map(len).to_numpy()
+            for n in np.unique(size):
+                rows = np.flatnonzero(size == n)
+                if n == 0:
+                    values[rows] = [[None] * len(heights)] * len(rows)
+                    continue
+                z, v = (np.stack(b[c].to_numpy()[rows]).astype(float) for c in ("z", "v"))
+                x = np.broadcast_to(np.array(heights, float), (len(rows), len(heights)))
+                out = spline_values(z, v, x, kind)
+                out = fill(fill(out, x < z[:, :1], v[:, 0], below), x > z[:, -1:], v[:, -1], above)
+                values[rows] = [r.tolist() for r in out]
+            yield b[keys].assign(values=values)
 
     out = columns.mapInPandas(run, ", ".join(f"{k} {kinds[k]}" for k in keys) + ", values array<double>")
     return out.select(*keys, F.posexplode("values").alias("lev", "value"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,9 +58,22 @@ def fire_inventory(fires: DataFrame, src: DataFrame, dst: DataFrame, grid: Regul
     return fire_flux(burning, cell_areas(src), regrid.fire_cells(src, grid), cell_areas(dst), tops, approach, F.col("height"), "ts")
 
 
-def combine(*inventories: DataFrame) -> DataFrame:
-    """JOB-05. All inventories of a cross table as one plan."""
-    return stats.sum_inventories(*inventories)
+def kind_of(cross: DataFrame) -> Column:
+    """The job of a cross table's row: area, stack, fire_daily or fire_hourly. Points of a daily or hourly
+    frequency are fires, others stacks."""
+    point = F.when(F.col("frequency").isin("daily", "hourly"), F.concat(F.lit("fire_"), "frequency")).otherwise("stack")
+    return F.when(F.col("source_type") == "area", "area").when(F.col("source_type") == "point", point)
+
+
+def combine(cross: DataFrame, jobs: dict[str, Callable[[DataFrame], DataFrame]]) -> DataFrame:
+    """JOB-05. All inventories of a cross table (active rows, one for each pollutant) as one plan: rows are
+    dealt by source type and frequency, each kind's rows go to its job, and the jobs' emissions
+    (ts, lev, fid, species, value) are summed. A row of an unknown kind, or of one without a job, is an error."""
+    rows = cross.withColumn("kind", kind_of(cross))
+    kinds = [r[0] for r in rows.select("kind").distinct().collect()]  # four at most
+    if lost := sorted({str(k) for k in kinds} - set(jobs)):
+        raise ValueError(f"no job for {lost}")
+    return stats.sum_inventories(*[jobs[k](rows.where(F.col("kind") == k).drop("kind")) for k in sorted(kinds)])
 
 
 def preprocess_gridded(table: DataFrame, renames: DataFrame, year: int) -> DataFrame:

@@ -827,11 +827,13 @@ def vrt_08_linear_interpolation(spark, d):
     return vertical.interpolate_linear(f, [0.5, 0.75, 1.25, 2.0]).select("variable", "fid", "hour_no", "lev", r("value").alias("value"))
 
 
-@query()
+@query(with_views("""SELECT pollutant, fid, CAST(k AS INTEGER) AS lev, round(list_sum(list_transform(range(1, len(z) + 1), lambda i: v[i] * list_product(list_transform(range(1, len(z) + 1), lambda j: CASE WHEN i = j THEN 1.0 ELSE (x - z[j]) / (z[i] - z[j]) END)))), 6) AS value
+ FROM (SELECT *, least(greatest(h, z[1]), z[len(z)]) AS x FROM (SELECT pollutant, fid, list(q * 100.0::DOUBLE ORDER BY q) AS z, list(flux::DOUBLE ORDER BY q) AS v FROM (SELECT pollutant, fid, (month_i - 1) // 3 + 1 AS q, sum(flux) AS flux FROM flux GROUP BY 1, 2, 3) GROUP BY 1, 2), (VALUES (0, 153.71239), (1, 233.33917), (2, 950.0)) t(k, h))""", "flux"))
 def vrt_08_cubic_interpolation(spark, d):
-    f = flux(spark, d).groupBy("pollutant", "fid", F.col("month_i").alias("lev")).agg(F.sum("flux").alias("value"))
+    """Splines of four levels at most, each one polynomial."""
+    f = flux(spark, d).groupBy("pollutant", "fid", (F.floor((F.col("month_i") - 1) / 3) + 1).alias("lev")).agg(F.sum("flux").alias("value"))
     columns = vertical.columns_of(f, f.select("pollutant", "fid", "lev", (F.col("lev") * 100.0).alias("height")), "pollutant", "fid")
-    return vertical.interpolate_cubic(columns, [150.0, 333.0, 950.0], ["pollutant", "fid"]).withColumn("value", r("value", 4))
+    return vertical.interpolate_spline(columns, [153.71239, 233.33917, 950.0], ["pollutant", "fid"]).withColumn("value", r("value"))
 
 
 # Speciation and units --------------------------------------------------------------------------
@@ -941,25 +943,30 @@ def job_09_table_to_flux(spark, d):
     return jobs.preprocess_table(rows, 5.0, "Mg", cells(spark)).withColumn("flux", r(F.col("flux") * 1e9))
 
 
-@query(with_views("""SELECT hour_i, lev, fid, species, round(sum(value), 4) AS value FROM (SELECT h AS hour_i, l.lev, dst AS fid, s.species, flux * t.area_s / t.area_d * s.fr * (CASE WHEN (h + tz_h + 24) % 24 BETWEEN 7 AND 18 THEN 1.5 ELSE 0.5 END) * l.f AS value
- FROM (SELECT fid, pollutant, sum(flux * CASE WHEN nationkey % 5 = 0 THEN 0.5 WHEN nationkey % 5 = 1 THEN 0 ELSE 1 END) AS flux FROM flux JOIN cells USING (fid) GROUP BY 1, 2) f
- JOIN (SELECT src_fid, dst_fid AS dst, s.area_m2 AS area_s, c.area_m2 AS area_d, c.tz_h FROM w JOIN cells s ON s.fid = src_fid JOIN coarse c ON c.fid = dst_fid) t ON t.src_fid = f.fid JOIN (VALUES (0, 'CO', 1 / 28.0::DOUBLE), (1, 'NO', 0.9 / 46.0::DOUBLE), (1, 'NO2', 0.1 / 46.0::DOUBLE), (2, 'SO2', 1 / 64.0::DOUBLE), (3, 'PM', 1.0::DOUBLE)) s(pollutant, species, fr) USING (pollutant), (VALUES (0, 0.75), (1, 0.25)) l(lev, f), range(24) r(h)) GROUP BY 1, 2, 3, 4 HAVING sum(value) <> 0""", "cells", "coarse", "flux", "w"))
+#: Hours of the yearly area inventories; {which} picks rows of flux.
+_AREA_HOURS = """SELECT h AS hour_i, l.lev, dst AS fid, s.species, flux * t.area_s / t.area_d * s.fr * (CASE WHEN (h + tz_h + 24) % 24 BETWEEN 7 AND 18 THEN 1.5 ELSE 0.5 END) * l.f AS value
+ FROM (SELECT fid, pollutant, sum(flux * CASE WHEN nationkey % 5 = 0 THEN 0.5 WHEN nationkey % 5 = 1 THEN 0 ELSE 1 END) AS flux FROM flux JOIN cells USING (fid) WHERE {which} GROUP BY 1, 2) f
+ JOIN (SELECT src_fid, dst_fid AS dst, s.area_m2 AS area_s, c.area_m2 AS area_d, c.tz_h FROM w JOIN cells s ON s.fid = src_fid JOIN coarse c ON c.fid = dst_fid) t ON t.src_fid = f.fid JOIN (VALUES (0, 'CO', 1 / 28.01::DOUBLE), (1, 'NO', 0.9 / 46.0055::DOUBLE), (1, 'NO2', 0.1 / 46.0055::DOUBLE), (2, 'SO2', 1 / 64.066::DOUBLE), (3, 'PM', 0.97::DOUBLE)) s(pollutant, species, fr) USING (pollutant), (VALUES (0, 0.75), (1, 0.25)) l(lev, f), range(24) r(h)"""
+
+
+@query(with_views("SELECT hour_i, lev, fid, species, round(sum(value), 6) AS value FROM hours GROUP BY 1, 2, 3, 4 HAVING sum(value) <> 0", "cells", "coarse", "flux", "w", hours=_AREA_HOURS.format(which="true")))
 def job_01_hourly_emissions(spark, d):
     """Yearly inventory to hourly model emissions: mask, regrid, speciate, local hours, levels, sum."""
+    return area_by_hour(spark, flux(spark, d)).select(F.hour("ts").alias("hour_i"), "lev", "fid", "species", r("value").alias("value"))
+
+
+def area_by_hour(spark: SparkSession, fields: DataFrame) -> DataFrame:
     src, dst = cells(spark), cells(spark, COARSE)
     n = F.col("nationkey") % 5
     mask = src.select("fid", F.when(n == 0, 0.5).when(n == 1, 0.0).otherwise(1.0).alias("factor"))
-    f = flux(spark, d).withColumn("pollutant", F.get(F.array(*map(F.lit, ("co", "nox", "sox", "pm"))), F.col("pollutant")))
-    w = regrid.mass_to_flux(regrid.conservative_weights(src, COARSE), src, dst)
-    masked = f.join(mask, "fid").withColumn("flux", F.col("flux") * F.col("factor"))
-    out = regrid.apply_weights(masked, w, "inventory", "sector", "pollutant", value="flux")
+    f = fields.withColumn("pollutant", F.get(F.array(*map(F.lit, ("co", "nox", "sox", "pm"))), F.col("pollutant")))
+    out = jobs.area_inventory(f, mask, src, dst, COARSE, None, None)
     steps = temporal.time_steps(spark, "2024-07-01", "hourly", 24)
     zone = F.format_string("GMT%+d", "tz_h")
     calendar = temporal.with_calendar(temporal.local_calendar(dst.select("fid", zone.alias("tz")), steps), "local_ts")
     by_hour = F.when(F.col("hour_i").between(7, 18), 1.5).otherwise(0.5)
     vfac = f.select("sector").distinct().withColumn("vfac", F.array(F.lit(0.75), F.lit(0.25)))
-    hours = jobs.to_hours(out, calendar, by_hour, vfac, 2, {"co": 28.0, "nox": 46.0, "sox": 64.0, "pm": 1.0}, {"CO": "co", "NO": "0.9*nox", "NO2": "0.1*nox", "SO2": "sox", "PM": "pm"})
-    return hours.select(F.hour("ts").alias("hour_i"), "lev", "fid", "species", r("value", 4).alias("value"))
+    return jobs.to_hours(out, calendar, by_hour, vfac, 2, {"co": 28.01, "nox": 46.0055, "sox": 64.066, "pm": 1.0}, {"CO": "co", "NO": "0.9*nox", "NO2": "0.1*nox", "SO2": "sox", "PM": "0.97*pm"})
 
 
 @query(with_views("SELECT pollutant, point_id AS fid, round(sum(flux / g) / any_value(total), 4) AS value FROM (SELECT point_id, unnest(g) AS g, unnest(fids) AS fid, list_sum(list_transform(g, lambda x: 1 / x)) AS total FROM near) JOIN (SELECT pollutant, fid, sum(flux) AS flux FROM flux GROUP BY 1, 2) USING (fid) GROUP BY 1, 2", "cells", "flux", "points", s=_ecef("cells", "fid"), t=_ecef("points", "point_id"), near=_NEAR))
@@ -1101,12 +1108,13 @@ _FIRE_STEPS = """SELECT b.{step}, dst_fid AS fid, lev, pollutant, sum(flux * s.a
 _FIRES = "SELECT (user_id * 131) % 2592 AS src_fid, event_type AS pollutant, value AS flux, CAST(event_id % 650 AS DOUBLE) AS height, CAST(epoch(date_trunc('hour', ts)) / 3600 AS BIGINT) AS hour_no, CAST(epoch(date_trunc('day', ts)) / 3600 AS BIGINT) AS day_no FROM events"
 
 
-def stacks_by_hour(spark: SparkSession, d: str) -> DataFrame:
+def stacks_by_hour(spark: SparkSession, d: str, wanted: DataFrame | None = None) -> DataFrame:
     dst = cells(spark, COARSE)
     steps = temporal.time_steps(spark, "2024-07-01", "hourly", 24)
     calendar = temporal.with_calendar(temporal.local_calendar(dst.select("fid", F.format_string("GMT%+d", "tz_h").alias("tz")), steps), "local_ts")
     by_hour = F.when(F.col("hour_i").between(7, 18), 1.5).otherwise(0.5)
     p = points(spark, d).withColumn("emis", F.col("emis") * 1e9)
+    p = p if wanted is None else p.join(wanted, "pollutant", "left_semi")
     return jobs.stack_inventory(p, COARSE, dst, TOPS, calendar, by_hour, {"F": 28.0, "O": 46.0, "P": 64.0}, {"CO": "F", "NO": "0.9*O", "NO2": "0.1*O", "SO2": "P"})
 
 
@@ -1130,16 +1138,48 @@ def job_04_hourly_fires(spark, d):
     return fires_by(spark, d, "hour").select(hour_no().alias("hour_no"), "fid", "lev", "pollutant", r("flux", 4).alias("flux"))
 
 
-@query(with_views("SELECT hour_i, lev, fid, species, round(sum(value), 3) AS value FROM (SELECT * FROM hours WHERE value <> 0 UNION ALL SELECT hour_no % 24, lev, fid, 'CO', flux FROM steps WHERE pollutant = 'click') GROUP BY 1, 2, 3, 4", "cells", "coarse", "points", "w", hours=_STACK_HOURS, fire=_FIRES, steps=_FIRE_STEPS.format(step="hour_no")))
+def cross_table(spark: SparkSession, d: str) -> DataFrame:
+    """A cross table of area inventories (one for each inventory and sector of the fields), stacks and
+    fires; one inventory is switched off."""
+    area = flux(spark, d).select("inventory", "sector").distinct().select(F.col("inventory").alias("ei"), "sector", F.lit("area").alias("source_type"), F.lit("yearly").alias("frequency"), F.lit("0, 1; 2").alias("pollutants"), F.when(F.col("inventory") == "R", "0").otherwise("1").alias("active"))
+    stacks = load(spark, d, "orders").select(F.lit("stacks").alias("ei"), F.col("o_orderstatus").alias("pollutants")).distinct().select("ei", F.lit("energy").alias("sector"), F.lit("point").alias("source_type"), F.lit("monthly").alias("frequency"), "pollutants", F.lit("1").alias("active"))
+    burnt = load(spark, d, "events").where("event_type = 'click'").select(F.lit("fires").alias("ei"), F.col("event_type").alias("pollutants")).distinct().select("ei", F.lit("biomass").alias("sector"), F.lit("point").alias("source_type"), F.lit("hourly").alias("frequency"), "pollutants", F.lit("1").alias("active"))
+    rows = area.unionByName(stacks).unionByName(burnt)
+    return readers.active_rows(rows.withColumns({c: F.lit(None).cast("string") for c in checks.CROSS_COLUMNS if c not in rows.columns}))
+
+
+@query(with_views("SELECT hour_i, lev, fid, species, round(sum(value), 3) AS value FROM (SELECT * FROM area UNION ALL SELECT * FROM hours WHERE value <> 0 UNION ALL SELECT hour_no % 24, lev, fid, 'CO', flux FROM steps WHERE pollutant = 'click') GROUP BY 1, 2, 3, 4 HAVING sum(value) <> 0", "cells", "coarse", "flux", "points", "w", area=_AREA_HOURS.format(which="inventory <> 'R' AND pollutant < 3"), hours=_STACK_HOURS, fire=_FIRES, steps=_FIRE_STEPS.format(step="hour_no")))
 def job_05_all_inventories(spark, d):
-    """Stacks and fires of a cross table as one sum, at the hours of a model day."""
-    burnt = fires_by(spark, d, "hour").where("pollutant = 'click'")
-    day = F.to_timestamp(F.lit("2024-07-01"))
-    burnt = burnt.select(F.timestamp_add("HOUR", F.hour("ts"), day).alias("ts"), "lev", "fid", F.lit("CO").alias("species"), F.col("flux").alias("value"))
-    out = jobs.combine(stacks_by_hour(spark, d), burnt)
+    """Area inventories, stacks and fires that a cross table names as one sum, at the hours of a model day."""
+
+    def area(rows: DataFrame) -> DataFrame:
+        keys = rows.select(F.col("ei").alias("inventory"), "sector", F.col("pollutant").cast("int").alias("pollutant")).distinct()
+        return area_by_hour(spark, flux(spark, d).join(keys, ["inventory", "sector", "pollutant"], "left_semi"))
+
+    def stack(rows: DataFrame) -> DataFrame:
+        return stacks_by_hour(spark, d, rows.select("pollutant").distinct())
+
+    def fire(rows: DataFrame) -> DataFrame:
+        burnt = fires_by(spark, d, "hour").join(rows.select("pollutant").distinct(), "pollutant", "left_semi")
+        day = F.to_timestamp(F.lit("2024-07-01"))
+        return burnt.select(F.timestamp_add("HOUR", F.hour("ts"), day).alias("ts"), "lev", "fid", F.lit("CO").alias("species"), F.col("flux").alias("value"))
+
+    out = jobs.combine(cross_table(spark, d), {"area": area, "stack": stack, "fire_hourly": fire})
     return out.select(F.hour("ts").alias("hour_i"), "lev", "fid", "species", r("value", 3).alias("value"))
 
 
+@query("SELECT pollutant, count(*) AS n, count(height) AS n_height, round(sum(flux), 4) AS flux, round(sum(height), 4) AS height FROM (SELECT event_type AS pollutant, ts, fid, sum(value) AS flux, any_value(height) AS height FROM (SELECT event_type, ts, user_id % 2592 AS fid, value FROM events WHERE event_type <> 'view') LEFT JOIN (SELECT ts, user_id % 2592 AS fid, sum(value) AS height FROM events WHERE event_type = 'view' GROUP BY 1, 2) USING (ts, fid) GROUP BY 1, 2, 3) GROUP BY 1")
+def src_22_fire_field(spark, d):
+    """Fires of a table by day, with the height variable of their step and cell (many have none)."""
+    e, to = load(spark, d, "events"), sinks.scratch(spark, "fire_field")
+    rows = e.groupBy("ts", (F.col("user_id") % 2592).alias("src_fid"), F.col("event_type").alias("variable")).agg(F.sum("value").alias("value"))
+    rows.withColumn("day", F.date_format("ts", "yyyyMMdd")).repartition("day").write.partitionBy("day").parquet(to)
+    days = [x[0] for x in e.select(F.date_format("ts", "yyyyMMdd")).distinct().collect()]
+    names = [x[0] for x in e.where("event_type <> 'view'").select("event_type").distinct().collect()]
+    out = readers.read_fire_field(spark, to, sorted(names), "view", days)
+    return out.groupBy("pollutant").agg(F.count("*").alias("n"), F.count("height").alias("n_height"), r(F.sum("flux"), 4).alias("flux"), r(F.sum("height"), 4).alias("height"))
+
+
 def timer_names(log: DataFrame) -> DataFrame:
     """Old timers under new names: two of them are one timer now."""
     new = F.when(F.col("subsection") == "R", "mask").otherwise("rescale")

@@ -2,27 +2,62 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridflux.operators.checks import CROSS_COLUMNS
 
 INVENTORY = "inventory STRING, sector STRING, pollutant STRING, period STRING, fid BIGINT, flux DOUBLE"
 STACKS = "Lat DOUBLE, Lon DOUBLE, Alt_Injection DOUBLE, Emis DOUBLE"
-FIRE = "ts TIMESTAMP, src_fid BIGINT, pollutant STRING, flux DOUBLE, height DOUBLE"
+#: Partitions that a filter lists one by one.
+SHORT_LIST = 2_000
 
 
 def read_inventory(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
     """SRC-01. Fields of the wanted (inventory, sector, pollutant, period) from Parquet partitioned by
     them; a wanted one without rows is an error."""
     keys = ["inventory", "sector", "pollutant", "period"]
-    found = spark.read.schema(INVENTORY).parquet(path).join(wanted.select(*keys).distinct(), keys, "left_semi")
-    missing = wanted.select(*keys).join(found.select(*keys).distinct(), keys, "left_anti").collect()
+    wanted = wanted.select(*keys).distinct()
+    table = spark.read.schema(INVENTORY).parquet(path)
+    listed = wanted.limit(SHORT_LIST + 1).collect()
+    if len(listed) <= SHORT_LIST:
+        found = table.where(partitions_of(listed, keys))
+    else:  # too long for a filter: the join prunes while it runs
+        found = table.join(wanted, keys, "left_semi")
+    missing = wanted.join(found.select(*keys).distinct(), keys, "left_anti").collect()
     if missing:
         raise FileNotFoundError(f"no field for {[tuple(m) for m in missing]}")
     return found
 
 
+def partitions_of(rows: list, keys: list[str]) -> Column:
+    """A filter on partition columns that holds for the rows' keys: the last one listed under each of the others."""
+    groups: dict[tuple, list] = {}
+    for row in rows:
+        groups.setdefault(tuple(row[k] for k in keys[:-1]), []).append(row[keys[-1]])
+    out = F.lit(False)
+    for values, last in sorted(groups.items()):
+        here = F.col(keys[-1]).isin(last)
+        for k, v in zip(keys, values):
+            here &= F.col(k) == v
+        out |= here
+    return out
+
+
+def read_fire_field(spark: SparkSession, path: str, pollutants: list[str], altitude: str, days: list[str]) -> DataFrame:
+    """SRC-22. Fires (ts, src_fid, pollutant, flux, height) of a table (ts, src_fid, variable, value) that is
+    partitioned by day: all pollutants of a step with the injection height of the same step and cell, which
+    stands in the table as one more variable. A day or variable without any row is an error; a cell
+    without a height keeps null."""
+    names = [*pollutants, altitude]
+    rows = spark.read.parquet(path).where(F.col("day").cast("string").isin(days) & F.col("variable").isin(names))
+    there = {(r["day"], r["variable"]) for r in rows.select(F.col("day").cast("string").alias("day"), "variable").distinct().collect()}
+    if lost := sorted({(d, n) for d in days for n in names} - there):
+        raise FileNotFoundError(f"no rows for {lost}")
+    height = F.max(F.when(F.col("variable") == altitude, F.col("value"))).over(Window.partitionBy("ts", "src_fid"))
+    return rows.withColumn("height", height).where(F.col("variable") != altitude).select("ts", "src_fid", F.col("variable").alias("pollutant"), F.col("value").alias("flux"), "height")
+
+
 def read_cross_table(spark: SparkSession, path: str) -> DataFrame:
     """SRC-03, CHK-11. Active rows of the `;` separated cross table, one for each pollutant."""
     return active_rows(spark.read.csv(path, sep=";", header=True))
@@ -78,12 +113,18 @@ def read_stacks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_text_inventory(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-14. Text inventory whose first lines start with `#`, eight `;` separated columns."""
+    """SRC-14. Text inventory whose first lines start with `#`, eight `;` separated columns; a row whose
+    numbers can't be read has nulls there (see ``unread_rows``)."""
     lines = spark.read.text(path).where(~F.col("value").startswith("#") & (F.trim("value") != ""))
     p = F.split("value", ";")
     names = ("ISO2", "YEAR", "SECTOR", "POLLUTANT", "LONGITUDE", "LATITUDE", "UNIT", "EMISSION")
     kinds = {"YEAR": "int", "LONGITUDE": "double", "LATITUDE": "double", "EMISSION": "double"}
-    return lines.select(*[F.trim(F.get(p, F.lit(k))).try_cast(kinds.get(n, "string")).alias(n) for k, n in enumerate(names)]).where("EMISSION IS NOT NULL")
+    return lines.select(*[F.trim(F.get(p, F.lit(k))).try_cast(kinds.get(n, "string")).alias(n) for k, n in enumerate(names)])
+
+
+def unread_rows(rows: DataFrame) -> DataFrame:
+    """SRC-14. Rows of a text inventory without a year, place or emission; a caller reports or drops them."""
+    return rows.where("YEAR IS NULL OR LONGITUDE IS NULL OR LATITUDE IS NULL OR EMISSION IS NULL")
 
 
 def fix_coordinates(rows: DataFrame, fixes: DataFrame) -> DataFrame:

@@ -27,14 +27,29 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def cached_fields(spark: SparkSession, path: str, wanted: DataFrame, make) -> DataFrame:
-    """SNK-04, SNK-14. Fields of a cache partitioned by pollutant; what is wanted (pollutant) and not yet
-    there is made by ``make(missing)`` and added."""
-    missing = wanted.select("pollutant").distinct()
-    if exists(spark, path):
-        missing = missing.join(spark.read.parquet(path).select("pollutant").distinct(), "pollutant", "left_anti")
-    if not missing.isEmpty():
-        make(missing).write.partitionBy("pollutant").mode("append").parquet(path)
-    return spark.read.parquet(path).join(wanted.select("pollutant").distinct(), "pollutant", "left_semi")
+    """SNK-04, SNK-14. Fields of a cache by pollutant; what is wanted (pollutant) and not yet there is made by
+    ``make(missing)`` and added.
+
+    Data lie under ``data`` by pollutant and run; a run's pollutants enter ``finished`` last, when all their rows
+    are written. Only finished ones are read, so a run that ended half-way is made again and its rows
+    are never seen. One row for each pollutant comes to the driver.
+    """
+    names = {r[0] for r in wanted.select("pollutant").distinct().collect()}
+
+    def done() -> list:
+        return spark.read.parquet(f"{path}/finished").collect() if exists(spark, f"{path}/finished/_SUCCESS") else []
+
+    if lost := sorted(names - {r["pollutant"] for r in done()}):
+        run = uuid.uuid4().hex
+        make(spark.createDataFrame([(p,) for p in lost], "pollutant string")).withColumn("run", F.lit(run)).write.partitionBy("pollutant", "run").mode("append").parquet(f"{path}/data")
+        spark.createDataFrame([(p, run) for p in lost], "pollutant string, run string").coalesce(1).write.mode("append").parquet(f"{path}/finished")
+    first: dict[str, str] = {}
+    for r in sorted(done()):  # two runs at once may both have made one
+        first.setdefault(r["pollutant"], r["run"])
+    runs = {first[p] for p in names}
+    kept = [f"{p}/{first[p]}" for p in sorted(names)]
+    table = spark.read.parquet(f"{path}/data").where(F.col("run").isin(sorted(runs)) & F.col("pollutant").isin(sorted(names)))
+    return table.where(F.concat_ws("/", "pollutant", "run").isin(kept)).drop("run")
 
 
 def cache_name(sector: str, proxy: dict) -> str:
