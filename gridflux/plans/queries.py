@@ -828,12 +828,12 @@ def vrt_08_linear_interpolation(spark, d):
 
 
 @query(with_views("""SELECT pollutant, fid, CAST(k AS INTEGER) AS lev, round(list_sum(list_transform(range(1, len(z) + 1), lambda i: v[i] * list_product(list_transform(range(1, len(z) + 1), lambda j: CASE WHEN i = j THEN 1.0 ELSE (x - z[j]) / (z[i] - z[j]) END)))), 6) AS value
- FROM (SELECT *, least(greatest(h, z[1]), z[len(z)]) AS x FROM (SELECT pollutant, fid, list(q * 100.0::DOUBLE ORDER BY q) AS z, list(flux::DOUBLE ORDER BY q) AS v FROM (SELECT pollutant, fid, (month_i - 1) // 3 + 1 AS q, sum(flux) AS flux FROM flux GROUP BY 1, 2, 3) GROUP BY 1, 2), (VALUES (0, 153.71239), (1, 233.33917), (2, 950.0)) t(k, h))""", "flux"))
+ FROM (SELECT *, least(greatest(h, z[1]), z[len(z)]) AS x FROM (SELECT pollutant, fid, list(q * 100.0::DOUBLE ORDER BY q) AS z, list(flux::DOUBLE ORDER BY q) AS v FROM (SELECT pollutant, fid, (month_i - 1) // 3 + 1 AS q, sum(flux) AS flux FROM flux GROUP BY 1, 2, 3) GROUP BY 1, 2), (VALUES (0, 153.71239417331), (1, 233.33917718593), (2, 950.0)) t(k, h))""", "flux"))
 def vrt_08_cubic_interpolation(spark, d):
     """Splines of four levels at most, each one polynomial."""
     f = flux(spark, d).groupBy("pollutant", "fid", (F.floor((F.col("month_i") - 1) / 3) + 1).alias("lev")).agg(F.sum("flux").alias("value"))
     columns = vertical.columns_of(f, f.select("pollutant", "fid", "lev", (F.col("lev") * 100.0).alias("height")), "pollutant", "fid")
-    return vertical.interpolate_spline(columns, [153.71239, 233.33917, 950.0], ["pollutant", "fid"]).withColumn("value", r("value"))
+    return vertical.interpolate_spline(columns, [153.71239417331, 233.33917718593, 950.0], ["pollutant", "fid"]).withColumn("value", r("value"))
 
 
 # Speciation and units --------------------------------------------------------------------------
