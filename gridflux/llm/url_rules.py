@@ -15,6 +15,7 @@ gives an empty result. Columns other than the id and the URL are not read.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml.fpm import FPGrowth
@@ -24,7 +25,6 @@ from pyspark.sql import functions as F
 from gridflux.llm.common import small, stage
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-BAD = "label:bad"
 
 
 @dataclass(frozen=True)
@@ -77,33 +77,66 @@ def url_tokens(url: Column, host: Column, path: Column) -> Column:
     return F.array_distinct(F.concat(scheme, some(F.split(host, r"\."), "host:"), some(steps, "path:"), some(names, "query:")))
 
 
+def token_classes(tokens: DataFrame, least: int) -> DataFrame:
+    """token, class: tokens of ``least`` bad rows or more; those that stand in the very same labelled rows share a
+    class, named after its first token. Row sets are compared by their sizes and 128 bits of hashes.
+
+    ``tokens``: row, token, bad, each token of a row once.
+    """
+    row = F.struct("row", F.lit("second"))
+    sets = tokens.groupBy("token").agg(F.count_if("bad").alias("n_bad"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("row")).alias("a"), F.bit_xor(F.xxhash64(row)).alias("b"))
+    same = sets.where(F.col("n_bad") >= least).groupBy("n_bad", "n", "a", "b").agg(F.collect_list("token").alias("tokens"))
+    return same.select(F.array_min("tokens").alias("class"), F.explode("tokens").alias("token"))
+
+
 def mine_rules(labelled: DataFrame, min_support: float = 0.005, min_rows: int = 20, min_confidence: float = 0.7) -> DataFrame:
-    """Token combinations that lead to a bad label: antecedent, confidence, support.
+    """Token combinations that lead to a bad label: antecedent, confidence, support. An antecedent is an array
+    of classes, each an array of tokens of which a page needs one: tokens that the labelled rows can't
+    tell apart give rules of the same confidence, so they are mined as one item.
 
     ``labelled``: tokens array<string>, bad boolean. A combination needs ``min_support`` of the rows and
-    ``min_rows`` of them. A rule goes if it has at most the confidence of one that lacks one of its
-    tokens: what it matches that one matches too, or a shorter one that made that go. All others stay.
+    ``min_rows`` of them, all bad. FP-growth runs over the bad rows alone; the good rows that hold a
+    combination are counted afterwards, through its class that the fewest of them hold. A rule goes if it
+    has at most the confidence of one that lacks one of its classes: what it matches that one matches too,
+    or a shorter one that made that go. All others stay.
     """
     spark = labelled.sparkSession
-    if labelled.where("bad").isEmpty():
-        return spark.createDataFrame([], "antecedent array<string>, confidence double, support double")
-    baskets = labelled.select(F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(BAD)))).otherwise(F.col("tokens")).alias("items"))
-    support = min(1.0, max(min_support, min_rows / labelled.count()))
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(baskets)
-    rules = model.associationRules.where(F.col("consequent") == F.array(F.lit(BAD)))
-    rules = stage(rules.select(F.array_sort("antecedent").alias("antecedent"), "confidence", "support"), "all_rules")
+    rows = stage(labelled.select(F.monotonically_increasing_id().alias("row"), F.array_distinct("tokens").alias("tokens"), F.coalesce("bad", F.lit(False)).alias("bad")), "labelled")
+    n, n_bad = rows.agg(F.count("*"), F.count_if("bad")).first()
+    least = max(math.ceil(min_support * n), min_rows, 1)
+    if n_bad < least:
+        return spark.createDataFrame([], "antecedent array<array<string>>, confidence double, support double")
+    tokens = rows.select("row", "bad", F.explode("tokens").alias("token"))
+    classes = stage(token_classes(tokens, least), "token_classes")
+    held = tokens.join(small(classes), "token").select("row", "bad", "class").distinct()
+    baskets = stage(held.groupBy("row", "bad").agg(F.collect_set("class").alias("items")), "baskets")
+    frequent = FPGrowth(itemsCol="items", minSupport=min(1.0, (least - 0.5) / n_bad)).fit(baskets.where("bad").select("items")).freqItemsets
+    common = baskets.where("not bad").select(F.explode("items").alias("rarest")).groupBy("rarest").agg(F.count("*").alias("n_good"))
+    frequent = stage(frequent.select(F.array_sort("items").alias("antecedent"), F.col("freq").alias("n_bad")), "frequent")
+    first = frequent.select("antecedent", F.explode("antecedent").alias("rarest")).join(small(common), "rarest", "left")
+    first = first.groupBy("antecedent").agg(F.min(F.struct(F.coalesce("n_good", F.lit(0)).alias("n"), "rarest")).alias("r")).select("antecedent", "r.rarest")
+    good = baskets.where("not bad").select("items", F.explode("items").alias("rarest")).join(small(first), "rarest")
+    good = good.where(F.size(F.array_except("antecedent", "items")) == 0).groupBy("antecedent").agg(F.count("*").alias("n_good"))
+    confidence = F.col("n_bad") / (F.col("n_bad") + F.coalesce("n_good", F.lit(0)))
+    rules = frequent.join(good, "antecedent", "left").select("antecedent", confidence.alias("confidence"), (F.col("n_bad") / n).alias("support"))
+    rules = stage(rules.where(F.col("confidence") >= min_confidence), "all_rules")
     shorter = rules.where(F.size("antecedent") > 1).select("antecedent", "confidence", F.explode(F.transform("antecedent", lambda t: F.array_remove("antecedent", t))).alias("part"))
     parts = rules.select(F.col("antecedent").alias("part"), F.col("confidence").alias("known"))
     needless = shorter.join(parts, "part").where("known >= confidence").select("antecedent").distinct()
-    return rules.join(needless, "antecedent", "left_anti").select("antecedent", "confidence", "support")
+    members = classes.groupBy("class").agg(F.array_sort(F.collect_list("token")).alias("tokens"))
+    kept = rules.join(needless, "antecedent", "left_anti").withColumn("class", F.explode("antecedent")).join(small(members), "class")
+    kept = kept.groupBy("antecedent", "confidence", "support").agg(F.array_sort(F.collect_list("tokens")).alias("alternatives"))
+    return kept.select(F.col("alternatives").alias("antecedent"), "confidence", "support")
 
 
 def match_rules(rows: DataFrame, rules: DataFrame) -> DataFrame:
-    """Rows (row, tokens) all of whose rule's tokens they hold: row, confidence of the best rule."""
+    """Rows (row, tokens) that hold a token of each class of a rule: row, confidence of the best rule."""
     index = stage(rules.withColumn("rule", F.monotonically_increasing_id()), "rules")
-    postings = index.select("rule", "confidence", F.size("antecedent").alias("needs"), F.explode("antecedent").alias("token"))
+    postings = index.select("rule", "confidence", F.size("antecedent").alias("needs"), F.posexplode("antecedent").alias("place", "any"))
+    postings = postings.select("rule", "confidence", "needs", "place", F.explode("any").alias("token"))
     hits = rows.select("row", F.explode("tokens").alias("token")).join(small(postings), "token")
-    return hits.groupBy("row", "rule").agg(F.count("*").alias("n"), F.first("needs").alias("needs"), F.first("confidence").alias("confidence")).where("n = needs").groupBy("row").agg(F.max("confidence").alias("confidence"))
+    whole = hits.groupBy("row", "rule").agg(F.count_distinct("place").alias("n"), F.first("needs").alias("needs"), F.first("confidence").alias("confidence")).where("n = needs")
+    return whole.groupBy("row").agg(F.max("confidence").alias("confidence"))
 
 
 def judge_pages(pages: DataFrame, labels: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
