@@ -75,15 +75,16 @@ def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray,
     return bins, offsets, np.asarray(left, np.int64)
 
 
-def pack(items: DataFrame, capacity: int, length: str = "length", slack: int = 4, group_items: int = 20_000, fan_in: int = 8, carry: int = 2_000) -> DataFrame:
+def pack(items: DataFrame, capacity: int, length: str = "length", slack: int = 4, group_items: int = 20_000, fan_in: int = 8) -> DataFrame:
     """``items`` with ``sequence_id`` and ``offset``; no sequence is longer than ``capacity``.
 
     Items are dealt at random into groups of about ``group_items``. Each group is packed best-fit;
-    bins with at most ``slack`` places left are emitted, the others go on to the next round, where
-    ``fan_in`` groups meet as one, until one group is left and all is emitted. A bin at most half
-    full goes on whole, as one item; no two fuller bins can ever meet, so such a bin is opened again
-    and its items go on. At most ``carry`` bins of a group go on, the emptiest first, and the rest
-    is emitted as it is: this bounds each task's rows and drops nothing.
+    bins with at most ``slack`` places left are emitted, all others go on to the next round, where up to
+    ``fan_in`` groups meet as one. A bin at most half full goes on whole, as one item; no two fuller bins
+    can ever meet, so such a bin is opened again and its items go on. How many groups meet follows from
+    the units that go on: as many as hold ``group_items`` together, two at least. The round of one group is the
+    last; so is one whose groups have each grown to eight times ``group_items``, since then next to nothing
+    that goes on fits together. A task's rows follow ``group_items``, and nothing is dropped.
 
     Items as long as ``capacity`` are sequences of their own. Longer, empty and null lengths are
     errors of the caller and raise.
@@ -104,10 +105,7 @@ def pack(items: DataFrame, capacity: int, length: str = "length", slack: int = 4
             units, of = np.unique(rows["_unit"].to_numpy(), return_inverse=True)
             sizes = np.bincount(of, weights=rows[length]).astype(np.int64)
             bins, offsets, left = best_fit(sizes, capacity)
-            on = np.flatnonzero(left > slack) if not last else np.empty(0, np.int64)
-            on = on[np.argsort(-left[on], kind="stable")][:carry]
-            goes, half = np.zeros(len(left), bool), 2 * left >= capacity
-            goes[on] = True
+            goes, half = (left > slack) & (not last), 2 * left >= capacity
             row_bin = bins[of]
             lead = np.full(len(left), np.iinfo(np.int64).max)
             np.minimum.at(lead, row_bin, rows["_item"].to_numpy())
@@ -115,7 +113,6 @@ def pack(items: DataFrame, capacity: int, length: str = "length", slack: int = 4
             rows["_at"] = np.where(opened, 0, rows["_at"].to_numpy() + offsets[of])
             rows["_unit"] = np.where(opened, rows["_item"].to_numpy(), lead[row_bin])
             rows["_done"] = ~goes[row_bin]
-            rows["_group"] = rows["_group"] // fan_in
             return rows
 
         return packed
@@ -123,13 +120,17 @@ def pack(items: DataFrame, capacity: int, length: str = "length", slack: int = 4
     rest = items.where(F.col(length) < capacity).select(
         *columns, "_item", F.pmod(F.xxhash64("_item"), F.lit(groups)).alias("_group"), F.col("_item").alias("_unit"), F.lit(0).cast("long").alias("_at"), F.lit(False).alias("_done")
     )
-    done = [whole]
+    done, units = [whole], first[0]
     while True:
-        rest = stage(rest.groupBy("_group").applyInPandas(round_of(groups == 1), out), "round")
+        last = groups == 1 or units > 8 * group_items * groups
+        rest = stage(rest.groupBy("_group").applyInPandas(round_of(last), out), "round")
         done.append(rest.where("_done").select(*columns, F.col("_unit").alias("sequence_id"), F.col("_at").alias("offset")))
-        if groups == 1:
+        if last:
             break
-        rest, groups = rest.where("not _done"), -(-groups // fan_in)
+        rest = rest.where("not _done")
+        units = rest.agg(F.count_distinct("_unit")).first()[0]
+        meet = max(2, min(fan_in, groups * group_items // max(1, units)))
+        rest, groups = rest.withColumn("_group", F.floor(F.col("_group") / meet).cast("long")), -(-groups // meet)
     result = done[0]
     for part in done[1:]:
         result = result.unionByName(part)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import re
+import time
 import unicodedata
 import zlib
 from collections import Counter, defaultdict
@@ -140,7 +141,7 @@ def test_mined_rules_match_by_all_their_tokens(spark):
     rows = [(["host:spam", "path:en"], True)] * 30 + [(["host:spam", "path:fr"], False)] * 30 + [(["host:good", "path:en"], False)] * 40
     labelled = spark.createDataFrame(rows, "tokens array<string>, bad boolean")
     rules = url_rules.mine_rules(labelled)
-    assert [sorted(r.antecedent) for r in rules.collect()] == [["host:spam", "path:en"]]
+    assert [sorted(r.antecedent) for r in rules.collect()] == [[["host:spam"], ["path:en"]]]
     urls = spark.createDataFrame([(1, ["host:spam", "path:en", "x"]), (2, ["host:spam"]), (3, ["path:en"])], "row long, tokens array<string>")
     assert [r.row for r in url_rules.match_rules(urls, rules).collect()] == [1]
 
@@ -171,7 +172,7 @@ def test_mined_rules_and_verdicts_on_the_pages(spark):
     baskets = [(frozenset(tokens_of[i]), bool(b)) for i, b in zip(rows["page_id"], bad)]
     want = mined(baskets, 20, 0.7)
     found = url_rules.mine_rules(spark.createDataFrame([(sorted(t), b) for t, b in baskets], "tokens array<string>, bad boolean")).collect()
-    assert {frozenset(r.antecedent): round(r.confidence, 9) for r in found} == {c: round(p, 9) for c, p in want.items()} and len(want) >= 2
+    assert spelt_out(found) == {c: round(p, 9) for c, p in want.items()} and len(want) >= 2
     got = url_rules.judge_pages(pages, labels).toPandas().set_index("page_id")
     blocked = 0
     for i, u in zip(rows["page_id"], rows["url"]):
@@ -187,11 +188,36 @@ def canonical(text):
     return re.sub(r"[\s\x85]+", " ", nfkc(nfkc(text).casefold())).strip(" ")
 
 
+def spelt_out(found):
+    """Mined rules as sets of tokens: one of each class, in all ways."""
+    return {frozenset(t): round(r.confidence, 9) for r in found for t in itertools.product(*r.antecedent)}
+
+
 def test_no_mined_rule_is_lost_to_redundant_ones(spark):
     long = [f"t{k}" for k in range(14)]  # 2^14 - 1 combinations of confidence 1
     rows = [(long, True)] * 30 + [(["weak"], True)] * 30 + [(["weak"], False)] * 10 + [(["fine"], False)] * 30
     found = url_rules.mine_rules(spark.createDataFrame(rows, "tokens array<string>, bad boolean")).collect()
-    assert {(*r.antecedent, r.confidence) for r in found} == {("weak", 0.75)} | {(t, 1.0) for t in long}
+    assert spelt_out(found) == {frozenset(["weak"]): 0.75} | {frozenset([t]): 1.0 for t in long}
+
+
+def test_templates_of_many_tokens_are_mined_in_seconds(spark):
+    """40 tokens of one template that good rows partly share: what rows can't tell apart is one item."""
+    long, began = [f"t{k:02d}" for k in range(40)], time.perf_counter()
+    rows = [(long, True)] * 30 + [(long[:20], False)] * 40 + [(long[20:] + ["x"], True)] * 5 + [(["fine"], False)] * 30
+    found = url_rules.mine_rules(spark.createDataFrame(rows, "tokens array<string>, bad boolean"))
+    want = {frozenset([t]): 1.0 for t in long[20:]}  # with one of the first 20 it would match less at the same confidence
+    assert spelt_out(found.collect()) == want and found.count() == 1 and time.perf_counter() - began < 60
+    urls = spark.createDataFrame([(1, long[:20]), (2, ["t33"]), (3, ["y"]), (4, long)], "row long, tokens array<string>")
+    assert sorted(r.row for r in url_rules.match_rules(urls, found).collect()) == [2, 4]
+
+
+def test_mining_small_baskets_against_all_combinations(spark):
+    rng = np.random.default_rng(6)
+    for trial in range(3):
+        baskets = [(frozenset(f"t{k}" for k in range(7) if rng.random() < (0.7 if k < 4 else 0.3)) | ({"a", "b"} if rng.random() < 0.5 else set()), False) for _ in range(150)]
+        baskets = [(b, bool(("t1" in b and "t4" in b) ^ (rng.random() < 0.1))) for b, _ in baskets]
+        found = url_rules.mine_rules(spark.createDataFrame([(sorted(b), k) for b, k in baskets], "tokens array<string>, bad boolean"), min_rows=8, min_confidence=0.5)
+        assert spelt_out(found.collect()) == {c: round(p, 9) for c, p in mined(baskets, 8, 0.5).items()}
 
 
 def test_fingerprints(spark, docs):
@@ -224,10 +250,19 @@ def test_packing(spark, docs):
     assert got["sequence_id"].nunique() <= 1.02 * -(-got["length"].sum() // 1024) + 1
 
 
+@pytest.mark.parametrize("low,high", [(51, 60), (1, 3), (95, 97)])
+def test_packing_ends_where_nothing_fits_together(spark, low, high):
+    sizes = np.random.default_rng(3).integers(low, high, 3000)
+    items = spark.createDataFrame([(k, int(s)) for k, s in enumerate(sizes)], "id long, length long")
+    got = packing.pack(items, 100, group_items=100).toPandas()
+    assert sorted(got["id"]) == list(range(3000)) and got.groupby("sequence_id")["length"].sum().max() <= 100
+    assert got["sequence_id"].nunique() <= (3000 if low > 50 else 1.01 * sizes.sum() / 100 + 1)
+
+
 def test_packing_rounds_lose_nothing(spark):
     sizes = np.random.default_rng(2).integers(1, 101, 3000)
     items = spark.createDataFrame([(k, int(s)) for k, s in enumerate(sizes)], "id long, length long")
-    got = packing.pack(items, 100, group_items=200, fan_in=3, carry=40).toPandas()
+    got = packing.pack(items, 100, group_items=200, fan_in=3).toPandas()
     assert sorted(got["id"]) == list(range(3000))
     for _, s in got.sort_values("offset").groupby("sequence_id"):
         assert s["offset"].tolist() == [0, *np.cumsum(s["length"])[:-1].tolist()] and s["length"].sum() <= 100
