@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
@@ -60,6 +62,67 @@ def test_a_row_for_each_row(spark, labels, name, kind):
     assert sorted((r[0] is None, r[0]) for r in got.select("doc_id").collect()) == sorted((r[0] is None, r[0]) for r in docs.select("doc_id").collect())
 
 
+def got(spark, name, labels):
+    return OPERATORS[name](odd(spark, "plain"), labels).collect()
+
+
+@pytest.mark.parametrize("name, limit", [("op1", 0.7), ("op7", 0.5)])
+def test_scores_of_odd_texts(spark, labels, name, limit):
+    rows = got(spark, name, labels)
+    by_id = {r.doc_id: r for r in rows if r.doc_id in (1, 2, 3, 6)}
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= limit) for r in rows)
+    assert by_id[1].score == by_id[6].score and by_id[2].score == by_id[3].score
+    assert all(r.held_out is None or isinstance(r.held_out, bool) for r in rows)
+
+
+def test_encodings_of_odd_texts(spark, labels):
+    rows = got(spark, "op2", labels)
+    by_id = {r.doc_id: r for r in rows if r.doc_id in (1, 2, 3, 5, 6)}
+    none = hashlib.sha256(b"").hexdigest()
+    assert {(by_id[k].n_tokens, by_id[k].ids_sha256, by_id[k].decoded_sha256) for k in (2, 3)} == {(0, none, none)}
+    assert by_id[1][1:] == by_id[6][1:] and by_id[5].n_tokens > 60_000
+    stored = {r.doc_id: r.n_tokens for r in got(spark, "op6", labels) if r.doc_id in (1, 2, 3, 6)}
+    assert stored[2] == stored[3] == 1 and stored[1] == stored[6] > 10
+
+
+def test_fingerprints_of_odd_texts(spark):
+    rows = fingerprint.compare_edited(odd(spark, "plain")).collect()
+    by_id = {r.doc_id: r for r in rows if r.doc_id in (1, 2, 3, 5, 6)}
+    assert by_id[2].fingerprint == by_id[3].fingerprint != by_id[1].fingerprint == by_id[6].fingerprint
+    assert {by_id[k].n_chars for k in (2, 3)} == {0} and by_id[5].n_chars == len(LONG)
+    assert all(r.near_edited in (0.0, 1.0) and r.near_next in (0.0, 1.0) for r in rows)
+
+
+def test_rules_on_odd_texts(spark, labels):
+    rows = got(spark, "op8", labels)
+    by_id = {r.doc_id: r for r in rows if r.doc_id in (1, 2, 3, 4, 5, 8, 9)}
+    assert {tuple(by_id[k])[1:] for k in (2, 3, 4)} == {(0, 0, 0, 0, 0, True, False)}
+    assert (by_id[1].n_words, by_id[5].n_words, by_id[8].n_words, by_id[9].n_words) == (14, 120_000, 1, 1)
+    assert by_id[9].word_chars == 400_000 and by_id[8].word_chars == 1 and not by_id[9].kept
+    assert sum(r.doc_id == 7 for r in rows) == 3
+
+
+@pytest.mark.parametrize("kind", ["plain", "empty", "clash"])
+def test_pipeline(spark, tmp_path, kind):
+    syllables = "ba de fi go lu ma ne pi ro su ta ve".split()
+    word = lambda k: syllables[k % 12] + syllables[k // 12 % 12] + syllables[k // 144 % 12]
+    plain = {i: " ".join(word(i * 71 + 5 * j * j + 3 * j) for j in range(80)) for i in range(20, 41)}
+    docs = odd(spark, kind)
+    if kind != "empty":
+        extra = [(i, t, "en", "a", len(t)) for i, t in plain.items()] + [(41, plain[40], "en", None, None), (None, plain[40] + " end", None, "b", None)]
+        docs = docs.unionByName(spark.createDataFrame(extra, SCHEMA), allowMissingColumns=True)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    known = [] if kind == "empty" else LABELS + [(i, 1, 0) for i in plain]
+    spark.createDataFrame(known, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    pieces = [(r.doc_id, r.piece, r.start) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()]
+    texts = {p[0] for p in pieces}
+    if kind == "empty":
+        assert pieces == []
+    else:  # short, blank and junk texts go; copies of a line leave their document an empty text at most
+        assert set(plain) <= texts and not texts & {1, 2, 3, 4, 6, 8, 9}
+        assert len(set(pieces)) == len(pieces)
+
+
 @pytest.mark.parametrize("kind", ["plain", "empty", "clash"])
 def test_packing(spark, kind):
     got = packing.pack_documents(odd(spark, kind))
