@@ -44,6 +44,16 @@ def other_geometries(layer: DataFrame, kind: str = "Point") -> DataFrame:
     return layer.where(F.coalesce(F.col("kind") != kind, F.lit(True)))
 
 
+#: Units in which a field may go on road lines (fixed values).
+MASS_RATES = ("kg/s", "Kg/s", "kg.s-1", "Kg.s-1")
+
+
+def need_mass_rates(units: dict[str, str]) -> None:
+    """JOB-15. All named variables must be in kilograms a second."""
+    if bad := sorted(v for v, u in units.items() if u not in MASS_RATES):
+        raise ValueError(f"not in kg/s: {bad}")
+
+
 def mass_balance(before: DataFrame, after: DataFrame, key: str = "pollutant") -> DataFrame:
     """CHK-15. Mass of each pollutant before and after an allocation."""
     a, b = (df.groupBy(key).agg(F.sum("mass").alias(n)) for df, n in ((before, "mass_in"), (after, "mass_out")))

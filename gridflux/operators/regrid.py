@@ -307,7 +307,7 @@ def cut_segments(parts: DataFrame, grid: RegularGrid, name: str) -> DataFrame:
 
     tx = span("x1", "x2", grid.lon_orig + F.col("_col") * grid.inc_lon, grid.lon_orig + (F.col("_col") + 1) * grid.inc_lon)
     ty = span("y1", "y2", grid.lat_orig + F.col("_row") * grid.inc_lat, grid.lat_orig + (F.col("_row") + 1) * grid.inc_lat)
-    cut = cut.withColumns({"_t": F.greatest(tx[0], ty[0], F.lit(0.0)), "_u": F.least(tx[1], ty[1], F.lit(1.0))}).where("_u > _t")
+    cut = cut.withColumns({"_t": F.greatest(tx[0], ty[0], F.lit(0.0)), "_u": F.least(tx[1], ty[1], F.lit(1.0))}).where("_u - _t > 1e-12")  # not what rounding leaves where a line meets a corner
     dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
     new = {c: F.col(a) + F.col(t) * d for c, a, t, d in (("x1", "x1", "_t", dx), ("y1", "y1", "_t", dy), ("x2", "x1", "_u", dx), ("y2", "y1", "_u", dy))}
     return cut.withColumns(new | {name: (F.col("_row") * grid.n_lon + F.col("_col")).cast("long")}).drop("_row", "_col", "_t", "_u")

@@ -174,6 +174,10 @@ def interpolate_spline(columns: DataFrame, heights: list[float], keys: list[str]
 
 def columns_of(field: DataFrame, heights: DataFrame, *by: str) -> DataFrame:
     """VRT-09. Heights joined to values on (by, lev), gathered as arrays z and v in ascending height."""
-    joined = field.join(heights.select(*by, "lev", "height"), [*by, "lev"])
+    return gathered(field.join(heights.select(*by, "lev", "height"), [*by, "lev"]), *by)
+
+
+def gathered(tall: DataFrame, *by: str) -> DataFrame:
+    """Rows (by, height, value) as one row each with arrays z and v in ascending height."""
     pairs = F.array_sort(F.collect_list(F.struct("height", "value")))
-    return joined.groupBy(*by).agg(pairs.alias("p")).select(*by, F.transform("p", lambda x: x["height"]).alias("z"), F.transform("p", lambda x: x["value"]).alias("v"))
+    return tall.groupBy(*by).agg(pairs.alias("p")).select(*by, F.transform("p", lambda x: x["height"]).alias("z"), F.transform("p", lambda x: x["value"]).alias("v"))

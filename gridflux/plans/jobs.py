@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridflux.operators import regrid, rescale, runlog, speciation, stats, temporal, units, vertical
+from gridflux.operators import checks, regrid, rescale, runlog, speciation, stats, temporal, units, vertical
 from gridflux.operators.filters import positive_sources
 from gridflux.operators.grid import box_area
 from gridflux.operators.points import fire_flux, stack_flux
@@ -115,20 +115,35 @@ def preprocess_national(mass: DataFrame, sub_totals: DataFrame, species: DataFra
     return split.select("sub_sector", "species", "fid", units.mass_to_flux(F.col("mass") * F.col("share") * F.col("fr"), unit, F.col("area_m2")).alias("flux"))
 
 
-def grid_to_roads(field: DataFrame, roads: DataFrame, grid: RegularGrid) -> DataFrame:
-    """JOB-15. Level-0 field (pollutant, ts, lev, fid, value) on road links."""
+def grid_to_roads(field: DataFrame, roads: DataFrame, grid: RegularGrid, units: dict[str, str] | None = None) -> DataFrame:
+    """JOB-15. Level-0 field (pollutant, ts, lev, fid, value) on road links; ``units`` of the pollutants,
+    where given, must be kilograms a second."""
+    checks.need_mass_rates(units or {})
     return to_roads(field.where("lev = 0"), road_weights(roads, grid), "pollutant", "ts")
 
 
 def interpolate(field: DataFrame, src: DataFrame, grid: RegularGrid | None = None, stations: DataFrame | None = None, *by: str) -> DataFrame:
-    """JOB-16, JON-25. A surface dataset on another grid (conservative) or at stations (four nearest)."""
+    """JOB-16, JON-25. A dataset on another grid (conservative) or, at the surface only, at stations (four nearest)."""
     if stations is not None:
+        if "lev" in by:
+            raise ValueError("stations take one level")
         w = regrid.nearest_neighbours(src, stations.select(F.col("station").alias("fid"), "lon", "lat")).select("src_fid", "dst_fid", "weight")
     else:
         w = regrid.conservative_weights(src, grid)
     return regrid.apply_weights(field, w, *by)
 
 
+def interpolate_levels(field: DataFrame, heights: DataFrame, new: list[float], by: list[str], kind: str = "linear", below: str | float | None = None, above: str | float | None = None) -> DataFrame:
+    """JOB-16. A field (by, lev, value) at new heights: lev, value. ``heights`` are (lev, height) for all columns, or
+    differ by the columns of ``by`` that they carry. Splines for the kinds of ``vertical.DEGREES``."""
+    keys = [c for c in by if c in heights.columns] + ["lev"]
+    tall = field.join(heights.select(*keys, "height"), keys)
+    columns = vertical.gathered(tall, *by)
+    if kind in vertical.DEGREES:
+        return vertical.interpolate_spline(columns, new, by, kind, below, above)
+    return vertical.interpolate_linear(columns, new, kind, below, above).select(*by, "lev", "value")
+
+
 def analyse_log(log: DataFrame, names: DataFrame, method: str = "iqr") -> DataFrame:
     """JOB-17. Timers under their present names, outliers left out, and the mean of replications with its
     speed-up and efficiency for each process count."""

@@ -51,6 +51,78 @@ def src_01_inventory_by_partition(spark, d):
     return found.groupBy("inventory", "sector", "pollutant").agg(F.count("*").alias("n"), r(F.sum("flux"), 4).alias("flux"))
 
 
+def as_csv(df: DataFrame, name: str, *folders: str, sep: str = ",") -> str:
+    """``df`` written as CSV files with headers; the folder."""
+    to = sinks.scratch(df.sparkSession, name)
+    df.write.partitionBy(*folders).option("header", True).option("sep", sep).csv(to)
+    return to
+
+
+@query("""SELECT 'V' || s_suppkey AS id, CAST(k AS INTEGER) AS layer, CASE k WHEN 0 THEN 0.0::DOUBLE WHEN 1 THEN 50.0 + s_suppkey % 30 ELSE 400.0 END AS bottom, CASE k WHEN 0 THEN 50.0::DOUBLE + s_suppkey % 30 WHEN 1 THEN 400.0 ELSE 410.0 + s_suppkey % 50 * 20 END AS top,
+ CASE k WHEN 0 THEN 1.0::DOUBLE + s_suppkey % 3 WHEN 1 THEN 2.0 ELSE 1.5 END AS weight FROM supplier, (VALUES (0), (1), (2)) t(k)""")
+def src_06_vertical_profiles(spark, d):
+    k = F.col("s_suppkey")
+    tops, weights = F.concat_ws(", ", 50 + k % 30, F.lit(400), 410 + k % 50 * 20), F.concat_ws(",", 1 + k % 3, F.lit("2"), F.lit("1.5"))
+    table = load(spark, d, "supplier").select(F.concat(F.lit("V"), k).alias("ID"), tops.alias("layers"), weights.alias("weights"))
+    return readers.read_vertical_profiles(spark, as_csv(table, "vertical", sep=";"))
+
+
+@query("""SELECT 'P' || p_partkey AS profile, species, CASE species WHEN 'NO' THEN (90 - p_size) / 100.0::DOUBLE || '*nox' WHEN 'NO2' THEN (10 + p_size) / 100.0::DOUBLE || '*nox' ELSE '0' END AS expr, 'mol.s-1' AS units, species || ' of sources' AS description FROM part, (VALUES ('NO'), ('NO2'), ('PM')) t(species)""")
+def src_07_speciation_profiles(spark, d):
+    share = lambda n: F.concat((n / 100).cast("string"), F.lit("*nox"))
+    rows = load(spark, d, "part").select(F.concat(F.lit("P"), "p_partkey").alias("ID"), share(90 - F.col("p_size")).alias("NO"), share(10 + F.col("p_size")).alias("NO2"), F.lit("0").alias("PM"))
+    about = spark.createDataFrame([("units", *["mol.s-1"] * 3), ("short_description", *[f"{s} of sources" for s in ("NO", "NO2", "PM")])], rows.schema)
+    return readers.read_speciation(spark, as_csv(rows.union(about), "speciation"))
+
+
+@query("SELECT 'S' || n_nationkey AS \"Specie\", 12.011::DOUBLE + n_nationkey AS \"MW\" FROM nation")
+def src_08_molecular_weights(spark, d):
+    k = F.col("n_nationkey")
+    table = load(spark, d, "nation").select((k + F.lit(12.011)).alias("MW"), F.lit("a gas").alias("Note"), F.concat(F.lit("S"), k).alias("Specie"))
+    return readers.read_molecular_weights(spark, as_csv(table, "weights"))
+
+
+@query(with_views("SELECT pollutant, count(*) AS n, max(lat) AS lat, min(lon) AS lon, max(height_m)::DOUBLE AS height, round(sum(emis), 2) AS emis FROM points GROUP BY 1", "points"))
+def src_09_stack_files(spark, d):
+    p = points(spark, d).select("pollutant", F.col("emis").alias("Emis"), F.col("lat").alias("Lat"), F.col("lon").alias("Lon"), F.col("height_m").alias("Alt_Injection"))
+    found = readers.read_stacks(spark, as_csv(p, "stacks", "pollutant"))
+    return found.groupBy("pollutant").agg(F.count("*").alias("n"), F.max("Lat").alias("lat"), F.min("Lon").alias("lon"), F.max("Alt_Injection").alias("height"), r(F.sum("Emis"), 2).alias("emis"))
+
+
+@query("""SELECT 'N' || c_nationkey AS iso2, c_mktsegment AS sector, count(*) AS n, CAST(count(*) FILTER (c_custkey % 11 = 0) AS BIGINT) AS unread, round(sum(c_acctbal) FILTER (c_custkey % 11 <> 0), 2) AS emission, min(CASE WHEN c_custkey % 17 = 3 THEN 5.05::DOUBLE ELSE c_custkey % 17 + 0.25 END) AS lon FROM customer GROUP BY 1, 2""")
+def src_14_text_inventory(spark, d):
+    """Rows with an unreadable emission and a known wrong place."""
+    k = F.col("c_custkey")
+    emission = F.when(k % 11 == 0, F.lit("n/a")).otherwise(F.col("c_acctbal").cast("string"))
+    line = F.concat_ws(";", F.concat(F.lit("N"), "c_nationkey"), F.lit("2020"), "c_mktsegment", F.lit("NOx"), k % 17 + F.lit(0.25), F.lit(40.0), F.lit("Mg"), emission)
+    to = sinks.scratch(spark, "text")
+    load(spark, d, "customer").select(F.explode(F.array(F.lit("# a remark"), line)).alias("value")).write.text(to)
+    fixes = spark.createDataFrame([(3.25, 40.0, 5.05, 40.0)], "bad_lon double, bad_lat double, lon double, lat double")
+    rows = readers.fix_coordinates(readers.read_text_inventory(spark, to), fixes)
+    return rows.groupBy(F.col("ISO2").alias("iso2"), F.col("SECTOR").alias("sector")).agg(F.count("*").alias("n"), F.count_if(F.col("EMISSION").isNull()).alias("unread"), r(F.sum("EMISSION"), 2).alias("emission"), F.min("LONGITUDE").alias("lon"))
+
+
+_RATIO_ROWS = "SELECT 'N' || c_nationkey AS iso3, c_mktsegment AS gnfr, CASE WHEN c_custkey % 13 > 0 THEN 'v' || lpad(CAST(c_custkey % 13 AS VARCHAR), 2, '0') END AS vcode FROM customer"
+
+
+@query(f"SELECT DISTINCT replace(vcode, 'v', 'voc') AS species, 'gnfr_' || gnfr AS sector FROM ({_RATIO_ROWS}) WHERE vcode = 'v07' UNION SELECT DISTINCT replace(vcode, 'v', 'voc'), NULL FROM ({_RATIO_ROWS}) WHERE vcode IS NOT NULL")
+def src_15_ratio_species_and_sectors(spark, d):
+    """All species, without a sector, and the sectors of one."""
+    k = F.col("c_custkey")
+    code = F.when(k % 13 > 0, F.concat(F.lit("v"), F.lpad((k % 13).cast("string"), 2, "0")))
+    table = load(spark, d, "customer").select((2015 + k % 5).alias("year"), F.concat(F.lit("N"), "c_nationkey").alias("ISO3"), F.col("c_mktsegment").alias("gnfr"), code.alias("vcode"), (F.col("c_acctbal") / 1e4).alias("fr"))
+    ratios = readers.read_ratios(spark, as_csv(table, "ratios"), "vcode")
+    every = readers.ratio_species(ratios, "v", "voc").withColumn("sector", F.lit(None).cast("string"))
+    return every.unionByName(readers.ratio_sectors(ratios, "v07").withColumn("species", F.lit("voc07")))
+
+
+@query("SELECT CAST(user_id % 8 + 1 AS INTEGER) AS processes, 'r' || event_id % 3 AS replication, event_type AS section, count(*) AS n, round(sum(value), 4) AS mean, max(value) AS \"max\" FROM events GROUP BY 1, 2, 3")
+def src_23_run_logs(spark, d):
+    e = load(spark, d, "events").select((F.col("user_id") % 8 + 1).alias("processes"), F.concat(F.lit("r"), F.col("event_id") % 3).alias("replication"), F.col("event_type").alias("section"), F.lit("all").alias("subsection"), *[F.col("value").alias(c) for c in ("min", "mean", "max")])
+    logs = readers.read_logs(spark, as_csv(e, "logs", "processes", "replication") + "/*/*/*.csv", r"processes=(\d+)/replication=(\w+)/")
+    return logs.groupBy("processes", "replication", "section").agg(F.count("*").alias("n"), r(F.sum(F.col("mean").cast("double")), 4).alias("mean"), F.max(F.col("max").cast("double")).alias("max"))
+
+
 @query("""SELECT ei, sector, trim(p) AS pollutant, count(*) AS n FROM (SELECT 'EI' || l_suppkey % 7 AS ei, l_linestatus AS sector,
  unnest(string_split_regex(CASE WHEN l_linenumber % 3 = 0 THEN 'nox,co' WHEN l_linenumber % 3 = 1 THEN 'nox; so2 co' ELSE 'pm25' END, '[,;\\s]+')) AS p
  FROM lineitem WHERE l_quantity > 10) GROUP BY 1, 2, 3""")
@@ -626,14 +698,34 @@ def road_lines(spark: SparkSession, d: str) -> DataFrame:
     return s.select(F.col("s_suppkey").cast("int").alias("link"), (F.col("s_suppkey") % 7 + 1.0).alias("weight"), line.alias("line"))
 
 
-@query()
+#: Roads cut at all lines of the fine grid: pieces with their cells, by where along the segment they begin and end.
+_PIECES = {
+    "seg": "SELECT link, weight, x + a AS x1, y + b AS y1, x + c AS x2, y + e AS y2 FROM (SELECT CAST(s_suppkey AS INTEGER) AS link, s_suppkey % 7 + 1.0::DOUBLE AS weight, s_suppkey * 97 % 320 - 160.0::DOUBLE AS x, s_suppkey * 41 % 150 - 75.0::DOUBLE AS y FROM supplier), (VALUES (0.0::DOUBLE, 0.0::DOUBLE, 6.3::DOUBLE, 2.1::DOUBLE), (6.3, 2.1, 9.4, 7.7)) v(a, b, c, e)",
+    "cut": "SELECT *, unnest(t[:-2]) AS t0, unnest(t[2:]) AS t1 FROM (SELECT *, list_sort(list_concat([0.0, 1.0], list_filter(list_concat(list_transform(range(73), lambda i: (5 * i - 180 - x1) / (x2 - x1)), list_transform(range(37), lambda i: (5 * i - 90 - y1) / (y2 - y1))), lambda t: t > 0 AND t < 1))) AS t FROM seg)",
+    "piece": "SELECT *, CAST((fid // 72 // 2) * 36 + fid % 72 // 2 AS BIGINT) AS src FROM (SELECT link, weight, x1 + t0 * (x2 - x1) AS x1, y1 + t0 * (y2 - y1) AS y1, x1 + t1 * (x2 - x1) AS x2, y1 + t1 * (y2 - y1) AS y2, CAST(floor((y1 + (t0 + t1) / 2 * (y2 - y1) + 90) / 5) * 72 + floor((x1 + (t0 + t1) / 2 * (x2 - x1) + 180) / 5) AS BIGINT) AS fid FROM cut WHERE t1 - t0 > 1e-12)",
+}
+_ON_ROADS = """part AS (SELECT fid, link, sum(sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)) * weight) AS part FROM piece GROUP BY 1, 2),
+ share AS (SELECT fid, link, part / sum(part) OVER (PARTITION BY fid) AS share FROM part),
+ whole AS (SELECT link, sum(sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1))) AS whole FROM seg GROUP BY 1)"""
+
+
+@query(with_views("""WITH f AS (SELECT pollutant, (fid // 72 // 2) * 36 + fid % 72 // 2 AS src, sum(flux) AS value FROM flux GROUP BY 1, 2),
+ g AS (SELECT src, fid, sum(weight * 2 * 6371000.0 * asin(sqrt(least(pow(sin(radians(y2 - y1) / 2), 2) + cos(radians(y1)) * cos(radians(y2)) * pow(sin(radians(x2 - x1) / 2), 2), 1.0)))) AS part FROM piece GROUP BY 1, 2)
+ SELECT pollutant, fid, round(sum(value * share), 4) AS value FROM (SELECT src, fid, part / sum(part) OVER (PARTITION BY src) AS share FROM g) JOIN f USING (src) GROUP BY 1, 2""", "flux", **_PIECES))
 def jon_11_lines_proxy(spark, d):
     w = regrid.lines_proxy(road_lines(spark, d), COARSE, FINE)
     f = flux(spark, d).groupBy(F.floor(F.floor(F.col("fid") / 72) / 2).alias("rr"), F.floor(F.col("fid") % 72 / 2).alias("cc"), "pollutant").agg(F.sum("flux").alias("value")).select((F.col("rr") * 36 + F.col("cc")).alias("fid"), "pollutant", "value")
     return regrid.apply_weights(f, w, "pollutant").withColumn("value", r("value", 4))
 
 
-@query()
+@query(with_views("""WITH box AS (SELECT c_custkey % 340 - 170.0::DOUBLE AS x, c_custkey % 160 - 80.0::DOUBLE AS y FROM customer),
+ hit AS (SELECT x, y, unnest([floor((x + 180) / 5), floor((x + 181.5) / 5)]) AS i, y AS low FROM box),
+ tile AS (SELECT DISTINCT x, y, i, j FROM (SELECT x, y, i, unnest([floor((y + 90) / 5), floor((y + 91) / 5)]) AS j FROM hit)),
+ n AS (SELECT x, y, count(*) AS n FROM box GROUP BY 1, 2),
+ pool AS (SELECT CAST(floor((lat + 90) / 5) * 72 + floor((lon + 180) / 5) AS BIGINT) AS fid, emis / 1e6 AS part FROM points
+ UNION ALL SELECT fid, weight * sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)) FROM piece
+ UNION ALL SELECT CAST(j * 72 + i AS BIGINT), n * 2.0 * greatest(least(x + 1.5, i * 5 - 175) - greatest(x, i * 5 - 180), 0) * greatest(least(y + 1, j * 5 - 85) - greatest(y, j * 5 - 90), 0) FROM tile JOIN n USING (x, y))
+ SELECT src_fid, fid AS dst_fid, round(part / sum(part) OVER (PARTITION BY src_fid), 6) AS weight FROM (SELECT CAST((fid // 72 // 2) * 36 + fid % 72 // 2 AS BIGINT) AS src_fid, fid, sum(part) AS part FROM pool GROUP BY 1, 2) WHERE part > 0""", "points", **_PIECES))
 def jon_13_mixed_proxy(spark, d):
     p = points(spark, d).select("lon", "lat", (F.col("emis") / 1e6).alias("weight"))
     x, y = F.col("c_custkey") % 340 - 170.0, F.col("c_custkey") % 160 - 80.0
@@ -641,14 +733,14 @@ def jon_13_mixed_proxy(spark, d):
     return regrid.mixed_proxy(p, road_lines(spark, d), layer, COARSE, FINE).withColumn("weight", r("weight"))
 
 
-@query()
+@query(with_views(f"WITH {_ON_ROADS} SELECT link, pollutant, month_i, round(sum(flux * share / whole * 1000), 4) AS value FROM flux JOIN share USING (fid) JOIN whole USING (link) GROUP BY 1, 2, 3", "flux", **_PIECES))
 def job_15_grid_to_roads(spark, d):
     f = flux(spark, d).select("pollutant", F.make_date(F.lit(2024), "month_i", F.lit(1)).alias("ts"), F.lit(0).alias("lev"), "fid", F.col("flux").alias("value"))
-    out = jobs.grid_to_roads(f, road_lines(spark, d), FINE)
+    out = jobs.grid_to_roads(f, road_lines(spark, d), FINE, {str(p): "kg/s" for p in range(4)})
     return out.select("link", "pollutant", F.month("ts").alias("month_i"), r("value", 4).alias("value"))
 
 
-@query()
+@query(with_views(f"WITH {_ON_ROADS}, f AS (SELECT pollutant, fid, sum(flux) AS mass FROM flux GROUP BY 1, 2), a AS (SELECT pollutant, sum(mass) AS mass_in FROM f SEMI JOIN share USING (fid) GROUP BY 1), b AS (SELECT pollutant, sum(mass * share) AS mass_out FROM f JOIN share USING (fid) GROUP BY 1) SELECT pollutant, round(mass_in, 4) AS mass_in, round(mass_out, 4) AS mass_out, round(mass_in - mass_out, 4) + 0.0 AS lost FROM a JOIN b USING (pollutant)", "flux", **_PIECES))
 def chk_15_road_mass_balance(spark, d):
     w = roads.road_weights(road_lines(spark, d), FINE)
     f = flux(spark, d).groupBy("pollutant", "fid").agg(F.sum("flux").alias("mass"))
@@ -976,6 +1068,18 @@ def job_16_interpolated_at_stations(spark, d):
     return jobs.interpolate(f, cells(spark), None, s, "pollutant").withColumn("value", r("value", 4))
 
 
+@query(with_views("""WITH f AS (SELECT pollutant, dst_fid AS fid, q, sum(flux) AS flux FROM (SELECT pollutant, fid AS src_fid, (month_i - 1) // 3 + 1 AS q, flux FROM flux) JOIN w USING (src_fid) GROUP BY 1, 2, 3),
+ c AS (SELECT pollutant, fid, list(q * 100.0::DOUBLE ORDER BY q) AS z, list(flux::DOUBLE ORDER BY q) AS v FROM f GROUP BY 1, 2),
+ x AS (SELECT *, greatest(least(len(list_filter(z, lambda a: a <= h)), len(z) - 1), 1) AS i, least(greatest(h, z[1]), z[len(z)]) AS p FROM c, (VALUES (0, 50.0::DOUBLE), (1, 153.7), (2, 333.3), (3, 950.0)) t(k, h))
+ SELECT pollutant, fid, CAST(k AS INTEGER) AS lev, round(CASE WHEN len(z) = 1 THEN v[1] ELSE v[i] + (p - z[i]) / (z[i + 1] - z[i]) * (v[i + 1] - v[i]) END, 4) AS value FROM x""", "cells", "flux", "w"))
+def job_16_interpolated_levels(spark, d):
+    """Each quarter stands for a level."""
+    f = flux(spark, d).groupBy("pollutant", "fid", (F.floor((F.col("month_i") - 1) / 3) + 1).cast("int").alias("lev")).agg(F.sum("flux").alias("value"))
+    heights = spark.createDataFrame([(k, 100.0 * k) for k in range(1, 5)], "lev int, height double")
+    coarse = jobs.interpolate(f, cells(spark), COARSE, None, "pollutant", "lev")
+    return jobs.interpolate_levels(coarse, heights, [50.0, 153.7, 333.3, 950.0], ["pollutant", "fid"]).withColumn("value", r("value", 4))
+
+
 # Streaming: each reads the events file as a stream and returns what the finished stream has written ----
 
 

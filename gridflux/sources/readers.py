@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridflux.operators.checks import CROSS_COLUMNS
+from gridflux.operators.speciation import incomplete, read_profiles
+from gridflux.operators.vertical import profile_layers
 
 INVENTORY = "inventory STRING, sector STRING, pollutant STRING, period STRING, fid BIGINT, flux DOUBLE"
 STACKS = "Lat DOUBLE, Lon DOUBLE, Alt_Injection DOUBLE, Emis DOUBLE"
@@ -102,14 +104,56 @@ def _by_header(table: DataFrame, schema: str) -> DataFrame:
     return table.select(*[F.col(name).cast(kind).alias(name) for name, kind in (c.split() for c in schema.split(", "))])
 
 
+def read_vertical_profiles(spark: SparkSession, path: str) -> DataFrame:
+    """SRC-06. Profiles of a `;` separated file (ID, layers, weights) as rows id, layer, bottom, top, weight;
+    a profile whose lists differ in length, are empty or hold anything but numbers is an error."""
+    table = _by_header(spark.read.csv(path, header=True, sep=";"), "ID STRING, layers STRING, weights STRING")
+    rows = profile_layers(table.withColumnRenamed("ID", "id"))
+    odd = rows.where("top IS NULL OR weight IS NULL").select("id").union(table.where("layers IS NULL OR weights IS NULL").select("ID")).distinct()
+    if bad := [r[0] for r in odd.limit(20).collect()]:  # names some in the message
+        raise ValueError(f"profiles whose layers and weights don't match: {sorted(map(str, bad))}")
+    return rows
+
+
+def read_speciation(spark: SparkSession, path: str) -> DataFrame:
+    """SRC-07, CHK-03. Wide speciation CSV as rows profile, species, expr, units, description; rows without any
+    entry are ignored, a cell without an expression is an error that names its profile and species."""
+    table = spark.read.csv(path, header=True)
+    names = [F.col(f"`{c}`") for c in table.columns]
+    profiles = read_profiles(table.where(F.coalesce(*[F.nullif(F.trim(c), F.lit("")) for c in names]).isNotNull()))
+    if bad := incomplete(profiles).select("profile", "species").limit(20).collect():
+        raise ValueError(f"no expression for {sorted(tuple(map(str, r)) for r in bad)}")
+    return profiles
+
+
 def read_molecular_weights(spark: SparkSession, path: str) -> DataFrame:
     """SRC-08. Specie and MW."""
-    return _by_header(spark.read.csv(path, header=True, sep=";"), "Specie STRING, MW DOUBLE")
+    return _by_header(spark.read.csv(path, header=True), "Specie STRING, MW DOUBLE")
 
 
 def read_stacks(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-09. Stacks of CSV files named after their pollutant."""
-    return _by_header(spark.read.csv(path, header=True), STACKS).withColumn("pollutant", F.regexp_extract(F.input_file_name(), r"([^/_]+)(?:_[^/]*)?\.csv$", 1))
+    """SRC-09. Stacks of CSV files named after their pollutant, or in folders ``pollutant=<name>``."""
+    table = spark.read.csv(path, header=True)
+    name = F.col("pollutant").cast("string") if "pollutant" in table.columns else F.regexp_extract(F.input_file_name(), r"([^/_]+)(?:_[^/]*)?\.csv$", 1)
+    return _by_header(table.withColumn("_name", name), STACKS + ", _name STRING").withColumnRenamed("_name", "pollutant")
+
+
+def read_ratios(spark: SparkSession, path: str, code: str) -> DataFrame:
+    """SRC-15. Split ratios iso3, sector, species, year, fr of a CSV (ISO3, year, gnfr, fr) whose species stand
+    in the column ``code``."""
+    rows = _by_header(spark.read.csv(path, header=True), f"ISO3 STRING, gnfr STRING, {code} STRING, year INT, fr DOUBLE")
+    return rows.toDF("iso3", "sector", "species", "year", "fr")
+
+
+def ratio_species(ratios: DataFrame, sign: str | None = None, prefix: str = "") -> DataFrame:
+    """SRC-15. Species that a ratio table splits, each once, ``sign`` in their code spelt as ``prefix``."""
+    name = F.replace("species", F.lit(sign), F.lit(prefix)) if sign else F.col("species")
+    return ratios.where("species IS NOT NULL").select(name.alias("species")).distinct()
+
+
+def ratio_sectors(ratios: DataFrame, species: str, prefix: str = "gnfr_") -> DataFrame:
+    """SRC-15. Sectors for which a ratio table splits the species."""
+    return ratios.where((F.col("species") == species) & F.col("sector").isNotNull()).select(F.concat(F.lit(prefix), "sector").alias("sector")).distinct()
 
 
 def read_text_inventory(spark: SparkSession, path: str) -> DataFrame:

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gridflux.operators import checks, vertical
+from gridflux.operators import checks, regrid, vertical
 from gridflux.plans import jobs
 from gridflux.sources import readers, sinks
 
@@ -135,3 +135,48 @@ def test_variables_without_field_or_bounds(spark):
     assert {r.variable: r.status for r in checks.bounds_report(field, bounds).collect()} == {"a": "ok", "b": "missing", "c": "unbounded"}
     cells = spark.range(3).withColumnRenamed("id", "fid")
     assert [tuple(r) for r in checks.grid_differences(field.where("false"), cells).collect()] == [(None, 0, 3)]
+
+
+def test_vertical_profiles_need_lists_of_one_length(spark, tmp_path):
+    (tmp_path / "good.csv").write_text("ID;layers;weights\nV1;10, 50;1, 3\n")
+    got = [tuple(r) for r in readers.read_vertical_profiles(spark, str(tmp_path / "good.csv")).select("id", "bottom", "top", "weight").orderBy("layer").collect()]
+    assert got == [("V1", 0.0, 10.0, 1.0), ("V1", 10.0, 50.0, 3.0)]
+    for row in ("V2;10,50;1", "V2;10,fifty;1,2", "V2;;"):
+        (tmp_path / "bad.csv").write_text(f"ID;layers;weights\nV1;10;1\n{row}\n")
+        with pytest.raises(ValueError, match="V2"):
+            readers.read_vertical_profiles(spark, str(tmp_path / "bad.csv"))
+
+
+def test_speciation_cells_need_an_expression(spark, tmp_path):
+    head = "ID,NO,PM\nunits,mol,g\nshort_description,a,b\n"
+    (tmp_path / "good.csv").write_text(head + "P1,0.9*nox,0\n,,\n")
+    assert {(r.profile, r.species, r.expr, r.units) for r in readers.read_speciation(spark, str(tmp_path / "good.csv")).collect()} == {("P1", "NO", "0.9*nox", "mol"), ("P1", "PM", "0", "g")}
+    (tmp_path / "bad.csv").write_text(head + "P1,0.9*nox,0\nP2,nan,0\n")
+    with pytest.raises(ValueError, match="P2.*NO"):
+        readers.read_speciation(spark, str(tmp_path / "bad.csv"))
+
+
+def test_roads_take_mass_rates_only(spark):
+    field = spark.createDataFrame([], "pollutant string, ts timestamp, lev int, fid long, value double")
+    lines = spark.createDataFrame([], "link int, weight double, line array<struct<x:double,y:double>>")
+    assert jobs.grid_to_roads(field, lines, regrid.RegularGrid(0.0, 0.0, 1.0, 1.0, 2, 2), {"nox": "kg.s-1"}).count() == 0
+    with pytest.raises(ValueError, match="co"):
+        jobs.grid_to_roads(field, lines, regrid.RegularGrid(0.0, 0.0, 1.0, 1.0, 2, 2), {"nox": "kg/s", "co": "mol/s"})
+
+
+def test_levels_by_own_heights_and_kinds(spark):
+    field = spark.createDataFrame([(f, k, float((k + f) ** 2)) for f in (0, 1) for k in range(5)], "fid long, lev int, value double")
+    shared = spark.createDataFrame([(k, 10.0 * k) for k in range(5)], "lev int, height double")
+    own = spark.createDataFrame([(f, k, 10.0 * (k + f)) for f in (0, 1) for k in range(5)], "fid long, lev int, height double")
+    values = lambda h, kind: {r.fid: r.value for r in jobs.interpolate_levels(field, h, [25.0], ["fid"], kind).collect()}
+    assert values(shared, "linear") == {0: pytest.approx(6.5), 1: pytest.approx(12.5)}
+    assert values(own, "linear") == {0: pytest.approx(6.5), 1: pytest.approx(6.5)}
+    assert values(own, "cubic") == {0: pytest.approx(6.25), 1: pytest.approx(6.25)}
+    with pytest.raises(ValueError):
+        jobs.interpolate(field, shared, None, shared, "fid", "lev")
+
+
+def test_lines_through_a_corner_leave_no_crumbs(spark):
+    line = spark.createDataFrame([(1, 1.0, [(2.0, 4.0), (8.3, 6.1)])], "link int, weight double, line array<struct<x:double,y:double>>")
+    cut = regrid.cut_segments(regrid.segments(line), regrid.RegularGrid(0.0, 0.0, 5.0, 5.0, 2, 2), "fid")
+    assert sorted(r.fid for r in cut.collect()) == [0, 3]
