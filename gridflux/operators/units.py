@@ -62,8 +62,10 @@ def decode_time(number: Column, units: Column, origin: Column) -> Column:
 
 
 def relabel(variables: DataFrame, labels: DataFrame) -> DataFrame:
-    """UNI-07. Unit label and description of each variable by a table (units, new_units, suffix); an
-    unknown unit leaves null."""
+    """UNI-07. Unit label and description of each variable by a table (units, new_units, suffix); a
+    unit that the table lacks is an error."""
+    if bad := [r[0] for r in unknown_units(variables, labels).select("units").distinct().limit(20).collect()]:  # names some in the message
+        raise ValueError(f"unknown units {sorted(map(str, bad))}")
     return variables.join(labels, "units", "left").select("variable", "units", "new_units", F.concat_ws(" ", "long_name", "suffix").alias("long_name"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridflux import streaming
@@ -1355,3 +1355,271 @@ def win_04_numbered_contributions(spark, d):
 def srt_03_top_by_group(spark, d):
     o = load(spark, d, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
     return stats.top_k(o, 3, ["o_custkey"], F.desc("o_totalprice"), F.col("o_orderkey"))
+
+
+# Grids on which points lie, features of several parts ----------------------------------------------
+
+
+@query(with_views("""SELECT row_i * 37 + col_i AS fid, CASE row_i WHEN 0 THEN -87.5 WHEN 18 THEN 87.5 ELSE -90.0 + 10 * row_i END::DOUBLE AS lat, CASE col_i WHEN 0 THEN -177.5 WHEN 36 THEN 177.5 ELSE -180.0 + 10 * col_i END::DOUBLE AS lon, count(*) AS n, CAST(count(*) AS BIGINT) AS n_inside
+ FROM (SELECT CAST(floor((lat + 95) / 10) AS BIGINT) AS row_i, CAST(floor((lon + 185) / 10) AS BIGINT) AS col_i FROM points) GROUP BY row_i, col_i""", "points"))
+def grd_03_half_end_cells(spark, d):
+    at = points(spark, d).withColumns({"row_i": F.floor((F.col("lat") + 95) / 10).cast("int"), "col_i": F.floor((F.col("lon") + 185) / 10).cast("int")})
+    c = grid.global_half_end_cells(spark, 10.0, 10.0).withColumnsRenamed({"lat": "c_lat", "lon": "c_lon"})
+    inside = F.col("lat").between(F.col("lat_min"), F.col("lat_max")) & F.col("lon").between(F.col("lon_min"), F.col("lon_max"))
+    return at.join(c, ["row_i", "col_i"]).groupBy("fid", F.col("c_lat").alias("lat"), F.col("c_lon").alias("lon")).agg(F.count("*").alias("n"), F.count_if(inside).alias("n_inside"))
+
+
+_NEST = {"centre_lat": 20.0, "centre_lon": 10.0, "west": -60.0, "south": -40.0, "inc_rlat": 5.0, "inc_rlon": 5.0}
+
+
+@query(with_views("""SELECT row_i * 30 + col_i AS fid, n, round(degrees(asin(sin(radians(20)) * cos(y) * cos(x) + cos(radians(20)) * sin(y))), 6) AS lat, round(10 + degrees(atan2(cos(y) * sin(x), cos(radians(20)) * cos(y) * cos(x) - sin(radians(20)) * sin(y))), 6) AS lon
+ FROM (SELECT row_i, col_i, count(*) AS n, radians(-50.0::DOUBLE + 2.5 * col_i) AS x, radians(-35.0::DOUBLE + 2.5 * row_i) AS y FROM (SELECT CAST(floor((rlat + 36.25) / 2.5) AS BIGINT) AS row_i, CAST(floor((rlon + 51.25) / 2.5) AS BIGINT) AS col_i FROM
+ (SELECT degrees(asin(cos(radians(20)) * sin(b) - sin(radians(20)) * cos(b) * cos(a))) AS rlat, degrees(atan2(cos(b) * sin(a), cos(radians(20)) * cos(b) * cos(a) + sin(radians(20)) * sin(b))) AS rlon FROM (SELECT radians(lon - 10) AS a, radians(lat) AS b FROM points)))
+ WHERE row_i BETWEEN 0 AND 19 AND col_i BETWEEN 0 AND 29 GROUP BY 1, 2)""", "points"))
+def grd_05_points_in_nested_cells(spark, d):
+    """Points by the nested cell whose native box holds them; other points lie outside the nest."""
+    rlon, rlat = grid.lonlat_to_rotated(F.col("lon"), F.col("lat"), _NEST["centre_lon"], _NEST["centre_lat"])
+    at = points(spark, d).select(F.floor((rlat + 36.25) / 2.5).cast("int").alias("row_i"), F.floor((rlon + 51.25) / 2.5).cast("int").alias("col_i"))
+    nest = grid.nested_rotated_cells(spark, _NEST, 2, 3, 2, 20, 30)
+    return at.groupBy("row_i", "col_i").agg(F.count("*").alias("n")).join(nest, ["row_i", "col_i"]).select("fid", "n", r("lat").alias("lat"), r("lon").alias("lon"))
+
+
+@query(with_views("SELECT pollutant, count(*) AS n, count(*) AS n_stations, round(min(lat), 2) AS lat FROM points WHERE abs(lat) <= 60 GROUP BY 1", "points"))
+def grd_09_stations(spark, d):
+    """Points as stations; those whose latitude, read as 1.5 times itself, is none drop out."""
+    p = points(spark, d).withColumn("high", F.col("lat") * 1.5)
+    return grid.stations(p, "high").groupBy("pollutant").agg(F.count("*").alias("n"), F.count_distinct("station").alias("n_stations"), r(F.min("lat"), 2).alias("lat"))
+
+
+_CELL = (("lon_min", "lat_min"), ("lon_max", "lat_min"), ("lon_max", "lat_max"), ("lon_min", "lat_max"))
+_CELL_M2 = f"({_lhuilier(_CELL[0], _CELL[1], _CELL[2])} + {_lhuilier(_CELL[0], _CELL[2], _CELL[3])}) * 40589641.0"
+
+
+@query(with_views(f"SELECT nationkey AS feature_id, round(sum({_CELL_M2}) / 1e3, 3) AS area_1000km2 FROM cells WHERE fid IN (SELECT fid FROM flux WHERE inventory = 'A') GROUP BY 1", "cells", "flux"))
+def grd_14_area_of_parts(spark, d):
+    """Countries as features of many parts: their cells with emissions of one inventory, each a ring of corners."""
+    emitting = flux(spark, d).where("inventory = 'A'").select("fid").distinct()
+    parts = cells(spark).join(emitting, "fid", "left_semi").select(F.col("nationkey").alias("feature_id"), grid.corner_ring(F.col("lon"), F.col("lat"), 5.0, 5.0).alias("ring"))
+    return grid.feature_area(parts).select("feature_id", r(F.col("area_m2") / 1e9, 3).alias("area_1000km2"))
+
+
+@query(with_views(f"SELECT fid, round(sum(flux) / any_value({_CELL_M2}) * 1e3, 6) AS per_1000km2 FROM flux JOIN cells USING (fid) GROUP BY 1", "cells", "flux"))
+def grd_15_flux_per_area(spark, d):
+    total = flux(spark, d).groupBy("fid").agg(F.sum("flux").alias("flux"))
+    return total.join(grid.with_cell_area(cells(spark)), "fid").select("fid", r(F.col("flux") / F.col("cell_area_m2") * 1e9).alias("per_1000km2"))
+
+
+@query("SELECT p_partkey AS id, 'C' || p_size AS kind, x AS xmin, x + s AS xmax, y AS ymin, y + s AS ymax FROM (SELECT p_partkey, p_size, p_partkey * 7 % 300 - 150 AS x, p_partkey * 11 % 140 - 70 AS y, 1 + p_size % 5 AS s FROM part) WHERE x + s >= -20.5 AND x <= 40.5 AND y + s >= -10.5 AND y <= 50.5")
+def src_16_layer_near_box(spark, d):
+    k, s = F.col("p_partkey"), 1 + F.col("p_size") % 5
+    x, y = (k * 7 % 300 - 150).cast("double"), (k * 11 % 140 - 70).cast("double")
+    layer = load(spark, d, "part").select(k.alias("id"), F.concat(F.lit("C"), "p_size").alias("kind"), k.alias("other"), polygons.box(x, x + s, y, y + s).alias("ring"))
+    return spatial.prepare_layer(layer, ["id", "kind"], -20.5, 40.5, -10.5, 50.5).select("id", "kind", *[F.col(c).cast("long").alias(c) for c in ("xmin", "xmax", "ymin", "ymax")])
+
+
+@query(with_views("SELECT m.method, c.fid, k.fid AS owner FROM cells c JOIN coarse k ON k.fid = (c.row_i // 2) * 36 + c.col_i // 2 CROSS JOIN (VALUES ('centroid'), ('intersection')) m(method) WHERE k.fid IN (SELECT (l_partkey * 7 + l_suppkey) % 648 FROM lineitem)", "cells", "coarse"))
+def jon_24_owner_by_method(spark, d):
+    """Coarse cells with line items as a layer; fine cells take its name by both methods that know an outside."""
+    c = F.col
+    there = load(spark, d, "lineitem").select(((c("l_partkey") * 7 + c("l_suppkey")) % 648).alias("fid")).distinct()
+    layer = cells(spark, COARSE).join(there, "fid", "left_semi").select(c("fid").alias("owner"), polygons.box(c("lon_min"), c("lon_max"), c("lat_min"), c("lat_max")).alias("ring"))
+    found = [spatial.from_layer(cells(spark), layer, "owner", m).select(F.lit(m).alias("method"), "fid", "owner") for m in ("centroid", "intersection")]
+    return found[0].unionByName(found[1]).where("owner IS NOT NULL")
+
+
+# Selections, calendars and factors -----------------------------------------------------------------
+
+
+@query(with_views("SELECT variable, fid, round(value, 6) AS value FROM field WHERE ts = (SELECT min(ts) FROM field)", "field"))
+def flt_02_first_step(spark, d):
+    f = field(spark, d)
+    first = f.agg(F.min("ts").cast("string")).first()[0]
+    return filters.select_time(f, first).select("variable", "fid", r("value").alias("value"))
+
+
+@query(with_views("SELECT variable, count(*) AS n, round(sum(value), 4) AS total FROM field WHERE variable IN ('view', 'click') GROUP BY 1", "field"))
+def flt_04_kept_variables(spark, d):
+    return filters.keep_variables(field(spark, d), ["view", "click"]).groupBy("variable").agg(F.count("*").alias("n"), r(F.sum("value"), 4).alias("total"))
+
+
+_REGION_TOTALS = "SELECT r_name AS region, c_mktsegment AS pollutant, round(sum(c_acctbal), 2) AS total FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2"
+
+
+@query(f"SELECT * FROM ({_REGION_TOTALS}) WHERE region IN ('EUROPE', 'ASIA')")
+def flt_11_totals_of_listed_regions(spark, d):
+    c, n, g = load(spark, d, "customer"), load(spark, d, "nation"), load(spark, d, "region")
+    named = c.join(n, c["c_nationkey"] == n["n_nationkey"]).join(g, n["n_regionkey"] == g["r_regionkey"])
+    totals = named.groupBy(F.col("r_name").alias("region"), F.col("c_mktsegment").alias("pollutant")).agg(r(F.sum("c_acctbal"), 2).alias("total"))
+    return filters.select_regions(totals, filters.parse_regions(" EUROPE, ASIA,EUROPE "))
+
+
+@query(with_views("SELECT variable, count(*) AS n, round(sum(CASE WHEN variable < 'm' THEN value ELSE 2 * value END), 4) AS total FROM field GROUP BY 1", "field"))
+def set_01_first_dataset_wins(spark, d):
+    f = field(spark, d)
+    doubled = f.withColumn("value", 2 * F.col("value"))
+    return filters.union_first(f.where("variable < 'm'"), doubled, doubled.withColumn("value", F.lit(0.0))).groupBy("variable").agg(F.count("*").alias("n"), r(F.sum("value"), 4).alias("total"))
+
+
+@query("""SELECT o_orderpriority AS country, CAST(CASE WHEN h.day IS NOT NULL THEN 6 ELSE isodow(o_orderdate) - 1 END AS INTEGER) AS weekday_i, count(*) AS n FROM orders
+ LEFT JOIN (SELECT DISTINCT o_orderpriority AS p, CAST(o_orderdate AS DATE) AS day FROM orders WHERE o_custkey % 9 = 0) h ON p = o_orderpriority AND h.day = CAST(o_orderdate AS DATE) GROUP BY 1, 2""")
+def tmp_04_holidays_are_sundays(spark, d):
+    """Orders by weekday; a country's holidays are the days on which some customers ordered there."""
+    o = load(spark, d, "orders").select(F.col("o_orderpriority").alias("country"), F.col("o_orderdate").cast("timestamp").alias("local_ts"), "o_custkey")
+    holidays = o.where("o_custkey % 9 = 0").select("country", F.to_date("local_ts").alias("date"))
+    calendar = temporal.with_calendar(o.drop("o_custkey"), "local_ts")
+    return temporal.holidays_as_sunday(calendar, holidays, "country").groupBy("country", "weekday_i").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT CAST(year(m) * 100 + month(m) AS INTEGER) AS run, (SELECT count(*) FROM orders WHERE date_trunc('month', o_orderdate) = m) AS n FROM
+ (SELECT unnest(generate_series((SELECT date_trunc('month', min(o_orderdate)) FROM orders), (SELECT max(o_orderdate) FROM orders)::TIMESTAMP, INTERVAL 1 MONTH)) AS m)""")
+def tmp_11_monthly_runs(spark, d):
+    """Runs that start on the first of each month of the orders, and the orders of each."""
+    o = load(spark, d, "orders").select(F.trunc("o_orderdate", "MM").alias("sim_date"), F.to_date("o_orderdate").alias("day"))
+    start, end = o.agg(F.min("sim_date").cast("string"), F.max("day").cast("string")).first()
+    runs = temporal.start_dates(spark, start, end, "monthly")
+    return runs.join(o, "sim_date", "left").groupBy((F.year("sim_date") * 100 + F.month("sim_date")).alias("run")).agg(F.count("day").alias("n"))
+
+
+@query(with_views("SELECT pollutant, count(*) AS n, round(sum(flux * coalesce(factor, 1.0)), 4) AS flux FROM flux LEFT JOIN (SELECT CAST(s_suppkey % 3 AS INTEGER) AS pollutant, count(*) / 7.0::DOUBLE AS factor FROM supplier GROUP BY 1) USING (pollutant) GROUP BY 1", "flux"))
+def rsc_04_one_region(spark, d):
+    """Three of four pollutants have a factor; one region takes in all cells."""
+    factor = load(spark, d, "supplier").groupBy((F.col("s_suppkey") % 3).cast("int").alias("pollutant")).agg((F.count("*") / 7).alias("factor")).withColumn("region_id", F.lit("all"))
+    return rescale.apply_everywhere(flux(spark, d), factor, "pollutant").groupBy("pollutant").agg(F.count("*").alias("n"), r(F.sum("flux"), 4).alias("flux"))
+
+
+@query("SELECT k AS id, round(f0, 6) AS ground, round(f0 + f1 + f2 + f3, 6) AS total, 4 AS n FROM (" + with_views("""SELECT k, sum(f) FILTER (lev = 0) AS f0, sum(f) FILTER (lev = 1) AS f1, sum(f) FILTER (lev = 2) AS f2, sum(f) FILTER (lev = 3) AS f3 FROM (SELECT k, lev, sum(weight * greatest(0, least(ltop, ttop) - greatest(lbot, tbot)) / (ltop - lbot)) / any_value(s) AS f FROM
+ (SELECT s_suppkey AS k, unnest([[0, 50 + s_suppkey % 30, 1 + s_suppkey % 3], [50 + s_suppkey % 30, 400, 2], [400, 400 + s_suppkey % 50 * 20 + 10, 1.5]]) AS l, 4.5 + s_suppkey % 3 AS s FROM supplier) x, (VALUES (0, 0, 40), (1, 40, 120), (2, 120, 300), (3, 300, 600)) m(lev, tbot, ttop), LATERAL (SELECT l[1] AS lbot, l[2] AS ltop, l[3] AS weight) GROUP BY 1, 2) GROUP BY 1""") + ")")
+def vrt_01_profiles_as_arrays(spark, d):
+    """A profile file read, mapped to model levels and gathered as one array for each profile."""
+    k = F.col("s_suppkey")
+    tops, weights = F.concat_ws(",", 50 + k % 30, F.lit(400), 400 + k % 50 * 20 + 10), F.concat_ws(", ", 1 + k % 3, F.lit("2"), F.lit("1.5"))
+    table = load(spark, d, "supplier").select(k.alias("ID"), tops.alias("layers"), weights.alias("weights"))
+    levels = spark.createDataFrame([(i, b, t) for i, (b, t) in enumerate(zip([0.0, *TOPS[:-1]], TOPS))], "lev int, bottom double, top double")
+    v = vertical.level_array(vertical.level_weights(readers.read_vertical_profiles(spark, as_csv(table, "vertical", sep=";")), levels))
+    return v.select(F.col("id").cast("long").alias("id"), r(F.col("vfac")[0]).alias("ground"), r(F.aggregate("vfac", F.lit(0.0), lambda a, x: a + x)).alias("total"), F.size("vfac").alias("n"))
+
+
+# Files and caches ----------------------------------------------------------------------------------
+
+
+def cross_rows(spark: SparkSession, d: str) -> DataFrame:
+    """A cross table of line items with some odd rows."""
+    n = F.col("l_linenumber")
+    own = {
+        "ei": F.concat(F.lit("EI"), F.col("l_suppkey") % 7), "sector": F.col("l_linestatus"), "ref_year": F.when(F.col("l_partkey") % 13 == 0, "two").otherwise(F.year("l_shipdate").cast("string")),
+        "active": F.when(F.col("l_quantity") > 10, "1").otherwise("0"), "pollutants": F.when(n % 3 == 0, "nox,co").when(n % 3 == 1, "nox, so2 co").otherwise("pm25"),
+        "frequency": F.when(F.col("l_partkey") % 5 == 0, "weekly").otherwise("monthly"), "source_type": F.when(n == 7, "line").otherwise("area"),
+    }
+    return load(spark, d, "lineitem").select(*[own.get(c, F.lit("-")).alias(c) for c in checks.CROSS_COLUMNS])
+
+
+@query("""SELECT ei, sector, ref_year, trim(p) AS pollutant, count(*) AS n FROM (SELECT 'EI' || l_suppkey % 7 AS ei, l_linestatus AS sector, CASE WHEN l_partkey % 13 = 0 THEN 'two' ELSE CAST(year(l_shipdate) AS VARCHAR) END AS ref_year,
+ unnest(string_split_regex(CASE WHEN l_linenumber % 3 = 0 THEN 'nox,co' WHEN l_linenumber % 3 = 1 THEN 'nox, so2 co' ELSE 'pm25' END, '[,;\\s]+')) AS p FROM lineitem WHERE l_quantity > 10) GROUP BY 1, 2, 3, 4""")
+def src_03_cross_table_file(spark, d):
+    rows = readers.read_cross_table(spark, as_csv(cross_rows(spark, d), "cross", sep=";"))
+    return rows.groupBy("ei", "sector", "ref_year", "pollutant").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT * FROM (SELECT 'EI' || l_suppkey % 7 AS ei, CASE WHEN l_linenumber = 7 THEN 'source_type' WHEN l_partkey % 5 = 0 THEN 'frequency' WHEN l_partkey % 13 = 0 THEN 'ref_year' END AS problem, count(*) AS n FROM lineitem GROUP BY 1, 2) WHERE problem IS NOT NULL""")
+def chk_11_cross_table_errors(spark, d):
+    return checks.cross_table_errors(cross_rows(spark, d)).groupBy("ei", "problem").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT 'P' || p AS id, CAST(k AS INTEGER) AS bucket, count(*) FILTER (h = k)::DOUBLE AS factor FROM (SELECT user_id % 40 AS p, hour(ts) AS h FROM events), range(24) t(k) WHERE p % 2 = 0 GROUP BY 1, 2""")
+def src_04_profile_files(spark, d):
+    """Hourly profiles from a file, those that are asked for; each must stand there once."""
+    e = load(spark, d, "events").select(F.concat(F.lit("P"), F.col("user_id") % 40).alias("ID"), F.hour("ts").alias("h"))
+    to = as_csv(e.groupBy("ID").pivot("h", list(range(24))).agg(F.count("ID")).na.fill(0), "profiles")
+    wanted = [x[0] for x in e.select("ID").distinct().collect() if int(x[0][1:]) % 2 == 0]  # 20 at most
+    return readers.read_profile(spark, to, wanted).join(spark.createDataFrame([(w,) for w in wanted], "id string"), "id", "left_semi")
+
+
+@query(with_views("SELECT CAST(epoch(ts) // 3600 AS BIGINT) AS hour_no, variable, fid, round(CASE WHEN ts >= (SELECT date_trunc('day', max(ts)) FROM field) THEN 2 * value ELSE value END, 6) AS value FROM field", "field"))
+def snk_01_replaced_steps(spark, d):
+    """All steps written, then those of the last day again with other values."""
+    f, to = field(spark, d), sinks.scratch(spark, "steps")
+    sinks.write_steps(f, to)
+    last = f.agg(F.date_trunc("day", F.max("ts")).alias("last"))
+    sinks.write_steps(f.join(F.broadcast(last), F.col("ts") >= F.col("last")).drop("last").withColumn("value", 2 * F.col("value")), to)  # one row
+    return spark.read.schema(f.schema).parquet(to).select(hour_no().alias("hour_no"), "variable", "fid", r("value").alias("value"))
+
+
+@query("SELECT inventory, sector, pollutant, round(sum(flux), 4) AS flux, count(*) AS n FROM (" + with_views("SELECT * FROM flux", "flux") + ") GROUP BY 1, 2, 3")
+def snk_05_kept_table(spark, d):
+    """A cache's second reader gets what the first one made, whatever it would make itself."""
+    to = f"{sinks.scratch(spark, 'proxies')}/{sinks.cache_name('A', {'kind': 'points', 'weight': 'capacity'})}"
+    sinks.cached(spark, to, lambda: flux(spark, d))
+    again = sinks.cached(spark, to, lambda: flux(spark, d).limit(0))
+    return again.groupBy("inventory", "sector", "pollutant").agg(r(F.sum("flux"), 4).alias("flux"), F.count("*").alias("n"))
+
+
+@query("SELECT DISTINCT 'no proxy for ' || b AS message FROM (SELECT p_brand AS b FROM part WHERE p_size < 30 UNION ALL SELECT p_type FROM part WHERE p_size > 20)")
+def snk_07_kept_warnings(spark, d):
+    """Warnings of two runs, some of them in both, each kept once."""
+    p, to = load(spark, d, "part"), f"{sinks.scratch(spark, 'proxy')}/warnings"
+    say = lambda c: F.concat(F.lit("no proxy for "), c).alias("message")
+    sinks.stored_warnings(spark, to, p.where("p_size < 30").select(say("p_brand")))
+    sinks.stored_warnings(spark, to, p.where("p_size BETWEEN 10 AND 29").select(say("p_brand")).union(p.where("p_size > 20").select(say("p_type"))))
+    return sinks.stored_warnings(spark, to)
+
+
+@query("SELECT CAST(l_linenumber - 1 AS INTEGER) AS lev, CAST(year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate) AS DOUBLE) AS encoded_date, round(sum(l_quantity), 2) AS value FROM lineitem GROUP BY 1, 2")
+def snk_11_output_by_level(spark, d):
+    """One output for each level with its dates as numbers."""
+    to = sinks.scratch(spark, "levels")
+    f = load(spark, d, "lineitem").groupBy((F.col("l_linenumber") - 1).alias("lev"), F.to_timestamp(F.to_date("l_shipdate")).alias("ts")).agg(r(F.sum("l_quantity"), 2).alias("value"))
+    sinks.write_levels(f, to)
+    return spark.read.parquet(to).select("lev", "encoded_date", "value")
+
+
+@query("SELECT c_custkey AS fid, c_mktsegment AS sector, c_acctbal AS value, CAST(rank() OVER (ORDER BY c_acctbal, c_custkey) AS BIGINT) AS line FROM customer")
+def snk_13_ordered_debug_table(spark, d):
+    """A debug table's lines as they stand in its files, one file after another."""
+    to = sinks.scratch(spark, "debug")
+    sinks.write_debug(load(spark, d, "customer").select(F.col("c_custkey").alias("fid"), F.col("c_mktsegment").alias("sector"), F.col("c_acctbal").alias("value")), to, "value", "fid")
+    lines = spark.read.schema("fid long, sector string, value double").csv(to, header=True).select("*", F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("at"))
+    before = Window.partitionBy("file").orderBy("at")
+    earlier = F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))  # a row for each file
+    ahead = lines.groupBy("file").agg(F.count("*").alias("n")).select("file", F.coalesce(earlier, F.lit(0)).alias("ahead"))
+    return lines.join(ahead, "file").select("fid", "sector", "value", (F.col("ahead") + F.row_number().over(before)).alias("line"))
+
+
+# Checks --------------------------------------------------------------------------------------------
+
+
+@query("SELECT p_brand AS profile, p_type AS species, count(*) AS n FROM part WHERE p_size % 7 < 4 GROUP BY 1, 2")
+def chk_03_empty_expressions(spark, d):
+    empty = F.when(F.col("p_size") % 7 == 0, None).when(F.col("p_size") % 7 == 1, "  ").when(F.col("p_size") % 7 == 2, "NaN").when(F.col("p_size") % 7 == 3, " null")
+    rows = load(spark, d, "part").select(F.col("p_brand").alias("profile"), F.col("p_type").alias("species"), F.when(F.col("p_size") % 7 < 4, empty).otherwise(F.col("p_name")).alias("expr"))
+    return speciation.incomplete(rows).groupBy("profile", "species").agg(F.count("*").alias("n"))
+
+
+@query("SELECT * FROM (SELECT o_orderpriority AS variable, count(DISTINCT f) AS n, CAST(2592 AS BIGINT) AS g_n, count(DISTINCT f) FILTER (f < 2592) AS k FROM (SELECT o_orderpriority, CASE WHEN o_custkey % 50 = 0 AND o_orderpriority < '3' THEN 3000 + o_custkey ELSE o_orderkey * 7 % 2592 END AS f FROM orders) GROUP BY 1) WHERE n <> 2592 OR k <> 2592")
+def chk_10_grids_of_a_cache(spark, d):
+    """Cells of each cached variable against the grid; some hold ids beyond it."""
+    odd = (F.col("o_custkey") % 50 == 0) & (F.col("o_orderpriority") < "3")
+    table = load(spark, d, "orders").select(F.col("o_orderpriority").alias("variable"), F.when(odd, 3000 + F.col("o_custkey")).otherwise(F.col("o_orderkey") * 7 % 2592).alias("fid"))
+    known = table.where("fid < 2592").groupBy("variable").agg(F.count_distinct("fid").alias("k"))
+    return checks.grid_differences(table, cells(spark)).join(known, "variable")
+
+
+@query("SELECT p_brand AS layer, p_type AS kind, count(*) AS n FROM (SELECT p_brand, CASE p_size % 4 WHEN 0 THEN 'Point' WHEN 1 THEN 'Polygon' WHEN 2 THEN 'LineString' END AS p_type FROM part) WHERE p_type IS NULL OR p_type <> 'Point' GROUP BY 1, 2")
+def chk_12_other_geometries(spark, d):
+    kind = F.when(F.col("p_size") % 4 == 0, "Point").when(F.col("p_size") % 4 == 1, "Polygon").when(F.col("p_size") % 4 == 2, "LineString")
+    layer = load(spark, d, "part").select(F.col("p_brand").alias("layer"), kind.alias("kind"))
+    return checks.other_geometries(layer).groupBy("layer", "kind").agg(F.count("*").alias("n"))
+
+
+@query("SELECT DISTINCT 'p' || l_partkey % 90 AS pollutant FROM lineitem WHERE l_partkey % 90 NOT IN (SELECT s_suppkey % 40 FROM supplier UNION SELECT 5 + s_nationkey FROM supplier)")
+def chk_16_unused_inputs(spark, d):
+    """Input pollutants that no expression names; p4 isn't named by p45."""
+    inputs = load(spark, d, "lineitem").select(F.concat(F.lit("p"), F.col("l_partkey") % 90).alias("pollutant"))
+    profiles = load(spark, d, "supplier").select(F.concat(F.lit("0.5 * p"), F.col("s_suppkey") % 40, F.lit(" + p"), 5 + F.col("s_nationkey")).alias("expr"))
+    return speciation.unused_inputs(inputs, profiles)
+
+
+@query("""SELECT 'v' || p_partkey AS variable, units, new_units, p_name || ' ' || suffix AS long_name FROM (SELECT *, CASE WHEN p_size % 2 = 0 THEN 'kmol.m-2.s-1' ELSE 'kg.m-2.s-1' END AS units FROM part) JOIN (VALUES ('kmol.m-2.s-1', 'mol.s-1', 'as gas'), ('kg.m-2.s-1', 'g.s-1', 'as aerosol')) t(units, new_units, suffix) USING (units)""")
+def uni_07_unit_labels(spark, d):
+    variables = load(spark, d, "part").select(F.concat(F.lit("v"), "p_partkey").alias("variable"), F.when(F.col("p_size") % 2 == 0, "kmol.m-2.s-1").otherwise("kg.m-2.s-1").alias("units"), F.col("p_name").alias("long_name"))
+    labels = spark.createDataFrame([("kmol.m-2.s-1", "mol.s-1", "as gas"), ("kg.m-2.s-1", "g.s-1", "as aerosol")], "units string, new_units string, suffix string")
+    return units.relabel(variables, labels)

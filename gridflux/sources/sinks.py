@@ -10,15 +10,17 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridflux.operators.units import encoded_date
+
 
 def write_steps(field: DataFrame, path: str) -> None:
     """SNK-01. Append or replace the time steps that the field holds."""
     field.write.partitionBy("ts").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
-def write_levels(field: DataFrame, path: str) -> None:
-    """SNK-11. One partition a level."""
-    field.write.partitionBy("lev").mode("overwrite").parquet(path)
+def write_levels(field: DataFrame, path: str, ts: str = "ts") -> None:
+    """SNK-11. One partition a level, with the date of each step as a number beside it."""
+    field.withColumn("encoded_date", encoded_date(F.col(ts))).write.partitionBy("lev").mode("overwrite").parquet(path)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -81,8 +83,8 @@ def cell_polygons(field: DataFrame, cells: DataFrame, variables: list[str]) -> D
 
 
 def write_debug(table: DataFrame, path: str, *order: str) -> None:
-    """SNK-13, SRT-02. Small debug table as one ordered CSV."""
-    table.orderBy(*order).coalesce(1).write.mode("overwrite").csv(path, header=True)
+    """SNK-13, SRT-02. Debug table as CSV files whose rows go on in order from one file name to the next."""
+    table.orderBy(*order).write.mode("overwrite").csv(path, header=True)
 
 
 def scratch(spark: SparkSession, name: str) -> str:

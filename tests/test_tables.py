@@ -180,3 +180,39 @@ def test_lines_through_a_corner_leave_no_crumbs(spark):
     line = spark.createDataFrame([(1, 1.0, [(2.0, 4.0), (8.3, 6.1)])], "link int, weight double, line array<struct<x:double,y:double>>")
     cut = regrid.cut_segments(regrid.segments(line), regrid.RegularGrid(0.0, 0.0, 5.0, 5.0, 2, 2), "fid")
     assert sorted(r.fid for r in cut.collect()) == [0, 3]
+
+
+def test_an_hour_in_several_files_is_summed(spark, tmp_path):
+    from gridflux import streaming
+
+    kinds = "ts timestamp, src_fid long, pollutant string, flux double, part string"
+    weights = spark.createDataFrame([(1, 7, 0.5), (2, 7, 1.0)], "src_fid long, dst_fid long, weight double")
+    species = spark.createDataFrame([("co", "CO", 2.0)], "pollutant string, species string, fr double")
+
+    def arrive(part, hour, flux):
+        rows = spark.sql(f"SELECT TIMESTAMP '2020-01-01 0{hour}:10:00' AS ts, id AS src_fid, 'co' AS pollutant, {flux}D AS flux, '{part}' AS part FROM range(1, 3)")
+        rows.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+
+    def run():
+        fires = spark.readStream.schema(kinds).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))  # each file is a batch of its own
+        streaming.write_hours(fires, weights, species, str(tmp_path / "out"), str(tmp_path / "state"), "part").awaitTermination()
+        return {(r["ts"].hour, r["fid"], r["species"]): r["value"] for r in streaming.read_hours(spark, str(tmp_path / "out"), "part").collect()}
+
+    arrive("north", 1, 1.0)
+    arrive("south", 1, 10.0)
+    arrive("north", 2, 4.0)
+    assert run() == {(1, 7, "CO"): 33.0, (2, 7, "CO"): 12.0}
+    arrive("north", 1, 2.0)  # arrives again and replaces its own part only
+    assert run() == {(1, 7, "CO"): 36.0, (2, 7, "CO"): 12.0}
+
+
+def test_unknown_units_are_rejected(spark):
+    from gridflux.operators import units
+
+    labels = spark.createDataFrame([("kg", "g", "as aerosol")], "units string, new_units string, suffix string")
+    variables = spark.createDataFrame([("a", "kg", "dust"), ("b", "furlong", "odd"), ("c", None, "none")], "variable string, units string, long_name string")
+    assert [tuple(r) for r in units.relabel(variables.where("variable = 'a'"), labels).collect()] == [("a", "kg", "g", "dust as aerosol")]
+    with pytest.raises(ValueError, match="furlong"):
+        units.relabel(variables, labels)
+    with pytest.raises(ValueError, match="None"):
+        units.relabel(variables.where("variable = 'c'"), labels)
