@@ -368,7 +368,7 @@ def nearest_neighbours(src: DataFrame, dst: DataFrame, k: int = 4) -> DataFrame:
     equal ones, weights 1 / distance (at least 1 m) normalised to 1; src: fid, lon, lat; dst: fid, lon, lat.
     Candidates come from ``nearest.candidates`` in geocentric coordinates."""
     s = _with_ecef(src, "src_fid", "at_").withColumns({f"{e}_{a}": F.col(f"at_{a}") for e in ("lo", "hi") for a in "xyz"})
-    near = candidates(_with_ecef(dst, "dst_fid", ""), s, "xyz", k, ["src_fid", "at_x", "at_y", "at_z"])
+    near = candidates(_with_ecef(dst, "dst_fid", ""), s, "xyz", k, ["src_fid", "at_x", "at_y", "at_z"], least=1.0, together="dst_fid")
     gap = F.sqrt(sum(((F.col(f"at_{c}") - F.col(c)) * (F.col(f"at_{c}") - F.col(c)) for c in "xyz"), F.lit(0.0)))
     rank = F.row_number().over(Window.partitionBy("dst_fid").orderBy("distance", "src_fid"))
     best = near.select("src_fid", "dst_fid", F.greatest(gap, F.lit(1.0)).alias("distance")).withColumn("_rank", rank).where(F.col("_rank") <= k)

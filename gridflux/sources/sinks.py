@@ -97,3 +97,15 @@ def scratch(spark: SparkSession, name: str) -> str:
         at = f"file://{tempfile.mkdtemp(prefix='gridflux-')}"
         spark.conf.set("spark.checkpoint.dir", at)
     return f"{at.rstrip('/')}/gridflux/{uuid.uuid4().hex}/{name}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once in a scratch folder, for what reads it more than once."""
+    to = scratch(df.sparkSession, name)
+    df.write.parquet(to)
+    return df.sparkSession.read.schema(df.schema).parquet(to)
+
+
+def is_small(df: DataFrame, most: int = 64 << 20) -> bool:
+    """Whether the rows, counted as JSON, may be broadcast; ``df`` should be cheap to read."""
+    return (df.agg(F.sum(F.length(F.to_json(F.struct("*"))).cast("long"))).first()[0] or 0) <= most

@@ -130,3 +130,15 @@ def test_few_candidates_for_each_point(spark):
 
     small, large = count(400), count(4000)
     assert large < 15 * small and large < 4000 * 200
+
+
+def test_many_points_have_few_candidates(spark):
+    """Tiles of points shrink on beside few sources, and what counts as equally near stays."""
+    place = lambda seed: F.rand(seed) * 200 - 100
+    s = spark.range(200).select(F.col("id").alias("s"), place(1).alias("lo_x"), place(2).alias("lo_y")).withColumns({"hi_x": F.col("lo_x"), "hi_y": F.col("lo_y")})
+    p = spark.range(40_000).select(F.col("id").alias("p"), place(3).alias("x"), place(4).alias("y"))
+    assert nearest.candidates(p, s, "xy", 3, ["s"]).count() < 20 * 40_000
+    two = spark.createDataFrame([(9, 0.2, 0.0), (3, 0.5, 0.0)], "s long, lo_x double, lo_y double").withColumns({"hi_x": F.col("lo_x"), "hi_y": F.col("lo_y")})
+    one = spark.createDataFrame([(1, 0.0, 0.0)], "p long, x double, y double")
+    assert [r.s for r in nearest.candidates(one, two, "xy", 1, ["s"]).collect()] == [9]
+    assert sorted(r.s for r in nearest.candidates(one, two, "xy", 1, ["s"], least=1.0).collect()) == [3, 9]
