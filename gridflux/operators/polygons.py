@@ -121,6 +121,49 @@ def clip_rings(rings: pa.Array, windows: pa.Array) -> tuple[pa.Array, np.ndarray
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), corners), np.maximum(area, 0.0), np.abs(whole)
 
 
+def _steps(rings: pa.Array) -> tuple[list[int], list[int]]:
+    """Starts and numbers of rows of steps: until the rows' number times the longest ring reaches ``STEP``; a
+    ring is never split."""
+    sizes = np.maximum(np.asarray(rings.value_lengths().fill_null(0)), 4).astype(np.int64)
+    starts, counts, at = [], [], 0
+    while at < len(sizes):
+        widest = np.maximum.accumulate(sizes[at : at + STEP])
+        starts.append(at)
+        counts.append(max(1, int(np.searchsorted(widest * np.arange(1, len(widest) + 1), STEP, "right"))))
+        at += counts[-1]
+    return starts, counts
+
+
+def line_and_side(rings: pa.Array, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Planar distance of each point to its ring's line (NaN without a corner), and whether the ring holds it:
+    ray casting, lower and left borders count as inside."""
+    ax, ay, n = _padded(rings)
+    k = np.arange(ax.shape[1])
+    here = k < n[:, None]
+    after = np.where(k + 1 < n[:, None], k + 1, 0)
+    bx, by = np.take_along_axis(ax, after, 1), np.take_along_axis(ay, after, 1)
+    x, y, dx, dy = x[:, None], y[:, None], bx - ax, by - ay
+    long = dx * dx + dy * dy
+    with np.errstate(invalid="ignore", divide="ignore"):
+        t = np.clip(np.where(long > 0, ((x - ax) * dx + (y - ay) * dy) / np.where(long > 0, long, 1), 0), 0, 1)
+        gap = np.sqrt((ax + t * dx - x) ** 2 + (ay + t * dy - y) ** 2)
+        crosses = here & ((ay <= y) != (by <= y)) & (x < ax + (y - ay) * (dx / np.where(dy != 0, dy, 1)))
+    least = np.where(here, gap, np.inf).min(1, initial=np.inf)
+    return np.where(np.isinf(least), np.nan, least), crosses.sum(1) % 2 == 1
+
+
+def beside(ring: str, x: str, y: str) -> Column:
+    """line: a point's distance to a ring's line (null without a place or a corner), and inside: whether the ring holds it."""
+
+    @F.arrow_udf("struct<line:double,inside:boolean>")
+    def found(ring: pa.Array, x: pa.Array, y: pa.Array) -> pa.Array:
+        parts = [line_and_side(ring.slice(at, n), *(v.slice(at, n).to_numpy(zero_copy_only=False) for v in (x, y))) for at, n in zip(*_steps(ring), strict=True)]
+        line, inside = (np.concatenate([p[i] for p in parts] or [np.empty(0, kind)]) for i, kind in ((0, float), (1, bool)))
+        return pa.StructArray.from_arrays([pa.array(line, pa.float64(), mask=np.isnan(line)), pa.array(inside, pa.bool_())], ["line", "inside"])
+
+    return found(ring, x, y)
+
+
 def clipped(pairs: DataFrame, ring: str = "ring", window: str = "window", area: str = "area", whole: str | None = None) -> DataFrame:
     """The pairs, ``ring`` cut to the convex ``window`` of its row, with the area left (of a shell or a hole,
     never negative) and, where named, the whole ring's; ``window`` goes."""
@@ -129,17 +172,10 @@ def clipped(pairs: DataFrame, ring: str = "ring", window: str = "window", area:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = np.maximum(np.asarray(batch[ring].value_lengths().fill_null(0)), 4).astype(np.int64)
-            at = 0
-            while at < len(sizes):
-                # rows until their number times the longest ring reaches a step; a ring is never split
-                widest = np.maximum.accumulate(sizes[at : at + STEP])
-                to = at + max(1, int(np.searchsorted(widest * np.arange(1, len(widest) + 1), STEP, "right")))
-                part = batch.slice(at, to - at)
+            for part in map(batch.slice, *_steps(batch[ring])):
                 left, found, total = clip_rings(part[ring], part[window])
                 columns = [*(part[c] for c in kept), left, pa.array(found), *([pa.array(total)] if whole else [])]
                 yield pa.RecordBatch.from_arrays(columns, names)
-                at = to
 
     types = dict(pairs.dtypes)
     schema = ", ".join([*(f"`{c}` {types[c]}" for c in kept), f"`{ring}` {RING}", f"`{area}` double", *([f"`{whole}` double"] if whole else [])])

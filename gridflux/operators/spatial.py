@@ -43,20 +43,6 @@ def centroid_join(points: DataFrame, layer: DataFrame, attribute: str, tile: flo
     return points.join(holds.groupBy("fid").agg(F.min(attribute).alias(attribute)), "fid", "left")
 
 
-def ring_distance(ring: Column, x: Column, y: Column) -> Column:
-    """Planar distance from a point to a ring's line."""
-    n = F.size(ring)
-
-    def gap(i: Column) -> Column:
-        a, b = F.get(ring, i), F.get(ring, (i + 1) % n)
-        dx, dy = b["x"] - a["x"], b["y"] - a["y"]
-        t = F.coalesce(F.try_divide((x - a["x"]) * dx + (y - a["y"]) * dy, dx * dx + dy * dy), F.lit(0.0))
-        t = F.least(F.greatest(t, F.lit(0.0)), F.lit(1.0))
-        return F.sqrt(F.pow(a["x"] + t * dx - x, F.lit(2)) + F.pow(a["y"] + t * dy - y, F.lit(2)))
-
-    return F.array_min(F.transform(F.sequence(F.lit(0), n - 1), gap))
-
-
 def nearest_join(points: DataFrame, layer: DataFrame, attribute: str, period: float | None = 360.0) -> DataFrame:
     """JON-01. Attribute of the nearest feature of each point (fid, lon, lat), the least of equal ones;
     distances are compared to nine decimals, so summing orders can't tell equal ones apart.
@@ -68,8 +54,9 @@ def nearest_join(points: DataFrame, layer: DataFrame, attribute: str, period: fl
     rows = with_bounds(rows if period is None else shifted(rows, period))
     rows = rows.withColumnsRenamed({"xmin": "lo_x", "xmax": "hi_x", "ymin": "lo_y", "ymax": "hi_y"})
     p = points.select("fid", F.col("lon").alias("x"), F.col("lat").alias("y"))
-    near = candidates(p, rows, "xy", 1, ["_attribute", "ring", "sign"])
-    near = near.withColumns({"line": ring_distance(F.col("ring"), F.col("x"), F.col("y")), "inside": F.when(contains(F.col("ring"), F.col("x"), F.col("y")), F.col("sign")).otherwise(0)})
+    near = candidates(p, rows, "xy", 1, ["_attribute", "ring", "sign"], together="fid")
+    near = near.select("fid", "_attribute", "sign", polygons.beside("ring", "x", "y").alias("_b"))
+    near = near.select("fid", "_attribute", F.col("_b.line").alias("line"), F.when(F.col("_b.inside"), F.col("sign")).otherwise(0).alias("inside"))
     each = near.groupBy("fid", "_attribute").agg(F.when(F.sum("inside") > 0, F.lit(0.0)).otherwise(F.round(F.min("line"), 9)).alias("distance"))
     best = each.groupBy("fid").agg(F.min(F.struct("distance", "_attribute")).alias("b"))
     return points.join(best.select("fid", F.col("b.distance").alias("distance"), F.col("b._attribute").alias(attribute)), "fid", "left")

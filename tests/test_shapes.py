@@ -142,3 +142,27 @@ def test_many_points_have_few_candidates(spark):
     one = spark.createDataFrame([(1, 0.0, 0.0)], "p long, x double, y double")
     assert [r.s for r in nearest.candidates(one, two, "xy", 1, ["s"]).collect()] == [9]
     assert sorted(r.s for r in nearest.candidates(one, two, "xy", 1, ["s"], least=1.0).collect()) == [3, 9]
+
+
+def test_nearest_polygons_of_odd_rings(spark):
+    """Rings of different lengths, one with a corner twice, against plain distances; a point without a place has none."""
+    rng = np.random.default_rng(8)
+    shapes = {f"n{k}": [(float(x), float(y)) for x, y in rng.uniform(-60, 60, 2) + 5 * np.stack([np.cos(a), np.sin(a)], 1)] for k in range(8) for a in [np.sort(rng.uniform(0, 2 * np.pi, 3 + 4 * k))]}
+    shapes["n3"].insert(2, shapes["n3"][2])
+    shape = spark.createDataFrame([(n, [{"x": x, "y": y} for x, y in c]) for n, c in shapes.items()], f"name string, ring {polygons.RING}")
+    at = [(k, float(x), float(y)) for k, (x, y) in enumerate(rng.uniform(-80, 80, (300, 2)))]
+
+    def plain(ring, x, y):
+        odd, best = False, math.inf
+        for (ax, ay), (bx, by) in zip(ring, ring[1:] + ring[:1]):
+            long = (bx - ax) ** 2 + (by - ay) ** 2
+            t = min(max(((x - ax) * (bx - ax) + (y - ay) * (by - ay)) / long, 0), 1) if long else 0
+            best = min(best, math.hypot(ax + t * (bx - ax) - x, ay + t * (by - ay) - y))
+            odd ^= (ay <= y) != (by <= y) and x < ax + (y - ay) * (bx - ax) / (by - ay)
+        return 0.0 if odd else best
+
+    got = {r.fid: (r.name, r.distance) for r in spatial.nearest_join(spark.createDataFrame([*at, (-1, None, 0.0)], "fid long, lon double, lat double"), shape, "name").collect()}
+    assert got.pop(-1)[1] is None
+    want = {k: min((round(plain(c, x, y), 9), n) for n, c in shapes.items()) for k, x, y in at}
+    assert {k: n for k, (n, _) in got.items()} == {k: n for k, (_, n) in want.items()}
+    assert all(got[k][1] == pytest.approx(d, abs=2e-9) for k, (d, _) in want.items())
