@@ -13,6 +13,7 @@ from gridflux.operators.grid import box_area
 from gridflux.operators.points import fire_flux, stack_flux
 from gridflux.operators.regrid import RegularGrid
 from gridflux.operators.roads import road_weights, to_roads
+from gridflux.sources import sinks
 
 
 def cell_areas(cells: DataFrame) -> DataFrame:
@@ -128,6 +129,8 @@ def interpolate(field: DataFrame, src: DataFrame, grid: RegularGrid | None = Non
         if "lev" in by:
             raise ValueError("stations take one level")
         w = regrid.nearest_neighbours(src, stations.select(F.col("station").alias("fid"), "lon", "lat")).select("src_fid", "dst_fid", "weight")
+        held = sinks.stored(field.join(src.select("fid"), "fid", "left_semi"), "field")
+        field = F.broadcast(held) if sinks.is_small(held) else held  # a station's weights then stay together for its sum
     else:
         w = regrid.conservative_weights(src, grid)
     return regrid.apply_weights(field, w, *by)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from gridflux.operators import nearest, polygons, regrid, spatial
 from gridflux.operators.grid import regular_cells
+from gridflux.plans import jobs
 
 RINGS = "name string, rings array<array<struct<x:double,y:double>>>"
 
@@ -166,3 +167,19 @@ def test_nearest_polygons_of_odd_rings(spark):
     want = {k: min((round(plain(c, x, y), 9), n) for n, c in shapes.items()) for k, x, y in at}
     assert {k: n for k, (n, _) in got.items()} == {k: n for k, (_, n) in want.items()}
     assert all(got[k][1] == pytest.approx(d, abs=2e-9) for k, (d, _) in want.items())
+
+
+def test_station_weights_are_dealt_once(spark):
+    """A small field comes to the stations' weights, which stay where they are for the sum."""
+    src = spark.range(50).select(F.col("id").alias("fid"), (F.col("id") * 7.0 - 170).alias("lon"), (F.col("id") * 3.0 - 80).alias("lat"))
+    stations = spark.range(30).select(F.col("id").alias("station"), (F.col("id") * 11.0 - 160).alias("lon"), (F.col("id") * 5.0 - 70).alias("lat"))
+    field = src.select(F.lit("a").alias("pollutant"), "fid", F.col("lon").alias("value"))
+    auto = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = jobs.interpolate(field, src, None, stations, "pollutant")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(src_fid" not in plan and "hashpartitioning(pollutant" not in plan
+        assert out.count() == 30
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", auto)
