@@ -70,12 +70,26 @@ def rebalance_weekly(profile: DataFrame, counts: DataFrame, *by: str) -> DataFra
 def parse_hourly_id(profiles: DataFrame, key: str, text: str) -> DataFrame:
     """TMP-08. ``weekday=H1, saturday=H2``, or one id for all days: key, weekday_i, id.
 
-    ``weekday`` means Monday to Friday, ``weekend`` the rest, and a named day beats both.
+    ``weekday`` means Monday to Friday, ``weekend`` the rest, and a named day beats both; of two that
+    name a day alike the last one counts. A key's texts, in one row as a rule, are put together before
+    they become days; an unknown name is day -1.
     """
-    parts = profiles.select(key, F.explode(F.split(text, r"\s*,\s*")).alias("p")).withColumn("name", F.when(F.instr("p", "=") > 0, F.lower(F.trim(F.element_at(F.split("p", "="), 1)))).otherwise(F.lit("all"))).withColumn("id", F.trim(F.element_at(F.split("p", "="), -1)))
-    days = F.when(F.col("name") == "all", F.sequence(F.lit(0), F.lit(6))).when(F.col("name") == "weekday", F.sequence(F.lit(0), F.lit(4))).when(F.col("name") == "weekend", F.sequence(F.lit(5), F.lit(6))).otherwise(F.array((F.array_position(F.array(*map(F.lit, WEEKDAYS)), F.col("name")) - 1).cast("int")))
-    rank = F.when(F.col("name") == "all", 0).when(F.col("name").isin("weekday", "weekend"), 1).otherwise(2)
-    return parts.select(key, F.explode(days).alias("weekday_i"), "id", rank.alias("rank")).groupBy(key, "weekday_i").agg(F.max_by("id", "rank").alias("id"))
+    texts = profiles.select(F.col(key), F.col(text).alias("_t")).repartition(key).groupBy(key).agg(F.array_sort(F.collect_list("_t")).alias("_t"))
+
+    def rule(p: Column) -> Column:
+        name = F.when(F.instr(p, "=") > 0, F.lower(F.trim(F.element_at(F.split(p, "="), 1)))).otherwise(F.lit("all"))
+        day = F.array_position(F.array(*map(F.lit, WEEKDAYS)), name).cast("int") - 1
+        of = lambda all_days, week, weekend, named: F.when(name == "all", all_days).when(name == "weekday", week).when(name == "weekend", weekend).otherwise(named)
+        return F.struct(of(0, 0, 5, day).alias("first"), of(6, 4, 6, day).alias("last"), of(0, 1, 1, 2).alias("rank"), F.trim(F.element_at(F.split(p, "="), -1)).alias("id"))
+
+    rules = texts.select(key, F.transform(F.flatten(F.transform("_t", lambda t: F.split(t, r"\s*,\s*"))), rule).alias("_r"))
+
+    def chosen(d: Column) -> Column:
+        mine = F.filter("_r", lambda x: (x["first"] <= d) & (d <= x["last"]))
+        return F.element_at(F.filter(mine, lambda x: x["rank"] == F.array_max(F.transform(mine, lambda y: y["rank"]))), -1)["id"]
+
+    days = F.filter(F.transform(F.sequence(F.lit(-1), F.lit(6)), lambda d: F.struct(d.alias("weekday_i"), F.when(F.exists("_r", lambda x: (x["first"] <= d) & (d <= x["last"])), chosen(d)).alias("id"))), lambda x: x["id"].isNotNull())
+    return rules.select(key, F.explode(days).alias("_d")).select(key, "_d.weekday_i", "_d.id")
 
 
 def lookup(df: DataFrame, profile: DataFrame, id_column: str, bucket: Column, name: str, gridded: bool = False) -> DataFrame:

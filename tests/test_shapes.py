@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from gridflux.operators import nearest, polygons, regrid, spatial
+from gridflux.operators import nearest, polygons, regrid, spatial, temporal
 from gridflux.operators.grid import regular_cells
 from gridflux.plans import jobs
 
@@ -183,3 +183,13 @@ def test_station_weights_are_dealt_once(spark):
         assert out.count() == 30
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", auto)
+
+
+def test_hourly_ids_of_odd_texts(spark):
+    """Keys in several rows and without one, unknown names, empty and null texts; days aren't sorted by key and weekday."""
+    texts = [(1, "weekday=A"), (1, " Saturday = B , weekend=C"), (2, "H"), (3, None), (None, "sunday=S"), (4, ""), (5, "someday=X, monday=M"), (6, "monday=1,monday=2")]
+    out = temporal.parse_hourly_id(spark.createDataFrame(texts, "k long, t string"), "k", "t")
+    want = {(1, d, i) for d, i in enumerate("AAAAABC")} | {(2, d, "H") for d in range(7)} | {(None, 6, "S")} | {(4, d, "") for d in range(7)} | {(5, -1, "X"), (5, 0, "M"), (6, 0, "2")}
+    assert {tuple(r) for r in out.collect()} == want and out.count() == len(want)
+    assert dict(out.dtypes) == {"k": "bigint", "weekday_i": "int", "id": "string"}
+    assert "weekday_i" not in "".join(x for x in out._jdf.queryExecution().executedPlan().toString().splitlines() if "Sort" in x)
