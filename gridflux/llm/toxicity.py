@@ -28,13 +28,25 @@ from gridflux.llm.common import crc_fold, release, text_of
 from gridflux.llm.samples import labelled_sample
 
 _WORD = re.compile(r"[^\W\d_]+")
-MAX_PIECES = 50_000
+MAX_PIECES = 150_000
 
 
 def terms_of(piece: str) -> set[int]:
     """Hashed terms of a run of characters without white space; the kind of term stands above the CRC."""
+    low = piece.lower().strip(".,;:!?'\"()")
+    if low.isascii() and low.isalpha():  # one word, whose letters are bytes
+        word = low.encode()
+        n = len(word)
+        found = {zlib.crc32(word)}
+        if n >= 4:
+            found.add(zlib.crc32(word[:4]) | 4 << 32)
+            if n >= 5:
+                found.add(zlib.crc32(word[:5]) | 5 << 32)
+                if n >= 6:
+                    found.add(zlib.crc32(word[:6]) | 6 << 32)
+        return found
     found = set()
-    for word in _WORD.findall(piece.lower()):
+    for word in _WORD.findall(low):
         found.add(zlib.crc32(word.encode()))
         found.update(zlib.crc32(word[:n].encode()) | n << 32 for n in (4, 5, 6) if len(word) >= n)
     return found
@@ -55,15 +67,16 @@ class FactorizationMachine:
 
     def places(self, seen: dict[str, tuple[int, ...]], text: str) -> np.ndarray:
         """Places of the text's known terms. ``seen`` keeps those of pieces met before."""
-        found: set[int] = set()
+        found: list[int] = []
         if len(seen) > MAX_PIECES:
             seen.clear()
+        terms = self.terms
         for piece in set(text.split()):
             known = seen.get(piece)
             if known is None:
-                known = seen[piece] = tuple(self.terms[t] for t in terms_of(piece) if t in self.terms)
-            found.update(known)
-        return np.array(sorted(found), np.int64)
+                known = seen[piece] = tuple([terms[t] for t in terms_of(piece) if t in terms])
+            found += known
+        return np.unique(np.array(found, np.int64))
 
     def score(self, rows: list[np.ndarray]) -> np.ndarray:
         out = np.empty(len(rows))

@@ -514,3 +514,20 @@ def test_pipeline_stages(spark, tmp_path):
             assert kept[name] == {r[0] for r in before.select("doc_id").collect()}
     seen = [i for i in kept["toxicity"] if i in labels.index]
     assert labels.loc[seen, "toxic"].mean() < 0.5 * labels["toxic"].mean()  # a tiny table to learn from
+
+
+def test_terms_of_plain_and_odd_pieces():
+    """The short way for plain words gives the terms of the long one."""
+    import zlib
+
+    from gridflux.llm import toxicity
+
+    for piece in ["Plain", "word,", "(Word)", "ab", "four.", "seven7letters", "na\u00efvet\u00e9", "STRASSE\u00df", "\u0130stanbul", "x\u00b2y", "a_b", "don't", "...", "", "\u05e9\u05dc\u05d5\u05dd!"]:
+        words = [w for w in toxicity._WORD.findall(piece.lower())]
+        want = {zlib.crc32(w.encode()) for w in words} | {zlib.crc32(w[:n].encode()) | n << 32 for w in words for n in (4, 5, 6) if len(w) >= n}
+        assert toxicity.terms_of(piece) == want
+    terms = {t: k for k, t in enumerate(sorted(toxicity.terms_of("abcdefg") | toxicity.terms_of("other")))}
+    machine = toxicity.FactorizationMachine(terms, 0.0, np.zeros(len(terms)), np.zeros((len(terms), 1)))
+    seen = {}
+    assert machine.places(seen, "abcdefg, abcdef other Abcdefg").tolist() == list(range(len(terms)))
+    assert machine.places(seen, "").tolist() == machine.places(seen, "zzz").tolist() == []
