@@ -2,10 +2,11 @@
 
 A line's tokens are its different words; every line with a word takes part. Lines with equal sets meet
 in one group. For the groups' sets, tokens are ordered by rarity over all documents; two sets of Jaccard
-similarity 0.8 or more share a token within their prefixes. The sets that share one are scanned in blocks,
-by length, position and a parity sketch of 128 bits, which can only be too lenient. A line needs a single
-earlier match to go, so a block sends on each set's likeliest earlier candidate alone; only sets that it
-doesn't settle get all their others. Candidates are verified on the lines' words, beside each other.
+similarity 0.8 or more share a token within their prefixes. Tokens go to buckets by their hash, many packed
+in one row; there the sets that share one are scanned in blocks, by length, position and a parity sketch of
+128 bits, which can only be too lenient. A line needs a single earlier match to go, so a block sends on each
+set's likeliest earlier candidate alone; only sets that it doesn't settle get all their others. Candidates
+are verified on the lines' words, beside each other.
 A line is removed if an equal or similar line stands before it, kept or not.
 
 Rarity is counted in a table of fixed size, indexed by the word's hash. Any order gives the same
@@ -27,21 +28,27 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridflux.llm.common import small, stage, text_of
+from gridflux.llm.common import keep_freed, release, small, stage
 from gridflux.llm.words import mix, slices, split_words
 
 COUNTERS, PART = 1 << 21, 1 << 13
 BLOCK = 2048  # sets of one block; a token's sets beyond meet block by block
 SCAN_ROWS = 200_000
+PACK_ROWS = 1 << 19  # posts that one task holds before it packs them
+MANY, LIGHT, HEAVY = 1 << 14, 1 << 15, 1 << 18  # buckets hold LIGHT posts each, or up to HEAVY where there are MANY
+
+#: A token in a set's prefix, as tasks exchange it. ``flags`` has 1 or 2 in the lower or higher of two blocks, 4 without an id, 8 for an open set.
+POST = np.dtype([("meet", "<u4"), ("flags", "u1"), ("sid", "<i8"), ("size", "<i8"), ("bits", "<u8"), ("more_bits", "<u8"), ("doc_id", "<i8"), ("line", "<i4")])
 
 
 def word_counts(texts: DataFrame) -> np.ndarray:
     """Occurrences of words by hash, over all texts; ``COUNTERS`` numbers whatever the input's size."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_freed()
         found = np.zeros(COUNTERS, np.int64)
-        for batch in slices(batches, most=1 << 20):
-            found += np.bincount((split_words(batch["text"]).hash & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
+        for batch in slices(batches):
+            np.add.at(found, (split_words(batch["text"]).hash & np.uint64(COUNTERS - 1)).astype(np.int64), 1)
         yield from _parts(found)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,16 +94,29 @@ def _line_order(h: np.ndarray, place: np.ndarray) -> np.ndarray:
     return order
 
 
+def _binary(values: np.ndarray, edges: np.ndarray) -> pa.BinaryArray:
+    """Runs of the values as binary, cut at the edges."""
+    offsets = (edges * values.itemsize).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values).view(np.uint8))])
+
+
+def _runs(binary: pa.BinaryArray, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """The values of all the runs, and how many each has; none of them is null."""
+    edge = np.frombuffer(binary.buffers()[1], np.int32)[binary.offset : binary.offset + len(binary) + 1]
+    return np.frombuffer(binary.buffers()[2], np.uint8)[edge[0] : edge[-1]].view(kind), np.diff(edge) // np.dtype(kind).itemsize
+
+
 def line_sets(texts: DataFrame, counts: np.ndarray) -> DataFrame:
     """One row for each line with a word: doc_id, hash, line, its set's 128-bit key, number of tokens,
     parity sketch, the rarest tokens, as many as any similar set must share one of, and those of them
     that may stand in more than ``BLOCK`` prefixes.
 
-    A token that occurs once in all documents can't be shared; its place in the prefix is null.
+    ``prefix`` is packed, four bytes a token: a token that occurs once in all documents can't be shared and is 0.
     """
     held = texts.sparkSession.sparkContext.broadcast(counts)  # a table of fixed size
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_freed()
         for batch in slices(batches):
             words = split_words(batch["text"])
             h = words.hash
@@ -120,17 +140,17 @@ def line_sets(texts: DataFrame, counts: np.ndarray) -> DataFrame:
             prefix = np.where(n < 4, 0, n - -(-4 * n // 5) + 1)  # fewer than four have equal sets alone
             within = np.arange(len(h)) - start[line] < prefix[line]
             seen = place[within] & np.uint64(0xFFFFFFFF)
-            token = h[within].astype(np.uint32).view(np.int32)
-            offsets = np.concatenate([[0], np.cumsum(prefix)]).astype(np.int32)
+            token = h[within].astype(np.uint32)
+            tokens = np.where(seen <= 1, np.uint32(0), np.maximum(token, 1))
             often = seen > BLOCK
             some = np.concatenate([[0], np.cumsum(np.bincount(line[within][often], minlength=len(doc)))]).astype(np.int32)
             of = pa.array(doc, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"].take(of), batch["hash"].take(of), pa.array(number, pa.int32()), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), pa.array(n.astype(np.int32)), pa.array(bits), pa.array(more_bits), pa.ListArray.from_arrays(offsets, pa.array(token, mask=seen <= 1)), pa.ListArray.from_arrays(some, pa.array(token[often]))],
+                [batch["doc_id"].take(of), batch["hash"].take(of), pa.array(number, pa.int32()), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), pa.array(n.astype(np.int32)), pa.array(bits), pa.array(more_bits), _binary(tokens, np.concatenate([[0], np.cumsum(prefix)])), pa.ListArray.from_arrays(some, pa.array(tokens[often].view(np.int32)))],
                 ["doc_id", "hash", "line", "k1", "k2", "n", "bits", "more_bits", "prefix", "often"],
             )
 
-    return texts.select("doc_id", "hash", "text").mapInArrow(sets, "doc_id long, hash long, line int, k1 long, k2 long, n int, bits long, more_bits long, prefix array<int>, often array<int>")
+    return texts.select("doc_id", "hash", "text").mapInArrow(sets, "doc_id long, hash long, line int, k1 long, k2 long, n int, bits long, more_bits long, prefix binary, often array<int>")
 
 
 def _place() -> Column:
@@ -138,24 +158,90 @@ def _place() -> Column:
     return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "line", "hash")
 
 
-def _posts(groups: DataFrame) -> DataFrame:
-    """A row for each token in a set's prefix: where it meets others, and what the scan asks for.
+def _with_hot(sets: DataFrame) -> tuple[DataFrame, int]:
+    """The sets with ``hot``, their tokens in more than ``BLOCK`` prefixes and the blocks of each as text, and
+    how many posts they make. Blocks of such a token meet two by two."""
+    often = sets.select("sid", F.explode("often").alias("token"))
+    many = often.groupBy("token").count().where(F.col("count") > BLOCK)
+    many = stage(many.select("token", "count", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")), "hot_tokens")
+    more = many.agg(F.sum(F.col("count") * (F.col("blocks") - 1))).first()[0]
+    posts = (sets.agg(F.sum(F.floor(F.col("n") / 5) + 1)).first()[0] or 0) + (more or 0)
+    if more is None:
+        return sets.withColumn("hot", F.lit(None).cast("string")), posts
+    hot = often.join(small(many), "token").groupBy("sid").agg(F.array_join(F.collect_list(F.concat_ws(" ", "token", "blocks")), " ").alias("hot"))
+    return sets.join(small(stage(hot, "hot_sets")), "sid", "left"), posts
+
+
+def _posts_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    """The posts of a batch of sets, about ``PACK_ROWS`` at a time."""
+    column = {c: batch[c].fill_null(0).to_numpy(zero_copy_only=False) for c in ("sid", "n", "flags", "bits", "more_bits", "doc_id", "line")}
+    token, n = _runs(batch["prefix"], np.uint32)
+    of, at = np.repeat(np.arange(len(n)), n), np.arange(len(token)) - np.repeat(np.cumsum(n) - n, n)
+    known = token != 0
+    of, at, token = of[known], at[known], token[known]
+    blocks = np.zeros(len(of), np.int64)
+    if batch["hot"].null_count < len(n):
+        hot = [(k, np.array(text.split(), np.int64).reshape(-1, 2)) for k, text in enumerate(batch["hot"].to_pylist()) if text]
+        key = np.concatenate([k << 32 | pairs[:, 0] & 0xFFFFFFFF for k, pairs in hot])
+        order, own = np.argsort(key), of << 32 | token
+        there = np.minimum(np.searchsorted(key, own, sorter=order), len(key) - 1)
+        blocks = np.where(key[order][there] == own, np.concatenate([pairs[:, 1] for _, pairs in hot])[order][there], 0)
+    copies = np.maximum(blocks, 1)
+    end, done = np.cumsum(copies), 0
+    while done < len(of):
+        before = end[done] - copies[done]
+        to = max(done + 1, int(np.searchsorted(end, before + PACK_ROWS, "right")))
+        post = np.repeat(np.arange(done, to), copies[done:to])
+        other = np.arange(len(post)) - (end - copies)[post] + before
+        own, done = of[post], to
+        rows = np.empty(len(post), POST)
+        for c in ("sid", "flags", "bits", "more_bits", "doc_id", "line"):
+            rows[c] = column[c][own]
+        rows["size"] = column["n"][own].astype(np.int64) << 32 | at[post]
+        rows["meet"] = token[post]
+        cut = np.flatnonzero(blocks[post])
+        if cut.size:
+            other, own = other[cut], (mix(rows["sid"][cut].astype(np.uint64)) % blocks[post[cut]].astype(np.uint64)).astype(np.int64)
+            pair = (np.minimum(own, other) << 32 | np.maximum(own, other)).astype(np.uint64)
+            rows["meet"][cut] = mix(mix(pair) ^ rows["meet"][cut]) >> np.uint64(32)
+            rows["flags"][cut] |= np.where(own < other, 1, np.where(own > other, 2, 0)).astype(np.uint8)
+        yield rows
+
+
+def _bucket(rows: np.ndarray, buckets: int) -> np.ndarray:
+    return (rows["meet"].astype(np.uint64) * np.uint64(buckets)) >> np.uint64(32)
+
+
+def _packed_posts(groups: DataFrame) -> tuple[DataFrame, int]:
+    """The posts of all sets, packed by bucket, and the number of buckets. Tokens that meet share a bucket;
+    buckets grow in number with the posts, so each is small beside a task's memory."""
+    sets, posts = _with_hot(groups.where("n >= 4"))
+    buckets = max(1, -(-posts // HEAVY), min(MANY, -(-posts // LIGHT)))
+    flags = (4 * F.col("first.none").cast("int") + 8 * F.col("open").cast("int")).alias("flags")
+    of = sets.select("sid", "n", "bits", "more_bits", "first.doc_id", "first.line", flags, "prefix", "hot")
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_freed()
+        parts, held = [], 0
+        for batch in batches:
+            for rows in _posts_of(batch):
+                parts.append(rows)
+                held += len(rows)
+                if held >= PACK_ROWS:
+                    yield runs(np.concatenate(parts))
+                    parts, held = [], 0
+        if held:
+            yield runs(np.concatenate(parts))
+        release()
 
-    Blocks of a token in more than ``BLOCK`` prefixes meet two by two; ``flags`` has 1 or 2 in the lower
-    or higher of two blocks, 4 without an id and 8 for an open set.
-    """
-    sets = groups.where("n >= 4")
-    hot = sets.select(F.explode("often").alias("token")).groupBy("token").count().where(F.col("count") > BLOCK)
-    hot = small(stage(hot.select("token", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")), "hot_tokens"))
-    flags = 4 * F.col("first.none").cast("int") + 8 * F.col("open").cast("int")
-    of = sets.select("sid", "n", "bits", "more_bits", "first.doc_id", "first.line", flags.alias("flags"), F.posexplode("prefix").alias("at", "token"))
-    of = of.where("token IS NOT NULL").join(hot, "token", "left")
-    block = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
-    sides = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.hash("token", F.least(block, o), F.greatest(block, o)).alias("meet"), F.when(block < o, 1).when(block > o, 2).otherwise(0).alias("side")))
-    own = F.array(F.struct(F.col("token").alias("meet"), F.lit(0).alias("side")))
-    of = of.withColumn("s", F.explode(F.when(F.col("blocks").isNull(), own).otherwise(sides)))
-    size = F.shiftleft(F.col("n").cast("long"), 32) + F.col("at")
-    return of.select("s.meet", (F.col("flags") + F.col("s.side")).alias("flags"), "sid", size.alias("size"), "bits", "more_bits", "doc_id", "line")
+    def runs(rows: np.ndarray) -> pa.RecordBatch:
+        bucket = _bucket(rows, buckets)
+        order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
+        rows, bucket = rows.view(f"V{POST.itemsize}")[order].view(POST), bucket[order]
+        first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+        return pa.RecordBatch.from_arrays([pa.array(bucket[first].astype(np.int64)), _binary(rows, np.append(first, len(rows)))], ["bucket", "posts"])
+
+    return of.mapInArrow(pack, "bucket long, posts binary"), buckets
 
 
 def _before(rows: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -171,7 +257,7 @@ def scan(rows: dict[str, np.ndarray], every: bool) -> tuple[np.ndarray, ...]:
     differ, and whether it has more."""
     order = np.lexsort((rows["size"], rows["meet"]))
     rows = {c: v[order] for c, v in rows.items()}
-    n, at, bits, more_bits, flags = rows["size"] >> 32, rows["size"] & 0xFFFFFFFF, rows["bits"].view(np.uint64), rows["more_bits"].view(np.uint64), rows["flags"]
+    n, at, bits, more_bits, flags = rows["size"] >> 32, rows["size"] & 0xFFFFFFFF, rows["bits"], rows["more_bits"], rows["flags"]
     size = len(n)
     first = np.flatnonzero(np.concatenate([[True], rows["meet"][1:] != rows["meet"][:-1]]))
     last = np.repeat(np.append(first[1:], size), np.diff(np.append(first, size)))
@@ -214,30 +300,34 @@ def scan(rows: dict[str, np.ndarray], every: bool) -> tuple[np.ndarray, ...]:
 def candidates(groups: DataFrame, every: bool = False) -> DataFrame:
     """late, early, apart and more, as ``scan`` gives them, of sets that share a token in their prefixes
     and pass all filters; early is -1 for a set that only has later partners."""
-    posts = _posts(groups).repartition("meet").sortWithinPartitions("meet")
-    names = posts.columns
+    posts, buckets = _packed_posts(groups)
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def of(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
-            late, early, apart, more = scan(rows, every)
+        def of(rows: np.ndarray) -> pa.RecordBatch:
+            late, early, apart, more = scan({c: rows[c] for c in POST.names}, every)
             return pa.RecordBatch.from_arrays([pa.array(late), pa.array(early), pa.array(apart.astype(np.int32)), pa.array(more.astype(bool))], ["late", "early", "apart", "more"])
 
+        keep_freed()
         parts, held = [], 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            parts.append({c: (batch[c].fill_null(0) if c == "doc_id" else batch[c]).to_numpy(zero_copy_only=False) for c in names})
-            held += batch.num_rows
-            if held >= SCAN_ROWS:
-                rows = {c: np.concatenate([p[c] for p in parts]) for c in names}
-                cut = int(np.searchsorted(rows["meet"], rows["meet"][-1]))  # the last block may go on
-                if cut:
-                    yield of({c: v[:cut] for c, v in rows.items()})
-                parts, held = [{c: v[cut:] for c, v in rows.items()}], held - cut
+            read, _ = _runs(batch["posts"], POST)
+            for a in range(0, len(read), SCAN_ROWS):
+                parts.append(read[a : a + SCAN_ROWS])
+                held += len(parts[-1])
+                if held >= SCAN_ROWS:
+                    rows = np.concatenate(parts)
+                    bucket = _bucket(rows, buckets)
+                    cut = int(np.searchsorted(bucket, bucket[-1]))  # the last bucket may go on
+                    if cut:
+                        yield of(rows[:cut])
+                    parts, held = [rows[cut:].copy()], held - cut
         if held:
-            yield of({c: np.concatenate([p[c] for p in parts]) for c in names})
+            yield of(np.concatenate(parts))
+        release()
 
-    return posts.mapInArrow(scanned, "late long, early long, apart int, more boolean")
+    return posts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(scanned, "late long, early long, apart int, more boolean")
 
 
 def _verified(pairs: DataFrame, groups: DataFrame, texts: DataFrame, most: int = 5000) -> DataFrame:
@@ -250,20 +340,24 @@ def _verified(pairs: DataFrame, groups: DataFrame, texts: DataFrame, most: int =
     lates = pairs.join(heads, "early").select(F.col("early").alias("family"), F.pmod(F.xxhash64("late"), F.col("blocks")).cast("int").alias("block"), F.lit(1).alias("member"), F.col("late").alias("sid"))
     heads = heads.select(F.col("early").alias("family"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(0).alias("member"), F.col("early").alias("sid"))
     members = small(stage(heads.unionByName(lates), "members")).join(groups.select("sid", "first"), "sid")
-    owners = members.groupBy(F.col("first.hash").alias("owner")).agg(F.collect_list(F.struct("first.doc_id", "first.line", "family", "block", "member", "sid")).alias("wanted"))
+    fields = F.concat_ws(" ", F.coalesce(F.col("first.doc_id").cast("string"), F.lit("-")), "first.line", "family", "block", "member", "sid")
+    owners = members.groupBy(F.col("first.hash").alias("owner")).agg(F.array_join(F.collect_list(fields), ",").alias("wanted"))  # Arrow takes a text faster than a list
     there = texts.join(small(stage(owners, "owners")), texts["hash"] == F.col("owner")).select("doc_id", "hash", "text", "wanted")
     schema = "family long, block int, member int, sid long, none boolean, doc_id long, line int, hash long, tokens binary"
     names = [f.split()[0] for f in schema.split(", ")]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_freed()
         for batch in slices(batches):
             lines, out = [], []
             for doc_id, text_hash, text, wanted in zip(*(batch[c].to_pylist() for c in ("doc_id", "hash", "text", "wanted")), strict=True):
                 cut_up = text.split("\n")
-                for w in wanted:
-                    if w["doc_id"] == doc_id:
-                        lines.append(cut_up[w["line"]])
-                        out.append((w["family"], w["block"], w["member"], w["sid"], doc_id is None, doc_id, w["line"], text_hash))
+                own = "-" if doc_id is None else str(doc_id)
+                for of, *numbers in (w.split(" ") for w in wanted.split(",")):
+                    if of == own:
+                        line, family, block, member, sid = map(int, numbers)
+                        lines.append(cut_up[line])
+                        out.append((family, block, member, sid, doc_id is None, doc_id, line, text_hash))
             if out:
                 words = split_words(pa.array(lines, pa.string()))
                 edges = np.searchsorted(words.text, np.arange(len(lines) + 1)).tolist()

@@ -409,6 +409,30 @@ def test_line_dedup_in_a_large_group_of_near_lines(spark, monkeypatch):
     assert {(r.doc_id, k) for r in got for k in r.removed} == removed(sorted(rows))
 
 
+@pytest.mark.parametrize("block", [2048, 50])
+def test_line_dedup_exchanges_few_rows(spark, monkeypatch, block):
+    monkeypatch.setattr(line_dedup, "BLOCK", block)
+    rng = np.random.default_rng(9)
+    lines = sorted({" ".join(f"w{int(x)}" for x in sorted(set(rng.integers(0, 90, 30)))) for _ in range(400)})
+    texts = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string").withColumn("hash", F.xxhash64("text")).repartition(4)
+    sets = line_dedup.line_sets(texts, line_dedup.word_counts(texts)).withColumn("first", line_dedup._place())
+    sets = line_dedup.stage(sets.withColumn("sid", F.col("doc_id")).withColumn("open", F.lit(False)), "sets")
+    packed, buckets = line_dedup._packed_posts(sets)
+    rows = packed.collect()
+    posts = np.concatenate([np.frombuffer(r.posts, line_dedup.POST) for r in rows])
+    prefixes = {r.sid: np.frombuffer(r.prefix, np.uint32) for r in sets.collect()}
+    assert {i: len(x) for i, x in prefixes.items()} == {i: len(set(x.split())) // 5 + 1 for i, x in enumerate(lines)}
+    holders = Counter(int(t) for x in prefixes.values() for t in x)
+    blocks = {t: -(-n // block) if n > block else 1 for t, n in holders.items()}
+    assert (max(blocks.values()) > 1) == (block == 50)
+    assert Counter(posts["sid"].tolist()) == {i: sum(blocks[int(t)] for t in x) for i, x in prefixes.items()}
+    assert all((line_dedup._bucket(np.frombuffer(r.posts, line_dedup.POST), buckets) == r.bucket).all() for r in rows)
+    assert len(rows) < len(posts) / 100
+    met = {m: set(posts["sid"][posts["meet"] == m].tolist()) for m in set(posts["meet"].tolist())}
+    together = {(a, b) for x in met.values() for a in x for b in x}
+    assert all((a, b) in together for a, x in prefixes.items() for b, y in prefixes.items() if np.intersect1d(x, y).size)
+
+
 @pytest.mark.parametrize("space", ["\u00a0", "\u3000", "\u2009", "\x85", "\x1c"])
 def test_line_dedup_has_one_white_space(spark, space):
     rows = [(1, space.join("one two three four five six seven eight nine".split())), (2, " ".join("one two three four five six seven eight ten".split())), (3, "one two three four" + space + "other words of their own")]
